@@ -1,0 +1,6 @@
+"""Streaming.
+
+The workflow this library rebuilds has no streams: every input is a whole table
+(baseline, edited copy, vocabularies, rules).  All operators are batch DataFrame plans.
+Nothing is built here on purpose.
+"""
