@@ -1 +1,269 @@
-"""Catalog module (filled in below)."""
+"""Catalog: change set (CHG), apply, render, resolve (fixtures R and N)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from revisa.operators import changes as ch
+from revisa.operators import resolve as rs
+from revisa.plans import fixtures as fx
+from revisa.plans import oracle_sql as S
+from revisa.plans.q_revision import SPEC, _unique_sql, r_frames
+from revisa.plans.registry import register
+
+NL = "chr(10)"
+
+
+def _is_int(c):
+    return SPEC.kind(c) in ("int", "taxnode")
+
+
+def _long_sql() -> str:
+    """All update candidates, one row per changed cell (the CHG-01 working set)."""
+    parts = []
+    for pos, (c, t) in enumerate(SPEC.updatable):
+        v, e = S.convert_checked("u." + c, SPEC.kind(c), c)
+        parts.append(
+            f"SELECT o.rkey, {S.key_numeric('o.rkey', SPEC.key_pattern)} AS key_num, u.ord, o.ord AS o_ord, {pos} AS pos, {S.q(t)} AS target, "
+            f"{'true' if _is_int(c) else 'false'} AS is_int, {v} AS new_value, {S.convert_lenient('o.' + c, SPEC.kind(c))} AS old_value, {e} AS error "
+            f"FROM po o JOIN ({_unique_sql('pu', 'NOT removed')}) u ON o.rkey = u.rkey WHERE NOT {S.values_equal('o.' + c, 'u.' + c, SPEC.kind(c))}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+def _valid_sql() -> str:
+    return (
+        "SELECT l.* FROM longc l JOIN (SELECT rkey, ord, o_ord FROM longc GROUP BY rkey, ord, o_ord HAVING count(error) = 0) v "
+        "ON l.rkey = v.rkey AND l.ord = v.ord AND l.o_ord = v.o_ord WHERE l.key_num IS NOT NULL"
+    )
+
+
+def c_sql(body: str, extra=()) -> str:
+    ctes = [("po", S.prepared("rev_original", SPEC)), ("pu", S.prepared("rev_updated", SPEC)), ("longc", _long_sql()), ("validc", _valid_sql()), *extra]
+    return S.with_fixtures(["rev_original", "rev_updated"], body, ctes)
+
+
+@register("change_updates", c_sql("SELECT rkey, key_num, ord, o_ord, target, new_value, old_value FROM validc"))
+def change_updates(spark, sf_dir):
+    o, u = r_frames(spark, sf_dir)
+    return ch.change_updates(o, u, SPEC)
+
+
+def _insert_select() -> str:
+    cols, errs = [], []
+    for t, c in SPEC.insertable:
+        v, e = S.convert_checked(c, SPEC.kind(c), c)
+        cols.append(f"{'cast(' + v + ' AS bigint)' if _is_int(c) else v} AS {t}")
+        errs.append(f"{e} IS NULL")
+    return f"SELECT ord, {', '.join(cols)} FROM pu WHERE rkey IS NULL AND NOT removed AND {' AND '.join(errs)}"
+
+
+@register("change_inserts", c_sql(_insert_select()))
+def change_inserts(spark, sf_dir):
+    return ch.change_inserts(r_frames(spark, sf_dir)[1], SPEC)
+
+
+_DETAILS = [c for c in SPEC.columns if c != SPEC.removal_column]
+_DEL_SQL = (
+    f"SELECT rkey, {S.key_numeric('rkey', SPEC.key_pattern)} AS key_num, ord, {S.norm('id')} AS target_value, "
+    + ", ".join(f"{c} AS d_{c}" for c in _DETAILS)
+    + f" FROM pu WHERE removed AND {S.key_numeric('rkey', SPEC.key_pattern)} IS NOT NULL"
+)
+
+
+@register("change_deletes", c_sql(_DEL_SQL))
+def change_deletes(spark, sf_dir):
+    return ch.change_deletes(r_frames(spark, sf_dir)[1], SPEC)
+
+
+# ---------------------------------------------------------------- apply
+
+_INT_TARGETS = {t for t, c in SPEC.insertable if _is_int(c)}
+
+
+def _stored_sql() -> str:
+    cols = [f"{S.key_numeric('rkey', SPEC.key_pattern)} AS isolate_id", "cast(NULL AS bigint) AS taxnode_id"]
+    for t, c in SPEC.insertable:
+        v = S.convert_lenient(c, SPEC.kind(c))
+        cols.append(f"{'cast(' + v + ' AS bigint)' if _is_int(c) else v} AS {t}")
+    return f"SELECT {', '.join(cols)} FROM po WHERE rkey IS NOT NULL"
+
+
+_STORED_COLS = ["isolate_id", "taxnode_id", *[t for t, _ in SPEC.insertable]]
+
+
+def _typed(x, t):
+    return f"cast({x} AS bigint)" if t in _INT_TARGETS else x
+
+
+def _apply_updates_sql() -> str:
+    targets = [t for _, t in SPEC.updatable]
+    aggs = ", ".join(
+        f"min({{'o': o_ord, 'nv': new_value, 'ov': old_value}}) FILTER (WHERE target = {S.q(t)}) AS s_{t}" for t in targets
+    )
+    checks = [f"(CASE WHEN k.s_{t} IS NOT NULL THEN (s.{t} IS NOT DISTINCT FROM {_typed(f'k.s_{t}.ov', t)}) END)" for t in targets]
+    has = "(" + " OR ".join(f"k.s_{t} IS NOT NULL" for t in targets) + ")"
+    ok = f"(coalesce({has}, false) AND coalesce(" + " OR ".join(f"coalesce({x}, false)" for x in checks) + ", false))"
+    out = []
+    for c in _STORED_COLS:
+        if c in targets:
+            out.append(f"CASE WHEN {ok} AND k.s_{c} IS NOT NULL THEN {_typed(f'k.s_{c}.nv', c)} ELSE s.{c} END AS {c}")
+        else:
+            out.append(f"s.{c}")
+    status = f"CASE WHEN {ok} THEN 'applied' WHEN coalesce({has}, false) THEN 'guard_miss' END AS update_status"
+    return c_sql(
+        f"SELECT {', '.join(out)}, {status} FROM stored s LEFT JOIN (SELECT key_num, {aggs} FROM validc GROUP BY key_num) k ON s.isolate_id = k.key_num",
+        extra=[("stored", _stored_sql())],
+    )
+
+
+def _apply_frames(spark, sf_dir):
+    o, u = r_frames(spark, sf_dir)
+    return o, u, ch.stored_table(o, SPEC)
+
+
+@register("apply_updates", _apply_updates_sql())
+def apply_updates(spark, sf_dir):
+    o, u, stored = _apply_frames(spark, sf_dir)
+    return ch.apply_updates(stored, ch.update_entries(o, u, SPEC), SPEC)
+
+
+@register(
+    "apply_deletes",
+    c_sql(
+        "SELECT s.isolate_id, CASE WHEN d.key_num IS NOT NULL THEN NULL ELSE s.taxnode_id END AS taxnode_id, "
+        + ", ".join(
+            f"CASE WHEN d.key_num IS NOT NULL THEN 'abolished' ELSE s.{t} END AS {t}" if t == "entry_name" else f"s.{t}"
+            for t, _ in SPEC.insertable
+        )
+        + " FROM stored s LEFT JOIN (SELECT DISTINCT key_num FROM dels) d ON s.isolate_id = d.key_num",
+        extra=[("stored", _stored_sql()), ("dels", _DEL_SQL)],
+    ),
+)
+def apply_deletes(spark, sf_dir):
+    o, u, stored = _apply_frames(spark, sf_dir)
+    return ch.apply_deletes(stored, ch.change_deletes(u, SPEC), "entry_name")
+
+
+def _resolve_sql(names_cte: str) -> list[tuple[str, str]]:
+    return [
+        ("nn", FIXTURE_NN),
+        ("names", names_cte),
+        ("ids", "SELECT n.name, max(x.ictv_id) AS ictv_id FROM nn x JOIN names n ON x.name = n.name GROUP BY n.name"),
+        ("cur", "SELECT ictv_id, taxnode_id FROM nn WHERE msl_release_num = (SELECT max(msl_release_num) FROM toc)"),
+        ("hits", "SELECT i.name, count(c.taxnode_id) AS n_matches, min(c.taxnode_id) AS tx FROM ids i LEFT JOIN cur c ON i.ictv_id = c.ictv_id GROUP BY i.name"),
+        (
+            "resolved",
+            "SELECT n.name, CASE WHEN h.n_matches = 1 THEN h.tx END AS taxnode_id, cast(coalesce(h.n_matches, 0) AS bigint) AS n_matches "
+            "FROM names n LEFT JOIN hits h ON n.name = h.name",
+        ),
+    ]
+
+
+FIXTURE_NN = "SELECT * FROM node_names"
+
+
+def _apply_inserts_sql() -> str:
+    ins_cols = ", ".join(t for t, _ in SPEC.insertable)
+    allrows = f"SELECT * FROM stored UNION ALL SELECT cast(NULL AS bigint), cast(NULL AS bigint), {ins_cols} FROM ({_insert_select()})"
+    names = "SELECT DISTINCT entry_name AS name FROM allrows WHERE taxnode_id IS NULL AND NOT coalesce(entry_name = 'abolished', false) AND entry_name IS NOT NULL"
+    fill = "a.taxnode_id IS NULL AND NOT coalesce(a.entry_name = 'abolished', false)"
+    body = (
+        f"SELECT a.isolate_id, CASE WHEN {fill} THEN r.taxnode_id ELSE a.taxnode_id END AS taxnode_id, "
+        + ", ".join(f"a.{t}" for t, _ in SPEC.insertable)
+        + " FROM allrows a LEFT JOIN resolved r ON a.entry_name = r.name"
+    )
+    ctes = [("po", S.prepared("rev_original", SPEC)), ("pu", S.prepared("rev_updated", SPEC)), ("stored", _stored_sql()), ("allrows", allrows)]
+    ctes += _resolve_sql(names)
+    return S.with_fixtures(["rev_original", "rev_updated", "node_names", "toc"], body, ctes)
+
+
+@register("apply_inserts", _apply_inserts_sql())
+def apply_inserts(spark, sf_dir):
+    o, u, stored = _apply_frames(spark, sf_dir)
+    nn, toc = fx.node_names(spark, sf_dir), fx.toc(spark)
+    return ch.apply_inserts(stored, ch.change_inserts(u, SPEC), lambda names: rs.resolve_current_id(names, nn, toc), "entry_name")
+
+
+@register(
+    "resolve_current_id",
+    S.with_fixtures(
+        ["node_names", "toc"],
+        "SELECT name, taxnode_id, n_matches FROM resolved",
+        _resolve_sql("SELECT DISTINCT name FROM node_names WHERE msl_release_num = 1"),
+    ),
+)
+def resolve_current_id(spark, sf_dir):
+    nn = fx.node_names(spark, sf_dir)
+    names = nn.where(F.col("msl_release_num") == 1).select("name")
+    return rs.resolve_current_id(names, nn, fx.toc(spark))
+
+
+@register(
+    "latest_release",
+    S.with_fixtures(
+        ["node_names", "toc"],
+        "SELECT r.msl_release_num, t.version_tag, r.n_names FROM (SELECT msl_release_num, count(*) AS n_names FROM node_names GROUP BY msl_release_num) r "
+        "JOIN toc t ON r.msl_release_num = t.msl_release_num ORDER BY r.msl_release_num DESC LIMIT 1",
+    ),
+)
+def latest_release(spark, sf_dir):
+    nn = fx.node_names(spark, sf_dir)
+    rel = nn.groupBy("msl_release_num").agg(F.count(F.lit(1)).alias("n_names")).join(fx.toc(spark), "msl_release_num")
+    return rs.latest_release(rel.select("msl_release_num", "version_tag", "n_names"))
+
+
+# ---------------------------------------------------------------- render
+
+
+def _lit_sql(x: str, is_int: str) -> str:
+    return f"(CASE WHEN {x} IS NULL THEN 'NULL' WHEN {is_int} THEN {x} ELSE '''' || replace({x}, '''', '''''') || '''' END)"
+
+
+def _render_updates_sql() -> str:
+    cond = f"(CASE WHEN old_value IS NULL THEN target || ' IS NULL' ELSE target || ' = ' || {_lit_sql('old_value', 'is_int')} END)"
+    stmt = (
+        f"'-- ' || rkey || ' (worksheet row ' || cast(ord AS varchar) || ')' || {NL} || 'UPDATE {SPEC.target_table}' || {NL} || 'SET' || {NL} || "
+        f"string_agg('    ' || target || ' = ' || {_lit_sql('new_value', 'is_int')}, ',' || {NL} ORDER BY pos) || {NL} || "
+        f"CASE WHEN count(*) = 1 THEN 'WHERE isolate_id = ' || cast(key_num AS varchar) || ' AND ' || min({cond}) || ';' "
+        f"ELSE 'WHERE isolate_id = ' || cast(key_num AS varchar) || ' AND (' || {NL} || '    ' || string_agg({cond}, {NL} || '    OR ' ORDER BY pos) || {NL} || ');' END"
+    )
+    return c_sql(f"SELECT ord, rkey, {stmt} AS statement FROM validc GROUP BY rkey, key_num, ord, o_ord")
+
+
+@register("render_updates", _render_updates_sql())
+def render_updates(spark, sf_dir):
+    o, u = r_frames(spark, sf_dir)
+    return ch.render_updates(ch.update_entries(o, u, SPEC), SPEC)
+
+
+def _render_inserts_sql() -> str:
+    targets = [t for t, _ in SPEC.insertable]
+    vals = f" || ',' || {NL} || '    ' || ".join(S.sql_literal(t, "int" if t in _INT_TARGETS else "text") for t in targets)
+    cols_txt = (",\n    ").join(targets)
+    stmt = (
+        f"'-- Worksheet row ' || cast(ord AS varchar) || {NL} || 'INSERT INTO {SPEC.target_table} (' || {NL} || {S.q('    ' + cols_txt)} || {NL} || "
+        f"') VALUES (' || {NL} || '    ' || {vals} || {NL} || ');'"
+    )
+    return c_sql(f"SELECT ord, {stmt} AS statement FROM ({_insert_select()})")
+
+
+@register("render_inserts", _render_inserts_sql())
+def render_inserts(spark, sf_dir):
+    return ch.render_inserts(ch.change_inserts(r_frames(spark, sf_dir)[1], SPEC), SPEC)
+
+
+def _render_deletes_sql() -> str:
+    lines = f" || {NL} || ".join(
+        f"{S.q('-- ' + c + ': ')} || coalesce(replace({S.norm('d_' + c)}, {NL}, ' | '), '')" for c in _DETAILS
+    )
+    stmt = (
+        f"'-- ' || rkey || ' (worksheet row ' || cast(ord AS varchar) || ')' || {NL} || {lines} || {NL} || "
+        f"'UPDATE {SPEC.target_table} SET taxnode_id=NULL, entry_name=''abolished'' ' || {NL} || 'WHERE isolate_id = ' || cast(key_num AS varchar) || ';'"
+    )
+    return c_sql(f"SELECT ord, rkey, {stmt} AS statement FROM ({_DEL_SQL})")
+
+
+@register("render_deletes", _render_deletes_sql())
+def render_deletes(spark, sf_dir):
+    return ch.render_deletes(ch.change_deletes(r_frames(spark, sf_dir)[1], SPEC), SPEC)
