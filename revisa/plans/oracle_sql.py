@@ -216,3 +216,37 @@ def prepared(view: str, spec, alias: str | None = None) -> str:
     not_blank = "coalesce(" + ", ".join(norm(c) for c in spec.blank_columns) + ") IS NOT NULL"
     removed = removal_marked(spec.removal_column, spec.removal_marker) if spec.removal_column else "false"
     return f"SELECT {cols}, {norm_key(spec.key)} AS rkey, {removed} AS removed FROM {view} WHERE {not_blank}"
+
+
+ENTRY_T = "STRUCT(segment VARCHAR, token VARCHAR)[]"
+
+
+def split_segments(x: str) -> str:
+    parts = f"list_filter(list_transform(string_split_regex({norm(x)}, '[;\\n]+'), lambda f: {strip_ws('f')}), lambda p: p <> '')"
+    entry = (
+        "lambda p: {'segment': CASE WHEN instr(p, ':') > 0 THEN " + norm("split_part(p, ':', 1)") + " END, "
+        "'token': CASE WHEN instr(p, ':') > 0 THEN " + strip_ws("substr(p, instr(p, ':') + 1)") + " ELSE p END}"
+    )
+    return f"coalesce(list_filter(list_transform({parts}, {entry}), lambda e: e.token <> ''), []::{ENTRY_T})"
+
+
+def canonical_entries(e: str, with_segment: bool) -> str:
+    seg = "upper(coalesce(x.segment, ''))" if with_segment else "''"
+    return f"list_transform({e}, lambda x: {{'segment': {seg}, 'token': upper(x.token)}})"
+
+
+def classify_change(old: str, new: str) -> str:
+    o, u = split_segments(old), split_segments(new)
+    return (
+        f"(CASE WHEN len({o}) = 0 AND len({u}) = 0 THEN 'whitespace' WHEN len({o}) = 0 AND {norm(old)} IS NULL THEN 'was_empty' "
+        f"WHEN len({u}) = 0 THEN 'meaningful' WHEN {canonical_entries(o, True)} = {canonical_entries(u, True)} THEN 'whitespace' "
+        f"WHEN {canonical_entries(o, False)} = {canonical_entries(u, False)} THEN 'segment_name' ELSE 'meaningful' END)"
+    )
+
+
+def entries_text(e: str) -> str:
+    return f"array_to_string(list_transform({e}, lambda x: coalesce(x.segment, '') || '|' || x.token), ';')"
+
+
+def tokens(x: str) -> str:
+    return f"list_transform({split_segments(x)}, lambda e: upper(e.token))"

@@ -51,6 +51,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint)."""
+    """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint).
+
+    The frame is persisted first: writing a reliable checkpoint runs a second job over
+    the same plan, which then reads the cached blocks instead of recomputing.
+    """
+    from pyspark import StorageLevel
+
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
