@@ -1 +1,185 @@
-"""Catalog module (filled in below)."""
+"""Catalog: vocabularies (fixture V, with R for the correction)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from revisa.functions import text as T
+from revisa.operators import vocab as vc
+from revisa.plans import fixtures as fx
+from revisa.plans import oracle_sql as S
+from revisa.plans.q_revision import SPEC, r_frames
+from revisa.plans.registry import register
+
+# Where new vocabulary values of each column are inserted.
+ROUTES = [("segment", "segment_values", "segment_name"), ("kind", "kind_codes", "code,name")]
+CONSTRAINED = ["segment", "kind"]
+
+
+def routes(spark):
+    return spark.createDataFrame(ROUTES, "col string, table_name string, target_columns string")
+
+
+def v_sql(body: str, extra=()) -> str:
+    ctes = [
+        ("nv_o", f"SELECT {S.norm('col')} AS col, {S.norm('value')} AS value, ord FROM vocab_original WHERE {S.norm('value')} IS NOT NULL"),
+        ("nv_u", f"SELECT {S.norm('col')} AS col, {S.norm('value')} AS value, ord FROM vocab_updated WHERE {S.norm('value')} IS NOT NULL"),
+        *extra,
+    ]
+    return S.with_fixtures(["vocab_original", "vocab_updated"], body, ctes)
+
+
+def frames(spark, sf_dir):
+    return fx.vocab_original(spark, sf_dir), fx.vocab_updated(spark, sf_dir)
+
+
+@register("canonical_value", v_sql(f"SELECT col, value, ord, {S.canonical_value('value')} AS canon FROM vocab_updated"))
+def canonical_value(spark, sf_dir):
+    return frames(spark, sf_dir)[1].select("col", "value", "ord", T.canonical_value("value").alias("canon"))
+
+
+@register("value_rows", v_sql("SELECT col, value, min(ord) AS first_ord, count(*) AS n_rows FROM nv_u GROUP BY col, value"))
+def value_rows(spark, sf_dir):
+    return vc.value_rows(frames(spark, sf_dir)[1])
+
+
+@register("vocab_distinct", v_sql("SELECT DISTINCT col, value FROM nv_u"))
+def vocab_distinct(spark, sf_dir):
+    return vc.distinct_values(frames(spark, sf_dir)[1])
+
+
+_CANON = f"SELECT col, {S.canonical_value('value')} AS canon, arg_min(value, ord) AS value FROM nv_u GROUP BY col, {S.canonical_value('value')}"
+
+
+@register("vocab_canonical", v_sql(_CANON))
+def vocab_canonical(spark, sf_dir):
+    return vc.canonical_first(frames(spark, sf_dir)[1])
+
+
+_ADDED = (
+    "SELECT col, value, min(ord) AS first_ord, count(*) AS n_rows FROM nv_u u WHERE NOT EXISTS "
+    "(SELECT 1 FROM nv_o o WHERE o.col = u.col AND o.value = u.value) GROUP BY col, value"
+)
+
+
+@register("vocab_added", v_sql(_ADDED))
+def vocab_added(spark, sf_dir):
+    o, u = frames(spark, sf_dir)
+    return vc.added(o, u)
+
+
+@register(
+    "vocab_removed",
+    v_sql(
+        "SELECT col, value, min(ord) AS first_ord, count(*) AS n_rows FROM nv_o o WHERE NOT EXISTS "
+        "(SELECT 1 FROM nv_u u WHERE o.col = u.col AND o.value = u.value) GROUP BY col, value"
+    ),
+)
+def vocab_removed(spark, sf_dir):
+    o, u = frames(spark, sf_dir)
+    return vc.removed(o, u)
+
+
+@register(
+    "vocab_not_in_reference",
+    v_sql(
+        "SELECT col, value, ord FROM nv_u WHERE col IN (SELECT col FROM ref) AND NOT EXISTS (SELECT 1 FROM ref r WHERE r.col = nv_u.col AND r.value = nv_u.value)",
+        extra=[("ref", f"SELECT DISTINCT 'segment' AS col, {S.norm('c_mktsegment')} AS value FROM customer WHERE {S.norm('c_mktsegment')} IS NOT NULL")],
+    ),
+)
+def vocab_not_in_reference(spark, sf_dir):
+    ref = fx.table(spark, sf_dir, "customer").select(F.lit("segment").alias("col"), F.col("c_mktsegment").alias("value"))
+    return vc.not_in_reference(frames(spark, sf_dir)[1], ref)
+
+
+def _correct_sql() -> str:
+    parts = []
+    for c in CONSTRAINED:
+        parts.append(f"SELECT ord, {S.q(c)} AS col, {c} AS raw FROM pu")
+    cells = "\nUNION ALL\n".join(parts)
+    allowed = "SELECT DISTINCT col, value FROM nv_u"
+    body = (
+        "SELECT x.ord, x.col AS \"column\", CASE WHEN x.v IS NOT NULL AND x.adjust THEN x.corrected ELSE x.raw END AS value, "
+        "CASE WHEN x.v IS NULL THEN 'Column ''' || x.col || ''' must not be blank; select a value from ''Column Values''.' "
+        "WHEN x.adjust THEN 'Column ''' || x.col || ''' value ''' || x.v || ''' adjusted to ''' || x.corrected || ''' to match ''Column Values''.' "
+        "WHEN NOT x.in_list AND x.corrected IS NULL THEN 'Column ''' || x.col || ''' contains ''' || x.v || ''' which is not listed in ''Column Values''.' END AS message, "
+        "CASE WHEN x.v IS NULL OR x.adjust THEN 'WARNING' WHEN NOT x.in_list AND x.corrected IS NULL THEN 'ERROR' END AS severity FROM ("
+        "SELECT y.*, coalesce((y.in_list AND y.raw <> y.corrected AND y.corrected = y.v) OR (NOT y.in_list AND y.corrected IS NOT NULL), false) AS adjust FROM ("
+        "SELECT c.ord, c.col, c.raw, c.v, a.value IS NOT NULL AS in_list, k.value AS corrected FROM "
+        f"(SELECT ord, col, raw, {S.norm('raw')} AS v, {S.canonical_value(S.norm('raw'))} AS canon FROM cells) c "
+        "LEFT JOIN allowed a ON c.col = a.col AND c.v = a.value LEFT JOIN canon k ON c.col = k.col AND c.canon = k.canon) y) x"
+    )
+    ctes = [
+        ("nv_u", f"SELECT {S.norm('col')} AS col, {S.norm('value')} AS value, ord FROM vocab_updated WHERE {S.norm('value')} IS NOT NULL AND {S.norm('col')} IS NOT NULL"),
+        ("pu", S.prepared("rev_updated", SPEC)),
+        ("cells", cells),
+        ("allowed", allowed),
+        ("canon", _CANON),
+    ]
+    return S.with_fixtures(["rev_original", "rev_updated", "vocab_original", "vocab_updated"], body, ctes)
+
+
+@register("vocab_correct", _correct_sql())
+def vocab_correct(spark, sf_dir):
+    u = r_frames(spark, sf_dir)[1]
+    return vc.correct(u, frames(spark, sf_dir)[1], CONSTRAINED)
+
+
+@register(
+    "vocab_build",
+    S.with_fixtures(
+        [],
+        f"SELECT 'kind' AS col, 'E' AS value, cast(1 AS bigint) AS ord UNION ALL SELECT 'kind', 'A', 2 "
+        f"UNION ALL SELECT 'segment', c_mktsegment, c_custkey FROM customer WHERE {S.norm('c_mktsegment')} IS NOT NULL",
+    ).replace("WITH \n", ""),
+)
+def vocab_build(spark, sf_dir):
+    cust = fx.table(spark, sf_dir, "customer")
+    return vc.build({"kind": ["E", "A"]}, [("segment", cust, "c_mktsegment", "c_custkey")], spark)
+
+
+@register("sort_vocab", v_sql(f"SELECT col, value, ord, lower({S.norm('value')}) AS sort_key FROM vocab_updated"))
+def sort_vocab(spark, sf_dir):
+    return vc.sort_vocab(frames(spark, sf_dir)[1])
+
+
+@register("vocab_insert_order", v_sql(f"SELECT col, value, first_ord, n_rows, lower(col) AS col_key, lower(value) AS value_key FROM ({_ADDED})"))
+def vocab_insert_order(spark, sf_dir):
+    o, u = frames(spark, sf_dir)
+    a = vc.added(o, u)
+    return a.withColumn("col_key", F.lower("col")).withColumn("value_key", F.lower("value")).orderBy("col_key", "value_key")
+
+
+_ROUTES_SQL = " UNION ALL ".join(f"SELECT {S.q(a)} AS col, {S.q(b)} AS table_name, {S.q(c)} AS target_columns" for a, b, c in ROUTES)
+_ROUTED = (
+    "SELECT a.col, a.value, a.first_ord, a.n_rows, r.table_name, r.target_columns, CASE WHEN r.table_name IS NULL THEN 'skipped' ELSE 'insert' END AS status "
+    "FROM added a LEFT JOIN routes r ON lower(a.col) = lower(r.col)"
+)
+
+
+@register("change_vocab_inserts", v_sql(_ROUTED, extra=[("added", _ADDED), ("routes", _ROUTES_SQL)]))
+def change_vocab_inserts(spark, sf_dir):
+    o, u = frames(spark, sf_dir)
+    return vc.route_inserts(vc.added(o, u), routes(spark))
+
+
+def _render_vocab_sql() -> str:
+    nl = "chr(10)"
+    rows = "CASE WHEN n_rows > 1 THEN cast(first_ord AS varchar) || ' (+' || cast(n_rows - 1 AS varchar) || ' more)' ELSE cast(first_ord AS varchar) END"
+    lit = "'''' || replace(value, '''', '''''') || ''''"
+    stmt = (
+        f"'-- Column ''' || col || ''' value ''' || value || ''' from ''Column Values'' row(s) ' || {rows} || {nl} || 'INSERT INTO ' || table_name || ' (' || {nl} || "
+        f"'    ' || array_to_string(string_split(target_columns, ','), ',' || {nl} || '    ') || {nl} || ') VALUES (' || {nl} || "
+        f"'    ' || array_to_string(list_transform(string_split(target_columns, ','), lambda x: {lit}), ',' || {nl} || '    ') || {nl} || ');'"
+    )
+    note = "'-- No database mapping configured for column ''' || col || ''' with value ''' || value || '''; skipping.'"
+    return v_sql(
+        f"SELECT col, value, CASE WHEN status = 'insert' THEN {stmt} ELSE {note} END AS statement FROM routed",
+        extra=[("added", _ADDED), ("routes", _ROUTES_SQL), ("routed", _ROUTED)],
+    )
+
+
+@register("render_vocab_inserts", _render_vocab_sql())
+def render_vocab_inserts(spark, sf_dir):
+    o, u = frames(spark, sf_dir)
+    return vc.render_inserts(vc.route_inserts(vc.added(o, u), routes(spark)))
