@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revisa.functions import lists as L
 from revisa.functions import text as T
 from revisa.operators import revision as rv
 from revisa.spec import RevisionSpec
@@ -269,3 +270,17 @@ def render_deletes(deletes: DataFrame, spec: RevisionSpec, name_column: str = "e
         F.concat(F.lit("WHERE isolate_id = "), F.col("key_num").cast("string"), F.lit(";")),
     )
     return deletes.select("ord", KEY, stmt.alias("statement"))
+
+
+def list_change_issues(original, edited, spec, strict: bool = False):
+    """CHG-02: warnings for list-cell changes (only ``meaningful`` ones unless strict)."""
+    m = rv.matched(original, rv.unique_rows(rv.live(edited), spec), spec, [spec.list_column])
+    o, u = F.col("o_" + spec.list_column), F.col("u_" + spec.list_column)
+    c = m.where(~T.values_equal(o, u, "text")).select(rv.KEY, F.col("u_ord").alias("ord"), L.classify_change(o, u).alias("change_class"), o, u)
+    if not strict:
+        c = c.where(F.col("change_class") == "meaningful")
+    msg = F.concat(
+        F.lit(f"List column '{spec.list_column}' changed from '"), F.coalesce(T.norm(o), F.lit("")), F.lit("' to '"), F.coalesce(T.norm(u), F.lit("")),
+        F.lit("' for key "), F.col(rv.KEY), F.lit("."),
+    )
+    return c.select(rv.KEY, "ord", "change_class", msg.alias("message"), F.lit("WARNING").alias("severity"))
