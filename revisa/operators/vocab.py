@@ -151,4 +151,4 @@ def render_inserts(routed: DataFrame) -> DataFrame:
         F.lit(");"),
     )
     note = F.concat(F.lit("-- No database mapping configured for column '"), F.col("col"), F.lit("' with value '"), F.col("value"), F.lit("'; skipping."))
-    return routed.select("col", "value", F.when(F.col("status") == "insert", stmt).otherwise(note).alias("statement"))
+    return routed.select("col", "value", "first_ord", F.when(F.col("status") == "insert", stmt).otherwise(note).alias("statement"))

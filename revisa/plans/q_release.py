@@ -1 +1,228 @@
-"""Catalog module (filled in below)."""
+"""Catalog: release building, sinks, snapshots and sources (fixtures R, N, T)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from revisa.operators import changes as ch
+from revisa.operators import release as rl
+from revisa.operators import vocab as vc
+from revisa.plans import fixtures as fx
+from revisa.plans import oracle_sql as S
+from revisa.plans import q_changes as qc
+from revisa.plans import q_vocab as qv
+from revisa.plans.q_revision import SPEC, r_frames
+from revisa.plans.registry import register
+from revisa.sources import tables as src
+
+INT_COLS = ("sort_major", "sort_minor")
+PUBLIC_MARKER = "balance"
+STAMP = "20261203"
+
+
+def _key_sql(c):
+    t = S.strip_ws(f"coalesce({c}, '')")
+    return f"(CASE WHEN {t} = '' THEN cast(0 AS bigint) WHEN regexp_matches({t}, '^[+-]?[0-9]+$') THEN try_cast({t} AS bigint) END)"
+
+
+@register(
+    "sort_release",
+    S.with_fixtures(
+        ["rev_updated"],
+        f"SELECT ord, {_key_sql('sort_major')} AS major_key, {_key_sql('sort_minor')} AS minor_key, nullif(concat_ws('; ', "
+        f"CASE WHEN {_key_sql('sort_major')} IS NULL THEN 'Non-integer sort value in ''sort_major'': ' || sort_major END, "
+        f"CASE WHEN {_key_sql('sort_minor')} IS NULL THEN 'Non-integer sort value in ''sort_minor'': ' || sort_minor END), '') AS sort_error FROM rev_updated",
+    ),
+)
+def sort_release(spark, sf_dir):
+    u = fx.rev_updated(spark, sf_dir)
+    return rl.sort_release(u, "sort_major", "sort_minor").select("ord", "major_key", "minor_key", "sort_error")
+
+
+@register(
+    "typed_release",
+    S.with_fixtures(
+        ["rev_original"],
+        "SELECT ord, " + ", ".join(f"{S.int_like(c)} AS {c}" if c in INT_COLS else f"coalesce({c}, '') AS {c}" for c in SPEC.columns) + " FROM rev_original",
+    ),
+)
+def typed_release(spark, sf_dir):
+    return rl.typed_release(fx.rev_original(spark, sf_dir), INT_COLS, SPEC.columns, keep=("ord",))
+
+
+_PUB = [c for c in ["ord", *SPEC.columns]][: ["ord", *SPEC.columns].index(PUBLIC_MARKER)]
+
+
+@register("public_projection", S.with_fixtures(["rev_original"], f"SELECT {', '.join(_PUB)} FROM rev_original"))
+def public_projection(spark, sf_dir):
+    return rl.public_projection(fx.rev_original(spark, sf_dir), PUBLIC_MARKER)
+
+
+CARRY = ["nation", "region", "changelog"]
+
+
+@register(
+    "carry_forward",
+    S.with_fixtures(
+        [],
+        "SELECT 'nation' AS table_name, 'copied' AS status, count(*) AS n_rows FROM nation UNION ALL SELECT 'region', 'copied', count(*) FROM region "
+        "UNION ALL SELECT 'changelog', 'missing', NULL",
+    ).replace("WITH \n", ""),
+)
+def carry_forward(spark, sf_dir):
+    prev = {t: fx.table(spark, sf_dir, t) for t in ("nation", "region", "supplier")}
+    return rl.carry_forward(prev, CARRY)[1]
+
+
+def _changelog(spark, sf_dir):
+    nn = fx.node_names(spark, sf_dir)
+    return nn.groupBy("msl_release_num").agg(F.count(F.lit(1)).alias("n")).select(
+        (F.col("msl_release_num") + 1).cast("bigint").alias("ord"),
+        F.concat(F.lit("2026-0"), F.col("msl_release_num").cast("string"), F.lit("-01")).alias("when"),
+        F.lit("loader").alias("who"),
+        F.concat(F.lit("names: "), F.col("n").cast("string")).alias("what"),
+    )
+
+
+_LOG_SQL = (
+    "SELECT cast(msl_release_num + 1 AS bigint) AS ord, '2026-0' || cast(msl_release_num AS varchar) || '-01' AS \"when\", 'loader' AS who, "
+    "'names: ' || cast(count(*) AS varchar) AS what FROM node_names GROUP BY msl_release_num"
+)
+
+
+@register(
+    "changelog_append",
+    S.with_fixtures(
+        ["node_names"],
+        "SELECT * FROM log UNION ALL SELECT (SELECT max(ord) FROM log) + 1, '2026-12-03', 'revisa', 'names total: ' || cast((SELECT count(*) FROM node_names) AS varchar)",
+        [("log", _LOG_SQL)],
+    ),
+)
+def changelog_append(spark, sf_dir):
+    log = _changelog(spark, sf_dir)
+    total = fx.node_names(spark, sf_dir).count()
+    return rl.changelog_append(log, "2026-12-03", "revisa", f"names total: {total}")
+
+
+def _scratch(spark):
+    return src.shared_path(spark, "revisa-out", uuid.uuid4().hex)
+
+
+@register(
+    "snapshot_counts",
+    S.with_fixtures(["rev_original"], f"SELECT 'entries' AS table_name, count(*) AS n_rows FROM rev_original UNION ALL SELECT 'entries_{STAMP}', count(*) FROM rev_original"),
+)
+def snapshot_counts(spark, sf_dir):
+    return src.snapshot(fx.rev_original(spark, sf_dir), _scratch(spark), "entries", STAMP)[1]
+
+
+@register(
+    "restore_counts",
+    S.with_fixtures(["rev_original"], f"SELECT 'entries_{STAMP}' AS table_name, count(*) AS n_rows FROM rev_original UNION ALL SELECT 'entries', count(*) FROM rev_original"),
+)
+def restore_counts(spark, sf_dir):
+    base = _scratch(spark)
+    src.snapshot(fx.rev_original(spark, sf_dir), base, "entries", STAMP)
+    return src.restore(spark, base, f"entries_{STAMP}", ["ord", "id", "sort_major", "name"], "entries")
+
+
+@register("map_columns", S.with_fixtures(["rev_original"], "SELECT ord, " + ", ".join(f"{c} AS {t}" for c, t in SPEC.updatable) + " FROM rev_original"))
+def map_columns(spark, sf_dir):
+    return fx.rev_original(spark, sf_dir).select("ord", *[F.col(c).alias(t) for c, t in SPEC.updatable])
+
+
+WIDTH_COLS = ("text", "lang", "source")
+_BREAKS_SQL = "\\r\\n|[\\n\\x0b\\x0c\\r\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]"
+
+
+@register(
+    "column_width_profile",
+    S.with_fixtures(
+        [],
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", cast(coalesce(max(list_max(list_transform(string_split_regex(cast({c} AS varchar), '{_BREAKS_SQL}'), lambda s: length(s)))), 0) AS bigint) AS max_line FROM documents"
+            for c in WIDTH_COLS
+        ),
+    )
+    .replace("WITH \n", "SELECT \"column\", max_line, cast(least(80, greatest(8, max_line + 2)) AS bigint) AS width FROM (", 1)
+    + ")",
+)
+def column_width_profile(spark, sf_dir):
+    return rl.column_widths(fx.table(spark, sf_dir, "documents"), WIDTH_COLS)
+
+
+def _rendered(spark, sf_dir):
+    o, u = r_frames(spark, sf_dir)
+    vo, vu = qv.frames(spark, sf_dir)
+    voc = vc.render_inserts(vc.route_inserts(vc.added(vo, vu), qv.routes(spark))).withColumnRenamed("first_ord", "ord")
+    return {
+        "column_value_inserts": voc,
+        "deletes": ch.render_deletes(ch.change_deletes(u, SPEC), SPEC),
+        "updates": ch.render_updates(ch.update_entries(o, u, SPEC), SPEC),
+        "inserts": ch.render_inserts(ch.change_inserts(u, SPEC), SPEC),
+    }
+
+
+def _stages_sql() -> str:
+    parts = [
+        ("0, 'column_value_inserts'", qv._render_vocab_sql(), "first_ord"),
+        ("1, 'deletes'", qc._render_deletes_sql(), "ord"),
+        ("2, 'updates'", qc._render_updates_sql(), "ord"),
+        ("3, 'inserts'", qc._render_inserts_sql(), "ord"),
+    ]
+    sel = []
+    for i, (lab, sql, o) in enumerate(parts):
+        n, label = lab.split(", ")
+        alias = " AS stage" if i == 0 else ""
+        alias2 = " AS label" if i == 0 else ""
+        sel.append(f"SELECT {n}{alias}, {label}{alias2}, cast({o} AS bigint) AS ord, statement FROM ({sql}) s{i}")
+    return " UNION ALL ".join(sel)
+
+
+@register("change_set_stages", _stages_sql())
+def change_set_stages(spark, sf_dir):
+    return rl.change_set_stages(_rendered(spark, sf_dir))
+
+
+@register(
+    "stage_order",
+    "SELECT DISTINCT 'stage_' || cast(stage AS varchar) || '_' || label || '.sql' AS name, cast(stage AS bigint) AS stage_num FROM (" + _stages_sql() + ")",
+)
+def stage_order(spark, sf_dir):
+    st = rl.change_set_stages(_rendered(spark, sf_dir))
+    names = st.select(F.concat(F.lit("stage_"), F.col("stage").cast("string"), F.lit("_"), F.col("label"), F.lit(".sql")).alias("name")).distinct()
+    return rl.stage_order(names)
+
+
+DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@register("src_flatfile_roundtrip", "SELECT " + ", ".join(f"cast({c} AS varchar) AS {c}" for c in DOC_COLS) + " FROM documents")
+def src_flatfile_roundtrip(spark, sf_dir):
+    path = _scratch(spark) + "/documents.txt"
+    src.write_dump(fx.table(spark, sf_dir, "documents"), path)
+    return src.read_written_dump(spark, path, DOC_COLS)
+
+
+R_COLS = ["ord", *SPEC.columns]
+
+
+@register(
+    "src_tabular_by_suffix",
+    S.with_fixtures(
+        ["rev_original"],
+        " UNION ALL ".join(f"SELECT '{sfx}' AS suffix, " + ", ".join(f"cast({c} AS varchar) AS {c}" for c in R_COLS) + " FROM rev_original" for sfx in ("csv", "txt")),
+    ),
+)
+def src_tabular_by_suffix(spark, sf_dir):
+    base = _scratch(spark)
+    o = fx.rev_original(spark, sf_dir)
+    out = None
+    for sfx, sep in (("csv", ","), ("txt", "\t")):
+        path = f"{base}/entries.{sfx}"
+        o.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", "\\").csv(path)
+        df = src.read_by_suffix(spark, path, R_COLS).select(F.lit(sfx).alias("suffix"), *R_COLS)
+        out = df if out is None else out.unionByName(df)
+    return out

@@ -174,7 +174,7 @@ def _render_vocab_sql() -> str:
     )
     note = "'-- No database mapping configured for column ''' || col || ''' with value ''' || value || '''; skipping.'"
     return v_sql(
-        f"SELECT col, value, CASE WHEN status = 'insert' THEN {stmt} ELSE {note} END AS statement FROM routed",
+        f"SELECT col, value, first_ord, CASE WHEN status = 'insert' THEN {stmt} ELSE {note} END AS statement FROM routed",
         extra=[("added", _ADDED), ("routes", _ROUTES_SQL), ("routed", _ROUTED)],
     )
 
