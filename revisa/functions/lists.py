@@ -41,12 +41,27 @@ def canonical_entries(entries, with_segment: bool) -> Column:
 
 
 def classify_change(old, new) -> Column:
-    """SCL-16: ``whitespace`` / ``was_empty`` / ``segment_name`` / ``meaningful``."""
-    o, u = split_segments(old), split_segments(new)
+    """SCL-16: ``whitespace`` / ``was_empty`` / ``segment_name`` / ``meaningful``.
+
+    For large tables prefer :func:`classify_frame`, which parses each cell once."""
+    return classify_entries(split_segments(old), split_segments(new), norm(old).isNull())
+
+
+def classify_frame(df, old: str, new: str, out: str = "change_class"):
+    """Add the change class of two list cells, parsing each cell once: the parsed arrays
+    are projected first (an expensive projection referenced several times is not
+    inlined by the optimizer), then classified."""
+    tmp = df.withColumn("_o_entries", split_segments(old)).withColumn("_u_entries", split_segments(new)).withColumn("_o_absent", norm(old).isNull())
+    return tmp.withColumn(out, classify_entries("_o_entries", "_u_entries", F.col("_o_absent"))).drop("_o_entries", "_u_entries", "_o_absent")
+
+
+def classify_entries(o, u, old_absent) -> Column:
+    """The SCL-16 decision on parsed entry lists (``old_absent``: the old cell is blank)."""
+    o, u = _c(o), _c(u)
     no, nu = F.size(o), F.size(u)
     return (
         F.when((no == 0) & (nu == 0), F.lit("whitespace"))
-        .when((no == 0) & norm(old).isNull(), F.lit("was_empty"))
+        .when((no == 0) & old_absent, F.lit("was_empty"))
         .when(nu == 0, F.lit("meaningful"))
         .when(canonical_entries(o, True) == canonical_entries(u, True), F.lit("whitespace"))
         .when(canonical_entries(o, False) == canonical_entries(u, False), F.lit("segment_name"))

@@ -57,7 +57,7 @@ def segments_canonical(spark, sf_dir):
 
 @register("segment_change_class", l_sql(f"SELECT id, {S.classify_change('old_cell', 'new_cell')} AS change_class FROM list_pairs"))
 def segment_change_class(spark, sf_dir):
-    return fx.list_pairs(spark, sf_dir).select("id", L.classify_change("old_cell", "new_cell").alias("change_class"))
+    return L.classify_frame(fx.list_pairs(spark, sf_dir), "old_cell", "new_cell").select("id", "change_class")
 
 
 @register(
