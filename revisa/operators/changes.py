@@ -43,11 +43,13 @@ def update_candidates(original: DataFrame, edited: DataFrame, spec: RevisionSpec
         for c, t in spec.updatable
     ]
     ch = F.filter(F.array(*items), lambda x: x.isNotNull())
-    return (
-        m.select(KEY, F.col("u_ord").alias("ord"), "o_ord", ch.alias("ch"))
-        .where(F.size("ch") > 0)
-        .withColumn("key_num", T.key_numeric(F.col(KEY), spec.key_pattern))
-        .withColumn("valid", F.forall("ch", lambda x: x["error"].isNull()))
+    m = m.select(KEY, F.col("u_ord").alias("ord"), "o_ord", *[F.col(x) for x in m.columns if x.startswith(("o_", "u_")) and x not in ("o_ord", "u_ord")])
+    c = rv.project_once(m, [KEY, "ord", "o_ord"], ch=ch).where(F.size("ch") > 0)
+    return rv.project_once(
+        c,
+        [KEY, "ord", "o_ord", "ch"],
+        key_num=T.key_numeric(F.col(KEY), spec.key_pattern),
+        valid=F.forall("ch", lambda x: x["error"].isNull()),
     )
 
 
@@ -88,7 +90,7 @@ def insert_candidates(edited: DataFrame, spec: RevisionSpec) -> DataFrame:
     """New rows with converted values (``v_<target>``) and the array of conversion errors."""
     vals = _insert_values(spec)
     errors = F.filter(F.array(*[v["error"] for _, _, v in vals]), lambda x: x.isNotNull())
-    return rv.new_rows(edited).select("ord", *[v["value"].alias("v_" + t) for t, _, v in vals], errors.alias("errors"))
+    return rv.project_once(rv.new_rows(edited), ["ord"], **{"v_" + t: v["value"] for t, _, v in vals}, errors=errors)
 
 
 def change_inserts(edited: DataFrame, spec: RevisionSpec) -> DataFrame:
@@ -276,7 +278,7 @@ def list_change_issues(original, edited, spec, strict: bool = False):
     """CHG-02: warnings for list-cell changes (only ``meaningful`` ones unless strict)."""
     m = rv.matched(original, rv.unique_rows(rv.live(edited), spec), spec, [spec.list_column])
     o, u = F.col("o_" + spec.list_column), F.col("u_" + spec.list_column)
-    c = m.where(~T.values_equal(o, u, "text")).select(rv.KEY, F.col("u_ord").alias("ord"), L.classify_change(o, u).alias("change_class"), o, u)
+    c = rv.project_once(m.where(~T.values_equal(o, u, "text")), [rv.KEY, F.col("u_ord").alias("ord"), o, u], change_class=L.classify_change(o, u))
     if not strict:
         c = c.where(F.col("change_class") == "meaningful")
     msg = F.concat(

@@ -64,18 +64,18 @@ def key_stats(prepared: DataFrame) -> DataFrame:
 def unique_rows(prepared: DataFrame, spec: RevisionSpec) -> DataFrame:
     """Rows whose key occurs exactly once in ``prepared``.
 
-    Count per key (hash aggregate on fixed-width values), keep keys seen once, and
-    semi-join back: all three sides are hash-partitioned on the key, so the join adds
-    no exchange beyond the two the aggregate and the rows already need.
+    One aggregate: per key, the row count and the row itself as ``min(struct(...))``.
+    It scans the table once and combines map-side (a key with millions of copies sends
+    one buffer per task to the shuffle); its output is hash-partitioned and sorted by the
+    key, which the join that follows reuses.
     """
-    singles = (
+    cols = [c for c in prepared.columns if c != KEY]
+    agg = (
         prepared.where(F.col(KEY).isNotNull())
         .groupBy(KEY)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") == 1)
-        .select(KEY)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*[F.col(c) for c in cols])).alias("_r"))
     )
-    return prepared.join(singles, KEY, "left_semi")
+    return agg.where(F.col("_n") == 1).select(KEY, *[F.col("_r")[c].alias(c) for c in cols])
 
 
 def _side(df: DataFrame, prefix: str, spec: RevisionSpec, columns) -> DataFrame:
@@ -113,6 +113,18 @@ def _explode_changes(m: DataFrame, columns, spec: RevisionSpec, fallback: bool)
     )
 
 
+def project_once(df: DataFrame, keep, **exprs: Column) -> DataFrame:
+    """Project expensive expressions once, behind a one-row generator.
+
+    A filter on a projected alias is normally pushed below the projection by substituting
+    the expression (into a join condition, say), so an expensive array or regex would be
+    evaluated twice.  Columns produced by a generator cannot be substituted, so filters
+    on them stay above it and each expression runs once per row.
+    """
+    packed = F.struct(*[e.alias(n) for n, e in exprs.items()])
+    return df.select(*keep, F.inline(F.array(packed)))
+
+
 def live(prepared: DataFrame) -> DataFrame:
     return prepared.where(~F.col(REMOVED))
 
