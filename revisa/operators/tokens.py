@@ -97,12 +97,16 @@ def greedy_claims(candidates: DataFrame, pairs: DataFrame, max_rounds: int | Non
 
 def reuse_new(prepared: DataFrame, spec: RevisionSpec) -> DataFrame:
     """WIN-02 report: every candidate new row with ``status`` and, if rejected, the
-    accepted earlier rows whose tokens it reuses."""
-    new = rv.new_rows(prepared)
+    accepted earlier rows whose tokens it reuses.
+
+    Candidates (new rows not already failing JN-11) are checkpointed once with their
+    token arrays; the pairs and the round state are derived from that checkpoint.
+    """
+    new = rv.new_rows(prepared).select("ord", F.array_distinct(cell_tokens(spec.list_column)).alias("toks"))
     conflicts = reuse_existing(prepared, spec).select("ord")
-    cands = new.select("ord").join(conflicts, "ord", "left_anti")
-    pairs = row_tokens(new, spec).join(cands, "ord", "left_semi")
-    dec = greedy_claims(cands, pairs)
+    cand_rows = cut_lineage(new.join(conflicts, "ord", "left_anti"))
+    pairs = cand_rows.select("ord", F.explode("toks").alias("token"))
+    dec = greedy_claims(cand_rows.select("ord"), pairs)
     acc = pairs.join(dec.where(F.col("accepted")).select("ord"), "ord", "left_semi").select("token", F.col("ord").alias("holder"))
     rej_pairs = pairs.join(dec.where(~F.col("accepted")).select("ord"), "ord", "left_semi").join(acc, "token").where(F.col("holder") < F.col("ord"))
     refs = _refs(rej_pairs, "holder")
