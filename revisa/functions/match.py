@@ -12,13 +12,14 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from revisa.functions.text import _c
 
 DROP = r"[\t-\r\x1c-\x20\x85\p{Z}\p{P}]"
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda v: unicodedata.normalize("NFKC", v) if isinstance(v, str) else v)
 

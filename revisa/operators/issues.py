@@ -80,18 +80,25 @@ def check_stages(original: DataFrame, edited: DataFrame, spec: RevisionSpec, voc
     return stages, edited
 
 
-def check_revision(original, edited, spec, vocab=None, constrained=(), fail_fast: bool = False, strict_list: bool = False) -> DataFrame:
-    """CHK-01 (+ CHK-02): all issues of the revision check.
+def check_revision(
+    original, edited, spec, vocab=None, constrained=(), fail_fast: bool = False, strict_list: bool = False, verbose: bool = False
+) -> DataFrame:
+    """CHK-01 (+ CHK-02, CHK-04): all issues of the revision check.
 
     ``fail_fast`` evaluates the stages in order and raises :class:`ProcessingHalted` at
-    the first stage that has an ERROR (one ``isEmpty`` probe per stage).
+    the first stage that has an ERROR (one ``isEmpty`` probe per stage).  ``verbose``
+    adds one ``SUCCESS`` row for every stage that found nothing (also one probe each).
     """
     stages, _ = check_stages(original, edited, spec, vocab, constrained, strict_list)
+    spark = original.sparkSession
     out = None
     for name, df in stages:
         if fail_fast and not df.where(F.col("severity") == "ERROR").isEmpty():
             raise ProcessingHalted(f"stage {name} has errors")
         out = df if out is None else out.unionByName(df)
+        if verbose and df.isEmpty():
+            ok = spark.createDataFrame([(name, "", None, f"Check '{name}' passed.", "SUCCESS")], "check string, worksheet string, row bigint, message string, severity string")
+            out = out.unionByName(ok)
     return out
 
 
