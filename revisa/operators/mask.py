@@ -71,9 +71,36 @@ def mask_predicate(rules, table: str, columns, null_as_empty: bool = True) -> Co
     return reduce(lambda a, b: a | b, preds)
 
 
+def empty_matches(pattern: str) -> bool:
+    """Does ``''`` match the LIKE pattern (only ``%`` wildcards)?"""
+    return all(ch == "%" for ch in pattern)
+
+
+def keep_predicate(rules, table: str, columns, null_as_empty: bool = True) -> Column | None:
+    """The rows a mask keeps, written without ``coalesce`` so the scan can take it.
+
+    Flat-file semantics (a null cell is ``''``): keep ``c IS NULL OR NOT c LIKE p``, or
+    ``c IS NOT NULL AND NOT c LIKE p`` when ``''`` itself matches ``p``.  Database
+    semantics: ``c IS NOT NULL AND NOT c LIKE p`` (a null makes ``NOT (...)`` unknown).
+    Prefix patterns become ``StartsWith`` and reach Parquet as pushed filters.
+    """
+    keeps = []
+    for t, c, p in rules:
+        if t != table or c not in columns:
+            continue
+        col = F.col(c)
+        if null_as_empty and not empty_matches(p):
+            keeps.append(col.isNull() | ~like(col, p))
+        else:
+            keeps.append(col.isNotNull() & ~like(col, p))
+    if not keeps:
+        return None
+    return reduce(lambda a, b: a & b, keeps)
+
+
 def mask_table(df: DataFrame, table: str, rules, null_as_empty: bool = True) -> DataFrame:
-    pred = mask_predicate(rules, table, df.columns, null_as_empty)
-    return df if pred is None else df.where(~pred)
+    keep = keep_predicate(rules, table, df.columns, null_as_empty)
+    return df if keep is None else df.where(keep)
 
 
 def matched_counts(df: DataFrame, table: str, rules) -> DataFrame:

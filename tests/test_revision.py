@@ -56,3 +56,17 @@ def test_masking_idempotent(spark):
     p = fx.table(spark, SF, "part")
     once = mk.mask_table(p, "part", rules)
     assert once.count() == mk.mask_table(once, "part", rules).count()
+
+
+def test_mask_null_semantics(spark):
+    from revisa.operators import mask as mk
+
+    df = spark.createDataFrame([(1, None), (2, "ECO X"), (3, "STD"), (4, "")], "k int, t string")
+    flat = sorted(r.k for r in mk.mask_table(df, "p", [("p", "t", "ECO%")]).collect())
+    db = sorted(r.k for r in mk.mask_table(df, "p", [("p", "t", "ECO%")], null_as_empty=False).collect())
+    assert flat == [1, 3, 4] and db == [3, 4]
+    # a rule that matches '' masks null cells too in flat-file semantics
+    assert sorted(r.k for r in mk.mask_table(df, "p", [("p", "t", "%")]).collect()) == []
+    # the keep predicate agrees with NOT(match) row by row
+    pred = mk.mask_predicate([("p", "t", "ECO%")], "p", df.columns)
+    assert sorted(r.k for r in df.where(~pred).collect()) == flat
