@@ -42,9 +42,12 @@ def check_stages(original: DataFrame, edited: DataFrame, spec: RevisionSpec, voc
     """
     stages = []
     if vocab is not None and constrained:
-        corr = vc.correct(edited, vocab, constrained)
-        stages.append(("vocabulary", _issues(corr.where(F.col("message").isNotNull()), "vocabulary", EDITED, F.col("ord"), F.col("message"), F.col("severity"))))
-        edited = vc.apply_corrections(edited, corr, constrained)
+        constrained = [c for c in constrained if c in edited.columns]
+        wide = vc.correct_wide(edited, vocab, constrained)
+        cells = F.explode(F.array(*[F.col("_fix_" + c) for c in constrained]))
+        corr = wide.select("ord", cells.alias("f")).where(F.col("f.message").isNotNull())
+        stages.append(("vocabulary", _issues(corr, "vocabulary", EDITED, F.col("ord"), F.col("f.message"), F.col("f.severity"))))
+        edited = vc.apply_corrections(wide, edited.columns, constrained)
     k = rv.KEY
     stages.append(("blank_keys", _issues(original.where(F.col(k).isNull()), "blank_keys", ORIGINAL, F.col("ord"), F.lit("Original table contains a blank key."))))
     fmt = []

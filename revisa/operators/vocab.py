@@ -60,44 +60,50 @@ def not_in_reference(values: DataFrame, reference: DataFrame) -> DataFrame:
     return checked.join(ref, ["col", "value"], "left_anti")
 
 
-def correct(edited: DataFrame, vocab: DataFrame, columns) -> DataFrame:
-    """JN-10: vocabulary correction of the constrained columns of each edited row.
-
-    Returns ``(ord, column, value, message, severity)`` per row and constrained column:
-    ``value`` is the cell after correction (raw when unchanged); ``message`` is null when
-    there is nothing to report.  Columns of the vocabulary absent from ``edited`` are
-    skipped; the case table follows the reference (see SURVEY §7.3).
+def correct_wide(edited: DataFrame, vocab: DataFrame, columns) -> DataFrame:
+    """JN-10 in place: each constrained column is corrected inside its own row.
+
+    Per constrained column, one left join to that column's allowed values and one to its
+    canonical forms (vocabulary-sized; Catalyst broadcasts them under the size threshold,
+    otherwise they are ordinary shuffled joins).  Rows never leave their row: no explode,
+    pivot or join back.  Adds ``_fix_<col>`` = ``struct(value, message, severity)``; the
+    case table follows the reference (SURVEY §7.3).
     """
     voc = normalised(vocab)
-    allowed = voc.select("col", "value").distinct().withColumn("in_list", F.lit(True))
-    canon = canonical_first(vocab).withColumnRenamed("value", "corrected")
-    constrained = [c for c in columns if c in edited.columns]
-    cells = edited.select("ord", F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("raw")) for c in constrained])).alias("x")).select(
-        "ord", "x.col", "x.raw"
-    )
-    cells = cells.withColumn("v", T.norm("raw")).withColumn("canon", T.canonical_value("v"))
-    j = cells.join(allowed, (cells.col == allowed.col) & (cells.v == allowed.value), "left").drop(allowed.col).drop("value")
-    j = j.join(canon, ["col", "canon"], "left")
-    in_list = F.coalesce(F.col("in_list"), F.lit(False))
-    c, v, raw = F.col("corrected"), F.col("v"), F.col("raw")
-    adjust = (in_list & (raw != c) & (c == v)) | (~in_list & c.isNotNull())
-    value = F.when(v.isNotNull() & adjust, c).otherwise(raw)
-    msg = (
-        F.when(v.isNull(), F.concat(F.lit("Column '"), F.col("col"), F.lit("' must not be blank; select a value from 'Column Values'.")))
-        .when(adjust, F.concat(F.lit("Column '"), F.col("col"), F.lit("' value '"), v, F.lit("' adjusted to '"), c, F.lit("' to match 'Column Values'.")))
-        .when(~in_list & c.isNull(), F.concat(F.lit("Column '"), F.col("col"), F.lit("' contains '"), v, F.lit("' which is not listed in 'Column Values'.")))
-    )
-    sev = F.when(v.isNull() | adjust, F.lit("WARNING")).when(msg.isNotNull(), F.lit("ERROR"))
-    return j.select("ord", F.col("col").alias("column"), value.alias("value"), msg.alias("message"), sev.alias("severity"))
+    allowed = voc.select("col", "value").distinct()
+    canon = canonical_first(vocab)
+    out = edited
+    for c in [c for c in columns if c in edited.columns]:
+        a = allowed.where(F.col("col") == c).select(F.col("value").alias("_a"), F.lit(True).alias("_in"))
+        k = canon.where(F.col("col") == c).select(F.col("canon").alias("_k"), F.col("value").alias("_corr"))
+        out = out.withColumn("_v", T.norm(c)).withColumn("_cn", T.canonical_value("_v"))
+        out = out.join(a, out["_v"] == a["_a"], "left").join(k, out["_cn"] == k["_k"], "left")
+        in_list = F.coalesce(F.col("_in"), F.lit(False))
+        corr, v, raw = F.col("_corr"), F.col("_v"), F.col(c)
+        adjust = (in_list & (raw != corr) & (corr == v)) | (~in_list & corr.isNotNull())
+        msg = (
+            F.when(v.isNull(), F.lit(MSG_BLANK.format(col=c)))
+            .when(adjust, F.concat(F.lit(f"Column '{c}' value '"), v, F.lit("' adjusted to '"), corr, F.lit("' to match 'Column Values'.")))
+            .when(~in_list & corr.isNull(), F.concat(F.lit(f"Column '{c}' contains '"), v, F.lit("' which is not listed in 'Column Values'.")))
+        )
+        sev = F.when(v.isNull() | adjust, F.lit("WARNING")).when(msg.isNotNull(), F.lit("ERROR"))
+        fix = F.struct(F.when(v.isNotNull() & adjust, corr).otherwise(raw).alias("value"), msg.alias("message"), sev.alias("severity"))
+        out = out.withColumn("_fix_" + c, fix).drop("_v", "_cn", "_a", "_in", "_k", "_corr")
+    return out
 
 
-def apply_corrections(edited: DataFrame, corrections: DataFrame, columns) -> DataFrame:
-    """Q5: the corrected frame later checks read (corrected values written back by row)."""
+def correct(edited: DataFrame, vocab: DataFrame, columns) -> DataFrame:
+    """JN-10 report: ``(ord, column, value, message, severity)`` per row and constrained
+    column (``value`` after correction; ``message`` null when there is nothing to say)."""
     constrained = [c for c in columns if c in edited.columns]
-    wide = corrections.groupBy("ord").pivot("column", constrained).agg(F.first("value"))
-    wide = wide.select("ord", *[F.col(c).alias("_c_" + c) for c in constrained])
-    j = edited.join(wide, "ord", "left")
-    return j.select(*[F.col("_c_" + c).alias(c) if c in constrained else F.col(c) for c in edited.columns])
+    w = correct_wide(edited, vocab, constrained)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col("_fix_" + c).alias("f")) for c in constrained]))
+    return w.select("ord", cells.alias("x")).select("ord", "x.column", "x.f.value", "x.f.message", "x.f.severity")
+
+
+def apply_corrections(wide: DataFrame, edited_columns, columns) -> DataFrame:
+    """Q5: the corrected frame later checks read (from :func:`correct_wide`)."""
+    return wide.select(*[F.col("_fix_" + c + ".value").alias(c) if c in columns else F.col(c) for c in edited_columns])
 
 
 def build(literal_lists: dict, table_columns: list[tuple[str, DataFrame, str, str]], spark) -> DataFrame:
