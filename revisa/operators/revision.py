@@ -211,6 +211,7 @@ def row_change_summary(original: DataFrame, edited: DataFrame, spec: RevisionSpe
         F.col(KEY),
         F.size(ch).cast("bigint").alias("n_changes"),
         F.array_join(ch, ",").alias("changes"),
+        (F.size(ch) > 0).alias("changed"),
     )
 
 

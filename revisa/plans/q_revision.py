@@ -64,7 +64,7 @@ def _summary_sql():
         for i, c in enumerate(_CMP)
     )
     return (
-        f"SELECT o.ord, o.rkey, cast({n} AS bigint) AS n_changes, concat_ws(',', {txt}) AS changes FROM po o JOIN "
+        f"SELECT o.ord, o.rkey, cast({n} AS bigint) AS n_changes, concat_ws(',', {txt}) AS changes, ({n}) > 0 AS changed FROM po o JOIN "
         "(SELECT * FROM pu WHERE rkey IS NOT NULL QUALIFY row_number() OVER (PARTITION BY rkey ORDER BY ord) = 1) u ON o.rkey = u.rkey"
     )
 

@@ -70,3 +70,20 @@ def test_mask_null_semantics(spark):
     # the keep predicate agrees with NOT(match) row by row
     pred = mk.mask_predicate([("p", "t", "ECO%")], "p", df.columns)
     assert sorted(r.k for r in df.where(~pred).collect()) == flat
+
+
+def test_guard_all_and_stage_warning(spark):
+    from revisa.operators import release as rl
+
+    o, u = frames(spark)
+    entries = ch.update_entries(o, u, SPEC)
+    stored = ch.stored_table(o, SPEC).withColumn("notes", F.lit("moved on"))
+    any_ = ch.apply_updates(stored, entries, SPEC, guard="any")
+    all_ = ch.apply_updates(stored, entries, SPEC, guard="all")
+    n_any = any_.where(F.col("update_status") == "applied").count()
+    n_all = all_.where(F.col("update_status") == "applied").count()
+    assert n_all <= n_any and n_any > 0
+    rendered = {"updates": ch.render_updates(entries, SPEC)}
+    warned = rl.change_set_stages(rendered, has_errors=True).first()["statement"]
+    assert warned.startswith(rl.WARNING_LINE)
+    assert not rl.change_set_stages(rendered).first()["statement"].startswith("-- WARNING")

@@ -21,7 +21,7 @@ def test_schema_guards():
 
 def test_contract(spark):
     df = E.entry(spark)
-    assert set(df.columns) == {"ord", "rkey", "n_changes", "changes"}
+    assert set(df.columns) == {"ord", "rkey", "n_changes", "changes", "changed"}
     assert df.count() > 0
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
