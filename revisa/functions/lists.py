@@ -19,14 +19,20 @@ SEGMENT_DELIM = ":"
 
 
 def split_segments(c) -> Column:
-    """SCL-14: ``[(segment or null, token)]``; only the first colon splits; empty tokens dropped."""
-    frags = F.split(norm(c), SEPARATORS)
+    """SCL-14: ``[(segment or null, token)]``; only the first colon splits; empty tokens dropped.
+
+    Lambda bodies of higher-order functions are evaluated outside whole-stage codegen, so
+    they use position arithmetic (``instr`` / ``substr``) rather than a regex per fragment,
+    and the cell is split on one character (newlines mapped to ``;`` first; fragments are
+    stripped and empty ones dropped, so runs of separators need no regex).
+    """
+    frags = F.split(F.replace(norm(c), F.lit("\n"), F.lit(";")), ";")
     parts = F.filter(F.transform(frags, lambda f: strip_ws(f)), lambda p: p != "")
 
     def entry(p):
-        has = F.instr(p, SEGMENT_DELIM) > 0
-        seg = F.when(has, norm(F.substring_index(p, SEGMENT_DELIM, 1)))
-        tok = F.when(has, strip_ws(F.regexp_extract(p, "(?s)^[^:]*:(.*)$", 1))).otherwise(p)
+        at = F.instr(p, SEGMENT_DELIM)
+        seg = F.when(at > 0, norm(p.substr(F.lit(1), at - 1)))
+        tok = F.when(at > 0, strip_ws(p.substr(at + 1, F.length(p)))).otherwise(p)
         return F.struct(seg.alias("segment"), tok.alias("token"))
 
     entries = F.filter(F.transform(parts, entry), lambda e: e["token"] != "")
