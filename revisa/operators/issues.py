@@ -34,12 +34,20 @@ def _m(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def check_stages(original: DataFrame, edited: DataFrame, spec: RevisionSpec, vocab: DataFrame | None = None, constrained=(), strict_list: bool = False):
+def check_stages(
+    original: DataFrame, edited: DataFrame, spec: RevisionSpec, vocab: DataFrame | None = None, constrained=(), strict_list: bool = False, materialize: bool = True
+):
     """The checks of CHK-01 in their fixed order, as ``(name, issues DataFrame)`` pairs.
 
     The vocabulary correction runs first and the corrected frame feeds every later
-    check (Q5).
+    check (Q5).  With ``materialize`` the prepared inputs (and the corrected frame) are
+    checkpointed once into the shared checkpoint folder, so the dozen checks below read
+    them instead of re-deriving them from the sources each time.
     """
+    from revisa.session import cut_lineage
+
+    if materialize:
+        original, edited = cut_lineage(original), cut_lineage(edited)
     stages = []
     if vocab is not None and constrained:
         constrained = [c for c in constrained if c in edited.columns]
@@ -48,6 +56,8 @@ def check_stages(original: DataFrame, edited: DataFrame, spec: RevisionSpec, voc
         corr = wide.select("ord", cells.alias("f")).where(F.col("f.message").isNotNull())
         stages.append(("vocabulary", _issues(corr, "vocabulary", EDITED, F.col("ord"), F.col("f.message"), F.col("f.severity"))))
         edited = vc.apply_corrections(wide, edited.columns, constrained)
+        if materialize:
+            edited = cut_lineage(edited)
     k = rv.KEY
     stages.append(("blank_keys", _issues(original.where(F.col(k).isNull()), "blank_keys", ORIGINAL, F.col("ord"), F.lit("Original table contains a blank key."))))
     fmt = []
@@ -84,7 +94,7 @@ def check_stages(original: DataFrame, edited: DataFrame, spec: RevisionSpec, voc
 
 
 def check_revision(
-    original, edited, spec, vocab=None, constrained=(), fail_fast: bool = False, strict_list: bool = False, verbose: bool = False
+    original, edited, spec, vocab=None, constrained=(), fail_fast: bool = False, strict_list: bool = False, verbose: bool = False, materialize: bool = True
 ) -> DataFrame:
     """CHK-01 (+ CHK-02, CHK-04): all issues of the revision check.
 
@@ -92,7 +102,7 @@ def check_revision(
     the first stage that has an ERROR (one ``isEmpty`` probe per stage).  ``verbose``
     adds one ``SUCCESS`` row for every stage that found nothing (also one probe each).
     """
-    stages, _ = check_stages(original, edited, spec, vocab, constrained, strict_list)
+    stages, _ = check_stages(original, edited, spec, vocab, constrained, strict_list, materialize)
     spark = original.sparkSession
     out = None
     for name, df in stages:
