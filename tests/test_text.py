@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from revisa.functions import text as T
 
-CASES = ["  a b  ", " x ", "\t\n", "", None, "​z", "x\x1c", "　y　"]
+CASES = ["  a b  ", " x ", "\t\n", "", None, "\u200bz", "x\x1c", "\u3000y\u3000"]
 
 
 def test_norm_matches_python_strip(spark):
