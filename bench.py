@@ -15,8 +15,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from revisa.operators import changes as ch  # noqa: E402
 from revisa.operators import revision as rv  # noqa: E402
 from revisa.plans import fixtures as fx  # noqa: E402

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revisa.functions import text as T
-from revisa.operators.revision import KEY, first_rows, union_all
+from revisa.operators.revision import KEY, first_rows
 from revisa.spec import RevisionSpec
 
 
@@ -37,5 +37,3 @@ def reconcile_cells(original: DataFrame, export: DataFrame, spec: RevisionSpec,
         KEY, "ord", "d.column", "d.original_value", "d.export_value"
     )
 
-
-__all__ = ["reconcile_keys", "reconcile_cells", "union_all"]

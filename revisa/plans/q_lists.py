@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from revisa.functions import lists as L
-from revisa.functions import text as T
-from revisa.operators import revision as rv
 from revisa.operators import changes as ch
 from revisa.operators import tokens as tk
 from revisa.plans import fixtures as fx

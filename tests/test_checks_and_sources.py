@@ -5,7 +5,6 @@ import tempfile
 import unicodedata
 
 import pytest
-from pyspark.sql import functions as F
 
 from revisa.functions import match as M
 from revisa.operators import issues as iss

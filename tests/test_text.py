@@ -1,7 +1,6 @@
 """Truth tables of the scalar text functions on literal frames."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from revisa.functions import text as T
 
