@@ -109,14 +109,34 @@ BACKUP_NAME = re.compile(r".+_\d{8}")
 
 
 def restore(spark: SparkSession, base: str, backup: str, columns, target: str) -> DataFrame:
-    """SNK-11: the backup name must end in ``_yyyyMMdd``; the target gets the backup's rows
-    in a fixed projection (written to a staging path, then swapped in); both counts."""
+    """SNK-11: the backup name must end in ``_yyyyMMdd``; the target table is replaced by
+    the backup's rows in a fixed projection (the backup is a separate path, so the target
+    can be overwritten directly); returns both row counts."""
     if not BACKUP_NAME.fullmatch(backup):
         raise ValueError(f"Backup table name must end with _YYYYMMDD: {backup}")
     src = spark.read.parquet(f"{base.rstrip('/')}/{backup}").select(*columns)
-    staging = f"{base.rstrip('/')}/{safe_identifier(target)}__staging"
-    src.write.mode("overwrite").parquet(staging)
-    restored = spark.read.parquet(staging)
+    target_path = f"{base.rstrip('/')}/{safe_identifier(target)}"
+    src.write.mode("overwrite").parquet(target_path)
+    restored = spark.read.parquet(target_path)
     return src.select(F.lit(backup).alias("table_name")).groupBy("table_name").count().unionByName(
         restored.select(F.lit(target).alias("table_name")).groupBy("table_name").count()
     ).withColumnRenamed("count", "n_rows")
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """SNK-01 / SNK-02 / AGG-12: replace the table at ``path`` (overwrite = clear first) and
+    return the number of rows written, observed in the same job (no second pass)."""
+    from pyspark.sql import Observation
+
+    obs = Observation("write_rows")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(path)
+    return int(obs.get["rows"])
+
+
+def observed_read(df: DataFrame, name: str = "read_rows"):
+    """AGG-12: wrap a read so the first action over it also reports its row count
+    (``observation.get['rows']`` after that action)."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

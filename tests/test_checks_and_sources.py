@@ -82,7 +82,7 @@ def test_snapshot_restore_identity(spark):
     src.snapshot(o, base, "entries", "20260101")
     counts = {r["table_name"]: r["n_rows"] for r in src.restore(spark, base, "entries_20260101", o.columns, "entries").collect()}
     assert counts["entries"] == counts["entries_20260101"] == o.count()
-    restored = spark.read.parquet(base + "/entries__staging")
+    restored = spark.read.parquet(base + "/entries")
     assert restored.exceptAll(o).isEmpty() and o.exceptAll(restored).isEmpty()
     with pytest.raises(ValueError):
         src.restore(spark, base, "entries_2026", o.columns, "entries")
@@ -119,3 +119,15 @@ def test_vocab_correction_cases(spark):
     assert got[5] == ("space tools", None)
     assert got[6] == ("nope", "ERROR")
     assert got[7] == (" ", "WARNING")
+
+
+def test_write_table_counts(spark):
+    d = tempfile.mkdtemp(prefix="revisa-test-")
+    o = fx.rev_original(spark, SF)
+    n = src.write_table(o, os.path.join(d, "t"))
+    assert n == o.count() == spark.read.parquet(os.path.join(d, "t")).count()
+    assert src.write_table(o.limit(3), os.path.join(d, "t")) == 3
+    assert spark.read.parquet(os.path.join(d, "t")).count() == 3
+    df, obs = src.observed_read(spark.read.parquet(os.path.join(d, "t")))
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 3
