@@ -91,7 +91,7 @@ _TOK_SQL = (
     f"WHERE {_strip('coalesce(col, ' + S.q('') + ')')} <> '' OR {_strip('coalesce(heading, ' + S.q('') + ')')} <> '' OR {_strip('coalesce(definition, ' + S.q('') + ')')} <> '')"
 )
 _TOKS = f"SELECT *, {_mt('token')} AS mt FROM ({_TOK_SQL}) WHERE {_mt('token')} <> ''"
-_SPELL = "SELECT mt, token, min(ord) AS first_ord, cast(arg_min(pos, ord * 1000 + pos) AS bigint) AS first_pos FROM toks GROUP BY mt, token"
+_SPELL = "SELECT mt, token, cast(min(ord) AS bigint) AS first_ord, cast(arg_min(pos, ord * 1000 + pos) AS bigint) AS first_pos FROM toks GROUP BY mt, token"
 
 
 def g_sql(body: str, extra=()) -> str:
@@ -140,7 +140,7 @@ def doc_header_coverage(spark, sf_dir):
 
 _RANGE_HDR = " UNION ALL ".join(f"SELECT {i} AS pos, {S.q(h)} AS header" for i, h in enumerate(RANGE, start=4))
 _RANGE_SPELL = (
-    "SELECT mt, token, min(ord) AS first_ord, cast(arg_min(pos, ord * 1000 + pos) AS bigint) AS first_pos FROM toks "
+    "SELECT mt, token, cast(min(ord) AS bigint) AS first_ord, cast(arg_min(pos, ord * 1000 + pos) AS bigint) AS first_pos FROM toks "
     f"WHERE regexp_matches(col, {S.q(dc.RANGE_ROW)}) AND ord = (SELECT max(ord) FROM toks WHERE regexp_matches(col, {S.q(dc.RANGE_ROW)})) GROUP BY mt, token"
 )
 _RANGE_COV = _cover_sql("Grouped heading list is missing ", "Range map: ", spell="rspell")
