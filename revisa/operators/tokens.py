@@ -49,7 +49,9 @@ def greedy_claims(candidates: DataFrame, pairs: DataFrame, max_rounds: int | Non
 
     Each round, over the undecided rows only:
     * a row holding a token of an accepted row is rejected;
-    * a row that is the smallest undecided holder of every token it has is accepted.
+    * of the rest, a row that is the smallest holder of every token it has is accepted
+      (rows rejected in the same round no longer block, so a chain advances two rows
+      per round).
     The smallest undecided row is always decided, so the loop ends; it runs until no row
     is undecided (exact, no round cap unless ``max_rounds`` is given for tests).  State is
     checkpointed every round so lineage stays one round deep and survives executor loss.
@@ -64,19 +66,18 @@ def greedy_claims(candidates: DataFrame, pairs: DataFrame, max_rounds: int | Non
         rounds += 1
         undecided = state.where(F.col("accepted").isNull()).select("ord")
         pu = pairs.join(undecided, "ord", "left_semi")
-        tokmin = pu.groupBy("token").agg(F.min("ord").alias("min_u"))
-        t = pu.join(tokmin, "token")
+        # phase 1: rows holding a token of an accepted row are rejected
         if accepted_tok is not None:
-            t = t.join(accepted_tok, "token", "left")
+            rej = pu.join(accepted_tok, "token", "left_semi").select("ord").distinct().withColumn("rej", F.lit(True))
         else:
-            t = t.withColumn("acc_ord", F.lit(None).cast("bigint"))
-        per_row = t.groupBy("ord").agg(
-            F.max(F.col("acc_ord").isNotNull()).alias("rej"),
-            F.min(F.col("ord") == F.col("min_u")).alias("is_min"),
-        )
+            rej = undecided.limit(0).withColumn("rej", F.lit(True))
+        # phase 2: among the rest, a row that is the smallest holder of each of its tokens is accepted
+        viable = pu.join(rej, "ord", "left_anti")
+        tokmin = viable.groupBy("token").agg(F.min("ord").alias("min_u"))
+        per_row = viable.join(tokmin, "token").groupBy("ord").agg(F.min(F.col("ord") == F.col("min_u")).alias("is_min"))
         # rows without tokens have no pairs: they are accepted at once
         state = cut_lineage(
-            undecided.join(per_row, "ord", "left").select(
+            undecided.join(rej, "ord", "left").join(per_row, "ord", "left").select(
                 "ord",
                 F.when(F.coalesce(F.col("rej"), F.lit(False)), F.lit(False))
                 .when(F.coalesce(F.col("is_min"), F.lit(True)), F.lit(True))
