@@ -1,0 +1,79 @@
+"""One call for the whole update workflow: check an edited table against its baseline and
+produce the issue table, the change set and its rendered statements.
+
+Everything returned is a lazy DataFrame (the whole check checkpoints its prepared inputs
+once into the session's shared checkpoint folder).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from revisa.operators import changes as ch
+from revisa.operators import issues as iss
+from revisa.operators import release as rl
+from revisa.operators import revision as rv
+from revisa.operators import vocab as vc
+from revisa.spec import RevisionSpec
+
+
+@dataclass
+class Revision:
+    issues: DataFrame
+    updates: DataFrame
+    inserts: DataFrame
+    deletes: DataFrame
+    vocabulary_inserts: DataFrame | None
+    statements: DataFrame
+
+    def has_errors(self) -> bool:
+        return bool(iss.has_errors(self.issues).first()[0])
+
+
+def revise(
+    original: DataFrame,
+    edited: DataFrame,
+    spec: RevisionSpec,
+    vocab_original: DataFrame | None = None,
+    vocab_updated: DataFrame | None = None,
+    constrained=(),
+    routes: DataFrame | None = None,
+    strict_list: bool = False,
+    keep_going: bool = True,
+) -> Revision:
+    """Check ``edited`` against ``original`` (raw tables with an ordinal column) and build the
+    change set from the vocabulary-corrected edit.
+
+    ``keep_going=False`` stops at the first check stage with an ERROR
+    (:class:`revisa.operators.issues.ProcessingHalted`).
+    """
+    o, e = rv.prepare(original, spec), rv.prepare(edited, spec)
+    stages, corrected = iss.check_stages(o, e, spec, vocab_updated, constrained, strict_list)
+    issues = None
+    for name, df in stages:
+        if not keep_going and not df.where(F.col("severity") == "ERROR").isEmpty():
+            raise iss.ProcessingHalted(f"stage {name} has errors")
+        issues = df if issues is None else issues.unionByName(df)
+    entries = ch.update_entries(o, corrected, spec)
+    inserts = ch.change_inserts(corrected, spec)
+    deletes = ch.change_deletes(corrected, spec)
+    rendered = {
+        "deletes": ch.render_deletes(deletes, spec),
+        "updates": ch.render_updates(entries, spec),
+        "inserts": ch.render_inserts(inserts, spec),
+    }
+    vocab_inserts = None
+    if vocab_original is not None and vocab_updated is not None and routes is not None:
+        vocab_inserts = vc.route_inserts(vc.added(vocab_original, vocab_updated), routes)
+        rendered["column_value_inserts"] = vc.render_inserts(vocab_inserts).withColumnRenamed("first_ord", "ord")
+    return Revision(
+        issues=issues,
+        updates=entries,
+        inserts=inserts,
+        deletes=deletes,
+        vocabulary_inserts=vocab_inserts,
+        statements=rl.change_set_stages(rendered),
+    )

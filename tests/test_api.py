@@ -1,0 +1,31 @@
+"""The one-call workflow on fixture R at sf0.001."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from revisa import api
+from revisa.operators import issues as iss
+from revisa.plans import fixtures as fx
+from revisa.plans import q_vocab as qv
+
+from conftest import SF
+
+
+def test_revise(spark):
+    o = fx.rev_original(spark, SF)
+    u = fx.rev_updated(spark, SF, o)
+    r = api.revise(o, u, fx.R_SPEC, fx.vocab_original(spark, SF), fx.vocab_updated(spark, SF), qv.CONSTRAINED, qv.routes(spark))
+    assert r.has_errors()
+    checks = {row["check"] for row in r.issues.select("check").distinct().collect()}
+    assert {"vocabulary", "keys", "key_format", "keys_added", "keys_missing", "read_only"} & checks
+    stages = {row["stage"] for row in r.statements.select("stage").distinct().collect()}
+    assert stages == {0, 1, 2, 3}
+    assert r.updates.count() > 0 and r.inserts.count() > 0 and r.deletes.count() > 0
+    # updates are built from the corrected edit: 'SPACE TOOLS' arrives as the vocabulary's
+    # spelling; a value the vocabulary lacks stays as typed and is reported as an ERROR
+    seg = {v[0] for v in r.updates.select(F.explode("ch").alias("a")).where(F.col("a.target") == "segment_name").select("a.new_value").collect()}
+    assert "Space-Tools" in seg and "SPACE TOOLS" not in seg
+    unlisted = r.issues.where(F.col("message").contains("which is not listed")).count()
+    assert unlisted > 0
+    with pytest.raises(iss.ProcessingHalted):
+        api.revise(o, u, fx.R_SPEC, keep_going=False)
