@@ -77,3 +77,49 @@ def revise(
         vocabulary_inserts=vocab_inserts,
         statements=rl.change_set_stages(rendered),
     )
+
+
+@dataclass
+class TableDiff:
+    cells: DataFrame
+    table_differences: DataFrame
+    report: DataFrame
+    verdict: DataFrame
+
+
+def diff_tables(
+    old: dict,
+    new: dict,
+    pairs: list[tuple[str, str]] | None = None,
+    ignore: list[str] = (),
+    ignore_whitespace_only: bool = False,
+    by_cell: bool = False,
+    counts_only: bool = False,
+    ord_col: str = "ord",
+) -> TableDiff:
+    """The diff tool in one call: two named sets of tables (``{name: DataFrame}`` with an
+    ordinal column) compared position by position.
+
+    ``ignore`` rules are ``TABLE_REGEX:VALUE_REGEX``; the report is per row (default), per
+    cell, or rows-with-differences counts per table.
+    """
+    from functools import reduce
+
+    from revisa.operators import tablediff as td
+
+    rules = td.parse_ignore_rules(ignore)
+    og = reduce(lambda a, b: a.unionByName(b), [td.to_grid(df, name, ord_col) for name, df in old.items()])
+    ng = reduce(lambda a, b: a.unionByName(b), [td.to_grid(df, name, ord_col) for name, df in new.items()])
+    spark = og.sparkSession
+    p = td.table_pairs(og, ng, spark, pairs)
+    cells = td.cell_diff(og, ng, p, ignore_whitespace_only)
+    if rules:
+        cells = td.drop_ignored(cells, td.ignored_rows(ng, p, rules))
+    sets = td.table_set_diff(og, ng)
+    if counts_only:
+        report = td.row_counts(cells)
+    elif by_cell:
+        report = td.by_cell(cells)
+    else:
+        report = td.by_row(cells)
+    return TableDiff(cells=cells, table_differences=sets, report=report, verdict=td.verdict(cells, sets))

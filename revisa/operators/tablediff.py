@@ -61,9 +61,8 @@ def _label(old_sheet, new_sheet):
 def cell_diff(old: DataFrame, new: DataFrame, pairs: DataFrame, ignore_whitespace_only: bool = False) -> DataFrame:
     """DIF-01 (+ DIF-02): cells whose displayed values differ, absent = null.
 
-    With a ``dtype`` column on both grids, equal type and value is no diff, and a type
-    change with the same display is no diff either (Q15); without it, display values
-    are compared directly.
+    Grids carry each cell's display text (SCL-23; :func:`to_grid` casts to string), so a
+    type change with the same display is no diff (Q15) and equal values never are.
     """
     o = old.join(pairs, old.sheet == pairs.old_sheet).select("old_sheet", "new_sheet", "row", "col", F.col("value").alias("old_value"))
     n = new.join(pairs, new.sheet == pairs.new_sheet).select("old_sheet", "new_sheet", "row", "col", F.col("value").alias("new_value"))
@@ -121,3 +120,23 @@ def verdict(diffs: DataFrame, set_diff: DataFrame) -> DataFrame:
         F.when(F.col("n_differences") > 0, F.lit("Differences found.")).otherwise(F.lit("No differences found.")).alias("message"),
         "n_differences",
     )
+
+
+def to_grid(df: DataFrame, sheet: str, ord_col: str = "ord", header: bool = True) -> DataFrame:
+    """A table as a long cell grid ``(sheet, row, col, value)`` for positional diffs.
+
+    ``row`` is the row's ordinal (+1 when the header row is part of the grid, as in a
+    sheet whose first row holds the column names); ``col`` is the 1-based column
+    position; values are their display text (cast to string), absent cells are skipped.
+    One ``explode`` per row: no shuffle.
+    """
+    cols = [c for c in df.columns if c != ord_col]
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("col"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols, start=1)]))
+    body = df.select((F.col(ord_col).cast("bigint") + (1 if header else 0)).alias("row"), cells.alias("c")).select(
+        F.lit(sheet).alias("sheet"), "row", "c.col", "c.value"
+    ).where(F.col("value").isNotNull())
+    if not header:
+        return body
+    spark = df.sparkSession
+    head = spark.createDataFrame([(sheet, 1, i, c) for i, c in enumerate(cols, start=1)], "sheet string, row bigint, col int, value string")
+    return head.unionByName(body)

@@ -29,3 +29,18 @@ def test_revise(spark):
     assert unlisted > 0
     with pytest.raises(iss.ProcessingHalted):
         api.revise(o, u, fx.R_SPEC, keep_going=False)
+
+
+def test_diff_tables(spark):
+    old = {"t": spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "ord bigint, c1 string, c2 string"),
+           "gone": spark.createDataFrame([(1, "z")], "ord bigint, c1 string")}
+    new = {"t": spark.createDataFrame([(1, "a", "x "), (2, "B", "y"), (3, "c", None)], "ord bigint, c1 string, c2 string")}
+    d = api.diff_tables(old, new)
+    rows = {r["row"]: r["text"] for r in d.report.collect()}
+    assert rows == {2: "Row 2: B: x -> x ", 3: "Row 3: A: b -> B", 4: "Row 4: A: <empty> -> c"}
+    assert [tuple(r) for r in d.table_differences.collect()] == [("gone", "old_only")]
+    assert d.verdict.first()["has_differences"]
+    d2 = api.diff_tables(old, new, ignore_whitespace_only=True, ignore=["t:^c$"], counts_only=True)
+    assert [tuple(r) for r in d2.report.collect()] == [("t", 1)]
+    same = api.diff_tables(new, new)
+    assert same.verdict.first()["message"] == "No differences found."
