@@ -123,3 +123,81 @@ def diff_tables(
     else:
         report = td.by_row(cells)
     return TableDiff(cells=cells, table_differences=sets, report=report, verdict=td.verdict(cells, sets))
+
+
+@dataclass
+class Release:
+    editor: DataFrame
+    original: DataFrame
+    public: DataFrame
+    vocabularies: DataFrame
+    issues: DataFrame
+    changelog: DataFrame | None
+
+
+def build_release(
+    tables: dict,
+    release_table: str,
+    spec: RevisionSpec,
+    sort_columns: tuple[str, str],
+    mask_rules=(),
+    literal_vocab: dict | None = None,
+    vocab_columns=(),
+    public_marker: str | None = None,
+    key_link_base: str | None = None,
+    defs: DataFrame | None = None,
+    doc_marker: str | None = None,
+    doc_values: DataFrame | None = None,
+    changelog: DataFrame | None = None,
+    provenance: tuple[str, str, str] | None = None,
+    keep_going: bool = True,
+) -> Release:
+    """The export side in one call.
+
+    Masks every table by its rules (FLT-02), sorts the release table by its two integer
+    columns (SRT-03, non-integers reported), checks its columns against the spec (SCH-02),
+    builds the vocabularies from literal lists and table columns (SET-05, sorted SRT-01),
+    checks the documentation when definitions are given (CHK-05; WARNING when keep-going),
+    types the release (SNK-01), links the key (SCL-06), trims the public copy (SNK-07) and
+    appends the provenance row to the changelog (SNK-09).
+    """
+    from functools import reduce
+
+    from revisa.functions import text as T
+    from revisa.operators import docs as dc
+    from revisa.operators import mask as mk
+    from revisa.operators import schema as sc
+
+    spark = next(iter(tables.values())).sparkSession
+    masked = {name: mk.mask_table(df, name, list(mask_rules)) for name, df in tables.items()}
+    major, minor = sort_columns
+    keyed = rl.sort_keys(masked[release_table], major, minor)
+    issue_parts = [
+        keyed.where(F.col("sort_error").isNotNull()).select(
+            F.lit("sort").alias("check"), F.col("sort_error").alias("message"), F.lit("ERROR").alias("severity")
+        )
+    ]
+    release = keyed.orderBy(F.coalesce("major_key", F.lit(0)), F.coalesce("minor_key", F.lit(0)), "ord").drop("major_key", "minor_key", "sort_error")
+    diff = sc.schema_diff(spec.columns, [c for c in release.columns if c != spec.ordinal])
+    msgs = [f"Release table is missing column '{c}'" for c in diff["missing"]] + [f"Release table has unexpected column '{c}'" for c in diff["unexpected"]]
+    if msgs:
+        issue_parts.append(spark.createDataFrame([("schema", m, "ERROR") for m in msgs], "check string, message string, severity string"))
+    vocab_tables = [(col, masked[t], c, o) for col, (t, c, o) in dict(vocab_columns).items()] if vocab_columns else []
+    vocabularies = vc.sort_vocab(vc.build(literal_vocab or {}, vocab_tables, spark)) if (literal_vocab or vocab_tables) else None
+    if defs is not None and doc_marker is not None:
+        cols = [c for c in release.columns if c != spec.ordinal]
+        headers = spark.createDataFrame(list(enumerate(cols[: cols.index(doc_marker)], start=1)), "pos int, header string")
+        hc = dc.header_coverage(headers, defs)
+        vcov = dc.value_coverage(doc_values, defs) if doc_values is not None else hc.limit(0).select(
+            F.lit(None).cast("string").alias("header"), F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("ord"),
+            F.lit(None).cast("string").alias("matched"), F.lit(None).cast("string").alias("status"), F.lit(None).cast("string").alias("message"),
+        )
+        doc = dc.doc_issues(hc, hc.limit(0), vcov)
+        issue_parts.append(iss.severity_policy(doc, keep_going).select("check", "message", "severity"))
+    issues = reduce(lambda a, b: a.unionByName(b), issue_parts)
+    editor = rl.typed_release(release, [c for c in sort_columns], [c for c in release.columns if c != spec.ordinal], keep=(spec.ordinal,))
+    if key_link_base:
+        editor = editor.withColumn(spec.key, T.hyperlink_build(spec.key, key_link_base))
+    public = rl.public_projection(editor, public_marker) if public_marker else editor
+    log = rl.changelog_append(changelog, *provenance) if changelog is not None and provenance else changelog
+    return Release(editor=editor, original=release, public=public, vocabularies=vocabularies, issues=issues, changelog=log)

@@ -44,3 +44,32 @@ def test_diff_tables(spark):
     assert [tuple(r) for r in d2.report.collect()] == [("t", 1)]
     same = api.diff_tables(new, new)
     assert same.verdict.first()["message"] == "No differences found."
+
+
+def test_build_release(spark):
+    o = fx.rev_original(spark, SF)
+    cust = fx.table(spark, SF, "customer")
+    rules = [("entries", "segment", "MACH%")]
+    r = api.build_release(
+        {"entries": o, "customer": cust},
+        "entries",
+        fx.R_SPEC,
+        ("sort_major", "sort_minor"),
+        mask_rules=rules,
+        literal_vocab={"kind": ["E", "A"]},
+        vocab_columns={"segment": ("customer", "c_mktsegment", "c_custkey")},
+        public_marker="balance",
+        key_link_base="http://example.org/id/",
+        defs=fx.defs(spark),
+        doc_marker="notes",
+    )
+    assert r.editor.where(F.col("segment") == "MACHINERY").isEmpty()
+    assert r.editor.count() == o.where(F.col("segment") != "MACHINERY").count()
+    assert dict(r.editor.dtypes)["sort_major"] == "bigint"
+    assert r.editor.where(~F.col("id").startswith("=HYPERLINK(")).isEmpty()
+    assert "balance" not in r.public.columns and "segment" in r.public.columns
+    assert r.vocabularies.where(F.col("col") == "kind").count() == 2
+    docs = {row["severity"] for row in r.issues.where(F.col("check") == "documentation").collect()}
+    assert docs == {"WARNING"}
+    majors = [row["sort_major"] for row in r.editor.select("sort_major").collect()]
+    assert majors == sorted(majors)
