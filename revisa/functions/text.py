@@ -64,7 +64,7 @@ def norm_key(c) -> Column:
     return F.upper(norm(c))
 
 
-def key_numeric(c, pattern: str = r"^VMR(\d+)$") -> Column:
+def key_numeric(c, pattern: str = r"^[A-Z]*(\d+)$") -> Column:
     """SCL-04: number of a normalised key that matches ``pattern`` (one group), else null."""
     k = norm_key(c)
     return F.when(k.rlike(pattern), F.regexp_extract(k, pattern, 1).try_cast("bigint"))
@@ -138,7 +138,7 @@ def values_equal(a, b, kind: str, fallback: bool = True) -> Column:
     return norm_value(a, kind, fallback).eqNullSafe(norm_value(b, kind, fallback))
 
 
-def convert_checked(c, kind: str, column: str, taxnode_pattern: str = r"^ICTV(\d+)$") -> Column:
+def convert_checked(c, kind: str, column: str, taxnode_pattern: str = r"^TX(\d+)$") -> Column:
     """SCL-12: ``struct(value string, error string)`` for a new value of a target column."""
     t = norm(c)
     if kind == "taxnode":
@@ -190,7 +190,7 @@ def flatten_newlines(c) -> Column:
     return F.replace(_c(c), F.lit("\n"), F.lit(" | "))
 
 
-def id_url(c, base_url: str, prefix: str = "VMR") -> Column:
+def id_url(c, base_url: str, prefix: str = "") -> Column:
     """SCL-19: URL of a key; an existing prefix is not doubled."""
     u = F.upper(norm(c))
     return F.when(u.isNotNull(), F.concat(F.lit(base_url + prefix), F.regexp_replace(u, "^" + prefix, "")))

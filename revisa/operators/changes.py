@@ -30,13 +30,14 @@ def _conv_struct(spec: RevisionSpec, c: str, target: str) -> Column:
     )
 
 
-def update_candidates(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool = True) -> DataFrame:
+def update_candidates(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool | None = None) -> DataFrame:
     """One row per (original row, unambiguous live edited row) with at least one change.
 
     Columns: ``rkey, key_num, ord (edited row), o_ord, ch`` where ``ch`` is the ordered
     array of changed updatable cells with converted new and old values and an error.
     """
     cols = [c for c, _ in spec.updatable]
+    fallback = spec.fallback(fallback)
     m = rv.matched(original, rv.unique_rows(rv.live(edited), spec), spec, cols)
     items = [
         F.when(~T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback), _conv_struct(spec, c, t))
@@ -53,13 +54,13 @@ def update_candidates(original: DataFrame, edited: DataFrame, spec: RevisionSpec
     )
 
 
-def update_entries(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool = True) -> DataFrame:
+def update_entries(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool | None = None) -> DataFrame:
     """CHG-01: accepted update entries (all conversions valid, numeric key)."""
     c = update_candidates(original, edited, spec, fallback)
     return c.where(F.col("valid") & F.col("key_num").isNotNull()).select(KEY, "key_num", "ord", "o_ord", "ch")
 
 
-def change_updates(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool = True) -> DataFrame:
+def change_updates(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool | None = None) -> DataFrame:
     """CHG-01 in long form: one row per assignment."""
     e = update_entries(original, edited, spec, fallback)
     return e.select(KEY, "key_num", "ord", "o_ord", F.explode("ch").alias("a")).select(
@@ -67,7 +68,7 @@ def change_updates(original: DataFrame, edited: DataFrame, spec: RevisionSpec, f
     )
 
 
-def update_issues(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool = True) -> DataFrame:
+def update_issues(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool | None = None) -> DataFrame:
     """Issues of CHG-01: conversion errors, then non-numeric keys of otherwise valid rows."""
     c = update_candidates(original, edited, spec, fallback)
     conv = c.select("ord", F.explode(F.filter("ch", lambda x: x["error"].isNotNull())).alias("a")).select(
@@ -132,8 +133,8 @@ def delete_issues(edited: DataFrame, spec: RevisionSpec) -> DataFrame:
 
 def stored_table(original: DataFrame, spec: RevisionSpec) -> DataFrame:
     """The stored form of a baseline: numeric id, no taxon id yet, typed target columns."""
-    cols = [F.col("isolate_id"), F.lit(None).cast("bigint").alias("taxnode_id")]
-    sel = [T.key_numeric(F.col(KEY), spec.key_pattern).alias("isolate_id")]
+    cols = [F.col("record_id"), F.lit(None).cast("bigint").alias("taxnode_id")]
+    sel = [T.key_numeric(F.col(KEY), spec.key_pattern).alias("record_id")]
     for target, c in spec.insertable:
         v = T.convert_lenient(F.col(c), spec.kind(c))
         sel.append((v.cast("bigint") if spec.kind(c) in ("int", "taxnode") else v).alias(target))
@@ -156,8 +157,8 @@ def apply_updates(stored: DataFrame, entries: DataFrame, spec: RevisionSpec, gua
         F.min(F.when(F.col("a.target") == t, F.struct(F.col("o_ord"), F.col("a.new_value").alias("nv"), F.col("a.old_value").alias("ov")))).alias("s_" + t)
         for t, _ in targets
     ]
-    per_key = ex.groupBy("key_num").agg(*aggs).withColumnRenamed("key_num", "isolate_id")
-    j = stored.join(per_key, "isolate_id", "left")
+    per_key = ex.groupBy("key_num").agg(*aggs).withColumnRenamed("key_num", "record_id")
+    j = stored.join(per_key, "record_id", "left")
 
     def typed(v, kind):
         return v.cast("bigint") if kind in ("int", "taxnode") else v
@@ -185,8 +186,8 @@ def apply_updates(stored: DataFrame, entries: DataFrame, spec: RevisionSpec, gua
 
 def apply_deletes(stored: DataFrame, deletes: DataFrame, name_column: str) -> DataFrame:
     """CHG-07: soft delete: taxon id cleared, name set to ``'abolished'``."""
-    ids = deletes.select(F.col("key_num").alias("isolate_id")).distinct().withColumn("_del", F.lit(True))
-    j = stored.join(ids, "isolate_id", "left")
+    ids = deletes.select(F.col("key_num").alias("record_id")).distinct().withColumn("_del", F.lit(True))
+    j = stored.join(ids, "record_id", "left")
     hit = F.coalesce(F.col("_del"), F.lit(False))
     out = []
     for c in stored.columns:
@@ -203,9 +204,9 @@ def apply_inserts(stored: DataFrame, inserts: DataFrame, resolver, name_column:
     """CHG-08: append inserts (no id yet), then fill a missing taxon id by name for every
     live row without one (``resolver(names) -> (name, taxnode_id)``)."""
     new = inserts.select(
-        F.lit(None).cast("bigint").alias("isolate_id"),
+        F.lit(None).cast("bigint").alias("record_id"),
         F.lit(None).cast("bigint").alias("taxnode_id"),
-        *[F.col(c) for c in stored.columns if c not in ("isolate_id", "taxnode_id")],
+        *[F.col(c) for c in stored.columns if c not in ("record_id", "taxnode_id")],
     )
     allrows = stored.unionByName(new)
     need = allrows.where(F.col("taxnode_id").isNull() & ~F.coalesce(F.col(name_column) == "abolished", F.lit(False)))
@@ -230,7 +231,7 @@ def render_updates(entries: DataFrame, spec: RevisionSpec) -> DataFrame:
     conds = F.transform(
         "ch", lambda a: F.when(a["old_value"].isNull(), F.concat(a["target"], F.lit(" IS NULL"))).otherwise(F.concat(a["target"], F.lit(" = "), lit_old(a)))
     )
-    where = F.concat(F.lit("WHERE isolate_id = "), F.col("key_num").cast("string"))
+    where = F.concat(F.lit("WHERE record_id = "), F.col("key_num").cast("string"))
     guard = F.when(F.size(conds) == 1, F.concat(where, F.lit(" AND "), conds[0], F.lit(";"))).otherwise(
         F.concat(where, F.lit(" AND (\n    "), F.array_join(conds, "\n    OR "), F.lit("\n);"))
     )
@@ -269,7 +270,7 @@ def render_deletes(deletes: DataFrame, spec: RevisionSpec, name_column: str = "e
         F.concat(F.lit("-- "), F.col(KEY), F.lit(" (worksheet row "), F.col("ord").cast("string"), F.lit(")")),
         *lines,
         F.lit(f"UPDATE {spec.target_table} SET taxnode_id=NULL, {name_column}='abolished' "),
-        F.concat(F.lit("WHERE isolate_id = "), F.col("key_num").cast("string"), F.lit(";")),
+        F.concat(F.lit("WHERE record_id = "), F.col("key_num").cast("string"), F.lit(";")),
     )
     return deletes.select("ord", KEY, stmt.alias("statement"))
 

@@ -35,6 +35,11 @@ def typed_release(df: DataFrame, int_columns, columns, keep=()) -> DataFrame:
     return df.select(*keep, *[T.int_like(c).alias(c) if c in int_columns else F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
 
 
+def map_columns(df: DataFrame, mapping, keep=()) -> DataFrame:
+    """SCH-07: data columns renamed to their stored names, ``(column, target)`` pairs."""
+    return df.select(*keep, *[F.col(c).alias(t) for c, t in mapping])
+
+
 def public_projection(df: DataFrame, marker: str) -> DataFrame:
     """SNK-07: drop the marker column and every column after it."""
     cols = df.columns

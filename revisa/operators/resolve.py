@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_release(toc: DataFrame, release_col: str = "msl_release_num") -> DataFrame:
+def latest_release(toc: DataFrame, release_col: str = "release_num") -> DataFrame:
     """AGG-08: the row with the largest release number (ties: first by ordinal if present)."""
     order = F.struct(F.col(release_col), *([-F.col("ord")] if "ord" in toc.columns else []))
     return toc.agg(F.max_by(F.struct(*[F.col(c) for c in toc.columns]), order).alias("r")).select("r.*")
@@ -21,17 +21,17 @@ def release_matches(release_number, table_name: str) -> bool:
 
 
 def resolve_current_id(names: DataFrame, node_names: DataFrame, toc: DataFrame) -> DataFrame:
-    """Name → ``max(ictv_id)`` over all releases → taxon id of that ictv id in the latest release.
+    """Name → ``max(stable_id)`` over all releases → taxon id of that stable id in the latest release.
 
     The reference writes this as a two-level correlated subquery; here it is an aggregate
     and two equi-joins.  A name whose id has several rows in the latest release is not
     resolved (``taxnode_id`` null, ``n_matches`` > 1) instead of failing the whole job.
     """
-    latest = toc.agg(F.max("msl_release_num").alias("msl_release_num"))
-    ids = node_names.join(names.select("name").distinct(), "name", "inner").groupBy("name").agg(F.max("ictv_id").alias("ictv_id"))
+    latest = toc.agg(F.max("release_num").alias("release_num"))
+    ids = node_names.join(names.select("name").distinct(), "name", "inner").groupBy("name").agg(F.max("stable_id").alias("stable_id"))
     # ``latest`` is one row (an aggregate without grouping), so broadcasting it is bounded.
-    current = node_names.join(F.broadcast(latest), "msl_release_num", "inner").select("ictv_id", "taxnode_id")
-    hits = ids.join(current, "ictv_id", "left").groupBy("name").agg(
+    current = node_names.join(F.broadcast(latest), "release_num", "inner").select("stable_id", "taxnode_id")
+    hits = ids.join(current, "stable_id", "left").groupBy("name").agg(
         F.count("taxnode_id").alias("n_matches"), F.min("taxnode_id").alias("_tx")
     )
     out = names.select("name").distinct().join(hits, "name", "left")

@@ -94,8 +94,9 @@ def matched(original: DataFrame, edited: DataFrame, spec: RevisionSpec, columns=
     return o.join(u, KEY, "inner")
 
 
-def cell_changes(columns, spec: RevisionSpec, fallback: bool = True) -> Column:
+def cell_changes(columns, spec: RevisionSpec, fallback: bool | None = None) -> Column:
     """Array of ``struct(column, old, new)`` for compared cells that differ (FLT-08)."""
+    fallback = spec.fallback(fallback)
     items = [
         F.when(
             ~T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback),
@@ -129,14 +130,14 @@ def live(prepared: DataFrame) -> DataFrame:
     return prepared.where(~F.col(REMOVED))
 
 
-def updatable_changes(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool = True) -> DataFrame:
+def updatable_changes(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool | None = None) -> DataFrame:
     """JN-06: changed updatable cells of live, unambiguous edited rows."""
     cols = [c for c, _ in spec.updatable]
     m = matched(original, unique_rows(live(edited), spec), spec, cols)
     return _explode_changes(m, cols, spec, fallback)
 
 
-def read_only_changes(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool = True) -> DataFrame:
+def read_only_changes(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool | None = None) -> DataFrame:
     """JN-05: changed read-only cells; duplicated keys (any row) and removed rows skipped."""
     cols = [c for c in spec.read_only if c != spec.key]
     candidates = unique_rows(edited, spec).where(~F.col(REMOVED))
@@ -251,9 +252,10 @@ def delta_columns(original: DataFrame, edited: DataFrame, spec: RevisionSpec) ->
     )
 
 
-def values_equal_flags(original: DataFrame, edited: DataFrame, spec: RevisionSpec, columns=None, fallback: bool = True) -> DataFrame:
+def values_equal_flags(original: DataFrame, edited: DataFrame, spec: RevisionSpec, columns=None, fallback: bool | None = None) -> DataFrame:
     """FLT-08 per matched pair: one boolean per column."""
     columns = list(columns if columns is not None else spec.data_columns)
+    fallback = spec.fallback(fallback)
     m = matched(original, unique_rows(edited, spec), spec, columns)
     return m.select(
         F.col("u_ord").alias("ord"),

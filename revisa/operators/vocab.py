@@ -106,6 +106,25 @@ def apply_corrections(wide: DataFrame, edited_columns, columns) -> DataFrame:
     return wide.select(*[F.col("_fix_" + c + ".value").alias(c) if c in columns else F.col(c) for c in edited_columns])
 
 
+def not_in_list(df: DataFrame, vocab: DataFrame, columns, exact: bool = True) -> DataFrame:
+    """JN-21 / JN-22: cells whose text is not in their column's list: ``(ord, column, value)``.
+
+    ``exact`` compares the raw text (the highlight rule of the editor copy); otherwise
+    trimmed values (the allowed-value check).  Blank cells are not reported.
+    """
+    cols = [c for c in columns if c in df.columns]
+    cells = df.select("ord", F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])).alias("x")).select(
+        "ord", "x.column", "x.value"
+    )
+    cells = cells.where(T.norm("value").isNotNull())
+    if exact:
+        lists = vocab.select(F.col("col").alias("column"), "value").distinct()
+    else:
+        lists = normalised(vocab).select(F.col("col").alias("column"), "value").distinct()
+        cells = cells.withColumn("value", T.norm("value"))
+    return cells.join(lists, ["column", "value"], "left_anti").select("ord", "column", "value")
+
+
 def build(literal_lists: dict, table_columns: list[tuple[str, DataFrame, str, str]], spark) -> DataFrame:
     """SET-05: one vocabulary from literal lists and table columns, blanks dropped, not de-duplicated.
 

@@ -269,15 +269,15 @@ def node_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where(~((rel == 3) & (key % 10 == 0)))
         .select(
             (rel * 100000 + key).alias("taxnode_id"),
-            rel.alias("msl_release_num"),
-            key.alias("ictv_id"),
+            rel.alias("release_num"),
+            key.alias("stable_id"),
             F.concat(F.col("p_name"), F.lit(" "), _s(F.when(rel < 3, key).otherwise(key % 150))).alias("name"),
         )
     )
 
 
 def toc(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(1, "v1"), (2, "v1"), (3, "v2")], "msl_release_num int, version_tag string")
+    return spark.createDataFrame([(1, "v1"), (2, "v1"), (3, "v2")], "release_num int, version_tag string")
 
 
 # ---------------------------------------------------------------- fixture S

@@ -59,11 +59,11 @@ SELECT o_orderkey AS id, old_cell,
   CASE WHEN o_orderkey % 7 = 1 THEN replace(old_cell, '; ', chr(10)) WHEN o_orderkey % 7 = 2 THEN lower(old_cell) WHEN o_orderkey % 7 = 3 THEN replace(old_cell, 'L1:', 'A:') WHEN o_orderkey % 7 = 4 THEN old_cell || '; P0' WHEN o_orderkey % 7 = 5 THEN ';' ELSE old_cell END AS new_cell
 FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 11 = 1 THEN ' ; ' ELSE concat('L1: P', cast(o_custkey AS string), '; L2: P', cast(o_custkey + 1 AS string), ':x;:y;z:') END AS old_cell FROM orders) t""",
     "node_names": """
-SELECT rel * 100000 + p_partkey AS taxnode_id, rel AS msl_release_num, p_partkey AS ictv_id,
+SELECT rel * 100000 + p_partkey AS taxnode_id, rel AS release_num, p_partkey AS stable_id,
   concat(p_name, ' ', cast(CASE WHEN rel < 3 THEN p_partkey ELSE p_partkey % 150 END AS string)) AS name
 FROM part CROSS JOIN (SELECT 1 AS rel UNION ALL SELECT 2 UNION ALL SELECT 3) r WHERE NOT (rel = 3 AND p_partkey % 10 = 0)""",
     "toc": """
-SELECT 1 AS msl_release_num, 'v1' AS version_tag UNION ALL SELECT 2, 'v1' UNION ALL SELECT 3, 'v2'""",
+SELECT 1 AS release_num, 'v1' AS version_tag UNION ALL SELECT 2, 'v1' UNION ALL SELECT 3, 'v2'""",
     "grid_old": """
 SELECT 'part' AS sheet, p_partkey + 2 AS row, c.col AS col, CASE c.col WHEN 1 THEN p_name WHEN 2 THEN p_brand ELSE cast(p_size AS string) END AS value FROM part CROSS JOIN (SELECT 1 AS col UNION ALL SELECT 2 UNION ALL SELECT 3) c
 UNION ALL SELECT 'region', r_regionkey + 2, 1, r_name FROM region""",

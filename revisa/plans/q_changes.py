@@ -82,14 +82,14 @@ _INT_TARGETS = {t for t, c in SPEC.insertable if _is_int(c)}
 
 
 def _stored_sql() -> str:
-    cols = [f"{S.key_numeric('rkey', SPEC.key_pattern)} AS isolate_id", "cast(NULL AS bigint) AS taxnode_id"]
+    cols = [f"{S.key_numeric('rkey', SPEC.key_pattern)} AS record_id", "cast(NULL AS bigint) AS taxnode_id"]
     for t, c in SPEC.insertable:
         v = S.convert_lenient(c, SPEC.kind(c))
         cols.append(f"{'cast(' + v + ' AS bigint)' if _is_int(c) else v} AS {t}")
     return f"SELECT {', '.join(cols)} FROM po WHERE rkey IS NOT NULL"
 
 
-_STORED_COLS = ["isolate_id", "taxnode_id", *[t for t, _ in SPEC.insertable]]
+_STORED_COLS = ["record_id", "taxnode_id", *[t for t, _ in SPEC.insertable]]
 
 
 def _typed(x, t):
@@ -112,7 +112,7 @@ def _apply_updates_sql() -> str:
             out.append(f"s.{c}")
     status = f"CASE WHEN {ok} THEN 'applied' WHEN coalesce({has}, false) THEN 'guard_miss' END AS update_status"
     return c_sql(
-        f"SELECT {', '.join(out)}, {status} FROM stored s LEFT JOIN (SELECT key_num, {aggs} FROM validc GROUP BY key_num) k ON s.isolate_id = k.key_num",
+        f"SELECT {', '.join(out)}, {status} FROM stored s LEFT JOIN (SELECT key_num, {aggs} FROM validc GROUP BY key_num) k ON s.record_id = k.key_num",
         extra=[("stored", _stored_sql())],
     )
 
@@ -131,12 +131,12 @@ def apply_updates(spark, sf_dir):
 @register(
     "apply_deletes",
     c_sql(
-        "SELECT s.isolate_id, CASE WHEN d.key_num IS NOT NULL THEN NULL ELSE s.taxnode_id END AS taxnode_id, "
+        "SELECT s.record_id, CASE WHEN d.key_num IS NOT NULL THEN NULL ELSE s.taxnode_id END AS taxnode_id, "
         + ", ".join(
             f"CASE WHEN d.key_num IS NOT NULL THEN 'abolished' ELSE s.{t} END AS {t}" if t == "entry_name" else f"s.{t}"
             for t, _ in SPEC.insertable
         )
-        + " FROM stored s LEFT JOIN (SELECT DISTINCT key_num FROM dels) d ON s.isolate_id = d.key_num",
+        + " FROM stored s LEFT JOIN (SELECT DISTINCT key_num FROM dels) d ON s.record_id = d.key_num",
         extra=[("stored", _stored_sql()), ("dels", _DEL_SQL)],
     ),
 )
@@ -149,9 +149,9 @@ def _resolve_sql(names_cte: str) -> list[tuple[str, str]]:
     return [
         ("nn", FIXTURE_NN),
         ("names", names_cte),
-        ("ids", "SELECT n.name, max(x.ictv_id) AS ictv_id FROM nn x JOIN names n ON x.name = n.name GROUP BY n.name"),
-        ("cur", "SELECT ictv_id, taxnode_id FROM nn WHERE msl_release_num = (SELECT max(msl_release_num) FROM toc)"),
-        ("hits", "SELECT i.name, count(c.taxnode_id) AS n_matches, min(c.taxnode_id) AS tx FROM ids i LEFT JOIN cur c ON i.ictv_id = c.ictv_id GROUP BY i.name"),
+        ("ids", "SELECT n.name, max(x.stable_id) AS stable_id FROM nn x JOIN names n ON x.name = n.name GROUP BY n.name"),
+        ("cur", "SELECT stable_id, taxnode_id FROM nn WHERE release_num = (SELECT max(release_num) FROM toc)"),
+        ("hits", "SELECT i.name, count(c.taxnode_id) AS n_matches, min(c.taxnode_id) AS tx FROM ids i LEFT JOIN cur c ON i.stable_id = c.stable_id GROUP BY i.name"),
         (
             "resolved",
             "SELECT n.name, CASE WHEN h.n_matches = 1 THEN h.tx END AS taxnode_id, cast(coalesce(h.n_matches, 0) AS bigint) AS n_matches "
@@ -169,7 +169,7 @@ def _apply_inserts_sql() -> str:
     names = "SELECT DISTINCT entry_name AS name FROM allrows WHERE taxnode_id IS NULL AND NOT coalesce(entry_name = 'abolished', false) AND entry_name IS NOT NULL"
     fill = "a.taxnode_id IS NULL AND NOT coalesce(a.entry_name = 'abolished', false)"
     body = (
-        f"SELECT a.isolate_id, CASE WHEN {fill} THEN r.taxnode_id ELSE a.taxnode_id END AS taxnode_id, "
+        f"SELECT a.record_id, CASE WHEN {fill} THEN r.taxnode_id ELSE a.taxnode_id END AS taxnode_id, "
         + ", ".join(f"a.{t}" for t, _ in SPEC.insertable)
         + " FROM allrows a LEFT JOIN resolved r ON a.entry_name = r.name"
     )
@@ -190,12 +190,12 @@ def apply_inserts(spark, sf_dir):
     S.with_fixtures(
         ["node_names", "toc"],
         "SELECT name, taxnode_id, n_matches FROM resolved",
-        _resolve_sql("SELECT DISTINCT name FROM node_names WHERE msl_release_num = 1"),
+        _resolve_sql("SELECT DISTINCT name FROM node_names WHERE release_num = 1"),
     ),
 )
 def resolve_current_id(spark, sf_dir):
     nn = fx.node_names(spark, sf_dir)
-    names = nn.where(F.col("msl_release_num") == 1).select("name")
+    names = nn.where(F.col("release_num") == 1).select("name")
     return rs.resolve_current_id(names, nn, fx.toc(spark))
 
 
@@ -203,14 +203,14 @@ def resolve_current_id(spark, sf_dir):
     "latest_release",
     S.with_fixtures(
         ["node_names", "toc"],
-        "SELECT r.msl_release_num, t.version_tag, r.n_names FROM (SELECT msl_release_num, count(*) AS n_names FROM node_names GROUP BY msl_release_num) r "
-        "JOIN toc t ON r.msl_release_num = t.msl_release_num ORDER BY r.msl_release_num DESC LIMIT 1",
+        "SELECT r.release_num, t.version_tag, r.n_names FROM (SELECT release_num, count(*) AS n_names FROM node_names GROUP BY release_num) r "
+        "JOIN toc t ON r.release_num = t.release_num ORDER BY r.release_num DESC LIMIT 1",
     ),
 )
 def latest_release(spark, sf_dir):
     nn = fx.node_names(spark, sf_dir)
-    rel = nn.groupBy("msl_release_num").agg(F.count(F.lit(1)).alias("n_names")).join(fx.toc(spark), "msl_release_num")
-    return rs.latest_release(rel.select("msl_release_num", "version_tag", "n_names"))
+    rel = nn.groupBy("release_num").agg(F.count(F.lit(1)).alias("n_names")).join(fx.toc(spark), "release_num")
+    return rs.latest_release(rel.select("release_num", "version_tag", "n_names"))
 
 
 # ---------------------------------------------------------------- render
@@ -225,8 +225,8 @@ def _render_updates_sql() -> str:
     stmt = (
         f"'-- ' || rkey || ' (worksheet row ' || cast(ord AS varchar) || ')' || {NL} || 'UPDATE {SPEC.target_table}' || {NL} || 'SET' || {NL} || "
         f"string_agg('    ' || target || ' = ' || {_lit_sql('new_value', 'is_int')}, ',' || {NL} ORDER BY pos) || {NL} || "
-        f"CASE WHEN count(*) = 1 THEN 'WHERE isolate_id = ' || cast(key_num AS varchar) || ' AND ' || min({cond}) || ';' "
-        f"ELSE 'WHERE isolate_id = ' || cast(key_num AS varchar) || ' AND (' || {NL} || '    ' || string_agg({cond}, {NL} || '    OR ' ORDER BY pos) || {NL} || ');' END"
+        f"CASE WHEN count(*) = 1 THEN 'WHERE record_id = ' || cast(key_num AS varchar) || ' AND ' || min({cond}) || ';' "
+        f"ELSE 'WHERE record_id = ' || cast(key_num AS varchar) || ' AND (' || {NL} || '    ' || string_agg({cond}, {NL} || '    OR ' ORDER BY pos) || {NL} || ');' END"
     )
     return c_sql(f"SELECT ord, rkey, {stmt} AS statement FROM validc GROUP BY rkey, key_num, ord, o_ord")
 
@@ -259,7 +259,7 @@ def _render_deletes_sql() -> str:
     )
     stmt = (
         f"'-- ' || rkey || ' (worksheet row ' || cast(ord AS varchar) || ')' || {NL} || {lines} || {NL} || "
-        f"'UPDATE {SPEC.target_table} SET taxnode_id=NULL, entry_name=''abolished'' ' || {NL} || 'WHERE isolate_id = ' || cast(key_num AS varchar) || ';'"
+        f"'UPDATE {SPEC.target_table} SET taxnode_id=NULL, entry_name=''abolished'' ' || {NL} || 'WHERE record_id = ' || cast(key_num AS varchar) || ';'"
     )
     return c_sql(f"SELECT ord, rkey, {stmt} AS statement FROM ({_DEL_SQL})")
 

@@ -78,17 +78,17 @@ def carry_forward(spark, sf_dir):
 
 def _changelog(spark, sf_dir):
     nn = fx.node_names(spark, sf_dir)
-    return nn.groupBy("msl_release_num").agg(F.count(F.lit(1)).alias("n")).select(
-        (F.col("msl_release_num") + 1).cast("bigint").alias("ord"),
-        F.concat(F.lit("2026-0"), F.col("msl_release_num").cast("string"), F.lit("-01")).alias("when"),
+    return nn.groupBy("release_num").agg(F.count(F.lit(1)).alias("n")).select(
+        (F.col("release_num") + 1).cast("bigint").alias("ord"),
+        F.concat(F.lit("2026-0"), F.col("release_num").cast("string"), F.lit("-01")).alias("when"),
         F.lit("loader").alias("who"),
         F.concat(F.lit("names: "), F.col("n").cast("string")).alias("what"),
     )
 
 
 _LOG_SQL = (
-    "SELECT cast(msl_release_num + 1 AS bigint) AS ord, '2026-0' || cast(msl_release_num AS varchar) || '-01' AS \"when\", 'loader' AS who, "
-    "'names: ' || cast(count(*) AS varchar) AS what FROM node_names GROUP BY msl_release_num"
+    "SELECT cast(release_num + 1 AS bigint) AS ord, '2026-0' || cast(release_num AS varchar) || '-01' AS \"when\", 'loader' AS who, "
+    "'names: ' || cast(count(*) AS varchar) AS what FROM node_names GROUP BY release_num"
 )
 
 
@@ -130,7 +130,7 @@ def restore_counts(spark, sf_dir):
 
 @register("map_columns", S.with_fixtures(["rev_original"], "SELECT ord, " + ", ".join(f"{c} AS {t}" for c, t in SPEC.updatable) + " FROM rev_original"))
 def map_columns(spark, sf_dir):
-    return fx.rev_original(spark, sf_dir).select("ord", *[F.col(c).alias(t) for c, t in SPEC.updatable])
+    return rl.map_columns(fx.rev_original(spark, sf_dir), SPEC.updatable, keep=("ord",))
 
 
 WIDTH_COLS = ("text", "lang", "source")

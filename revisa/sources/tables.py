@@ -140,3 +140,22 @@ def observed_read(df: DataFrame, name: str = "read_rows"):
 
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def with_ordinal(spark: SparkSession, path: str, name: str = "ord", base: int = 2) -> DataFrame:
+    """WIN-03: a Parquet table with its row position as an ordinal column.
+
+    Position = rows in earlier files (files ordered by path) + the row's index in its
+    file (``_metadata.row_index``) + ``base`` (2 = the sheet row of the first data row).
+    The per-file counts are one small aggregate (one row per file); no window over rows
+    and no extra pass over the data beyond that count.
+    """
+    df = spark.read.parquet(path)
+    meta = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_idx"))
+    per_file = meta.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per file: the running offset needs a total order over files only
+    from pyspark.sql import Window
+
+    offsets = per_file.select("_file", (F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
+    out = meta.join(offsets, "_file").withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_idx") + base).cast("bigint"))
+    return out.drop("_file", "_idx", "_off")

@@ -18,7 +18,7 @@ class RevisionSpec:
 
     key: str
     columns: tuple[str, ...]
-    key_pattern: str = r"^VMR(\d+)$"
+    key_pattern: str = r"^[A-Z]*(\d+)$"
     ordinal: str = "ord"
     read_only: tuple[str, ...] = ()
     updatable: tuple[tuple[str, str], ...] = ()
@@ -30,12 +30,19 @@ class RevisionSpec:
     list_column: str | None = None
     name_column: str | None = None
     context_columns: tuple[str, ...] = ()
-    taxnode_pattern: str = r"^ICTV(\d+)$"
+    taxnode_pattern: str = r"^TX(\d+)$"
     type_codes: tuple[tuple[str, str], ...] = (("E", "EXEM"), ("A", "ADD"))
     skip_prefix: str = "QC_"
-    target_table: str = "species_isolates"
+    # Q9: True reproduces the reference's update comparison, where two unreadable type
+    # codes or two non-integers compare equal; False (default) falls back to the text.
+    strict_reference: bool = False
+    target_table: str = "records"
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
+    def fallback(self, override: bool | None = None) -> bool:
+        """Whether comparisons fall back to text for unreadable typed values."""
+        return (not self.strict_reference) if override is None else override
+
     def kind(self, column: str) -> str:
         return dict(self.kinds).get(column, "text")
 

@@ -49,7 +49,7 @@ def test_sorts_case(spark):
 
 
 def test_safe_identifier():
-    assert src.safe_identifier("taxonomy_molecule") == "taxonomy_molecule"
+    assert src.safe_identifier("vocab_molecule") == "vocab_molecule"
     with pytest.raises(ValueError):
         src.safe_identifier("x; DROP TABLE y")
 
@@ -131,3 +131,25 @@ def test_write_table_counts(spark):
     df, obs = src.observed_read(spark.read.parquet(os.path.join(d, "t")))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 3
+
+
+def test_with_ordinal_follows_file_order(spark):
+    import pyarrow.parquet as pq
+
+    df = src.with_ordinal(spark, f"{SF}/customer.parquet")
+    got = [r["c_custkey"] for r in df.orderBy("ord").select("c_custkey").collect()]
+    assert got == pq.read_table(f"{SF}/customer.parquet", columns=["c_custkey"]).column(0).to_pylist()
+    ords = [r["ord"] for r in df.orderBy("ord").select("ord").collect()]
+    assert ords == list(range(2, 2 + len(ords)))
+
+
+def test_map_columns_and_not_in_list(spark):
+    from revisa.operators import release as rl
+
+    df = spark.createDataFrame([(2, "GARDEN ", "E"), (3, "x", "A"), (4, None, "Z")], "ord bigint, segment string, kind string")
+    assert rl.map_columns(df, [("segment", "segment_name")], keep=("ord",)).columns == ["ord", "segment_name"]
+    voc = spark.createDataFrame([("segment", "GARDEN", 1), ("kind", "E", 1), ("kind", "A", 2)], "col string, value string, ord bigint")
+    exact = sorted(tuple(r) for r in vc.not_in_list(df, voc, ["segment", "kind"]).collect())
+    assert exact == [(2, "segment", "GARDEN "), (3, "segment", "x"), (4, "kind", "Z")]
+    trimmed = sorted(tuple(r) for r in vc.not_in_list(df, voc, ["segment", "kind"], exact=False).collect())
+    assert trimmed == [(3, "segment", "x"), (4, "kind", "Z")]

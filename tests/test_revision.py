@@ -27,8 +27,8 @@ def test_apply_round_trip(spark):
     exp = u.join(accepted, u.ord == accepted.u_ord).select(
         "key_num", *[T.convert_lenient(c, SPEC.kind(c)).alias(t) for c, t in SPEC.updatable]
     )
-    got = applied.join(accepted.select(F.col("key_num").alias("isolate_id")), "isolate_id").select(
-        F.col("isolate_id").alias("key_num"), *[F.col(t).cast("string").alias(t) for _, t in SPEC.updatable]
+    got = applied.join(accepted.select(F.col("key_num").alias("record_id")), "record_id").select(
+        F.col("record_id").alias("key_num"), *[F.col(t).cast("string").alias(t) for _, t in SPEC.updatable]
     )
     assert sorted(map(tuple, exp.collect())) == sorted(map(tuple, got.collect()))
 
@@ -87,3 +87,16 @@ def test_guard_all_and_stage_warning(spark):
     warned = rl.change_set_stages(rendered, has_errors=True).first()["statement"]
     assert warned.startswith(rl.WARNING_LINE)
     assert not rl.change_set_stages(rendered).first()["statement"].startswith("-- WARNING")
+
+
+def test_strict_reference_comparison(spark):
+    """Q9: with the reference's comparison, two different unreadable codes compare equal."""
+    import dataclasses
+
+    o = spark.createDataFrame([(2, "CU1", "zzz")], "ord bigint, id string, kind string")
+    u = spark.createDataFrame([(2, "CU1", "yyy")], "ord bigint, id string, kind string")
+    spec = dataclasses.replace(fx.R_SPEC, columns=("id", "kind"), blank_check=("id", "kind"), removal_column=None, read_only=(), updatable=(("kind", "entry_type"),))
+    po, pu = rv.prepare(o, spec), rv.prepare(u, spec)
+    assert rv.updatable_changes(po, pu, spec).count() == 1
+    strict = dataclasses.replace(spec, strict_reference=True)
+    assert rv.updatable_changes(po, pu, strict).count() == 0

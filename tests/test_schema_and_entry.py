@@ -11,9 +11,9 @@ def test_header_position_check():
 
 def test_schema_guards():
     assert sc.schema_diff(["a", "b", "f"], ["a", "c", "f"], formula_columns=["f"]) == {"missing": ["b"], "unexpected": ["c"]}
-    assert sc.required_tables(["Version", r"VMR MSL.*", "Original"], ["Version", "VMR MSL41"]) == ["Original"]
-    assert sc.required_columns_ci(["Isolate ID", "Genus"], ["isolate id "]) == ["Genus"]
-    assert sc.discover_release_table(["a", "VMR MSL40", "VMR MSL41"], r"VMR MSL\d+") == ("VMR MSL40", ["Multiple release tables found: VMR MSL40, VMR MSL41"])
+    assert sc.required_tables(["Version", r"REL \d+.*", "Original"], ["Version", "REL 41"]) == ["Original"]
+    assert sc.required_columns_ci(["Record ID", "Family"], ["record id "]) == ["Family"]
+    assert sc.discover_release_table(["a", "REL 40", "REL 41"], r"REL \d+") == ("REL 40", ["Multiple release tables found: REL 40, REL 41"])
     assert sc.first_existing(["x", "Name"], ["NAME", "b"], case_insensitive=True) == "NAME"
     data, delta, change, issues = sc.column_segments(["id", "a", "b", "n", "d", "x", "y"], "n", "d")
     assert (data, change, issues) == (["id", "a", "b"], ["x", "y"], [])
