@@ -50,9 +50,25 @@ def revise(
     ``keep_going=False`` stops at the first check stage with an ERROR
     (:class:`revisa.operators.issues.ProcessingHalted`).
     """
+    from revisa.operators import schema as sc
+
+    spark = original.sparkSession
+    header_issues = []
+    for sheet, df in (("original", original), ("edited", edited)):
+        actual = [c for c in df.columns if c != spec.ordinal]
+        for m in sc.header_position_check(spec.columns, actual):
+            header_issues.append(("headers", sheet, None, m, "ERROR"))
+    missing = [c for c in [spec.ordinal, *spec.columns] if c not in original.columns or c not in edited.columns]
+    if missing:
+        # Q20: a missing column is an issue, not a crash; nothing else can be checked
+        issues = spark.createDataFrame(header_issues, "check string, worksheet string, row bigint, message string, severity string")
+        empty = spark.createDataFrame([], "ord bigint, statement string")
+        return Revision(issues=issues, updates=empty, inserts=empty, deletes=empty, vocabulary_inserts=None, statements=empty)
     o, e = rv.prepare(original, spec), rv.prepare(edited, spec)
     stages, corrected = iss.check_stages(o, e, spec, vocab_updated, constrained, strict_list)
     issues = None
+    if header_issues:
+        issues = spark.createDataFrame(header_issues, "check string, worksheet string, row bigint, message string, severity string")
     for name, df in stages:
         if not keep_going and not df.where(F.col("severity") == "ERROR").isEmpty():
             raise iss.ProcessingHalted(f"stage {name} has errors")

@@ -73,3 +73,13 @@ def test_build_release(spark):
     assert docs == {"WARNING"}
     majors = [row["sort_major"] for row in r.editor.select("sort_major").collect()]
     assert majors == sorted(majors)
+
+
+def test_revise_missing_column_is_an_issue(spark):
+    o = fx.rev_original(spark, SF)
+    u = fx.rev_updated(spark, SF, o).drop("segment")
+    r = api.revise(o, u, fx.R_SPEC)
+    msgs = [row["message"] for row in r.issues.collect()]
+    assert msgs and all(row["check"] == "headers" for row in r.issues.collect())
+    assert any("mismatch" in m or "missing" in m for m in msgs)
+    assert r.updates.isEmpty() and r.statements.isEmpty()
