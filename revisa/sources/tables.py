@@ -159,3 +159,31 @@ def with_ordinal(spark: SparkSession, path: str, name: str = "ord", base: int =
     offsets = per_file.select("_file", (F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
     out = meta.join(offsets, "_file").withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_idx") + base).cast("bigint"))
     return out.drop("_file", "_idx", "_off")
+
+
+def write_statements(statements: DataFrame, path: str, header_lines=(), labels=None) -> None:
+    """SNK-05: write the staged change set as text, one directory per stage.
+
+    Each stage starts with the header lines; an empty stage gets a single "no changes"
+    comment.  Rows are written in (stage, ord) order by a range-partitioned sort, so a
+    stage is spread over several ordered part files (read them in name order) instead of
+    passing through one task.
+    """
+    spark = statements.sparkSession
+    labels = labels or {0: "column_value_inserts", 1: "deletes", 2: "updates", 3: "inserts"}
+    stages = spark.createDataFrame([(int(k), v) for k, v in labels.items()], "stage int, label string")
+    counts = statements.groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
+    info = stages.join(counts, "stage", "left")
+    header = "\n".join(header_lines)
+    heads = info.select(
+        "stage",
+        F.lit(-2).cast("bigint").alias("ord"),
+        F.lit(header).alias("statement"),
+    ).where(F.lit(bool(header)))
+    empty_note = info.where(F.col("n").isNull()).select(
+        "stage", F.lit(-1).cast("bigint").alias("ord"), F.concat(F.lit("-- No "), F.regexp_replace("label", "_", " "), F.lit(" required.")).alias("statement")
+    )
+    body = statements.select(F.col("stage").cast("int").alias("stage"), F.col("ord").cast("bigint").alias("ord"), F.concat(F.col("statement"), F.lit("\n")).alias("statement"))
+    allrows = heads.unionByName(empty_note).unionByName(body)
+    # the projection keeps the sort order, and it already satisfies the writer's ordering by stage
+    allrows.orderBy("stage", "ord").select("stage", "statement").write.mode("overwrite").partitionBy("stage").text(path)
