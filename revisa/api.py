@@ -210,10 +210,21 @@ def build_release(
         )
         doc = dc.doc_issues(hc, hc.limit(0), vcov)
         issue_parts.append(iss.severity_policy(doc, keep_going).select("check", "message", "severity"))
-    issues = reduce(lambda a, b: a.unionByName(b), issue_parts)
     editor = rl.typed_release(release, [c for c in sort_columns], [c for c in release.columns if c != spec.ordinal], keep=(spec.ordinal,))
     if key_link_base:
+        raw_key = T.strip_ws(F.coalesce(F.col(spec.key), F.lit("")))
+        added = editor.agg(F.sum(F.when((raw_key != "") & ~raw_key.startswith("=HYPERLINK("), 1).otherwise(0)).alias("n"))
+        issue_parts.append(added.select(F.lit("links").alias("check"), F.concat(F.lit("Added "), F.coalesce(F.col("n"), F.lit(0)).cast("string"), F.lit(" key links")).alias("message"), F.lit("INFO").alias("severity")))
         editor = editor.withColumn(spec.key, T.hyperlink_build(spec.key, key_link_base))
+    for name, df in tables.items():
+        if any(t == name for t, _, _ in mask_rules):
+            counts = mk.matched_counts(df, name, list(mask_rules))
+            issue_parts.append(counts.select(
+                F.lit("mask").alias("check"),
+                F.concat(F.lit("Mask "), F.col("table_name"), F.lit("."), F.col("col"), F.lit(" LIKE '"), F.col("pattern"), F.lit("' matched "), F.col("n_matched").cast("string"), F.lit(" row(s)")).alias("message"),
+                F.lit("INFO").alias("severity"),
+            ))
+    issues = reduce(lambda a, b: a.unionByName(b), issue_parts)
     public = rl.public_projection(editor, public_marker) if public_marker else editor
     log = rl.changelog_append(changelog, *provenance) if changelog is not None and provenance else changelog
     return Release(editor=editor, original=release, public=public, vocabularies=vocabularies, issues=issues, changelog=log)

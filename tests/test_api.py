@@ -83,3 +83,12 @@ def test_revise_missing_column_is_an_issue(spark):
     assert msgs and all(row["check"] == "headers" for row in r.issues.collect())
     assert any("mismatch" in m or "missing" in m for m in msgs)
     assert r.updates.isEmpty() and r.statements.isEmpty()
+
+
+def test_build_release_info_counts(spark):
+    o = fx.rev_original(spark, SF)
+    r = api.build_release({"entries": o}, "entries", fx.R_SPEC, ("sort_major", "sort_minor"), mask_rules=[("entries", "segment", "MACH%")], key_link_base="http://example.org/id/")
+    info = {row["check"]: row["message"] for row in r.issues.where(F.col("severity") == "INFO").collect()}
+    n_mach = o.where(F.col("segment").startswith("MACH")).count()
+    assert info["mask"].endswith(f"matched {n_mach} row(s)")
+    assert info["links"] == f"Added {o.count() - n_mach} key links"
