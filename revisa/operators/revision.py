@@ -25,12 +25,15 @@ REMOVED = "removed"
 
 
 def prepare(df: DataFrame, spec: RevisionSpec) -> DataFrame:
-    """SRC-05 + FLT-04 + FLT-05: required columns, normalised key, removal flag, no blank rows."""
-    cols = [spec.ordinal, *spec.columns]
+    """SRC-05 + FLT-04 + FLT-05: required columns, normalised key, removal flag, no blank rows.
+
+    The spec's ordinal column comes out as ``ord`` (the name every operator uses).
+    """
+    cols = [F.col(spec.ordinal).alias("ord"), *spec.columns]
     not_blank = F.coalesce(*[T.norm(c) for c in spec.blank_columns]).isNotNull()
     removed = T.removal_marked(spec.removal_column, spec.removal_marker) if spec.removal_column else F.lit(False)
     return df.select(*cols).where(not_blank).select(
-        *cols, T.norm_key(spec.key).alias(KEY), removed.alias(REMOVED)
+        "ord", *spec.columns, T.norm_key(spec.key).alias(KEY), removed.alias(REMOVED)
     )
 
 
@@ -46,7 +49,7 @@ def first_rows(prepared: DataFrame, spec: RevisionSpec, columns=None) -> DataFra
     holding a third of the table still sends one row per task to the shuffle.
     """
     columns = list(columns if columns is not None else spec.columns)
-    ordn = spec.ordinal
+    ordn = "ord"
     first = F.min(F.struct(F.col(ordn), *[F.col(c) for c in columns])).alias("_first")
     agg = prepared.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(first, F.count(F.lit(1)).alias("n_rows"))
     return agg.select(KEY, "n_rows", *[F.col("_first")[c].alias(c) for c in [ordn, *columns]])
@@ -79,7 +82,7 @@ def unique_rows(prepared: DataFrame, spec: RevisionSpec) -> DataFrame:
 
 
 def _side(df: DataFrame, prefix: str, spec: RevisionSpec, columns) -> DataFrame:
-    return df.select(F.col(KEY), F.col(spec.ordinal).alias(prefix + "ord"), *[F.col(c).alias(prefix + c) for c in columns])
+    return df.select(F.col(KEY), F.col("ord").alias(prefix + "ord"), *[F.col(c).alias(prefix + c) for c in columns])
 
 
 def matched(original: DataFrame, edited: DataFrame, spec: RevisionSpec, columns=None) -> DataFrame:

@@ -100,3 +100,15 @@ def test_strict_reference_comparison(spark):
     assert rv.updatable_changes(po, pu, spec).count() == 1
     strict = dataclasses.replace(spec, strict_reference=True)
     assert rv.updatable_changes(po, pu, strict).count() == 0
+
+
+def test_any_ordinal_name(spark):
+    import dataclasses
+
+    spec = dataclasses.replace(SPEC, ordinal="row_no")
+    o = fx.rev_original(spark, SF).withColumnRenamed("ord", "row_no")
+    u = fx.rev_updated(spark, SF).withColumnRenamed("ord", "row_no")
+    po, pu = rv.prepare(o, spec), rv.prepare(u, spec)
+    base_o, base_u = frames(spark)
+    assert rv.updatable_changes(po, pu, spec).count() == rv.updatable_changes(base_o, base_u, SPEC).count()
+    assert rv.row_change_summary(po, pu, spec).count() == rv.row_change_summary(base_o, base_u, SPEC).count()
