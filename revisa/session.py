@@ -25,6 +25,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "rev
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # no per-call Python call-site capture while building plans (a debugging aid)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("REVISA_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
