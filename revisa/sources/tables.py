@@ -19,10 +19,15 @@ def string_schema(columns) -> Ty.StructType:
     return Ty.StructType([Ty.StructField(c, Ty.StringType()) for c in columns])
 
 
-def read_dump(spark: SparkSession, path: str, columns, sep: str = "\t", escape: str = "\\", null_tokens: str | None = None) -> DataFrame:
+def read_dump(
+    spark: SparkSession, path: str, columns, sep: str = "\t", escape: str = "\\", null_tokens: str | None = None, python_escapes: bool = False
+) -> DataFrame:
     """SRC-01: headed, delimited UTF-8 dump as all strings (quoted newlines allowed).
 
     A missing path gives an empty frame (the caller records a WARNING issue).
+    ``python_escapes`` reads backslash escapes the way a Python ``csv`` reader with
+    ``escapechar='\\'`` does: a backslash before any character is dropped (Spark keeps it
+    outside quotes).  A blank field is absent (null) either way.
     """
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -31,7 +36,10 @@ def read_dump(spark: SparkSession, path: str, columns, sep: str = "\t", escape:
     reader = spark.read.schema(string_schema(columns)).option("header", True).option("sep", sep).option("multiLine", True).option("escape", escape)
     if null_tokens is not None:
         reader = reader.option("nullValue", null_tokens)
-    return reader.csv(path)
+    df = reader.csv(path)
+    if python_escapes:
+        df = df.select(*[F.regexp_replace(F.col(c), r"(?s)\\(.)", "$1").alias(c) for c in df.columns])
+    return df
 
 
 def read_by_suffix(spark: SparkSession, path: str, columns) -> DataFrame:

@@ -168,3 +168,16 @@ def test_write_statements(spark):
 
     assert stage_text(2).splitlines() == ["-- Generated by test", "UPDATE b;", "", "UPDATE a;", ""]
     assert stage_text(3).splitlines() == ["-- Generated by test", "-- No inserts required."]
+
+
+def test_dump_python_escapes_match_csv_module(spark):
+    import csv
+
+    d = tempfile.mkdtemp(prefix="revisa-test-")
+    p = os.path.join(d, "t.txt")
+    with open(p, "w") as f:
+        f.write('a\tb\tc\nplain\t"quoted \\" x"\tback\\tslash\n\\Nnull\t"multi\nline"\tend\\\\x\nx\\ty\t"in \\q quote"\tz\n')
+    with open(p, newline="") as f:
+        want = [tuple(r.values()) for r in csv.DictReader(f, delimiter="\t", escapechar="\\")]
+    got = [tuple(r) for r in src.read_dump(spark, p, ["a", "b", "c"], python_escapes=True).collect()]
+    assert got == want
