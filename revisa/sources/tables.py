@@ -15,12 +15,20 @@ from pyspark.sql import types as Ty
 from revisa.session import checkpoint_dir
 
 
+# The text tokens a pandas reader treats as missing by default
+# (the reference's update path reads with those defaults; its export path does not).
+PANDAS_NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
 def string_schema(columns) -> Ty.StructType:
     return Ty.StructType([Ty.StructField(c, Ty.StringType()) for c in columns])
 
 
 def read_dump(
-    spark: SparkSession, path: str, columns, sep: str = "\t", escape: str = "\\", null_tokens: str | None = None, python_escapes: bool = False
+    spark: SparkSession, path: str, columns, sep: str = "\t", escape: str = "\\", null_tokens=None, python_escapes: bool = False
 ) -> DataFrame:
     """SRC-01: headed, delimited UTF-8 dump as all strings (quoted newlines allowed).
 
@@ -34,11 +42,12 @@ def read_dump(
     if not fs.exists(jvm_path):
         return spark.createDataFrame([], string_schema(columns))
     reader = spark.read.schema(string_schema(columns)).option("header", True).option("sep", sep).option("multiLine", True).option("escape", escape)
-    if null_tokens is not None:
-        reader = reader.option("nullValue", null_tokens)
     df = reader.csv(path)
     if python_escapes:
         df = df.select(*[F.regexp_replace(F.col(c), r"(?s)\\(.)", "$1").alias(c) for c in df.columns])
+    if null_tokens is not None:
+        tokens = [null_tokens] if isinstance(null_tokens, str) else list(null_tokens)
+        df = df.select(*[F.when(~F.col(c).isin(tokens), F.col(c)).alias(c) for c in df.columns])
     return df
 
 

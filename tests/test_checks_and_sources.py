@@ -181,3 +181,16 @@ def test_dump_python_escapes_match_csv_module(spark):
         want = [tuple(r.values()) for r in csv.DictReader(f, delimiter="\t", escapechar="\\")]
     got = [tuple(r) for r in src.read_dump(spark, p, ["a", "b", "c"], python_escapes=True).collect()]
     assert got == want
+
+
+def test_dump_null_tokens(spark):
+    d = tempfile.mkdtemp(prefix="revisa-test-")
+    p = os.path.join(d, "t.txt")
+    with open(p, "w") as f:
+        f.write("a\tb\nNA\tx\nNULL\tn/a\nkeep\tNaN\n")
+    plain = [tuple(r) for r in src.read_dump(spark, p, ["a", "b"]).collect()]
+    assert plain == [("NA", "x"), ("NULL", "n/a"), ("keep", "NaN")]
+    na = [tuple(r) for r in src.read_dump(spark, p, ["a", "b"], null_tokens=src.PANDAS_NA_TOKENS).collect()]
+    assert na == [(None, "x"), (None, None), ("keep", None)]
+    one = [tuple(r) for r in src.read_dump(spark, p, ["a", "b"], null_tokens="NA").collect()]
+    assert one[0] == (None, "x") and one[1] == ("NULL", "n/a")
