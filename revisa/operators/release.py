@@ -71,16 +71,24 @@ def changelog_append(log: DataFrame, when: str, who: str, what: str) -> DataFram
     return log.select("ord", "when", "who", "what").unionByName(row)
 
 
-def column_widths(df: DataFrame, columns, low: int = 8, high: int = 80, pad: int = 2) -> DataFrame:
-    """AGG-13: display width per column: longest line (+pad), clamped to [low, high].
+def column_widths(df: DataFrame, columns, low: int = 8, high: int = 80, pad: int = 2, mode: str = "lines") -> DataFrame:
+    """AGG-13: display width per column, one aggregate over the table unpivoted to
+    ``(column, max_line, width)``.
 
-    One aggregate over the table, then unpivoted to (column, max_line, width)."""
+    ``mode='lines'``: longest line (+pad), clamped to [low, high] (the release sheets).
+    ``mode='text'``: longest whole value or the header name, +pad, unclamped (the issue table).
+    """
     from revisa.functions.lists import LINE_BREAKS
 
-    aggs = [F.max(F.array_max(F.transform(F.split(F.col(c).cast("string"), LINE_BREAKS), lambda s: F.length(s)))).alias(c) for c in columns]
+    if mode == "text":
+        aggs = [F.max(F.length(F.col(c).cast("string"))).alias(c) for c in columns]
+    else:
+        aggs = [F.max(F.array_max(F.transform(F.split(F.col(c).cast("string"), LINE_BREAKS), lambda s: F.length(s)))).alias(c) for c in columns]
     wide = df.agg(*aggs)
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("max_line")) for c in columns]))
     out = wide.select(stack.alias("s")).select("s.*")
+    if mode == "text":
+        return out.withColumn("width", (F.greatest(F.col("max_line"), F.length("column").cast("bigint")) + pad).cast("bigint"))
     return out.withColumn("width", F.least(F.lit(high), F.greatest(F.lit(low), F.col("max_line") + pad)).cast("bigint"))
 
 

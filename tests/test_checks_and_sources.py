@@ -194,3 +194,13 @@ def test_dump_null_tokens(spark):
     assert na == [(None, "x"), (None, None), ("keep", None)]
     one = [tuple(r) for r in src.read_dump(spark, p, ["a", "b"], null_tokens="NA").collect()]
     assert one[0] == (None, "x") and one[1] == ("NULL", "n/a")
+
+
+def test_column_width_modes(spark):
+    from revisa.operators import release as rl
+
+    df = spark.createDataFrame([("ab\ncdefghij", "x" * 100, None)], "message string, detail string, severity string")
+    lines = {r["column"]: r["width"] for r in rl.column_widths(df, df.columns).collect()}
+    text = {r["column"]: r["width"] for r in rl.column_widths(df, df.columns, mode="text").collect()}
+    assert lines == {"message": 10, "detail": 80, "severity": 8}
+    assert text == {"message": 13, "detail": 102, "severity": 10}
