@@ -127,7 +127,7 @@ def severity_policy(issues: DataFrame, keep_going: bool, checks=("documentation"
     return issues.withColumn("severity", F.when(F.col("check").isin(list(checks)), F.lit("WARNING")).otherwise(F.col("severity")))
 
 
-def report(issues: DataFrame, original: DataFrame, edited: DataFrame, spec: RevisionSpec) -> DataFrame:
+def report(issues: DataFrame, original: DataFrame, edited: DataFrame, spec: RevisionSpec, run: dict | None = None) -> DataFrame:
     """SNK-04 / JN-12: issues with the edited row's key, context values and changed flags.
 
     A context value counts as changed on a new row when it is non-blank, else when it
@@ -142,4 +142,8 @@ def report(issues: DataFrame, original: DataFrame, edited: DataFrame, spec: Revi
         for c in ctx
     ]
     e = e.select("row", rv.KEY, *[F.col(c).alias("ctx_" + c) for c in ctx], *flags).withColumn("worksheet", F.lit(EDITED))
-    return issues.join(e, ["worksheet", "row"], "left")
+    out = issues.join(e, ["worksheet", "row"], "left")
+    # run provenance columns (e.g. command, version, run_date) as literals
+    for name, value in (run or {}).items():
+        out = out.withColumn(name, F.lit(value).cast("string"))
+    return out

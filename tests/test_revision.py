@@ -112,3 +112,16 @@ def test_any_ordinal_name(spark):
     base_o, base_u = frames(spark)
     assert rv.updatable_changes(po, pu, spec).count() == rv.updatable_changes(base_o, base_u, SPEC).count()
     assert rv.row_change_summary(po, pu, spec).count() == rv.row_change_summary(base_o, base_u, SPEC).count()
+
+
+def test_report_run_columns_and_release_number(spark):
+    from revisa.operators import issues as iss
+    from revisa.operators import resolve as rs
+
+    o, u = frames(spark)
+    issues = iss.check_revision(o, u, SPEC, materialize=False).limit(5)
+    rep = iss.report(issues, o, u, SPEC, run={"command": "revise edited.parquet", "version": "abc123", "run_date": "2026-12-03"})
+    row = rep.first()
+    assert (row["command"], row["version"], row["run_date"]) == ("revise edited.parquet", "abc123", "2026-12-03")
+    # Q18: the release number is compared as a number, not as a suffix
+    assert rs.release_matches(41, "REL 41") and not rs.release_matches(41, "REL 141")
