@@ -40,8 +40,9 @@ def q_row_change_summary(spark, sf_dir):
 
 
 def q_keys_missing(spark, sf_dir):
-    o, u = b_frames(spark, sf_dir)
-    return rv.keys_missing(o, u)
+    o = fx.big_original(spark, sf_dir)
+    u = fx.big_updated(spark, sf_dir, o)
+    return rv.keys_missing(rv.key_frame(o, B), rv.key_frame(u, B))
 
 
 def q_apply_updates(spark, sf_dir):

@@ -37,6 +37,19 @@ def prepare(df: DataFrame, spec: RevisionSpec) -> DataFrame:
     )
 
 
+def key_frame(df: DataFrame, spec: RevisionSpec) -> DataFrame:
+    """``(ord, rkey)`` of the rows with a key, for operators that only look at keys.
+
+    When the key is one of the blank-check columns, a row with a key is never blank, so
+    the blank filter (which reads every column) is skipped and the scan reads only the
+    ordinal and the key.
+    """
+    if spec.key in spec.blank_columns:
+        k = df.select(F.col(spec.ordinal).alias("ord"), T.norm_key(spec.key).alias(KEY))
+        return k.where(F.col(KEY).isNotNull())
+    return prepare(df, spec).where(F.col(KEY).isNotNull()).select("ord", KEY)
+
+
 def blank_rows(df: DataFrame, spec: RevisionSpec) -> DataFrame:
     """Rows FLT-04 drops (all blank-check columns absent)."""
     return df.where(F.coalesce(*[T.norm(c) for c in spec.blank_columns]).isNull())

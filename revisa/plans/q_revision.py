@@ -77,14 +77,16 @@ def row_change_summary(spark, sf_dir):
 
 @register("keys_added", r_sql("SELECT rkey, min(ord) AS ord FROM pu WHERE rkey IS NOT NULL AND rkey NOT IN (SELECT rkey FROM po WHERE rkey IS NOT NULL) GROUP BY rkey"))
 def keys_added(spark, sf_dir):
-    o, u = r_frames(spark, sf_dir)
-    return rv.keys_added(o, u)
+    o = fx.rev_original(spark, sf_dir)
+    u = fx.rev_updated(spark, sf_dir, o)
+    return rv.keys_added(rv.key_frame(o, SPEC), rv.key_frame(u, SPEC))
 
 
 @register("keys_missing", r_sql("SELECT rkey, min(ord) AS ord FROM po WHERE rkey IS NOT NULL AND rkey NOT IN (SELECT rkey FROM pu WHERE rkey IS NOT NULL) GROUP BY rkey"))
 def keys_missing(spark, sf_dir):
-    o, u = r_frames(spark, sf_dir)
-    return rv.keys_missing(o, u)
+    o = fx.rev_original(spark, sf_dir)
+    u = fx.rev_updated(spark, sf_dir, o)
+    return rv.keys_missing(rv.key_frame(o, SPEC), rv.key_frame(u, SPEC))
 
 
 @register(

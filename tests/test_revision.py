@@ -125,3 +125,15 @@ def test_report_run_columns_and_release_number(spark):
     assert (row["command"], row["version"], row["run_date"]) == ("revise edited.parquet", "abc123", "2026-12-03")
     # Q18: the release number is compared as a number, not as a suffix
     assert rs.release_matches(41, "REL 41") and not rs.release_matches(41, "REL 141")
+
+
+def test_key_frame_equals_prepared_keys(spark):
+    import dataclasses
+
+    o = fx.rev_updated(spark, SF)
+    full = rv.prepare(o, SPEC).where(F.col(rv.KEY).isNotNull()).select("ord", rv.KEY)
+    fast = rv.key_frame(o, SPEC)
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, fast.collect()))
+    other = dataclasses.replace(SPEC, blank_check=("name", "segment"))
+    full2 = rv.prepare(o, other).where(F.col(rv.KEY).isNotNull()).select("ord", rv.KEY)
+    assert sorted(map(tuple, full2.collect())) == sorted(map(tuple, rv.key_frame(o, other).collect()))
