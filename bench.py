@@ -30,8 +30,9 @@ def b_frames(spark, sf_dir):
 
 
 def q_updatable_changes(spark, sf_dir):
-    o, u = b_frames(spark, sf_dir)
-    return rv.updatable_changes(o, u, B)
+    o = fx.big_original(spark, sf_dir)
+    u = fx.big_updated(spark, sf_dir, o)
+    return rv.updatable_changes(rv.prepare(o, B, keyed_only=True), rv.prepare(u, B, keyed_only=True), B)
 
 
 def q_row_change_summary(spark, sf_dir):

@@ -38,7 +38,8 @@ def update_candidates(original: DataFrame, edited: DataFrame, spec: RevisionSpec
     """
     cols = [c for c, _ in spec.updatable]
     fallback = spec.fallback(fallback)
-    m = rv.matched(original, rv.unique_rows(rv.live(edited), spec), spec, cols)
+    e = rv.live(edited).select("ord", KEY, rv.REMOVED, *cols)
+    m = rv.matched(original, rv.unique_rows(e, spec), spec, cols)
     items = [
         F.when(~T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback), _conv_struct(spec, c, t))
         for c, t in spec.updatable

@@ -24,17 +24,21 @@ KEY = "rkey"
 REMOVED = "removed"
 
 
-def prepare(df: DataFrame, spec: RevisionSpec) -> DataFrame:
+def prepare(df: DataFrame, spec: RevisionSpec, keyed_only: bool = False) -> DataFrame:
     """SRC-05 + FLT-04 + FLT-05: required columns, normalised key, removal flag, no blank rows.
 
     The spec's ordinal column comes out as ``ord`` (the name every operator uses).
+    ``keyed_only`` keeps only rows with a key; when the key is a blank-check column such a
+    row is never blank, so the blank filter (which reads every column) is skipped and the
+    scan reads only the columns the caller uses.
     """
     cols = [F.col(spec.ordinal).alias("ord"), *spec.columns]
-    not_blank = F.coalesce(*[T.norm(c) for c in spec.blank_columns]).isNotNull()
     removed = T.removal_marked(spec.removal_column, spec.removal_marker) if spec.removal_column else F.lit(False)
-    return df.select(*cols).where(not_blank).select(
-        "ord", *spec.columns, T.norm_key(spec.key).alias(KEY), removed.alias(REMOVED)
-    )
+    base = df.select(*cols)
+    if not (keyed_only and spec.key in spec.blank_columns):
+        base = base.where(F.coalesce(*[T.norm(c) for c in spec.blank_columns]).isNotNull())
+    out = base.select("ord", *spec.columns, T.norm_key(spec.key).alias(KEY), removed.alias(REMOVED))
+    return out.where(F.col(KEY).isNotNull()) if keyed_only else out
 
 
 def key_frame(df: DataFrame, spec: RevisionSpec) -> DataFrame:
@@ -149,14 +153,15 @@ def live(prepared: DataFrame) -> DataFrame:
 def updatable_changes(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool | None = None) -> DataFrame:
     """JN-06: changed updatable cells of live, unambiguous edited rows."""
     cols = [c for c, _ in spec.updatable]
-    m = matched(original, unique_rows(live(edited), spec), spec, cols)
+    e = live(edited).select("ord", KEY, REMOVED, *cols)
+    m = matched(original, unique_rows(e, spec), spec, cols)
     return _explode_changes(m, cols, spec, fallback)
 
 
 def read_only_changes(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool | None = None) -> DataFrame:
     """JN-05: changed read-only cells; duplicated keys (any row) and removed rows skipped."""
     cols = [c for c in spec.read_only if c != spec.key]
-    candidates = unique_rows(edited, spec).where(~F.col(REMOVED))
+    candidates = unique_rows(edited.select("ord", KEY, REMOVED, *cols), spec).where(~F.col(REMOVED))
     m = matched(original, candidates, spec, cols)
     return _explode_changes(m, cols, spec, fallback)
 

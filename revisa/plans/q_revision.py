@@ -126,8 +126,9 @@ _RO_COLS = [c for c in SPEC.read_only if c != SPEC.key]
 
 @register("updatable_changes", r_sql(_changes_sql(_UPD_COLS, _unique_sql("pu", "NOT removed"))))
 def updatable_changes(spark, sf_dir):
-    o, u = r_frames(spark, sf_dir)
-    return rv.updatable_changes(o, u, SPEC)
+    o = fx.rev_original(spark, sf_dir)
+    u = fx.rev_updated(spark, sf_dir, o)
+    return rv.updatable_changes(rv.prepare(o, SPEC, keyed_only=True), rv.prepare(u, SPEC, keyed_only=True), SPEC)
 
 
 @register(
