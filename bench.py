@@ -24,15 +24,15 @@ B = fx.B_SPEC
 
 
 def b_frames(spark, sf_dir):
+    """Prepared baseline and edit, rows with a key only (all these queries join on the key)."""
     o = fx.big_original(spark, sf_dir)
     u = fx.big_updated(spark, sf_dir, o)
-    return rv.prepare(o, B), rv.prepare(u, B)
+    return rv.prepare(o, B, keyed_only=True), rv.prepare(u, B, keyed_only=True)
 
 
 def q_updatable_changes(spark, sf_dir):
-    o = fx.big_original(spark, sf_dir)
-    u = fx.big_updated(spark, sf_dir, o)
-    return rv.updatable_changes(rv.prepare(o, B, keyed_only=True), rv.prepare(u, B, keyed_only=True), B)
+    o, u = b_frames(spark, sf_dir)
+    return rv.updatable_changes(o, u, B)
 
 
 def q_row_change_summary(spark, sf_dir):

@@ -8,7 +8,7 @@ from revisa.operators import changes as ch
 from revisa.operators import resolve as rs
 from revisa.plans import fixtures as fx
 from revisa.plans import oracle_sql as S
-from revisa.plans.q_revision import SPEC, _unique_sql, r_frames
+from revisa.plans.q_revision import SPEC, _unique_sql, r_frames, r_keyed
 from revisa.plans.registry import register
 
 NL = "chr(10)"
@@ -124,8 +124,8 @@ def _apply_frames(spark, sf_dir):
 
 @register("apply_updates", _apply_updates_sql())
 def apply_updates(spark, sf_dir):
-    o, u, stored = _apply_frames(spark, sf_dir)
-    return ch.apply_updates(stored, ch.update_entries(o, u, SPEC), SPEC)
+    o, u = r_keyed(spark, sf_dir)
+    return ch.apply_updates(ch.stored_table(o, SPEC), ch.update_entries(o, u, SPEC), SPEC)
 
 
 @register(

@@ -20,6 +20,13 @@ def r_frames(spark, sf_dir):
     return rv.prepare(o, SPEC), rv.prepare(u, SPEC)
 
 
+def r_keyed(spark, sf_dir):
+    """Prepared frames with keyed rows only (for operators that join on the key)."""
+    o = fx.rev_original(spark, sf_dir)
+    u = fx.rev_updated(spark, sf_dir, o)
+    return rv.prepare(o, SPEC, keyed_only=True), rv.prepare(u, SPEC, keyed_only=True)
+
+
 def r_sql(body: str, extra=()) -> str:
     """Oracle with ``po`` / ``pu`` = prepared original / edited."""
     ctes = [("po", S.prepared("rev_original", SPEC)), ("pu", S.prepared("rev_updated", SPEC)), *extra]
@@ -71,7 +78,7 @@ def _summary_sql():
 
 @register("row_change_summary", r_sql(_summary_sql()))
 def row_change_summary(spark, sf_dir):
-    o, u = r_frames(spark, sf_dir)
+    o, u = r_keyed(spark, sf_dir)
     return rv.row_change_summary(o, u, SPEC)
 
 
@@ -126,9 +133,8 @@ _RO_COLS = [c for c in SPEC.read_only if c != SPEC.key]
 
 @register("updatable_changes", r_sql(_changes_sql(_UPD_COLS, _unique_sql("pu", "NOT removed"))))
 def updatable_changes(spark, sf_dir):
-    o = fx.rev_original(spark, sf_dir)
-    u = fx.rev_updated(spark, sf_dir, o)
-    return rv.updatable_changes(rv.prepare(o, SPEC, keyed_only=True), rv.prepare(u, SPEC, keyed_only=True), SPEC)
+    o, u = r_keyed(spark, sf_dir)
+    return rv.updatable_changes(o, u, SPEC)
 
 
 @register(
