@@ -43,7 +43,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """(doc_id, th, pos) of every line that an earlier document already holds."""
-    lines = line_hashes(docs, min_chars)
+    lines = written(line_hashes(docs, min_chars), "line-hashes")  # read three times below
     # null ids sort after all others
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id"))
     keys = written(lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).where("n > 1"), "line-keys")
