@@ -30,6 +30,8 @@ DISCOUNT, SHARED_DISCOUNT = 4.0, 0.75
 MAX_GRAMS = 1 << 18
 #: Remainder of crc32(doc_id) mod 5: 0 is never learnt from, 4 calibrates, the others are counted.
 FOLDS, HELD_OUT, CALIBRATE = 5, 0, 4
+#: Text bytes worked on at once: n-grams take some sixty times as much for a moment.
+TASK_BYTES = 2 << 20
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
@@ -57,7 +59,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
     """(g, c0, c1): n-grams of the highest order in texts with ``label`` 0 and 1."""
 
     def run(batches):
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", TASK_BYTES):
             g, text, _ = grams(batch.column(0))
             toxic = batch.column(1).to_numpy(zero_copy_only=False)[text] == 1
             keys, which = np.unique(g, return_inverse=True)
@@ -150,20 +152,19 @@ def fit_counts(counts: DataFrame, discount: float = DISCOUNT, max_grams: int = M
     return Model(levels)
 
 
-def measure(docs: DataFrame, model: Model, extra: list[str]) -> DataFrame:
-    """doc_id, the extra columns and the evidence of every row."""
+def measure(docs: DataFrame, model: Model, extra: list[str], text: str = "text") -> DataFrame:
+    """doc_id, the extra columns, the evidence and the score of every row; ``text`` may be one of the extra columns."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in pieces(batches, "text"):
-            at = batch.schema.get_field_index("text")
-            rest = [i for i in range(batch.num_columns) if i != at]
-            evidence = sent.value.evidence(batch.column(at))
-            arrays = [*[batch.column(i) for i in rest], pa.array(evidence), pa.array(sent.value.score(evidence))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*[batch.schema.names[i] for i in rest], "evidence", "score"])
-
-    rows = docs.select("doc_id", *extra, F.col("text").cast("string").alias("text"))
-    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ["doc_id", *extra])
+        for batch in pieces(batches, text, TASK_BYTES):
+            evidence = sent.value.evidence(batch.column(batch.schema.get_field_index(text)))
+            arrays = [*[batch.column(batch.schema.get_field_index(c)) for c in names], pa.array(evidence), pa.array(sent.value.score(evidence))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "evidence", "score"])
+
+    names = ["doc_id", *extra]
+    rows = docs.select(*names, *([] if text in extra else [text]))
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
     return rows.mapInArrow(run, f"{kinds}, evidence double, score double")
 
 
@@ -219,6 +220,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose text the model does not reject, with all their columns."""
     model = fit(docs, labels)
     names = docs.columns
-    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col("doc_id"), F.col("text"))
-    scored = measure(inner.withColumn("t", F.col("text")), model, [f"c{i}" for i in range(len(names))])
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col("doc_id"))
+    scored = measure(inner, model, [f"c{i}" for i in range(len(names))], text=f"c{names.index('text')}")
     return scored.where("score < 0.5").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
