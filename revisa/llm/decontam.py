@@ -27,7 +27,7 @@ from revisa.llm.words import byte_table, find_words
 TABLE = byte_table("alnum", lower=True)
 WINDOW, SLOP = 10, 2
 #: Text bytes of a segment, of a block of test items, and segments per index file.
-SEGMENT_BYTES, BLOCK_BYTES, FILE_SEGMENTS = 8 << 20, 16 << 20, 8
+SEGMENT_BYTES, BLOCK_BYTES, FILE_SEGMENTS = 4 << 20, 16 << 20, 8
 
 
 def build_index(docs: DataFrame) -> DataFrame:

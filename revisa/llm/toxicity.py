@@ -31,7 +31,7 @@ MAX_GRAMS = 1 << 18
 #: Remainder of crc32(doc_id) mod 5: 0 is never learnt from, 4 calibrates, the others are counted.
 FOLDS, HELD_OUT, CALIBRATE = 5, 0, 4
 #: Text bytes worked on at once: n-grams take some sixty times as much for a moment.
-TASK_BYTES = 2 << 20
+TASK_BYTES = 1 << 20
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
