@@ -163,6 +163,7 @@ def build_release(
     key_link_base: str | None = None,
     defs: DataFrame | None = None,
     doc_marker: str | None = None,
+    doc_range: tuple[str, ...] = (),
     doc_values: DataFrame | None = None,
     changelog: DataFrame | None = None,
     provenance: tuple[str, str, str] | None = None,
@@ -173,7 +174,8 @@ def build_release(
     Masks every table by its rules (FLT-02), sorts the release table by its two integer
     columns (SRT-03, non-integers reported), checks its columns against the spec (SCH-02),
     builds the vocabularies from literal lists and table columns (SET-05, sorted SRT-01),
-    checks the documentation when definitions are given (CHK-05; WARNING when keep-going),
+    checks the documentation when definitions are given (CHK-05; WARNING when keep-going;
+    ``doc_range`` names the columns the grouped heading list must cover, JN-17),
     types the release (SNK-01), links the key (SCL-06), trims the public copy (SNK-07) and
     appends the provenance row to the changelog (SNK-09).
     """
@@ -208,7 +210,8 @@ def build_release(
             F.lit(None).cast("string").alias("header"), F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("ord"),
             F.lit(None).cast("string").alias("matched"), F.lit(None).cast("string").alias("status"), F.lit(None).cast("string").alias("message"),
         )
-        doc = dc.doc_issues(hc, hc.limit(0), vcov)
+        grouped = spark.createDataFrame(list(enumerate(doc_range, start=1)), "pos int, header string")
+        doc = dc.doc_issues(hc, dc.range_coverage(grouped, defs) if doc_range else hc.limit(0), vcov)
         issue_parts.append(iss.severity_policy(doc, keep_going).select("check", "message", "severity"))
     editor = rl.typed_release(release, [c for c in sort_columns], [c for c in release.columns if c != spec.ordinal], keep=(spec.ordinal,))
     if key_link_base:

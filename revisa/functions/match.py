@@ -1,17 +1,16 @@
 """SCL-08 match text: NFKC, no whitespace / separators / punctuation, lower case.
 
-Spark has no NFKC built-in, so the normalisation step is an Arrow-batched pandas UDF
-(vectorised transfer, one Python call per batch); the rest is built-in expressions.
+Spark has no NFKC built-in, so the normalisation step is an Arrow UDF (one vectorised
+call per batch); the rest is built-in expressions.
 """
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StringType
 
 from revisa.functions.text import _c
@@ -19,15 +18,10 @@ from revisa.functions.text import _c
 DROP = r"[\t-\r\x1c-\x20\x85\p{Z}\p{P}]"
 
 
-@pandas_udf(StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: unicodedata.normalize("NFKC", v) if isinstance(v, str) else v)
+@arrow_udf(StringType())
+def nfkc(s: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(s, form="NFKC")
 
 
 def match_text(c) -> Column:
     return F.lower(F.regexp_replace(nfkc(_c(c)), DROP, ""))
-
-
-def match_text_ascii(c) -> Column:
-    """The same for text known to be NFKC-stable (no UDF hop)."""
-    return F.lower(F.regexp_replace(_c(c), DROP, ""))

@@ -113,7 +113,10 @@ def type_code(c, codes=(("E", "EXEM"), ("A", "ADD"))) -> Column:
     return expr
 
 
-def norm_value(c, kind: str, fallback: bool = True) -> Column:
+TYPE_CODES = (("E", "EXEM"), ("A", "ADD"))
+
+
+def norm_value(c, kind: str, fallback: bool = True, codes=TYPE_CODES) -> Column:
     """SCL-11 / FLT-08 normaliser by value kind, as text.
 
     ``fallback`` keeps the normalised text when a type code or integer cannot be read
@@ -121,7 +124,7 @@ def norm_value(c, kind: str, fallback: bool = True) -> Column:
     different unreadable values compare equal (the reference's update behaviour, Q9).
     """
     if kind == "type":
-        v = type_code(c)
+        v = type_code(c, codes)
     elif kind == "int":
         v = int_like(c).cast("string")
     elif kind == "link":
@@ -133,39 +136,47 @@ def norm_value(c, kind: str, fallback: bool = True) -> Column:
     return F.coalesce(v, norm(c)) if fallback else v
 
 
-def values_equal(a, b, kind: str, fallback: bool = True) -> Column:
+def values_equal(a, b, kind: str, fallback: bool = True, codes=TYPE_CODES) -> Column:
     """FLT-08: null-safe equality after the kind's normaliser."""
-    return norm_value(a, kind, fallback).eqNullSafe(norm_value(b, kind, fallback))
+    return norm_value(a, kind, fallback, codes).eqNullSafe(norm_value(b, kind, fallback, codes))
+
+
+TAXNODE_PATTERN = r"^TX(\d+)$"
 
 
-def convert_checked(c, kind: str, column: str, taxnode_pattern: str = r"^TX(\d+)$") -> Column:
+def _taxnode(c, pattern: str) -> Column:
+    u = F.upper(norm(c))
+    return F.when(u.rlike(pattern), F.regexp_extract(u, pattern, 1).try_cast("bigint").cast("string"))
+
+
+def convert_checked(c, kind: str, column: str, taxnode_pattern: str = TAXNODE_PATTERN, codes=TYPE_CODES) -> Column:
     """SCL-12: ``struct(value string, error string)`` for a new value of a target column."""
     t = norm(c)
     if kind == "taxnode":
-        u = F.upper(t)
-        value = F.when(u.rlike(taxnode_pattern), F.regexp_extract(u, taxnode_pattern, 1).try_cast("bigint").cast("string"))
+        value = _taxnode(c, taxnode_pattern)
         prefix = taxnode_pattern.lstrip("^").split("(")[0]
         err = F.when(t.isNotNull() & value.isNull(), F.lit(f"Column '{column}' must resemble {prefix}######## to derive taxnode_id."))
     elif kind == "int":
         value = int_like(c).cast("string")
         err = F.when(t.isNotNull() & value.isNull(), F.lit(f"Column '{column}' must contain an integer value."))
     elif kind == "type":
-        value = type_code(c)
-        err = F.when(t.isNotNull() & value.isNull(), F.lit(f"Column '{column}' must contain 'E' or 'A'."))
+        value = type_code(c, codes)
+        allowed = " or ".join(f"'{code}'" for code, _ in codes)
+        err = F.when(t.isNotNull() & value.isNull(), F.lit(f"Column '{column}' must contain {allowed}."))
     else:
         value = t
         err = F.lit(None).cast("string")
     return F.struct(value.alias("value"), err.alias("error"))
 
 
-def convert_lenient(c, kind: str) -> Column:
-    """SCL-13: conversion of an old value without an error."""
+def convert_lenient(c, kind: str, taxnode_pattern: str = TAXNODE_PATTERN, codes=TYPE_CODES) -> Column:
+    """SCL-13: conversion of an old value without an error; an unreadable one is null."""
     if kind == "int":
         return int_like(c).cast("string")
     if kind == "type":
-        return type_code(c)
+        return type_code(c, codes)
     if kind == "taxnode":
-        return norm(c)
+        return _taxnode(c, taxnode_pattern)
     return norm(c)
 
 
@@ -187,7 +198,7 @@ def sql_condition(target: str, c, kind: str = "text") -> Column:
 
 def flatten_newlines(c) -> Column:
     """SCL-27: newlines shown as `` | `` in one-line comments."""
-    return F.replace(_c(c), F.lit("\n"), F.lit(" | "))
+    return F.regexp_replace(_c(c), r"\r\n|\r|\n", " | ")
 
 
 def id_url(c, base_url: str, prefix: str = "") -> Column:

@@ -19,13 +19,13 @@ KEY = rv.KEY
 
 def _conv_struct(spec: RevisionSpec, c: str, target: str) -> Column:
     kind = spec.kind(c)
-    conv = T.convert_checked(F.col("u_" + c), kind, c, spec.taxnode_pattern)
+    conv = T.convert_checked(F.col("u_" + c), kind, c, spec.taxnode_pattern, spec.type_codes)
     return F.struct(
         F.lit(c).alias("column"),
         F.lit(target).alias("target"),
         F.lit(kind in ("int", "taxnode")).alias("is_int"),
         conv["value"].alias("new_value"),
-        T.convert_lenient(F.col("o_" + c), kind).alias("old_value"),
+        T.convert_lenient(F.col("o_" + c), kind, spec.taxnode_pattern, spec.type_codes).alias("old_value"),
         conv["error"].alias("error"),
     )
 
@@ -41,7 +41,7 @@ def update_candidates(original: DataFrame, edited: DataFrame, spec: RevisionSpec
     e = rv.live(edited).select("ord", KEY, rv.REMOVED, *cols)
     m = rv.matched(original, rv.unique_rows(e, spec), spec, cols)
     items = [
-        F.when(~T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback), _conv_struct(spec, c, t))
+        F.when(~T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback, spec.type_codes), _conv_struct(spec, c, t))
         for c, t in spec.updatable
     ]
     ch = F.filter(F.array(*items), lambda x: x.isNotNull())
@@ -84,7 +84,7 @@ def update_issues(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fa
 def _insert_values(spec: RevisionSpec) -> list[tuple[str, str, Column]]:
     out = []
     for target, c in spec.insertable:
-        out.append((target, spec.kind(c), T.convert_checked(F.col(c), spec.kind(c), c, spec.taxnode_pattern)))
+        out.append((target, spec.kind(c), T.convert_checked(F.col(c), spec.kind(c), c, spec.taxnode_pattern, spec.type_codes)))
     return out
 
 
@@ -137,7 +137,7 @@ def stored_table(original: DataFrame, spec: RevisionSpec) -> DataFrame:
     cols = [F.col("record_id"), F.lit(None).cast("bigint").alias("taxnode_id")]
     sel = [T.key_numeric(F.col(KEY), spec.key_pattern).alias("record_id")]
     for target, c in spec.insertable:
-        v = T.convert_lenient(F.col(c), spec.kind(c))
+        v = T.convert_lenient(F.col(c), spec.kind(c), spec.taxnode_pattern, spec.type_codes)
         sel.append((v.cast("bigint") if spec.kind(c) in ("int", "taxnode") else v).alias(target))
         cols.append(F.col(target))
     return original.where(F.col(KEY).isNotNull()).select(*sel).select(*cols)

@@ -19,11 +19,7 @@ RANGE_ROW = r"^D[\t-\r\x1c-\x20\x85\p{Z}]*-[\t-\r\x1c-\x20\x85\p{Z}]*R$"
 NOTE = " (normalized match; text differs)"
 
 
-def _mt(c, ascii_only: bool):
-    return M.match_text_ascii(c) if ascii_only else M.match_text(c)
-
-
-def heading_tokens(defs: DataFrame, ascii_only: bool = False) -> DataFrame:
+def heading_tokens(defs: DataFrame) -> DataFrame:
     """(ord, pos, token, mt, definition, col) for every heading token of non-blank rows."""
     d = defs.select(
         "ord",
@@ -32,7 +28,7 @@ def heading_tokens(defs: DataFrame, ascii_only: bool = False) -> DataFrame:
         T.strip_ws(F.coalesce("definition", F.lit(""))).alias("definition"),
     ).where((F.col("col") != "") | (F.col("heading") != "") | (F.col("definition") != ""))
     t = d.select("ord", "col", "definition", F.posexplode(L.list_tokens("heading")).alias("pos", "token"))
-    return t.withColumn("mt", _mt("token", ascii_only)).where(F.col("mt") != "")
+    return t.withColumn("mt", M.match_text("token")).where(F.col("mt") != "")
 
 
 def spellings(tokens: DataFrame) -> DataFrame:
@@ -56,10 +52,10 @@ def _status(df: DataFrame, missing_msg, mapped_msg) -> DataFrame:
     )
 
 
-def header_coverage(headers: DataFrame, defs: DataFrame, ascii_only: bool = False) -> DataFrame:
+def header_coverage(headers: DataFrame, defs: DataFrame) -> DataFrame:
     """JN-16: headers ``(pos, header)`` → matched heading or a missing issue."""
-    h = headers.withColumn("mt", _mt("header", ascii_only))
-    c = choose(h, spellings(heading_tokens(defs, ascii_only)))
+    h = headers.withColumn("mt", M.match_text("header"))
+    c = choose(h, spellings(heading_tokens(defs)))
     note = F.when(F.col("exact"), F.lit("")).otherwise(F.lit(NOTE))
     return _status(
         c,
@@ -68,13 +64,13 @@ def header_coverage(headers: DataFrame, defs: DataFrame, ascii_only: bool = Fals
     ).select("pos", "header", "matched", "exact", "status", "message")
 
 
-def range_coverage(headers: DataFrame, defs: DataFrame, ascii_only: bool = False) -> DataFrame:
+def range_coverage(headers: DataFrame, defs: DataFrame) -> DataFrame:
     """JN-17: headers of the grouped range must be in the heading list of the grouped row
     (the last such row wins); no grouped row at all is one issue."""
-    t = heading_tokens(defs, ascii_only).where(F.col("col").rlike(RANGE_ROW))
+    t = heading_tokens(defs).where(F.col("col").rlike(RANGE_ROW))
     last = t.agg(F.max("ord").alias("ord"))
     t = t.join(last, "ord", "left_semi")
-    h = headers.withColumn("mt", _mt("header", ascii_only))
+    h = headers.withColumn("mt", M.match_text("header"))
     c = choose(h, spellings(t))
     note = F.when(F.col("exact"), F.lit("")).otherwise(F.lit(NOTE))
     out = _status(
@@ -90,22 +86,23 @@ def range_coverage(headers: DataFrame, defs: DataFrame, ascii_only: bool = False
     return out
 
 
-def value_coverage(values: DataFrame, defs: DataFrame, ascii_only: bool = False) -> DataFrame:
+def value_coverage(values: DataFrame, defs: DataFrame) -> DataFrame:
     """JN-18: controlled values ``(header, value, ord)`` must match a bullet of the header's
     definitions; with no bullets, be a substring of the definitions' match text."""
-    tok = heading_tokens(defs, ascii_only).where(F.col("definition") != "")
+    tok = heading_tokens(defs).where(F.col("definition") != "")
     texts = tok.groupBy("mt").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "pos", "definition"))), lambda x: x["definition"]), "\n").alias("defs_text"))
     bl = texts.select("mt", "defs_text", F.posexplode(L.bullets("defs_text")).alias("bpos", "bullet"))
-    bl = bl.withColumn("bmt", _mt("bullet", ascii_only)).where(F.col("bmt") != "")
-    n_bullets = texts.join(bl.groupBy("mt").agg(F.count(F.lit(1)).alias("n_bullets")), "mt", "left").select("mt", "defs_text", F.coalesce("n_bullets", F.lit(0)).alias("n_bullets"))
+    bl = bl.withColumn("bmt", M.match_text("bullet")).where(F.col("bmt") != "")
+    # every bullet counts, also one whose match text is empty: it matches no value
+    n_bullets = texts.select("mt", "defs_text", F.size(L.bullets("defs_text")).alias("n_bullets"))
     v = values.select("header", T.strip_ws(F.coalesce("value", F.lit(""))).alias("value"), "ord").where(F.col("value") != "")
-    v = v.withColumn("mt", _mt("header", ascii_only)).withColumn("vmt", _mt("value", ascii_only)).where(F.col("vmt") != "")
+    v = v.withColumn("mt", M.match_text("header")).withColumn("vmt", M.match_text("value")).where(F.col("vmt") != "")
     v = v.join(n_bullets, "mt", "left")
     cand = bl.groupBy("mt", "bmt", "bullet").agg(F.min("bpos").alias("bpos"))
     j = v.join(cand, (v.mt == cand.mt) & (v.vmt == cand.bmt), "left").drop(cand.mt)
     pref = F.struct(F.when(F.col("bullet") == F.col("value"), 0).otherwise(1), F.col("bpos"))
     g = j.groupBy("header", "value", "ord", "vmt", "defs_text", "n_bullets").agg(F.min_by("bullet", F.when(F.col("bullet").isNotNull(), pref)).alias("matched"))
-    sub = F.instr(_mt("defs_text", ascii_only), F.col("vmt")) > 0
+    sub = F.instr(M.match_text("defs_text"), F.col("vmt")) > 0
     status = (
         F.when(F.col("defs_text").isNull(), F.lit("no_definition"))
         .when((F.col("n_bullets") > 0) & F.col("matched").isNotNull(), F.lit("mapped"))

@@ -63,7 +63,7 @@ def check_stages(
     fmt = []
     for side, df in ((EDITED, edited), (ORIGINAL, original)):
         fmt.append(_issues(rv.key_format(df, spec), "key_format", side, F.col("ord"), _m("Invalid key format: ", F.col("raw_key"))))
-        d = rv.duplicate_keys(df).where(F.col("ord") == F.col("first_ord"))
+        d = rv.duplicate_keys(df)  # every row of the key is named
         fmt.append(_issues(d, "duplicate_keys", side, F.col("ord"), _m("Key ", F.col(k), " appears multiple times (", F.col("n_rows").cast("string"), " rows).")))
     fmt.append(_issues(rv.keys_added(original, edited), "keys_added", EDITED, F.col("ord"), _m("Key ", F.col(k), " not present in original table.")))
     fmt.append(_issues(rv.keys_missing(original, edited), "keys_missing", ORIGINAL, F.col("ord"), _m("Key ", F.col(k), " missing from edited table.")))
@@ -138,7 +138,7 @@ def report(issues: DataFrame, original: DataFrame, edited: DataFrame, spec: Revi
     o = rv.first_rows(original, spec, ctx).select(rv.KEY, *[F.col(c).alias("o_" + c) for c in ctx])
     e = edited.select(F.col("ord").alias("row"), rv.KEY, *ctx).join(o, rv.KEY, "left")
     flags = [
-        F.when(F.col(rv.KEY).isNull(), T.norm(c).isNotNull()).otherwise(~T.values_equal(F.col("o_" + c), F.col(c), spec.kind(c))).alias("chg_" + c)
+        F.when(F.col(rv.KEY).isNull(), T.norm(c).isNotNull()).otherwise(~T.values_equal(F.col("o_" + c), F.col(c), spec.kind(c), codes=spec.type_codes)).alias("chg_" + c)
         for c in ctx
     ]
     e = e.select("row", rv.KEY, *[F.col(c).alias("ctx_" + c) for c in ctx], *flags).withColumn("worksheet", F.lit(EDITED))

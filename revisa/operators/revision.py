@@ -119,7 +119,7 @@ def cell_changes(columns, spec: RevisionSpec, fallback: bool | None = None) -> C
     fallback = spec.fallback(fallback)
     items = [
         F.when(
-            ~T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback),
+            ~T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback, spec.type_codes),
             F.struct(F.lit(c).alias("column"), T.norm(F.col("o_" + c)).alias("old"), T.norm(F.col("u_" + c)).alias("new")),
         )
         for c in columns
@@ -281,7 +281,7 @@ def values_equal_flags(original: DataFrame, edited: DataFrame, spec: RevisionSpe
     return m.select(
         F.col("u_ord").alias("ord"),
         KEY,
-        *[T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback).alias("eq_" + c) for c in columns],
+        *[T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback, spec.type_codes).alias("eq_" + c) for c in columns],
     )
 
 

@@ -44,7 +44,7 @@ def reuse_existing(prepared: DataFrame, spec: RevisionSpec) -> DataFrame:
     return _refs(new.join(existing_holders(prepared, spec), "token", "inner"), "holder")
 
 
-def greedy_claims(candidates: DataFrame, pairs: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def greedy_claims(candidates: DataFrame, pairs: DataFrame) -> DataFrame:
     """WIN-02 core: decide every candidate row (``ord``) given its (ord, token) pairs.
 
     Each round, over the undecided rows only:
@@ -53,17 +53,16 @@ def greedy_claims(candidates: DataFrame, pairs: DataFrame, max_rounds: int | Non
       (rows rejected in the same round no longer block, so a chain advances two rows
       per round).
     The smallest undecided row is always decided, so the loop ends; it runs until no row
-    is undecided (exact, no round cap unless ``max_rounds`` is given for tests).  State is
-    checkpointed every round so lineage stays one round deep and survives executor loss.
+    is undecided (exact).  State is checkpointed every round so lineage stays one round
+    deep and survives executor loss.  Only the rows accepted in the round before can
+    still reject: holders of tokens accepted earlier were rejected right after.
     Returns (ord, accepted boolean).
     """
     pairs = cut_lineage(pairs.select("ord", "token"))
     state = cut_lineage(candidates.select("ord").distinct().withColumn("accepted", F.lit(None).cast("boolean")))
-    accepted_tok = None  # (token, acc_ord), a union of pieces of checkpointed rounds
+    accepted_tok = None  # tokens of the rows accepted in the round before
     decided = []
-    rounds = 0
     while True:
-        rounds += 1
         undecided = state.where(F.col("accepted").isNull()).select("ord")
         pu = pairs.join(undecided, "ord", "left_semi")
         # phase 1: rows holding a token of an accepted row are rejected
@@ -86,9 +85,8 @@ def greedy_claims(candidates: DataFrame, pairs: DataFrame, max_rounds: int | Non
         )
         now = state.where(F.col("accepted").isNotNull())
         decided.append(now)
-        new_tok = pairs.join(now.where(F.col("accepted")).select("ord"), "ord", "left_semi").select("token", F.col("ord").alias("acc_ord"))
-        accepted_tok = new_tok if accepted_tok is None else accepted_tok.unionByName(new_tok)
-        if state.where(F.col("accepted").isNull()).isEmpty() or (max_rounds is not None and rounds >= max_rounds):
+        accepted_tok = pairs.join(now.where(F.col("accepted")).select("ord"), "ord", "left_semi").select("token").distinct()
+        if state.where(F.col("accepted").isNull()).isEmpty():
             break
     out = decided[0]
     for d in decided[1:]:

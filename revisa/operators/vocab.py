@@ -168,12 +168,12 @@ def render_inserts(routed: DataFrame) -> DataFrame:
     lit = F.concat(F.lit("'"), F.replace(F.col("value"), F.lit("'"), F.lit("''")), F.lit("'"))
     stmt = F.concat_ws(
         "\n",
-        F.concat(F.lit("-- Column '"), F.col("col"), F.lit("' value '"), F.col("value"), F.lit("' from 'Column Values' row(s) "), rows),
+        F.concat(F.lit("-- Column '"), T.flatten_newlines("col"), F.lit("' value '"), T.flatten_newlines("value"), F.lit("' from 'Column Values' row(s) "), rows),
         F.concat(F.lit("INSERT INTO "), F.col("table_name"), F.lit(" (")),
         F.concat(F.lit("    "), F.array_join(cols, ",\n    ")),
         F.lit(") VALUES ("),
         F.concat(F.lit("    "), F.array_join(F.transform(cols, lambda _: lit), ",\n    ")),
         F.lit(");"),
     )
-    note = F.concat(F.lit("-- No database mapping configured for column '"), F.col("col"), F.lit("' with value '"), F.col("value"), F.lit("'; skipping."))
+    note = F.concat(F.lit("-- No database mapping configured for column '"), T.flatten_newlines("col"), F.lit("' with value '"), T.flatten_newlines("value"), F.lit("'; skipping."))
     return routed.select("col", "value", "first_ord", F.when(F.col("status") == "insert", stmt).otherwise(note).alias("statement"))

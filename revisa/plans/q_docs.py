@@ -100,7 +100,7 @@ def g_sql(body: str, extra=()) -> str:
 
 @register("spellings_by_match", g_sql("SELECT * FROM spell"))
 def spellings_by_match(spark, sf_dir):
-    return dc.spellings(dc.heading_tokens(fx.defs(spark), ascii_only=True))
+    return dc.spellings(dc.heading_tokens(fx.defs(spark)))
 
 
 def _headers_sql():
@@ -129,13 +129,13 @@ _HEADER_COV = _cover_sql("Definitions are missing documentation for header ", "H
 
 @register("choose_match", g_sql("SELECT pos, header, matched, matched = header AS exact FROM (" + _CHOOSE.format(spell="spell", mt=_mt("h.header")) + ")", [("hdr", _headers_sql())]))
 def choose_match(spark, sf_dir):
-    h = _headers(spark, sf_dir).withColumn("mt", M.match_text_ascii("header"))
-    return dc.choose(h, dc.spellings(dc.heading_tokens(fx.defs(spark), True))).select("pos", "header", "matched", "exact")
+    h = _headers(spark, sf_dir).withColumn("mt", M.match_text("header"))
+    return dc.choose(h, dc.spellings(dc.heading_tokens(fx.defs(spark)))).select("pos", "header", "matched", "exact")
 
 
 @register("doc_header_coverage", g_sql(_HEADER_COV, [("hdr", _headers_sql())]))
 def doc_header_coverage(spark, sf_dir):
-    return dc.header_coverage(_headers(spark, sf_dir), fx.defs(spark), ascii_only=True)
+    return dc.header_coverage(_headers(spark, sf_dir), fx.defs(spark))
 
 
 _RANGE_HDR = " UNION ALL ".join(f"SELECT {i} AS pos, {S.q(h)} AS header" for i, h in enumerate(RANGE, start=4))
@@ -148,7 +148,7 @@ _RANGE_COV = _cover_sql("Grouped heading list is missing ", "Range map: ", spell
 
 @register("doc_range_coverage", g_sql(_RANGE_COV, [("hdr", _RANGE_HDR), ("rspell", _RANGE_SPELL)]))
 def doc_range_coverage(spark, sf_dir):
-    return dc.range_coverage(_range_headers(spark), fx.defs(spark), ascii_only=True)
+    return dc.range_coverage(_range_headers(spark), fx.defs(spark))
 
 
 def _value_cov_sql():
@@ -190,7 +190,7 @@ def v_g_sql(body: str, extra=()) -> str:
 
 @register("doc_value_coverage", v_g_sql("SELECT * FROM vcov"))
 def doc_value_coverage(spark, sf_dir):
-    return dc.value_coverage(_values(spark, sf_dir), fx.defs(spark), ascii_only=True)
+    return dc.value_coverage(_values(spark, sf_dir), fx.defs(spark))
 
 
 _DOC_CHECK = (
@@ -205,9 +205,9 @@ _DOC_CTES = [("hdr", _headers_sql()), ("hcov", _HEADER_COV), ("rhdr", _RANGE_HDR
 def _doc_check(spark, sf_dir):
     defs = fx.defs(spark)
     return dc.doc_issues(
-        dc.header_coverage(_headers(spark, sf_dir), defs, True),
-        dc.range_coverage(_range_headers(spark), defs, True),
-        dc.value_coverage(_values(spark, sf_dir), defs, True),
+        dc.header_coverage(_headers(spark, sf_dir), defs),
+        dc.range_coverage(_range_headers(spark), defs),
+        dc.value_coverage(_values(spark, sf_dir), defs),
     )
 
 

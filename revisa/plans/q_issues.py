@@ -26,8 +26,8 @@ def _pieces(correct: bool) -> list[str]:
     for side, src in (("edited", "pu"), ("original", "po")):
         p.append(f"SELECT 'key_format', '{side}', ord, 'Invalid key format: ' || id, 'ERROR' FROM {src} WHERE rkey IS NOT NULL AND NOT regexp_matches(rkey, {KEYPAT})")
         p.append(
-            f"SELECT 'duplicate_keys', '{side}', min(ord), 'Key ' || rkey || ' appears multiple times (' || cast(count(*) AS varchar) || ' rows).', 'ERROR' "
-            f"FROM {src} WHERE rkey IS NOT NULL GROUP BY rkey HAVING count(*) > 1"
+            f"SELECT 'duplicate_keys', '{side}', ord, 'Key ' || rkey || ' appears multiple times (' || cast(count(*) OVER (PARTITION BY rkey) AS varchar) || ' rows).', 'ERROR' "
+            f"FROM {src} WHERE rkey IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rkey) > 1"
         )
     p.append(
         "SELECT 'keys_added', 'edited', min(ord), 'Key ' || rkey || ' not present in original table.', 'ERROR' FROM pu "

@@ -116,10 +116,12 @@ def snapshot(df: DataFrame, base: str, table: str, stamp: str) -> tuple[str, Dat
     path = f"{base.rstrip('/')}/{name}"
     df.write.mode("overwrite").parquet(path)
     back = df.sparkSession.read.parquet(path)
-    counts = df.select(F.lit(table).alias("table_name")).groupBy("table_name").count().unionByName(
-        back.select(F.lit(name).alias("table_name")).groupBy("table_name").count()
-    )
-    return path, counts.withColumnRenamed("count", "n_rows")
+    return path, _row_count(df, table).unionByName(_row_count(back, name))
+
+
+def _row_count(df: DataFrame, name: str) -> DataFrame:
+    """One row (table_name, n_rows), also for an empty table."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
 
 
 BACKUP_NAME = re.compile(r".+_\d{8}")
@@ -127,17 +129,32 @@ BACKUP_NAME = re.compile(r".+_\d{8}")
 
 def restore(spark: SparkSession, base: str, backup: str, columns, target: str) -> DataFrame:
     """SNK-11: the backup name must end in ``_yyyyMMdd``; the target table is replaced by
-    the backup's rows in a fixed projection (the backup is a separate path, so the target
-    can be overwritten directly); returns both row counts."""
+    the backup's rows in a fixed projection; returns both row counts.
+
+    The rows are first written whole to a staging folder beside the target, then swapped in
+    by renames, so a failed write leaves the target as it was."""
     if not BACKUP_NAME.fullmatch(backup):
         raise ValueError(f"Backup table name must end with _YYYYMMDD: {backup}")
     src = spark.read.parquet(f"{base.rstrip('/')}/{backup}").select(*columns)
     target_path = f"{base.rstrip('/')}/{safe_identifier(target)}"
-    src.write.mode("overwrite").parquet(target_path)
-    restored = spark.read.parquet(target_path)
-    return src.select(F.lit(backup).alias("table_name")).groupBy("table_name").count().unionByName(
-        restored.select(F.lit(target).alias("table_name")).groupBy("table_name").count()
-    ).withColumnRenamed("count", "n_rows")
+    staging = f"{target_path}.staging"
+    src.write.mode("overwrite").parquet(staging)
+    _swap_in(spark, staging, target_path)
+    return _row_count(src, backup).unionByName(_row_count(spark.read.schema(src.schema).parquet(target_path), target))
+
+
+def _swap_in(spark: SparkSession, staging: str, target: str) -> None:
+    """Replace folder ``target`` by ``staging``: the old one steps aside and goes last."""
+    jvm = spark.sparkContext._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(p) for p in (staging, target, f"{target}.old")]
+    fs = paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(paths[2], True)
+    if fs.exists(paths[1]) and not fs.rename(paths[1], paths[2]):
+        raise RuntimeError(f"cannot move {target} aside")
+    if not fs.rename(paths[0], paths[1]):
+        fs.rename(paths[2], paths[1])
+        raise RuntimeError(f"cannot move the restored rows to {target}")
+    fs.delete(paths[2], True)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
