@@ -92,10 +92,9 @@ def spans(rows: DataFrame, known: list[Template], k: int = K) -> DataFrame:
     """(doc_id, th, spans[template, low, high, votes]): merged diagonals with enough votes."""
     spark = rows.sparkSession
     hits = text_grams(rows, k).join(F.broadcast(template_grams(spark, known, k)), "gram")  # a few hundred rows, fixed by the templates
-    votes = hits.groupBy("doc_id", "th", "template", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.count(F.lit(1)).alias("votes"))
+    votes = hits.groupBy("doc_id", "th", "template", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.count_distinct("at").alias("votes"))  # a repeated row votes once
     total = F.array(*[F.lit(len(t.words) - k + 1) for t in known])[F.col("template")]
     exact = F.array(*[F.lit(t.exact) for t in known])[F.col("template")]
-    # a template's k-grams differ from each other only in place, so a place votes once on a diagonal
     votes = votes.where(F.when(exact, F.col("votes") == total).otherwise(F.col("votes") >= F.greatest(F.lit(1), F.ceil(total * MIN_VOTES))))
     by = Window.partitionBy("doc_id", "th", "template").orderBy("diagonal")
     opens = F.coalesce(exact | (F.col("diagonal") - F.lag("diagonal").over(by) > GAP), F.lit(True))

@@ -142,6 +142,11 @@ def test_license_scan(docs):
     assert license_scan.scan(empty(docs)).count() == 0
 
 
+def test_license_scan_of_repeated_rows(spark):
+    rows = spark.createDataFrame([(1, "a cc by b all rights reserved cc by")] * 3, "doc_id long, text string")
+    assert [(r.n_base, r.first_word, r.last_word, r.labels) for r in license_scan.scan(rows).collect()] == [(3, 1, 7, "cc-by,reserved")] * 3
+
+
 def test_license_notice_with_inserted_words(spark):
     text = "x y permission is hereby granted free of any charge to any person obtaining a copy of this nice software and associated documentation files z"
     r = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
