@@ -133,7 +133,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, bins: int = BINS, max_labe
 
     held = docs.select("doc_id", "text").where(crc32_mod(F.col("doc_id"), FOLDS) == HELD_FOLD)
     held = measure(held.join(trusted, F.col("doc_id") == F.col("_trusted"), "left_semi"), ratios).where(F.col("n_words") >= MIN_WORDS)
-    low = held.agg(F.percentile_approx("llr", QUANTILE, 100_000).alias("q")).first()["q"]
+    low = held.agg(F.percentile("llr", QUANTILE).alias("q")).first()["q"]
     threshold = float("-inf") if low is None else low - MARGIN
 
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
