@@ -155,7 +155,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         low = written(low, name)  # a plain join input: a hub's rows can be split
         large = both.where("b > a").join(low, "a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
         large = written(large, name)
-        up = large.groupBy("b").agg(F.min("a").alias("m"))
+        up = written(large.groupBy("b").agg(F.min("a").alias("m")), name)  # likewise
         small = large.join(up, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a <> b").distinct()
         now = written(small.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), name)
         # the sum of roots falls with every change: equal sums and counts mean a fixed point
@@ -178,13 +178,13 @@ def near_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: in
     least = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = written(components(links(least.select("fp"), max_bits, blocks, max_bucket), "simhash-star"), "simhash-roots")
     tied = least.join(roots, least.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = tied.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = written(tied.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")  # so that a large component's rows can be split
     by_fp = written(tied.join(ids, "root").select(F.col("fp").alias("_fp"), "component_id"), "simhash-ids")
     return prints.join(by_fp, prints.fp == by_fp._fp).select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The documents without those whose near group has a smaller doc_id.  Rows with a null id stay."""
+    """The documents without those whose near group has a smaller doc_id.  Rows with a null id stay, and rows that repeat the kept id."""
     groups = near_groups(docs, shingle, max_bits)
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
