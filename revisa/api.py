@@ -1,8 +1,8 @@
 """One call for the whole update workflow: check an edited table against its baseline and
 produce the issue table, the change set and its rendered statements.
 
-Everything returned is a lazy DataFrame (the whole check checkpoints its prepared inputs
-once into the session's shared checkpoint folder).
+Everything returned is a DataFrame.  The check runs once: its prepared inputs and its issues
+are written to the session's shared folder, since errors put a warning into every output.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revisa.functions import text as T
 from revisa.operators import changes as ch
 from revisa.operators import issues as iss
 from revisa.operators import release as rl
@@ -43,14 +44,19 @@ def revise(
     routes: DataFrame | None = None,
     strict_list: bool = False,
     keep_going: bool = True,
+    reference: DataFrame | None = None,
+    export: DataFrame | None = None,
+    export_kinds: dict | None = None,
 ) -> Revision:
     """Check ``edited`` against ``original`` (raw tables with an ordinal column) and build the
     change set from the vocabulary-corrected edit.
 
     ``keep_going=False`` stops at the first check stage with an ERROR
-    (:class:`revisa.operators.issues.ProcessingHalted`).
+    (:class:`revisa.operators.issues.ProcessingHalted`).  ``reference`` (col, value) and
+    ``export`` (an external copy of the baseline, with the ordinal column) add their checks.
     """
     from revisa.operators import schema as sc
+    from revisa.sources.tables import written_once
 
     spark = original.sparkSession
     header_issues = []
@@ -61,18 +67,24 @@ def revise(
     missing = [c for c in [spec.ordinal, *spec.columns] if c not in original.columns or c not in edited.columns]
     if missing:
         # Q20: a missing column is an issue, not a crash; nothing else can be checked
-        issues = spark.createDataFrame(header_issues, "check string, worksheet string, row bigint, message string, severity string")
+        issues = spark.createDataFrame(header_issues, iss.SCHEMA)
         empty = spark.createDataFrame([], "ord bigint, statement string")
         return Revision(issues=issues, updates=empty, inserts=empty, deletes=empty, vocabulary_inserts=None, statements=empty)
     o, e = rv.prepare(original, spec), rv.prepare(edited, spec)
-    stages, corrected = iss.check_stages(o, e, spec, vocab_updated, constrained, strict_list)
-    issues = None
-    if header_issues:
-        issues = spark.createDataFrame(header_issues, "check string, worksheet string, row bigint, message string, severity string")
+    x = None
+    if export is not None:
+        x = export.select(F.col(spec.ordinal).alias("ord"), *spec.columns, T.norm_key(T.hyperlink_label(spec.key)).alias(rv.KEY))
+    stages = iss.check_stages(
+        o, e, spec, vocab_updated, constrained, strict_list, vocab_original=vocab_original, reference=reference, export=x, export_kinds=export_kinds
+    )
+    issues = spark.createDataFrame(header_issues, iss.SCHEMA)
     for name, df in stages:
         if not keep_going and not df.where(F.col("severity") == "ERROR").isEmpty():
             raise iss.ProcessingHalted(f"stage {name} has errors")
-        issues = df if issues is None else issues.unionByName(df)
+        issues = issues.unionByName(df)
+    issues = written_once(issues, "issues")
+    errors = bool(iss.has_errors(issues).first()[0])
+    corrected = iss.corrected_edit(e, vocab_updated, constrained)[1]
     entries = ch.update_entries(o, corrected, spec)
     inserts = ch.change_inserts(corrected, spec)
     deletes = ch.change_deletes(corrected, spec)
@@ -84,14 +96,14 @@ def revise(
     vocab_inserts = None
     if vocab_original is not None and vocab_updated is not None and routes is not None:
         vocab_inserts = vc.route_inserts(vc.added(vocab_original, vocab_updated), routes)
-        rendered["column_value_inserts"] = vc.render_inserts(vocab_inserts).withColumnRenamed("first_ord", "ord")
+        rendered["column_value_inserts"] = vc.render_inserts(vocab_inserts)
     return Revision(
         issues=issues,
         updates=entries,
         inserts=inserts,
         deletes=deletes,
         vocabulary_inserts=vocab_inserts,
-        statements=rl.change_set_stages(rendered),
+        statements=rl.change_set_stages(rendered, errors),
     )
 
 

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from revisa.functions import text as T
 from revisa.operators import changes as ch
+from revisa.operators import reconcile as rc
 from revisa.operators import revision as rv
 from revisa.operators import tokens as tk
 from revisa.operators import vocab as vc
 from revisa.spec import RevisionSpec
 
 COLUMNS = ["check", "worksheet", "row", "message", "severity"]
-EDITED, ORIGINAL = "edited", "original"
+SCHEMA = "check string, worksheet string, row bigint, message string, severity string"
+EDITED, ORIGINAL, VOCAB, VOCAB_ORIGINAL, EXPORT = "edited", "original", "vocabulary", "vocabulary_original", "export"
 
 
 class ProcessingHalted(Exception):
@@ -34,32 +36,90 @@ def _m(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
+def vocabulary_revision(vocab_original: DataFrame, vocab: DataFrame) -> DataFrame:
+    """JN-08 / JN-09 issues: values only one of the two vocabularies has, at their first row."""
+    parts = [
+        (vc.added(vocab_original, vocab), VOCAB, "' does not appear in the original vocabulary."),
+        (vc.removed(vocab_original, vocab), VOCAB_ORIGINAL, "' is missing from the vocabulary."),
+    ]
+    return rv.union_all(
+        [_issues(vc.per_value(d), "vocabulary_revision", sheet, F.col("first_ord"), _m("Value '", F.col("value"), "' in column '", F.col("col"), end)) for d, sheet, end in parts]
+    )
+
+
+def reference_lists(vocab_original: DataFrame, reference: DataFrame) -> DataFrame:
+    """JN-07 issues: rows of the original vocabulary outside the reference list of their column, and columns it lacks."""
+    outside = vc.not_in_reference(vocab_original, reference)
+    listed = reference.select(T.norm("col").alias("col")).where(F.col("col").isNotNull()).distinct()
+    lacking = listed.join(vocab_original.select(T.norm("col").alias("col")).distinct(), "col", "left_anti")
+    return _issues(
+        outside, "reference_lists", VOCAB_ORIGINAL, F.col("ord"), _m("Value '", F.col("value"), "' in column '", F.col("col"), "' is not present in the reference list.")
+    ).unionByName(_issues(lacking, "reference_lists", VOCAB_ORIGINAL, F.lit(None), _m("Column '", F.col("col"), "' missing from the original vocabulary.")))
+
+
+def reconciliation(original: DataFrame, export: DataFrame, spec: RevisionSpec, kinds: dict) -> DataFrame:
+    """AGG-02, JN-03 and JN-04 issues: later copies in the export, keys of one side only, cells that differ."""
+    key = F.col(rv.KEY)
+    keys = rc.reconcile_keys(original, export)
+    cells = rc.reconcile_cells(original, export, spec, kinds)
+    shown = [F.coalesce(c, F.lit("")) for c in ("original_value", "export_value")]
+    differs = _m("Column '", F.col("column"), "' for key ", key, " does not match the export (original='", shown[0], "', export='", shown[1], "').")
+    return rv.union_all(
+        [
+            _issues(rv.duplicate_later_rows(export), "reconcile", EXPORT, F.col("ord"), _m("Key ", key, " appears multiple times in the export.")),
+            _issues(keys.where("status = 'export_only'"), "reconcile", EXPORT, F.col("x_ord"), _m("Key ", key, " missing from the original table.")),
+            _issues(keys.where("status = 'original_only'"), "reconcile", ORIGINAL, F.col("o_ord"), _m("Key ", key, " missing from the export.")),
+            _issues(cells, "reconcile", ORIGINAL, F.col("ord"), differs),
+        ]
+    )
+
+
+def corrected_edit(edited: DataFrame, vocab: DataFrame | None, constrained) -> tuple[DataFrame | None, DataFrame]:
+    """JN-10: the correction's issues (None without a vocabulary) and the corrected frame every later check reads (Q5)."""
+    constrained = [c for c in constrained if c in edited.columns]
+    if vocab is None or not constrained:
+        return None, edited
+    wide = vc.correct_wide(edited, vocab, constrained)
+    cells = F.explode(F.array(*[F.col("_fix_" + c) for c in constrained]))
+    found = wide.select("ord", cells.alias("f")).where(F.col("f.message").isNotNull())
+    return _issues(found, "vocabulary", EDITED, F.col("ord"), F.col("f.message"), F.col("f.severity")), vc.apply_corrections(wide, edited.columns, constrained)
+
+
 def check_stages(
-    original: DataFrame, edited: DataFrame, spec: RevisionSpec, vocab: DataFrame | None = None, constrained=(), strict_list: bool = False, materialize: bool = True
+    original: DataFrame,
+    edited: DataFrame,
+    spec: RevisionSpec,
+    vocab: DataFrame | None = None,
+    constrained=(),
+    strict_list: bool = False,
+    materialize: bool = True,
+    vocab_original: DataFrame | None = None,
+    reference: DataFrame | None = None,
+    export: DataFrame | None = None,
+    export_kinds: dict | None = None,
 ):
-    """The checks of CHK-01 in their fixed order, as ``(name, issues DataFrame)`` pairs.
-
-    The vocabulary correction runs first and the corrected frame feeds every later
-    check (Q5).  With ``materialize`` the prepared inputs (and the corrected frame) are
-    checkpointed once into the shared checkpoint folder, so the dozen checks below read
-    them instead of re-deriving them from the sources each time.
+    """The checks of CHK-01 in their fixed order, one ``(name, issues DataFrame)`` at a time.
+
+    A generator: a stage is built when it is asked for, so whoever stops at a stage runs
+    nothing of the later ones (the token rounds, say).  ``vocab_original`` adds the
+    vocabulary revision, ``reference`` (col, value) the reference lists, ``export`` (with a
+    prepared key) the reconciliation.  With ``materialize`` the prepared tables are written
+    once as Parquet in the shared folder, so that the dozen checks below read only the
+    columns they use of them instead of deriving them from the sources each time.
     """
-    from revisa.session import cut_lineage
-
-    if materialize:
-        original, edited = cut_lineage(original), cut_lineage(edited)
-    stages = []
-    if vocab is not None and constrained:
-        constrained = [c for c in constrained if c in edited.columns]
-        wide = vc.correct_wide(edited, vocab, constrained)
-        cells = F.explode(F.array(*[F.col("_fix_" + c) for c in constrained]))
-        corr = wide.select("ord", cells.alias("f")).where(F.col("f.message").isNotNull())
-        stages.append(("vocabulary", _issues(corr, "vocabulary", EDITED, F.col("ord"), F.col("f.message"), F.col("f.severity"))))
-        edited = vc.apply_corrections(wide, edited.columns, constrained)
-        if materialize:
-            edited = cut_lineage(edited)
+    from revisa.sources.tables import written_once
+
+    keep = written_once if materialize else (lambda df, _name: df)
+    if vocab is not None and vocab_original is not None:
+        yield "vocabulary_revision", vocabulary_revision(vocab_original, vocab)
+    if vocab_original is not None and reference is not None:
+        yield "reference_lists", reference_lists(vocab_original, reference)
+    corrections, edited = corrected_edit(edited, vocab, constrained)
+    if corrections is not None:
+        yield "vocabulary", corrections
+    original, edited = keep(original, "check-original"), keep(edited, "check-edited")
     k = rv.KEY
-    stages.append(("blank_keys", _issues(original.where(F.col(k).isNull()), "blank_keys", ORIGINAL, F.col("ord"), F.lit("Original table contains a blank key."))))
+    yield "blank_keys", _issues(original.where(F.col(k).isNull()), "blank_keys", ORIGINAL, F.col("ord"), F.lit("Original table contains a blank key."))
     fmt = []
     for side, df in ((EDITED, edited), (ORIGINAL, original)):
         fmt.append(_issues(rv.key_format(df, spec), "key_format", side, F.col("ord"), _m("Invalid key format: ", F.col("raw_key"))))
@@ -67,19 +127,19 @@ def check_stages(
         fmt.append(_issues(d, "duplicate_keys", side, F.col("ord"), _m("Key ", F.col(k), " appears multiple times (", F.col("n_rows").cast("string"), " rows).")))
     fmt.append(_issues(rv.keys_added(original, edited), "keys_added", EDITED, F.col("ord"), _m("Key ", F.col(k), " not present in original table.")))
     fmt.append(_issues(rv.keys_missing(original, edited), "keys_missing", ORIGINAL, F.col("ord"), _m("Key ", F.col(k), " missing from edited table.")))
-    stages.append(("keys", rv.union_all(fmt)))
+    yield "keys", rv.union_all(fmt)
+    if export is not None:
+        yield "reconcile", reconciliation(original, export, spec, export_kinds or {})
     ro = rv.read_only_changes(original, edited, spec)
-    stages.append(("read_only", _issues(ro, "read_only", EDITED, F.col("ord"), _m("Read-only column '", F.col("column"), "' changed for key ", F.col(k), "."))))
+    yield "read_only", _issues(ro, "read_only", EDITED, F.col("ord"), _m("Read-only column '", F.col("column"), "' changed for key ", F.col(k), "."))
     if spec.list_column:
         ex = tk.reuse_existing(edited, spec)
         nw = tk.reuse_new(edited, spec).where(F.col("status") == "rejected")
-        stages.append(
-            (
-                "token_reuse",
-                _issues(ex, "token_reuse", EDITED, F.col("ord"), _m("New record reuses existing token(s): ", F.col("reused"))).unionByName(
-                    _issues(nw, "token_reuse", EDITED, F.col("ord"), _m("New record reuses token(s) from other new rows: ", F.col("reused")))
-                ),
-            )
+        yield (
+            "token_reuse",
+            _issues(ex, "token_reuse", EDITED, F.col("ord"), _m("New record reuses existing token(s): ", F.col("reused"))).unionByName(
+                _issues(nw, "token_reuse", EDITED, F.col("ord"), _m("New record reuses token(s) from other new rows: ", F.col("reused")))
+            ),
         )
     chg = [
         _issues(ch.delete_issues(edited, spec), "deletes", EDITED, F.col("ord"), F.col("message")),
@@ -89,28 +149,27 @@ def check_stages(
     if spec.list_column:
         sci = ch.list_change_issues(original, edited, spec, strict_list)
         chg.append(_issues(sci, "list_changes", EDITED, F.col("ord"), F.col("message"), "WARNING"))
-    stages.append(("change_set", rv.union_all(chg)))
-    return stages, edited
+    yield "change_set", rv.union_all(chg)
 
 
 def check_revision(
-    original, edited, spec, vocab=None, constrained=(), fail_fast: bool = False, strict_list: bool = False, verbose: bool = False, materialize: bool = True
+    original, edited, spec, vocab=None, constrained=(), fail_fast: bool = False, strict_list: bool = False, verbose: bool = False, materialize: bool = True, **lists
 ) -> DataFrame:
     """CHK-01 (+ CHK-02, CHK-04): all issues of the revision check.
 
     ``fail_fast`` evaluates the stages in order and raises :class:`ProcessingHalted` at
     the first stage that has an ERROR (one ``isEmpty`` probe per stage).  ``verbose``
     adds one ``SUCCESS`` row for every stage that found nothing (also one probe each).
+    ``lists``: vocab_original, reference, export and export_kinds of :func:`check_stages`.
     """
-    stages, _ = check_stages(original, edited, spec, vocab, constrained, strict_list, materialize)
     spark = original.sparkSession
     out = None
-    for name, df in stages:
+    for name, df in check_stages(original, edited, spec, vocab, constrained, strict_list, materialize, **lists):
         if fail_fast and not df.where(F.col("severity") == "ERROR").isEmpty():
             raise ProcessingHalted(f"stage {name} has errors")
         out = df if out is None else out.unionByName(df)
         if verbose and df.isEmpty():
-            ok = spark.createDataFrame([(name, "", None, f"Check '{name}' passed.", "SUCCESS")], "check string, worksheet string, row bigint, message string, severity string")
+            ok = spark.createDataFrame([(name, "", None, f"Check '{name}' passed.", "SUCCESS")], SCHEMA)
             out = out.unionByName(ok)
     return out
 

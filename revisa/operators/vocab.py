@@ -3,7 +3,7 @@
 Vocabulary tables are normally small, but nothing here assumes it: every operator is an
 aggregate or a join whose strategy Catalyst picks from size statistics (a broadcast only
 happens under ``spark.sql.autoBroadcastJoinThreshold``, which is a checked size).
-Per-value row lists are kept as ``first_ord`` + ``n_rows`` instead of collected arrays.
+Rows of a value stay in long form, one row each; nothing is collected into lists.
 """
 
 from __future__ import annotations
@@ -25,8 +25,13 @@ def normalised(vocab: DataFrame) -> DataFrame:
 
 
 def value_rows(vocab: DataFrame) -> DataFrame:
-    """AGG-03: value → first row and number of rows, per column."""
-    return normalised(vocab).groupBy("col", "value").agg(F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("n_rows"))
+    """AGG-03: every row of every value, per column: ``(col, value, ord)``."""
+    return normalised(vocab).select("col", "value", "ord")
+
+
+def per_value(rows: DataFrame) -> DataFrame:
+    """One row per value of :func:`value_rows`: its first row and its number of rows."""
+    return rows.groupBy("col", "value").agg(F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def distinct_values(vocab: DataFrame) -> DataFrame:
@@ -41,12 +46,12 @@ def canonical_first(vocab: DataFrame) -> DataFrame:
 
 
 def added(original: DataFrame, updated: DataFrame) -> DataFrame:
-    """JN-08: values of the updated vocabulary missing from the original one (per column)."""
+    """JN-08: all rows of the values the updated vocabulary has and the original one lacks (per column)."""
     return value_rows(updated).join(distinct_values(original), ["col", "value"], "left_anti")
 
 
 def removed(original: DataFrame, updated: DataFrame) -> DataFrame:
-    """JN-09: values of the original vocabulary missing from the updated one."""
+    """JN-09: all rows of the values the original vocabulary has and the updated one lacks."""
     return value_rows(original).join(distinct_values(updated), ["col", "value"], "left_anti")
 
 
@@ -149,7 +154,7 @@ def sort_vocab(vocab: DataFrame, case_sensitive: bool = False) -> DataFrame:
 
 
 def route_inserts(new_values: DataFrame, routes: DataFrame) -> DataFrame:
-    """CHG-05: route new vocabulary values to a table and its columns by column name.
+    """CHG-05: route the rows of new vocabulary values to a table and its columns by column name.
 
     ``routes``: ``(col, table_name, target_columns)`` with ``target_columns`` a comma list;
     unrouted values get status ``skipped``.
@@ -160,15 +165,17 @@ def route_inserts(new_values: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 def render_inserts(routed: DataFrame) -> DataFrame:
-    """CHG-09 for vocabulary inserts: one INSERT per routed value, a note for unrouted ones."""
-    rows = F.when(F.col("n_rows") > 1, F.concat(F.col("first_ord").cast("string"), F.lit(" (+"), (F.col("n_rows") - 1).cast("string"), F.lit(" more)"))).otherwise(
-        F.col("first_ord").cast("string")
-    )
+    """CHG-09 for vocabulary inserts: ``(col, value, ord, statement)``.
+
+    A comment for every source row of a routed value, and per value one INSERT (``ord``: its
+    first row) or, unrouted, one note.  The rows are never collected into one text.
+    """
+    named = F.concat(F.lit("-- Column '"), T.flatten_newlines("col"), F.lit("' value '"), T.flatten_newlines("value"), F.lit("' from 'Column Values' row "), F.col("ord").cast("string"))
+    comments = routed.where(F.col("status") == "insert").select("col", "value", "ord", named.alias("statement"))
     cols = F.split("target_columns", ",")
     lit = F.concat(F.lit("'"), F.replace(F.col("value"), F.lit("'"), F.lit("''")), F.lit("'"))
     stmt = F.concat_ws(
         "\n",
-        F.concat(F.lit("-- Column '"), T.flatten_newlines("col"), F.lit("' value '"), T.flatten_newlines("value"), F.lit("' from 'Column Values' row(s) "), rows),
         F.concat(F.lit("INSERT INTO "), F.col("table_name"), F.lit(" (")),
         F.concat(F.lit("    "), F.array_join(cols, ",\n    ")),
         F.lit(") VALUES ("),
@@ -176,4 +183,5 @@ def render_inserts(routed: DataFrame) -> DataFrame:
         F.lit(");"),
     )
     note = F.concat(F.lit("-- No database mapping configured for column '"), T.flatten_newlines("col"), F.lit("' with value '"), T.flatten_newlines("value"), F.lit("'; skipping."))
-    return routed.select("col", "value", "first_ord", F.when(F.col("status") == "insert", stmt).otherwise(note).alias("statement"))
+    once = routed.groupBy("col", "value", "table_name", "target_columns", "status").agg(F.min("ord").alias("ord"))
+    return comments.unionByName(once.select("col", "value", "ord", F.when(F.col("status") == "insert", stmt).otherwise(note).alias("statement")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from revisa.operators import issues as iss
 from revisa.plans import fixtures as fx
 from revisa.plans import oracle_sql as S
@@ -15,10 +17,40 @@ from revisa.plans.registry import register
 KEYPAT = S.q(SPEC.key_pattern)
 
 
+REFERENCE = f"SELECT DISTINCT 'segment' AS col, {S.norm('c_mktsegment')} AS value FROM customer WHERE {S.norm('c_mktsegment')} IS NOT NULL AND c_mktsegment <> 'HOUSEHOLD' UNION ALL SELECT 'grade', 'A'"
+
+
+def reference(spark, sf_dir):
+    """Reference lists: the segments of customer but one, and a column no vocabulary has."""
+    seg = fx.table(spark, sf_dir, "customer").where("c_mktsegment <> 'HOUSEHOLD'").select(F.lit("segment").alias("col"), F.col("c_mktsegment").alias("value"))
+    return seg.unionByName(spark.createDataFrame([("grade", "A")], "col string, value string"))
+
+
+def _list_pieces() -> list[str]:
+    """The checks against vocabularies, reference lists and the export, as the whole check has them."""
+    said = "'Value ''' || value || ''' in column ''' || col || "
+    first = "(SELECT col, value, min(ord) AS ord FROM ({}) GROUP BY col, value)"
+    return [
+        f"SELECT 'vocabulary_revision' AS \"check\", 'vocabulary' AS worksheet, ord AS row, {said}''' does not appear in the original vocabulary.' AS message, 'ERROR' AS severity FROM {first.format(qv._ADDED)}",
+        f"SELECT 'vocabulary_revision', 'vocabulary_original', ord, {said}''' is missing from the vocabulary.', 'ERROR' FROM {first.format(qv._REMOVED)}",
+        f"SELECT 'reference_lists', 'vocabulary_original', ord, {said}''' is not present in the reference list.', 'ERROR' FROM nv_o "
+        "WHERE col IN (SELECT col FROM ref) AND NOT EXISTS (SELECT 1 FROM ref r WHERE r.col = nv_o.col AND r.value = nv_o.value)",
+        "SELECT DISTINCT 'reference_lists', 'vocabulary_original', NULL::bigint, 'Column ''' || col || ''' missing from the original vocabulary.', 'ERROR' FROM ref "
+        "WHERE col NOT IN (SELECT col FROM nv_o)",
+        "SELECT 'vocabulary', 'edited', ord, message, severity FROM corr WHERE message IS NOT NULL",
+        "SELECT 'reconcile', 'export', ord, 'Key ' || rkey || ' appears multiple times in the export.', 'ERROR' FROM "
+        "(SELECT rkey, ord, min(ord) OVER (PARTITION BY rkey) AS first_ord FROM px WHERE rkey IS NOT NULL) WHERE ord > first_ord",
+        "SELECT 'reconcile', 'export', min(ord), 'Key ' || rkey || ' missing from the original table.', 'ERROR' FROM px "
+        "WHERE rkey IS NOT NULL AND rkey NOT IN (SELECT rkey FROM po WHERE rkey IS NOT NULL) GROUP BY rkey",
+        "SELECT 'reconcile', 'original', min(ord), 'Key ' || rkey || ' missing from the export.', 'ERROR' FROM po "
+        "WHERE rkey IS NOT NULL AND rkey NOT IN (SELECT rkey FROM px WHERE rkey IS NOT NULL) GROUP BY rkey",
+        "SELECT 'reconcile', 'original', ord, 'Column ''' || \"column\" || ''' for key ' || rkey || ' does not match the export (original=''' || coalesce(original_value, '') "
+        "|| ''', export=''' || coalesce(export_value, '') || ''').', 'ERROR' FROM cells_x",
+    ]
+
+
 def _pieces(correct: bool) -> list[str]:
-    p = []
-    if correct:
-        p.append("SELECT 'vocabulary' AS \"check\", 'edited' AS worksheet, ord AS row, message, severity FROM corr WHERE message IS NOT NULL")
+    p = _list_pieces() if correct else []
     p.append(
         "SELECT 'blank_keys' AS \"check\", 'original' AS worksheet, ord AS row, 'Original table contains a blank key.' AS message, 'ERROR' AS severity "
         "FROM po WHERE rkey IS NULL"
@@ -88,6 +120,12 @@ def check_sql(correct: bool, body: str | None = None) -> str:
             ("canon", qv._CANON),
             ("corr", corr_body),
             ("pu", _corrected_pu()),
+            ("nv_o", f"SELECT {S.norm('col')} AS col, {S.norm('value')} AS value, ord FROM vocab_original WHERE {S.norm('value')} IS NOT NULL AND {S.norm('col')} IS NOT NULL"),
+            ("ref", REFERENCE),
+            ("px", qr._PX),
+            ("fo", qr._FIRST.format("po")),
+            ("fx", qr._FIRST.format("px")),
+            ("cells_x", qr._reconcile_body()),
         ]
     else:
         ctes.append(("pu", "SELECT * FROM pu_raw"))
@@ -100,7 +138,7 @@ def check_sql(correct: bool, body: str | None = None) -> str:
         ("walk", ql._WALK),
         ("issues", union),
     ]
-    names = ["rev_original", "rev_updated"] + (["vocab_original", "vocab_updated"] if correct else [])
+    names = ["rev_original", "rev_updated"] + (["vocab_original", "vocab_updated", "rev_export"] if correct else [])
     sql = S.with_fixtures(names, body or 'SELECT "check", worksheet, cast(row AS bigint) AS row, message, severity FROM issues', ctes)
     return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
@@ -108,7 +146,9 @@ def check_sql(correct: bool, body: str | None = None) -> str:
 def _check(spark, sf_dir, correct: bool):
     o, u = r_frames(spark, sf_dir)
     if correct:
-        return iss.check_revision(o, u, SPEC, fx.vocab_updated(spark, sf_dir), qv.CONSTRAINED)
+        vo, vu = qv.frames(spark, sf_dir)
+        lists = {"vocab_original": vo, "reference": reference(spark, sf_dir), "export": qr._export_prepared(spark, sf_dir), "export_kinds": qr.RECONCILE_KINDS}
+        return iss.check_revision(o, u, SPEC, vu, qv.CONSTRAINED, **lists)
     return iss.check_revision(o, u, SPEC)
 
 

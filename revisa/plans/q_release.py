@@ -156,7 +156,7 @@ def column_width_profile(spark, sf_dir):
 def _rendered(spark, sf_dir):
     o, u = r_frames(spark, sf_dir)
     vo, vu = qv.frames(spark, sf_dir)
-    voc = vc.render_inserts(vc.route_inserts(vc.added(vo, vu), qv.routes(spark))).withColumnRenamed("first_ord", "ord")
+    voc = vc.render_inserts(vc.route_inserts(vc.added(vo, vu), qv.routes(spark)))
     return {
         "column_value_inserts": voc,
         "deletes": ch.render_deletes(ch.change_deletes(u, SPEC), SPEC),
@@ -167,7 +167,7 @@ def _rendered(spark, sf_dir):
 
 def _stages_sql() -> str:
     parts = [
-        ("0, 'column_value_inserts'", qv._render_vocab_sql(), "first_ord"),
+        ("0, 'column_value_inserts'", qv._render_vocab_sql(), "ord"),
         ("1, 'deletes'", qc._render_deletes_sql(), "ord"),
         ("2, 'updates'", qc._render_updates_sql(), "ord"),
         ("3, 'inserts'", qc._render_inserts_sql(), "ord"),

@@ -382,18 +382,21 @@ def reconcile_keys(spark, sf_dir):
     return reconcile.reconcile_keys(o, _export_prepared(spark, sf_dir))
 
 
-def _reconcile_cells_sql():
+_FIRST = "SELECT * FROM {} WHERE rkey IS NOT NULL QUALIFY row_number() OVER (PARTITION BY rkey ORDER BY ord) = 1"
+
+
+def _reconcile_body() -> str:
     parts = []
     for c in SPEC.columns:
         k = RECONCILE_KINDS.get(c, "text")
         a, b = S.norm_value("o." + c, k), S.norm_value("x." + c, k)
         parts.append(f"SELECT o.rkey, o.ord, {S.q(c)} AS \"column\", {a} AS original_value, {b} AS export_value FROM fo o JOIN fx x ON o.rkey = x.rkey WHERE {a} IS DISTINCT FROM {b}")
-    first = "SELECT * FROM {} WHERE rkey IS NOT NULL QUALIFY row_number() OVER (PARTITION BY rkey ORDER BY ord) = 1"
-    return S.with_fixtures(
-        ["rev_original", "rev_export"],
-        "\nUNION ALL\n".join(parts),
-        [("po", S.prepared("rev_original", SPEC)), ("px", _PX), ("fo", first.format("po")), ("fx", first.format("px"))],
-    )
+    return "\nUNION ALL\n".join(parts)
+
+
+def _reconcile_cells_sql():
+    ctes = [("po", S.prepared("rev_original", SPEC)), ("px", _PX), ("fo", _FIRST.format("po")), ("fx", _FIRST.format("px"))]
+    return S.with_fixtures(["rev_original", "rev_export"], _reconcile_body(), ctes)
 
 
 @register("reconcile_cells", _reconcile_cells_sql())

@@ -38,7 +38,7 @@ def canonical_value(spark, sf_dir):
     return frames(spark, sf_dir)[1].select("col", "value", "ord", T.canonical_value("value").alias("canon"))
 
 
-@register("value_rows", v_sql("SELECT col, value, min(ord) AS first_ord, count(*) AS n_rows FROM nv_u GROUP BY col, value"))
+@register("value_rows", v_sql("SELECT col, value, ord FROM nv_u"))
 def value_rows(spark, sf_dir):
     return vc.value_rows(frames(spark, sf_dir)[1])
 
@@ -56,10 +56,8 @@ def vocab_canonical(spark, sf_dir):
     return vc.canonical_first(frames(spark, sf_dir)[1])
 
 
-_ADDED = (
-    "SELECT col, value, min(ord) AS first_ord, count(*) AS n_rows FROM nv_u u WHERE NOT EXISTS "
-    "(SELECT 1 FROM nv_o o WHERE o.col = u.col AND o.value = u.value) GROUP BY col, value"
-)
+_ADDED = "SELECT col, value, ord FROM nv_u u WHERE NOT EXISTS (SELECT 1 FROM nv_o o WHERE o.col = u.col AND o.value = u.value)"
+_REMOVED = "SELECT col, value, ord FROM nv_o o WHERE NOT EXISTS (SELECT 1 FROM nv_u u WHERE o.col = u.col AND o.value = u.value)"
 
 
 @register("vocab_added", v_sql(_ADDED))
@@ -68,13 +66,7 @@ def vocab_added(spark, sf_dir):
     return vc.added(o, u)
 
 
-@register(
-    "vocab_removed",
-    v_sql(
-        "SELECT col, value, min(ord) AS first_ord, count(*) AS n_rows FROM nv_o o WHERE NOT EXISTS "
-        "(SELECT 1 FROM nv_u u WHERE o.col = u.col AND o.value = u.value) GROUP BY col, value"
-    ),
-)
+@register("vocab_removed", v_sql(_REMOVED))
 def vocab_removed(spark, sf_dir):
     o, u = frames(spark, sf_dir)
     return vc.removed(o, u)
@@ -143,16 +135,16 @@ def sort_vocab(spark, sf_dir):
     return vc.sort_vocab(frames(spark, sf_dir)[1])
 
 
-@register("vocab_insert_order", v_sql(f"SELECT col, value, first_ord, n_rows, lower(col) AS col_key, lower(value) AS value_key FROM ({_ADDED})"))
+@register("vocab_insert_order", v_sql(f"SELECT col, value, min(ord) AS first_ord, count(*) AS n_rows, lower(col) AS col_key, lower(value) AS value_key FROM ({_ADDED}) GROUP BY col, value"))
 def vocab_insert_order(spark, sf_dir):
     o, u = frames(spark, sf_dir)
-    a = vc.added(o, u)
+    a = vc.per_value(vc.added(o, u))
     return a.withColumn("col_key", F.lower("col")).withColumn("value_key", F.lower("value")).orderBy("col_key", "value_key")
 
 
 _ROUTES_SQL = " UNION ALL ".join(f"SELECT {S.q(a)} AS col, {S.q(b)} AS table_name, {S.q(c)} AS target_columns" for a, b, c in ROUTES)
 _ROUTED = (
-    "SELECT a.col, a.value, a.first_ord, a.n_rows, r.table_name, r.target_columns, CASE WHEN r.table_name IS NULL THEN 'skipped' ELSE 'insert' END AS status "
+    "SELECT a.col, a.value, a.ord, r.table_name, r.target_columns, CASE WHEN r.table_name IS NULL THEN 'skipped' ELSE 'insert' END AS status "
     "FROM added a LEFT JOIN routes r ON lower(a.col) = lower(r.col)"
 )
 
@@ -165,16 +157,17 @@ def change_vocab_inserts(spark, sf_dir):
 
 def _render_vocab_sql() -> str:
     nl = "chr(10)"
-    rows = "CASE WHEN n_rows > 1 THEN cast(first_ord AS varchar) || ' (+' || cast(n_rows - 1 AS varchar) || ' more)' ELSE cast(first_ord AS varchar) END"
     lit = "'''' || replace(value, '''', '''''') || ''''"
     stmt = (
-        f"'-- Column ''' || col || ''' value ''' || value || ''' from ''Column Values'' row(s) ' || {rows} || {nl} || 'INSERT INTO ' || table_name || ' (' || {nl} || "
+        f"'INSERT INTO ' || table_name || ' (' || {nl} || "
         f"'    ' || array_to_string(string_split(target_columns, ','), ',' || {nl} || '    ') || {nl} || ') VALUES (' || {nl} || "
         f"'    ' || array_to_string(list_transform(string_split(target_columns, ','), lambda x: {lit}), ',' || {nl} || '    ') || {nl} || ');'"
     )
     note = "'-- No database mapping configured for column ''' || col || ''' with value ''' || value || '''; skipping.'"
     return v_sql(
-        f"SELECT col, value, first_ord, CASE WHEN status = 'insert' THEN {stmt} ELSE {note} END AS statement FROM routed",
+        "SELECT col, value, ord, '-- Column ''' || col || ''' value ''' || value || ''' from ''Column Values'' row ' || cast(ord AS varchar) AS statement FROM routed "
+        f"WHERE status = 'insert' UNION ALL SELECT col, value, ord, CASE WHEN status = 'insert' THEN {stmt} ELSE {note} END FROM "
+        "(SELECT col, value, table_name, target_columns, status, min(ord) AS ord FROM routed GROUP BY ALL)",
         extra=[("added", _ADDED), ("routes", _ROUTES_SQL), ("routed", _ROUTED)],
     )
 

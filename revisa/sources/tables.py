@@ -7,6 +7,7 @@ float never turns into an int, a date never into a timestamp).
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,6 +109,13 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """The rows written as Parquet in the shared folder and read back: cuts lineage, keeps column pruning."""
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def snapshot(df: DataFrame, base: str, table: str, stamp: str) -> tuple[str, DataFrame]:
     """SNK-10: write ``<table>_<yyyyMMdd>`` and return its path and both row counts."""
     name = f"{safe_identifier(table)}_{stamp}"

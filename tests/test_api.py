@@ -18,6 +18,8 @@ def test_revise(spark):
     assert r.has_errors()
     checks = {row["check"] for row in r.issues.select("check").distinct().collect()}
     assert {"vocabulary", "keys", "key_format", "keys_added", "keys_missing", "read_only"} & checks
+    assert {"vocabulary_revision"} <= checks
+    assert all(row["statement"].startswith("-- WARNING") for row in r.statements.collect())
     stages = {row["stage"] for row in r.statements.select("stage").distinct().collect()}
     assert stages == {0, 1, 2, 3}
     assert r.updates.count() > 0 and r.inserts.count() > 0 and r.deletes.count() > 0

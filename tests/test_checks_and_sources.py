@@ -33,6 +33,49 @@ def test_fail_fast_and_verbose(spark):
     assert iss.has_errors(clean).first()[0] is False
 
 
+def test_fail_fast_builds_no_later_stage(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("a later stage was built")
+
+    o, u = frames(spark)
+    monkeypatch.setattr(iss.tk, "reuse_new", never)
+    with pytest.raises(iss.ProcessingHalted, match="stage keys"):
+        iss.check_revision(o, u, SPEC, fail_fast=True)
+
+
+def test_vocabulary_and_export_checks(spark):
+    vocab = "col string, value string, ord bigint"
+    before = spark.createDataFrame([("kind", "E", 2), ("kind", "Q", 3), ("kind", " Q", 4)], vocab)
+    after = spark.createDataFrame([("kind", "E", 2), ("kind", "N", 5), ("kind", "N ", 6)], vocab)
+    got = [tuple(r) for r in iss.vocabulary_revision(before, after).select("worksheet", "row", "message").collect()]
+    assert sorted(got) == [
+        ("vocabulary", 5, "Value 'N' in column 'kind' does not appear in the original vocabulary."),
+        ("vocabulary_original", 3, "Value 'Q' in column 'kind' is missing from the vocabulary."),
+    ]
+    assert sorted(r["ord"] for r in vc.added(before, after).collect()) == [5, 6]  # every row of a value
+    lists = spark.createDataFrame([("kind", "E"), ("size", "S")], "col string, value string")
+    got = [(r["row"], r["message"]) for r in iss.reference_lists(before, lists).collect()]
+    assert sorted(got, key=str) == [
+        (3, "Value 'Q' in column 'kind' is not present in the reference list."),
+        (4, "Value 'Q' in column 'kind' is not present in the reference list."),
+        (None, "Column 'size' missing from the original vocabulary."),
+    ]
+    o, _ = frames(spark)
+    assert iss.reconciliation(o.dropDuplicates([rv.KEY]), o.dropDuplicates([rv.KEY]), SPEC, {}).isEmpty()
+
+
+def test_vocabulary_inserts_name_every_row(spark):
+    new = spark.createDataFrame([("kind", "N", 5), ("kind", "N", 6), ("size", "S", 7)], "col string, value string, ord bigint")
+    routes = spark.createDataFrame([("kind", "kinds", "code")], "col string, table_name string, target_columns string")
+    got = sorted((r["ord"], r["statement"].split("\n")[0]) for r in vc.render_inserts(vc.route_inserts(new, routes)).collect())
+    assert got == [
+        (5, "-- Column 'kind' value 'N' from 'Column Values' row 5"),
+        (5, "INSERT INTO kinds ("),
+        (6, "-- Column 'kind' value 'N' from 'Column Values' row 6"),
+        (7, "-- No database mapping configured for column 'size' with value 'S'; skipping."),
+    ]
+
+
 def test_severity_policy(spark):
     df = spark.createDataFrame([("documentation", "m", "ERROR"), ("keys", "k", "ERROR")], "check string, message string, severity string")
     got = {r["check"]: r["severity"] for r in iss.severity_policy(df, keep_going=True).collect()}
