@@ -138,8 +138,7 @@ def diff_tables(
     rules = td.parse_ignore_rules(ignore)
     og = reduce(lambda a, b: a.unionByName(b), [td.to_grid(df, name, ord_col) for name, df in old.items()])
     ng = reduce(lambda a, b: a.unionByName(b), [td.to_grid(df, name, ord_col) for name, df in new.items()])
-    spark = og.sparkSession
-    p = td.table_pairs(og, ng, spark, pairs)
+    p = [(a, b) for a, b in (pairs or [(name, name) for name in old]) if a in old and b in new]
     cells = td.cell_diff(og, ng, p, ignore_whitespace_only)
     if rules:
         cells = td.drop_ignored(cells, td.ignored_rows(ng, p, rules))

