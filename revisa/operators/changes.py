@@ -213,9 +213,11 @@ def apply_inserts(stored: DataFrame, inserts: DataFrame, resolver, name_column:
     need = allrows.where(F.col("taxnode_id").isNull() & ~F.coalesce(F.col(name_column) == "abolished", F.lit(False)))
     names = need.select(F.col(name_column).alias("name")).where(F.col("name").isNotNull()).distinct()
     resolved = resolver(names).withColumnRenamed("taxnode_id", "_tx").withColumnRenamed("name", name_column)
-    j = allrows.join(resolved, name_column, "left")
-    fill = F.col("taxnode_id").isNull() & ~F.coalesce(F.col(name_column) == "abolished", F.lit(False))
-    return j.select(*[F.when(fill, F.col("_tx")).otherwise(F.col("taxnode_id")).alias(c) if c == "taxnode_id" else F.col(c) for c in allrows.columns])
+    # only rows that can change are joined: abolished and unnamed rows would meet in one task
+    fill = F.col("taxnode_id").isNull() & F.col(name_column).isNotNull() & ~F.coalesce(F.col(name_column) == "abolished", F.lit(False))
+    filled = allrows.where(fill).join(resolved, name_column, "left")
+    filled = filled.select(*[F.col("_tx").alias(c) if c == "taxnode_id" else F.col(c) for c in allrows.columns])
+    return allrows.where(~fill).unionByName(filled)
 
 
 # ---------------------------------------------------------------- rendering (CHG-09)

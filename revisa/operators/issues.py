@@ -195,7 +195,10 @@ def report(issues: DataFrame, original: DataFrame, edited: DataFrame, spec: Revi
     """
     ctx = list(spec.context_columns)
     o = rv.first_rows(original, spec, ctx).select(rv.KEY, *[F.col(c).alias("o_" + c) for c in ctx])
-    e = edited.select(F.col("ord").alias("row"), rv.KEY, *ctx).join(o, rv.KEY, "left")
+    e = edited.select(F.col("ord").alias("row"), rv.KEY, *ctx)
+    new = e.where(F.col(rv.KEY).isNull())  # not joined: all new rows would meet in one task
+    new = new.select("*", *[F.lit(None).cast(o.schema["o_" + c].dataType).alias("o_" + c) for c in ctx])
+    e = e.where(F.col(rv.KEY).isNotNull()).join(o, rv.KEY, "left").unionByName(new)
     flags = [
         F.when(F.col(rv.KEY).isNull(), T.norm(c).isNotNull()).otherwise(~T.values_equal(F.col("o_" + c), F.col(c), spec.kind(c), codes=spec.type_codes)).alias("chg_" + c)
         for c in ctx
