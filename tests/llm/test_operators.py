@@ -217,6 +217,22 @@ def test_toxicity_learns_forms_it_never_saw(spark):
     assert {r.score for r in none} == {0.0} and toxicity.toxicity(docs.where("doc_id = -1"), labs).count() == 0
 
 
+def test_toxicity_keeps_every_counted_ngram(spark):
+    rng = np.random.default_rng(4)
+    texts = [(" ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(20)), int(i % 5 == 0)) for i in range(100)] + [("once zyxwv once", 1), ("a lone qjkvp", 0)]
+    counts = toxicity.count_grams(spark.createDataFrame(texts, "text string, label int")).cache()
+    whole = toxicity.fit_counts(counts)
+    kept = {int(g) for g in whole.levels[-1].gram}
+    assert kept == {r.g for r in counts.collect()}  # also what was met once, in either class
+    probe = spark.createDataFrame([(i, t + x) for i, (t, _) in enumerate(texts) for x in ("", " zyxwv Ünseen abcd")] + [(None, None), (5, "")], "doc_id long, text string")
+    for model in (whole, *(toxicity.fit_counts(counts, hot_grams=n) for n in (0, 600))):
+        assert (model.cold is None) == (model is whole)
+        model.slope, model.cut = 2.0, 0.1
+        got = sorted((r.text or "", r.evidence, r.score) for r in toxicity.measure(probe, model, ["text"]).collect())
+        want = got if model is whole else want
+        assert [x[0] for x in got] == [x[0] for x in want] and np.abs(np.array([x[1:] for x in got]) - np.array([x[1:] for x in want])).max() < 1e-6
+
+
 def brute_word(word, vocab, p):
     alpha = [1.0] + [0.0] * len(word)
     for e in range(1, len(word) + 1):
