@@ -47,14 +47,18 @@ def crc32_mod(col, n: int):
     return F.crc32(col.cast("string").cast("binary")) % n
 
 
-def label_sample(labels: DataFrame, column: str, keep, max_labels: int = MAX_LABELS) -> DataFrame:
-    """(doc_id, label) of the labelled rows that ``keep`` admits, at most about ``max_labels`` of them.
+def labelled(labels: DataFrame, column: str, keep) -> DataFrame:
+    """(doc_id, label) of the labelled rows that ``keep`` admits.
 
     Several rows of one id count as their largest label; null ids and labels are left out.
-    The bound makes the result safe to broadcast.
     """
     rows = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull()).where(keep)
-    rows = rows.groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
+    return rows.groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
+
+
+def label_sample(labels: DataFrame, column: str, keep, max_labels: int = MAX_LABELS) -> DataFrame:
+    """At most about ``max_labels`` rows of ``labelled``, which makes the result safe to broadcast."""
+    rows = labelled(labels, column, keep)
     total = rows.count()
     if total > max_labels:
         share = int(max_labels / total * 1_000_000)

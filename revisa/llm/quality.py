@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisa.llm.common import MAX_LABELS, crc32_mod, flat, label_sample, pieces
+from revisa.llm.common import crc32_mod, flat, labelled, pieces, written
 from revisa.llm.words import Words, byte_table, find_words, mix, per_text_sum, prefix_sums, rolling, span_hashes, spans
 
 BINS = 1 << 16
@@ -118,22 +118,50 @@ def measure(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, bins: int = BINS, max_labels: int = MAX_LABELS) -> DataFrame:
+def score_at(counts: DataFrame, rank: int) -> int:
+    """The score with ``rank`` smaller rows, from (score, count); each step brings at most 2^16 rows to the driver."""
+    found = 0
+    for shift in (48, 32, 16, 0):
+        within = counts if shift == 48 else counts.where(F.shiftright("score", shift + 16) == found)
+        for r in within.groupBy(F.shiftright("score", shift).alias("part")).agg(F.sum("count").alias("n")).orderBy("part").collect():
+            if rank < r["n"]:
+                found = r["part"]
+                break
+            rank -= r["n"]
+    return found
+
+
+def quantile(scores: DataFrame, share: float) -> float | None:
+    """Exact quantile, between two rows in proportion, of ``llr`` (nine decimals); None without rows."""
+    whole = F.round(F.col("llr") * 1e9).cast("long").alias("score")
+    counts = written(scores.select(whole).groupBy("score").count(), "quality-scores")
+    total = counts.agg(F.sum("count").alias("n")).first()["n"]
+    if not total:
+        return None
+    at = (total - 1) * share
+    low = int(at)
+    first = score_at(counts, low) / 1e9
+    return first if low == at else (low + 1 - at) * first + (at - low) * (score_at(counts, low + 1) / 1e9)
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> DataFrame:
     """Per document: doc_id, n_words, the base counts, base_failed, llr, threshold and kept.
 
-    ``labels`` has doc_id and quality (1: trusted).  At most about ``max_labels`` labelled
-    rows are used; corpus counts cover every row.  A null text has no words and fails the
+    ``labels`` has doc_id and quality (1: trusted).  Every labelled row counts, for the
+    target and for the threshold; corpus counts cover every row.  A null text has no words and fails the
     base rules; without any trusted row all ratios are 0 and the base rules decide alone.
     A null doc_id is never trusted.
     """
-    trusted = F.broadcast(label_sample(labels, "quality", F.lit(True), max_labels).where("label = 1").select(F.col("doc_id").alias("_trusted")))
-    marked = docs.select("doc_id", "text").join(trusted, F.col("doc_id") == F.col("_trusted"), "left")
-    marked = marked.withColumn("in_target", F.col("_trusted").isNotNull() & (crc32_mod(F.col("doc_id"), FOLDS) != HELD_FOLD))
-    ratios = log_ratios(count_bins(marked, bins), bins)
-
-    held = docs.select("doc_id", "text").where(crc32_mod(F.col("doc_id"), FOLDS) == HELD_FOLD)
-    held = measure(held.join(trusted, F.col("doc_id") == F.col("_trusted"), "left_semi"), ratios).where(F.col("n_words") >= MIN_WORDS)
-    low = held.agg(F.percentile("llr", QUANTILE).alias("q")).first()["q"]
+    trusted = labelled(labels, "quality", F.lit(True)).where("label = 1").select(F.col("doc_id").alias("_trusted"))
+    trusted = trusted.hint("merge")  # both tables grow: the same plan at every size
+    fold = crc32_mod(F.col("doc_id"), FOLDS)
+    target = docs.select("doc_id", "text").where(fold != HELD_FOLD).join(trusted, F.col("doc_id") == F.col("_trusted"))
+    counts = count_bins(target.withColumn("in_target", F.lit(True)), bins).select("bin", "target", F.lit(0).cast("long").alias("raw"))
+    counts = counts.unionByName(count_bins(docs.withColumn("in_target", F.lit(False)), bins))
+    ratios = log_ratios(counts.groupBy("bin").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")), bins)
+
+    held = measure(docs.where(fold == HELD_FOLD), ratios).where(F.col("n_words") >= MIN_WORDS).select("doc_id", "llr")
+    low = quantile(held.join(trusted, F.col("doc_id") == F.col("_trusted"), "left_semi"), QUANTILE)
     threshold = float("-inf") if low is None else low - MARGIN
 
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

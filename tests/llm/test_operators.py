@@ -169,6 +169,27 @@ def test_quality_base_counts(spark, docs):
     assert quality.quality_rules(docs, labels.where("doc_id < 0")).where("kept <> (not base_failed)").count() == 0
 
 
+def test_quality_counts_every_label(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    scores = np.round(rng.normal(size=997), 9).tolist() + [-3.5, -3.5, 2.0]
+    frame = spark.createDataFrame([(x,) for x in scores], "llr double")
+    for share in (0.0, 0.002, 0.3, 1.0):
+        assert quality.quantile(frame, share) == pytest.approx(np.quantile(scores, share), abs=1e-12)
+    assert quality.quantile(frame.where("llr > 99"), 0.5) is None
+
+    from revisa.llm import common
+
+    monkeypatch.setattr(common.label_sample, "__defaults__", (10,))  # the bound of a sample has no say
+    words = "the of and to in is that for it as was with be by on not he his but at".split()
+    rows = [(i, " ".join(rng.choice(words, 30)) + f" own{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(quality, "log_ratios", lambda counts, bins: (seen.append(counts.agg({"target": "sum", "raw": "sum"}).first()), np.zeros(bins))[1])
+    quality.quality_rules(docs, spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int"))
+    n_target = sum(zlib.crc32(str(i).encode()) % 5 != 4 for i in range(60))
+    assert (seen[0]["sum(target)"], seen[0]["sum(raw)"]) == (61 * n_target, 61 * 60)
+
+
 def test_mixing(spark):
     rows = [(i, "w " * (i % 7), None if i % 5 == 0 else "abc"[i % 3], 3) for i in range(60)] + [(None, None, "z", 1), (3, "w w w", "a", 2), (3, "w w w", "a", 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
