@@ -14,14 +14,16 @@ of the assistant contents are the loss mask.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisa.llm.common import PIECE_BYTES, flat
+from revisa.llm.common import PIECE_BYTES, flat, pieces
 
 #: Control strings (fixed values) and the role whose texts are learnt.
 TURN, TEXT, END = b"<|turn|>", b"<|text|>", b"<|end|>"
@@ -86,8 +88,8 @@ def format_chats(conversations: DataFrame) -> DataFrame:
 
     Rows are ordered by turn, then role, then text (nulls first); repeated rows all count.
     A null role or text is empty.  Rows with a null conv_id are one conversation.  A
-    conversation is one string, so its rows meet in one task; batches of conversations
-    are assembled a few megabytes at a time.
+    conversation is one string, so its rows meet in one task and in memory; ``format_parts``
+    has no such bound.
     """
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
@@ -100,12 +102,12 @@ def format_chats(conversations: DataFrame) -> DataFrame:
 
     def run(batches):
         held: list[pa.RecordBatch] = []
-        size = 0
+        size, limit = 0, PIECE_BYTES
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 held.append(batch.slice(at, 1000))
                 size += held[-1].nbytes
-                if size < PIECE_BYTES:
+                if size < limit:
                     continue
                 table = pa.Table.from_batches(held).combine_chunks()
                 first = boundaries(table)
@@ -114,6 +116,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
                     table = table.slice(first[-2])
                 held = table.to_batches()
                 size = sum(b.nbytes for b in held)
+                limit = max(PIECE_BYTES, 2 * size)  # a long conversation is not put together again for every slice
         if held:
             table = pa.Table.from_batches(held).combine_chunks()
             yield finish(table, boundaries(table))
@@ -122,6 +125,52 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"conv_id {kind}, formatted string, loss_start array<long>, loss_end array<long>")
 
 
+def format_parts(conversations: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Conversations of any length: conv_id, part, formatted, loss_start[] and loss_end[] within the part.
+
+    The parts of a conversation in the order of ``part`` (not consecutive) are its formatted
+    string; each holds whole turns, of about ``piece_bytes`` or one turn.  Rows are dealt by
+    ranges of (conv_id, turn, role, text), so a long conversation is spread over tasks.
+    """
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    by = ["conv_id", "turn", "role", "text"]
+    rows = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+
+    def run(batches):
+        part = TaskContext.get().partitionId() << 40
+        for batch in pieces(batches, "text", piece_bytes):
+            first = boundaries(pa.Table.from_batches([batch]))
+            formatted, starts, ends = assemble(batch.column(2), batch.column(3), first)
+            ids = batch.column(0).take(pa.array(first[:-1]))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.arange(part, part + len(ids))), formatted, starts, ends], names=["conv_id", "part", "formatted", "loss_start", "loss_end"])
+            part += len(ids)
+
+    kind = conversations.schema["conv_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"conv_id {kind}, part long, formatted string, loss_start array<long>, loss_end array<long>")
+
+
+class Digest:
+    """Running counts and hashes of a conversation's parts."""
+
+    def __init__(self):
+        self.turns = self.loss_chars = self.chars = 0
+        self.said, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, data: str, starts: list[int], ends: list[int]) -> None:
+        whole = data.encode()
+        for role, text in read_turns(whole):
+            self.turns += 1
+            self.said.update(role + b"\n" + text + b"\n")
+        for a, b in zip(starts, ends):
+            text = unescape(whole[a:b])
+            self.loss_chars += len(text.decode())
+            self.loss.update(text)
+        self.chars += len(data)
+
+    def row(self) -> tuple:
+        return self.turns, self.said.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
+
+
 def boundaries(table: pa.Table) -> np.ndarray:
     """First row of each run of equal conv_id, and the number of rows."""
     ids = table.column("conv_id").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)

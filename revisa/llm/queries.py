@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,26 +23,36 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], rows.schema)
-    return chat_digest(chat.format_chats(rows.unionByName(added)))
+    return chat_digest(chat.format_parts(rows.unionByName(added)))
 
 
-def chat_digest(formatted: DataFrame) -> DataFrame:
-    """What the formatted strings and loss ranges say, read back from them alone."""
+def chat_digest(parts: DataFrame) -> DataFrame:
+    """What the formatted parts and loss ranges say, read back from them alone, a part at a time."""
 
     def run(batches):
+        now, known = chat.Digest(), None
         for batch in batches:
-            out = []
-            for data, starts, ends in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                whole = data.encode()
-                turns = chat.read_turns(whole)
-                said = b"".join(r + b"\n" + t + b"\n" for r, t in turns)
-                loss = b"".join(chat.unescape(whole[a:b]) for a, b in zip(starts, ends))
-                out.append((len(turns), hashlib.sha256(said).hexdigest(), len(loss.decode()), hashlib.sha256(loss).hexdigest(), len(data)))
-            columns = [pa.array(list(c)) for c in zip(*out)] if out else [pa.array([], k) for k in (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-
-    kind = formatted.schema["conv_id"].dataType.simpleString()
-    return formatted.mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+            ids, out = [], []
+            for i in range(batch.num_rows):
+                key = batch.column(0)[i]
+                if known is not None and not key.equals(known):
+                    ids.append(known)
+                    out.append(now.row())
+                    now = chat.Digest()
+                known = key
+                now.add(*(batch.column(c)[i].as_py() for c in (2, 3, 4)))
+            if out:
+                yield rows_of(ids, out)
+        if known is not None:
+            yield rows_of([known], [now.row()])
+
+    def rows_of(ids, out):
+        columns = [pa.array(list(c)) for c in zip(*out)]
+        return pa.RecordBatch.from_arrays([pa.array([x.as_py() for x in ids], ids[0].type), *columns], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+
+    kind = parts.schema["conv_id"].dataType.simpleString()
+    ordered = parts.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return ordered.mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

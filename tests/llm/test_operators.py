@@ -306,6 +306,25 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(table.where("turn = 99")).count() == 0
 
 
+def test_chat_parts_of_a_long_conversation(spark):
+    from revisa.llm.queries import chat_digest
+
+    rows = [(None, i, ("user", "assistant")[i % 2], f"<| né {i} " * 20) for i in range(3000)] + [(1, 0, "assistant", "x"), (2, None, None, None)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    parts = chat.format_parts(table, 10_000).collect()
+    whole = {r.conv_id: r for r in chat.format_chats(table).collect()}
+    for c, r in whole.items():
+        mine = sorted((p for p in parts if p.conv_id == c), key=lambda p: p.part)
+        assert "".join(p.formatted for p in mine) == r.formatted
+        assert max(len(p.formatted) for p in mine) < 50_000 and (c is not None or len(mine) > 30)
+    got = {r.conv_id: r for r in chat_digest(chat.format_parts(table, 10_000)).collect()}
+    assert set(got) == {None, 1, 2} and got[None].n_turns == 3000
+    texts = [t for _, i, r, t in rows[:3000] if r == "assistant"]
+    assert got[None].loss_sha256 == hashlib.sha256("".join(texts).encode()).hexdigest()
+    assert got[None].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows[:3000]).encode()).hexdigest()
+    assert got[None].formatted_chars == len(whole[None].formatted)
+
+
 def test_loser_tree_merges():
     rng = np.random.default_rng(5)
     for k in (0, 1, 2, 3, 7):
