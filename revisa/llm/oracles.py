@@ -2,7 +2,82 @@
 
 WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+#: CRC-32 of a string's UTF-8 bytes: the table of the reflected polynomial, then one step a byte.
+CRC = """
+CREATE_CRC AS (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce([i::BIGINT] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+def crc(of: str) -> str:
+    """SQL of the unsigned CRC-32 of a string expression; ``t`` is the table's column."""
+    octets = f"list_transform(range(strlen({of})), lambda i: ('0x' || substr(hex(encode({of})), (2 * i + 1)::INT, 2))::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {octets}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def merkle(fan: int = 16, levels: int = 8) -> str:
+    """SQL of the Merkle manifest for trees of up to ``levels`` levels, unrolled; a level leaves a tree of one node alone."""
+    fixed = ", ".join(f"{_field(c)} AS {c}_" for c in ("doc_id", "source", "lang", "n_chars"))
+    leaf = "sha256(doc_id_ || source_ || lang_ || n_chars_ || {})"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        CRC.replace("CREATE_CRC", "crc").strip(),
+        f"f AS (SELECT *, {fixed} FROM documents, crc)",
+        f"l AS (SELECT doc_id, source, {leaf.format(_field('text'))} AS leaf, CASE WHEN {crc('doc_id::VARCHAR')} % 5 = 0 THEN {leaf.format(_field(lower))} END AS tampered FROM f)",
+        "r AS (SELECT *, row_number() OVER () AS id, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p0 FROM l)",
+        "s0 AS (SELECT source AS g, p0 AS p, leaf AS h FROM r)",
+    ]
+
+    def grow(tree: str) -> None:
+        for k in range(levels):
+            parts.append(
+                f"{tree}{k + 1} AS (SELECT g, CASE WHEN n > 1 THEN p // {fan} ELSE p END AS p, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE any_value(h) END AS h "
+                f"FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n, p AS q FROM {tree}{k}) GROUP BY g, CASE WHEN n > 1 THEN p // {fan} ELSE p END)"
+            )
+            # what stands before and behind a node in its run
+            parts.append(
+                f"{tree}w{k} AS (SELECT g, p, n > 1 AS more, CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER (PARTITION BY g, p // {fan} ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS b, "
+                f"CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER (PARTITION BY g, p // {fan} ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS a "
+                f"FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {tree}{k}))"
+            )
+
+    grow("s")
+    parts.append(f"t0 AS (SELECT 0 AS g, row_number() OVER (ORDER BY g IS NOT NULL, encode(g)) - 1 AS p, h, g AS source FROM s{levels})")
+    grow("t")
+    parts.append(f"u0 AS (SELECT r.id, r.doc_id, r.source, leaf, t0.h AS subroot, t0.p AS q, (SELECT h FROM t{levels}) AS root, r.p0 AS p, coalesce(tampered, leaf) AS f, '' AS way FROM r JOIN t0 ON r.source IS NOT DISTINCT FROM t0.source)")
+    step = "CASE WHEN more THEN sha256(b || f || a) ELSE f END AS f, way || b || a AS way"
+    for k in range(levels):
+        parts.append(f"u{k + 1} AS (SELECT id, doc_id, source, leaf, subroot, q, root, CASE WHEN more THEN u.p // {fan} ELSE u.p END AS p, {step} FROM u{k} u JOIN sw{k} w ON u.source IS NOT DISTINCT FROM w.g AND u.p = w.p)")
+    parts.append(f"v0 AS (SELECT id, doc_id, leaf, subroot, root, q AS p, f, way FROM u{levels})")
+    for k in range(levels):
+        parts.append(f"v{k + 1} AS (SELECT id, doc_id, leaf, subroot, root, CASE WHEN more THEN v.p // {fan} ELSE v.p END AS p, {step} FROM v{k} v JOIN tw{k} w ON v.p = w.p)")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT doc_id, leaf, subroot, root, sha256(way) AS proof_sha256, f AS folded_root, f = root AS verified FROM v{levels}"
+
+
 ORACLES = {
+    "op12_merkle_manifest": merkle(levels=6),
+    # near words by what is left when one code point is taken out
+    "op11_spelling_variants": f"""
+WITH RECURSIVE {CRC.replace("CREATE_CRC", "crc").strip()},
+x AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+y AS (SELECT doc_id, run, count(*) AS k FROM x WHERE length(run) >= 6 GROUP BY doc_id, run),
+z AS (SELECT run, k, {crc("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM y, crc),
+c AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT) ELSE run END AS word, k FROM z),
+w AS (SELECT word, sum(k)::BIGINT AS n FROM c WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+d AS (SELECT word, n, i, substr(word, 1, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM w)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT d.word, d.n, w.word, w.n FROM d JOIN w ON w.word = d.rest
+  UNION SELECT w.word, w.n, d.word, d.n FROM d JOIN w ON w.word = d.rest),
+best AS (SELECT word, n, count(*) AS n_near, first(other ORDER BY m DESC, encode(other)) AS other, max(m) AS m FROM pairs GROUP BY word, n),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 5 * w.n THEN other END AS form, CASE WHEN m >= 5 * w.n THEN m END AS form_n FROM w LEFT JOIN best USING (word)),
+path AS (SELECT word, word AS here, 0 AS depth FROM f UNION ALL SELECT path.word, f.form, depth + 1 FROM path JOIN f ON f.word = path.here WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(here, depth) AS root FROM path GROUP BY word)
+SELECT word, n, n_near, form, form_n, root FROM f JOIN ends USING (word)
+""",
     "op5_line_dedup": f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS line FROM d),

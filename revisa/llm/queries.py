@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisa.llm import chat, decontam, langid, license_scan, line_dedup, mixing, quality, simhash, toxicity, warc
+from revisa.llm import chat, decontam, langid, license_scan, line_dedup, lm, merkle, mixing, quality, simhash, toxicity, variants, warc
 from revisa.llm.common import table
 
 
@@ -89,6 +89,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -102,5 +114,8 @@ QUERIES = {
         op8_decontamination,
         op9_mixing,
         op10_language_id,
+        op11_spelling_variants,
+        op12_merkle_manifest,
+        op13_lm_scoring,
     )
 }
