@@ -237,12 +237,15 @@ def score(net: Net, tokens: np.ndarray, lengths: np.ndarray, end: int, lanes: in
         n = min(steps, int(lane_size[0]) - t)
         at = lane_start[None, :live] + np.arange(t, t + n)[:, None]
         known = np.arange(t, t + n)[:, None] < lane_size[None, :live]
-        at = np.where(known, at, lane_start[None, :live])
+        if not known[-1].all():
+            at = np.where(known, at, lane_start[None, :live])
         states = net.states(inputs[at], fresh[at], state[:live])
         state = states[-1]
-        rows = known.ravel()
-        found = at.ravel()[rows]
-        out[found] = net.log_probability(states.reshape(-1, net.hidden)[rows], laid[found])
+        rows = states.reshape(-1, net.hidden)
+        found = at.ravel()
+        if not known[-1].all():
+            rows, found = rows[known.ravel()], found[known.ravel()]
+        out[found] = net.log_probability(rows, laid[found])
     total = np.empty(len(lengths))
     total[order] = np.add.reduceat(out.astype(np.float64), start)
     return total

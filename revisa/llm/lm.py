@@ -17,17 +17,16 @@ to window.
 from __future__ import annotations
 
 import hashlib
-import re
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revisa.llm import gru
-from revisa.llm.common import crc32_mod, flat, written
+from revisa.llm.common import crc32_mod, pieces, shared_folder, written
 
 FOLDS, HELD_OUT = 5, 1
 HOT_WORDS = 1 << 17
@@ -41,61 +40,46 @@ END, LONGEST = "", 64
 ADDED = 0.5
 #: The first pass takes one text in so many.
 FIRST_PASS = 16
-#: Distinct words, tokens, weights a task holds at once, and bytes a text is split by.
-TASK_WORDS, TASK_TOKENS, BLOCK, CUT = 200_000, 1 << 20, 4096, 1 << 20
-_WHITE = re.compile(rb"[\x20\x09-\x0D]")
+#: Tokens a task trains on or scores at once, and weights in a block.
+TASK_TOKENS, BLOCK = 1 << 22, 4096
 
 
-def words(text: bytes):
-    """Lists of the words of a text, A-Z lower-cased, from stretches of about ``CUT`` bytes that end between words."""
-    at = 0
-    while at < len(text):
-        end = len(text)
-        if end - at > CUT:
-            found = _WHITE.search(text, at + CUT)
-            end = found.start() if found else end
-        # bytes.lower and bytes.split change and split at ASCII characters alone
-        yield [w if len(w) <= LONGEST else b" " + hashlib.sha256(w).hexdigest().encode() for w in text[at:end].lower().split()]
-        at = end
+def words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of a batch's texts, A-Z lower-cased, and the text number of each.
 
-
-def texts(batch: pa.RecordBatch, column: int):
-    data, off = flat(batch.column(column))
-    for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
-        yield data[a:b].tobytes()
+    Arrow splits at the six ASCII white-space characters alone.  A word over ``LONGEST``
+    bytes becomes a space and its digest, which no word can be.
+    """
+    texts = pc.fill_null(column, "").cast(pa.large_string())
+    texts = pa.concat_arrays([texts, texts.slice(0, 0)])  # a copy: ascii_lower misreads slices of large strings
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    found = split.flatten()
+    text = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    size = pc.binary_length(found).to_numpy(zero_copy_only=False)
+    if len(size) and not size.all():
+        found, text, size = found.filter(pa.array(size > 0)), text[size > 0], size[size > 0]
+    if len(size) and size.max() > LONGEST:
+        long = pa.array(size > LONGEST)
+        short = [" " + hashlib.sha256(w.encode()).hexdigest() for w in found.filter(long).to_pylist()]
+        found = pc.replace_with_mask(found, long, pa.array(short, pa.large_string()))
+    return found, text
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, c, a) of rows (text, learnt): occurrences in training texts and in all; the end of a text is one."""
 
     def run(batches):
-        total: dict[bytes, list[int]] = {}
-        for batch in batches:
-            for learnt, text in zip(batch.column(1).to_pylist(), texts(batch, 0)):
-                for some in [[END.encode()]], words(text):
-                    for stretch in some:
-                        mine: dict[bytes, int] = {}
-                        for w in stretch:
-                            mine[w] = mine.get(w, 0) + 1
-                        for w, n in mine.items():
-                            held = total.get(w)
-                            if held is None:
-                                total[w] = [n if learnt else 0, n]
-                            else:
-                                held[1] += n
-                                if learnt:
-                                    held[0] += n
-                if len(total) >= TASK_WORDS:
-                    yield counted(total)
-                    total = {}
-        if total:
-            yield counted(total)
-
-    def counted(total):
-        numbers = np.array(list(total.values()), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()).cast(pa.string()), pa.array(numbers[:, 0]), pa.array(numbers[:, 1])], names=["word", "c", "a"])
-
-    return docs.mapInArrow(run, "word string, c long, a long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("a").alias("a"))
+        for batch in pieces(batches, "text"):
+            found, text = words(batch.column(0))
+            learnt = batch.column(1).to_numpy(zero_copy_only=False)
+            for kind in (True, False):
+                mine = pc.value_counts(found.filter(pa.array((learnt == kind)[text])))
+                word = pa.concat_arrays([mine.field("values").cast(pa.string()), pa.array([END])])
+                n = np.append(mine.field("counts").to_numpy(zero_copy_only=False), (learnt == kind).sum())
+                yield pa.RecordBatch.from_arrays([word, pa.array(n if kind else np.zeros_like(n)), pa.array(n)], names=["word", "c", "a"])
+
+    sums = docs.mapInArrow(run, "word string, c long, a long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("a").alias("a"))
+    return sums.where("a > 0")
 
 
 def open_class(word: Column) -> Column:
@@ -111,24 +95,26 @@ class Vocabulary:
 
     def __init__(self, hot: list, sums: dict, listed: int):
         hot = sorted(hot, key=lambda r: (-r["c"], r["word"]))
-        self.words = [r["word"].encode() for r in hot]
+        self.words = pa.array([r["word"] for r in hot], pa.large_string())
         self.count = np.array([r["c"] for r in hot], np.int64)
         # whole classes only, of words that training texts hold
         known = int((self.count > 0).sum())
         self.listed = min(listed, known // gru.PER_CLASS * gru.PER_CLASS)
         self.tokens, self.types = sums["tokens"] or 0, sums["types"] or 0
-        self.open_tokens, self.open_types = np.zeros(OPEN, np.int64), np.zeros(OPEN, np.int64)
-        for k in range(OPEN):
-            self.open_tokens[k], self.open_types[k] = sums[f"t{k}"] or 0, sums[f"v{k}"] or 0
-        kind = np.searchsorted(OPEN_FROM, [len(w) for w in self.words], side="right")
-        for k in range(OPEN):
-            mine = kind[: self.listed] == k
-            self.open_tokens[k] -= self.count[: self.listed][mine].sum()
-            self.open_types[k] -= mine.sum()
-        self.ids = np.where(np.arange(len(hot)) < self.listed, np.arange(len(hot)), self.listed + kind).astype(np.int32)
+        kind = self.kinds(self.words)
+        here = kind[: self.listed]
+        self.open_tokens = np.array([sums[f"t{k}"] or 0 for k in range(OPEN)]) - np.bincount(here, weights=self.count[: self.listed], minlength=OPEN).astype(np.int64)
+        self.open_types = np.array([sums[f"v{k}"] or 0 for k in range(OPEN)]) - np.bincount(here, minlength=OPEN)
+        own = np.arange(len(hot))
+        self.ids = np.where(own < self.listed, own, self.listed + kind).astype(np.int16)
         self.base = np.log10(self.count + ADDED)
-        share = self.base - self.open_size[kind]
-        self.inside = np.where(np.arange(len(hot)) < self.listed, 0.0, share)
+        self.inside = np.where(own < self.listed, 0.0, self.base - self.open_size[kind])
+        self.end = self.words.index(END).as_py()
+
+    @staticmethod
+    def kinds(found: pa.Array) -> np.ndarray:
+        """Open class by length."""
+        return np.searchsorted(OPEN_FROM, pc.binary_length(found).to_numpy(zero_copy_only=False), side="right")
 
     @property
     def base_size(self) -> float:
@@ -139,58 +125,108 @@ class Vocabulary:
         """Of each open class, log10 of its smoothed tokens."""
         return np.log10(self.open_tokens + ADDED * (self.open_types + 1))
 
-    def index(self) -> Index:
-        return Index(self.words)
-
-
-class Index(dict):
-    """Numbers of the broadcast words; any other word is minus one less its open class."""
-
-    def __init__(self, known: list[bytes]):
-        super().__init__(zip(known, range(len(known))))
-
-    def __missing__(self, word: bytes) -> int:
-        return -1 - int(np.searchsorted(OPEN_FROM, len(word), side="right"))
-
-    def of(self, stretch: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, stretch), np.int32, len(stretch))
+    def numbers(self, found: pa.Array) -> np.ndarray:
+        """Number of each word in the broadcast list, or -1."""
+        return pc.fill_null(pc.index_in(found, value_set=self.words), -1).to_numpy(zero_copy_only=False)
 
 
 def vocabulary(counts: DataFrame, hot_words: int = HOT_WORDS, listed: int = LISTED) -> Vocabulary:
+    """The commonest words, down to the least power of a sixteenth of two at which they still are ``hot_words`` at most."""
     kind, c = open_class(F.col("word")), F.col("c")
     per = [x for k in range(OPEN) for x in (F.sum(F.when(kind == k, c)).alias(f"t{k}"), F.count(F.when((kind == k) & (c > 0), 1)).alias(f"v{k}"))]
     sums = counts.agg(F.sum("c").alias("tokens"), F.count(F.when(c > 0, 1)).alias("types"), *per).first().asDict()
-    return Vocabulary(counts.orderBy(F.desc("a"), "word").limit(hot_words).collect(), sums, listed)
+    power = F.floor(F.log2("a") * 16)
+    least, room = 1 << 20, hot_words
+    for r in counts.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("power")).collect():
+        if r["n"] > room:
+            break
+        least, room = r["power"], room - r["n"]
+    return Vocabulary(counts.where((power >= least) | (F.col("word") == END)).collect(), sums, listed)
 
 
-def _ids(vocab: Vocabulary, index: Index, text: bytes):
-    """Per stretch of a text: the words, their numbers in the broadcast list, and the network's ids."""
-    for stretch in words(text):
-        at = index.of(stretch)
-        yield stretch, at, np.where(at >= 0, vocab.ids[at], vocab.listed - 1 - at).astype(np.int32)
+def tokenized(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """The rows (doc_id, held_out, text) as tokens, written once so that a row keeps its number ``rid``.
 
+    ``ids`` are the network's token ids of the text and its end, two bytes each; ``base``,
+    ``known`` and ``inside`` sum up what the broadcast words say, ``cold`` has the others.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(vocab)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, inside double, cold array<string>, ids binary, rid long"
 
-def trained(net: gru.Net, vocab: Vocabulary, docs: DataFrame) -> gru.Net:
-    """The average of the nets that the tasks train on their rows (text), from ``net``."""
-    sent = docs.sparkSession.sparkContext.broadcast((net.flat, vocab))
+    def run(batches):
+        vocab = sent.value
+        rid = TaskContext.get().partitionId() << 40
+        for batch in pieces(batches, "text"):
+            n = batch.num_rows
+            found, text = words(batch.column(2))
+            at = vocab.numbers(found)
+            cold = at < 0
+            ids = vocab.ids[at]
+            ids[cold] = vocab.listed + vocab.kinds(found.filter(pa.array(cold)))
+            size = np.bincount(text, minlength=n)
+            ends = np.cumsum(size)
+            ids = np.insert(ids, ends, vocab.ids[vocab.end])
+            hot, whose = at[~cold], text[~cold]
+            sums = [np.bincount(whose, weights=values[hot], minlength=n) + values[vocab.end] for values in (vocab.count > 0, vocab.base, vocab.inside)]
+            colds = np.concatenate([[0], np.cumsum(np.bincount(text[cold], minlength=n))])
+            blob = pa.py_buffer(ids.astype("<i2").tobytes())
+            offsets = pa.py_buffer(np.concatenate([[0], 2 * (ends + np.arange(1, n + 1))]).astype(np.int32).tobytes())
+            arrays = [
+                batch.column(0),
+                batch.column(1),
+                pa.array(size + 1),
+                pa.array(sums[0].astype(np.int64)),
+                pa.array(sums[1]),
+                pa.array(sums[2]),
+                pa.ListArray.from_arrays(pa.array(colds, pa.int32()), found.filter(pa.array(cold)).cast(pa.string())),
+                pa.Array.from_buffers(pa.binary(), n, [None, offsets, blob]),
+                pa.array(np.arange(rid, rid + n)),
+            ]
+            rid += n
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "known", "base", "inside", "cold", "ids", "rid"])
+
+    rows = docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
+    path = shared_folder(docs.sparkSession, "lm-tokens")
+    rows.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _portions(batches, column: int):
+    """Batches joined to portions of about ``TASK_TOKENS`` tokens: their rows, ids and lengths."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += pc.sum(pc.binary_length(batch.column(column))).as_py() // 2
+        if size >= TASK_TOKENS:
+            yield _portion(held, column)
+            held, size = [], 0
+    if held:
+        yield _portion(held, column)
+
+
+def _portion(held, column: int):
+    rows = pa.Table.from_batches(held).combine_chunks()
+    blobs = rows.column(column).combine_chunks()
+    if isinstance(blobs, pa.ChunkedArray):
+        blobs = blobs.chunk(0)
+    lengths = pc.binary_length(blobs).to_numpy(zero_copy_only=False) // 2
+    begin = np.frombuffer(blobs.buffers()[1], np.int32)[blobs.offset]
+    ids = np.frombuffer(blobs.buffers()[2], "<i2", count=int(lengths.sum()), offset=int(begin)).astype(np.int32)
+    return rows, ids, lengths.astype(np.int64)
+
+
+def trained(net: gru.Net, end: int, tokens: DataFrame) -> gru.Net:
+    """The average of the nets that the tasks train on their rows (ids), from ``net``."""
+    sent = tokens.sparkSession.sparkContext.broadcast(net.flat)
     shape = (net.listed, net.open, net.hidden)
 
     def learn(batches):
-        start, vocab = sent.value
-        index, own = vocab.index(), gru.Trainer(gru.Net(*shape, start.copy()))
-        end = np.array([vocab.ids[index[END.encode()]]], np.int32)
-        held, starts, size = [], [], 0
-        for batch in batches:
-            for text in texts(batch, 0):
-                starts.append(size)
-                for part in [*(ids for _, _, ids in _ids(vocab, index, text)), end]:
-                    held.append(part)
-                    size += len(part)
-                if size >= TASK_TOKENS:
-                    own.learn(np.concatenate(held), np.array(starts), int(end[0]))
-                    held, starts, size = [], [], 0
-        if size:
-            own.learn(np.concatenate(held), np.array(starts), int(end[0]))
+        start = sent.value
+        own = gru.Trainer(gru.Net(*shape, start.copy()))
+        for _, ids, lengths in _portions(batches, 0):
+            own.learn(ids, np.cumsum(lengths) - lengths, end)
         if own.tokens:
             for b in range(0, len(start), BLOCK):
                 weights = own.net.flat[b : b + BLOCK].astype(np.float64) * own.tokens
@@ -212,7 +248,7 @@ def trained(net: gru.Net, vocab: Vocabulary, docs: DataFrame) -> gru.Net:
     def row(block, weights):
         return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([weights])], names=["block", "weights"])
 
-    parts = docs.select("text").mapInArrow(learn, "block long, task long, tokens long, weights array<double>")
+    parts = tokens.select("ids").mapInArrow(learn, "block long, task long, tokens long, weights array<double>")
     blocks = parts.repartition("block").sortWithinPartitions("block", "task").mapInArrow(add, "block long, weights array<double>")
     got = blocks.orderBy("block").collect()  # one model
     if not got:
@@ -220,69 +256,32 @@ def trained(net: gru.Net, vocab: Vocabulary, docs: DataFrame) -> gru.Net:
     return gru.Net(*shape, np.concatenate([np.array(r["weights"]) for r in got]).astype(np.float32))
 
 
-def fit(docs: DataFrame, vocab: Vocabulary) -> gru.Net | None:
-    """The network after both passes over the training rows (doc_id, text); None where they hold too few words for one class."""
+def fit(tokens: DataFrame, vocab: Vocabulary) -> gru.Net | None:
+    """The network after both passes over the training rows; None where they hold too few words for one class."""
     if not vocab.listed:
         return None
     net = gru.Net.started(vocab.count[: vocab.listed].astype(np.float64), vocab.open_tokens.astype(np.float64), HIDDEN)
-    early = F.pmod(F.xxhash64("doc_id", "text"), F.lit(FIRST_PASS)) == 0
-    for rows in docs.where(early), docs.where(~early):
-        net = trained(net, vocab, rows)
+    early = F.pmod(F.xxhash64("doc_id", "rid"), F.lit(FIRST_PASS)) == 0
+    for rows in tokens.where(early), tokens.where(~early):
+        net = trained(net, int(vocab.ids[vocab.end]), rows)
     return net
 
 
-def measure(docs: DataFrame, vocab: Vocabulary, net: gru.Net | None) -> DataFrame:
-    """doc_id, held_out, n_tokens, known, base, score of every row by the broadcast words, and its other words with their counts (``cold``, ``times``)."""
-    sent = docs.sparkSession.sparkContext.broadcast((net.flat if net else None, vocab))
-    shape = (net.listed, net.open, net.hidden) if net else None
+def scored(tokens: DataFrame, net: gru.Net, end: int) -> DataFrame:
+    """The tokenized rows without ids and cold words, with ``log``, the network's log10 probability of the whole text."""
+    sent = tokens.sparkSession.sparkContext.broadcast(net.flat)
+    shape = (net.listed, net.open, net.hidden)
+    names = [c for c in tokens.columns if c not in ("ids", "cold")]
 
     def run(batches):
-        weights, vocab = sent.value
-        index, model = vocab.index(), gru.Net(*shape, weights) if shape else None
-        end = index[END.encode()]
-        rid = TaskContext.get().partitionId() << 40
-        rows: list[tuple] = []
-        held: list[np.ndarray] = []
-        size = 0
-
-        def out():
-            nonlocal rid
-            lengths = np.array([r[2] for r in rows], np.int64)
-            logs = gru.score(model, np.concatenate(held), lengths, int(vocab.ids[end])) / np.log(10) if model else np.zeros(len(rows))
-            ids = np.arange(rid, rid + len(rows))
-            rid += len(rows)
-            columns = list(zip(*rows))
-            score = np.array(columns[5]) + logs
-            arrays = [pa.array(columns[0], kind), pa.array(columns[1]), pa.array(lengths), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.float64()), pa.array(score)]
-            arrays += [pa.array(columns[6], pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array(columns[7], pa.list_(pa.int64())), pa.array(ids)]
-            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "known", "base", "score", "cold", "times", "rid"])
+        model = gru.Net(*shape, sent.value)
+        for rows, ids, lengths in _portions(batches, len(names)):
+            logs = gru.score(model, ids, lengths, end) / np.log(10)
+            out = rows.drop_columns(["ids"]).append_column("log", pa.array(logs))
+            yield from out.to_batches()
 
-        for batch in batches:
-            kind = batch.column(0).type
-            for doc_id, held_out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch, 2)):
-                cold: dict[bytes, int] = {}
-                n, known, base, inside = 1, int(vocab.count[end] > 0), float(vocab.base[end]), float(vocab.inside[end])
-                for stretch, at, ids in _ids(vocab, index, text):
-                    hot = at[at >= 0]
-                    known += int((vocab.count[hot] > 0).sum())
-                    base += float(vocab.base[hot].sum())
-                    inside += float(vocab.inside[hot].sum())
-                    for w in compress(stretch, (at < 0).tolist()):
-                        cold[w] = cold.get(w, 0) + 1
-                    n += len(stretch)
-                    held.append(ids)
-                held.append(vocab.ids[end : end + 1])
-                rows.append((doc_id, held_out, n, known, base, inside, list(cold), list(cold.values())))
-                size += n
-                if size >= TASK_TOKENS:
-                    yield out()
-                    rows, held, size = [], [], 0
-        if rows:
-            yield out()
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    names = f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, cold array<string>, times array<long>, rid long"
-    return docs.select("doc_id", "held_out", "text").mapInArrow(run, names)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tokens.select(*names).schema.fields) + ", log double"
+    return tokens.select(*names, "ids").mapInArrow(run, schema)
 
 
 def score_documents(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
@@ -292,27 +291,28 @@ def score_documents(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
     and so learnt from.  A null or empty text is its end token alone; repeated rows are learnt
     from and scored each.  Where no text is learnt from, the base gives every token
     probability 1; where training texts have fewer than ``gru.PER_CLASS`` different words,
-    there is no network and the score is the base score.  A text is read in stretches and its state carried on, so a task holds one id and
-    one probability a token of a long text; its recurrence is sequential.  Other columns are
-    not read, whatever their names.  An empty table gives no rows.
+    there is no network and the score is the base score.  A text is cut into words whole, in
+    some ten times its bytes, and its recurrence is sequential.  Other columns are not read,
+    whatever their names.  An empty table gives no rows.
     """
     held = F.coalesce(crc32_mod(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), held.alias("held_out"))
     counts = written(count_words(rows.select("text", (~F.col("held_out")).alias("learnt"))), "lm-counts")
     vocab = vocabulary(counts, hot_words)
-    net = fit(rows.where("not held_out"), vocab)
-    first = written(measure(rows, vocab, net), "lm-first")  # written once, so that a row keeps its number
-    cold = first.select("rid", F.explode(F.arrays_zip("cold", "times")).alias("x")).select("rid", F.col("x.cold").alias("word"), F.col("x.times").alias("times"))
+    if vocab.end is None or vocab.end < 0:  # no rows
+        return rows.select("doc_id", "held_out", *[F.lit(0).cast("long").alias(c) for c in ("n_tokens", "n_known", "train_tokens")], *[F.lit(0.0).alias(c) for c in ("base_score", "score")]).limit(0)
+    tokens = tokenized(rows, vocab)
+    net = fit(tokens.where("not held_out").select("doc_id", "rid", "ids"), vocab)
+    first = scored(tokens, net, int(vocab.ids[vocab.end])) if net else tokens.drop("ids", "cold")
+    cold = tokens.select("rid", F.explode("cold").alias("word"))
     known = cold.join(counts.select("word", "c"), "word", "left")
     c = F.coalesce("c", F.lit(0))
     size = F.get(F.array(*[F.lit(float(x)) for x in vocab.open_size]), open_class(F.col("word")))
     log = F.log10(c + F.lit(ADDED))
-    more = known.groupBy("rid").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * log).alias("more_base"), F.sum(F.col("times") * (log - size)).alias("more_score")
-    )
-    out = first.drop("cold", "times").join(more, "rid", "left")
+    more = known.groupBy("rid").agg(F.count(F.when(c > 0, 1)).alias("more_known"), F.sum(log).alias("more_base"), F.sum(log - size).alias("more_score"))
+    out = first.join(more, "rid", "left")
     base = F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(vocab.base_size)
-    score = F.col("score") + F.coalesce("more_score", F.lit(0.0)) if net else base
+    score = F.col("log") + F.col("inside") + F.coalesce("more_score", F.lit(0.0)) if net else base
     return out.select(
         "doc_id",
         "held_out",
