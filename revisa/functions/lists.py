@@ -54,11 +54,14 @@ def classify_change(old, new) -> Column:
 
 
 def classify_frame(df, old: str, new: str, out: str = "change_class"):
-    """Add the change class of two list cells, parsing each cell once: the parsed arrays
-    are projected first (an expensive projection referenced several times is not
-    inlined by the optimizer), then classified."""
-    tmp = df.withColumn("_o_entries", split_segments(old)).withColumn("_u_entries", split_segments(new)).withColumn("_o_absent", norm(old).isNull())
-    return tmp.withColumn(out, classify_entries("_o_entries", "_u_entries", F.col("_o_absent"))).drop("_o_entries", "_u_entries", "_o_absent")
+    """Add the change class of two list cells, parsing each changed cell once: cells that
+    are equal once normalised are not parsed, and the parsed arrays are projected first (an
+    expensive projection referenced several times is not inlined by the optimizer)."""
+    same = norm(old).eqNullSafe(norm(new))
+    parsed = [F.when(~F.col("_same"), split_segments(c)).alias(n) for c, n in ((old, "_o_entries"), (new, "_u_entries"))]
+    tmp = df.withColumn("_same", same).select("*", *parsed).withColumn("_o_absent", norm(old).isNull())
+    told = F.when(F.col("_same"), F.lit("whitespace")).otherwise(classify_entries("_o_entries", "_u_entries", F.col("_o_absent")))
+    return tmp.withColumn(out, told).drop("_same", "_o_entries", "_u_entries", "_o_absent")
 
 
 def classify_entries(o, u, old_absent) -> Column:

@@ -1,13 +1,15 @@
 """SCL-08 match text: NFKC, no whitespace / separators / punctuation, lower case.
 
-Spark has no NFKC built-in, so the normalisation step is an Arrow UDF (one vectorised
-call per batch); the rest is built-in expressions.
+Spark has no NFKC built-in, so the normalisation step is an Arrow UDF; the rest is built-in
+expressions.  Arrow's own ``utf8_normalize`` leaves composed characters decomposed under NFKC
+(and NFC), so each distinct value of a batch goes through ``unicodedata``.
 """
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -20,7 +22,9 @@ DROP = r"[\t-\r\x1c-\x20\x85\p{Z}\p{P}]"
 
 @arrow_udf(StringType())
 def nfkc(s: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(s, form="NFKC")
+    values = s.dictionary_encode()
+    plain = pa.array([unicodedata.normalize("NFKC", v) for v in values.dictionary.to_pylist()], pa.string())
+    return plain.take(values.indices)
 
 
 def match_text(c) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revisa.functions import text as T
+from revisa.operators.positions import positioned
 
 INT_TEXT = r"^[+-]?[0-9]+$"
 
@@ -26,8 +27,9 @@ def sort_keys(df: DataFrame, major: str, minor: str) -> DataFrame:
 
 
 def sort_release(df: DataFrame, major: str, minor: str) -> DataFrame:
-    """SRT-03: the release table in (major, minor, row) order (range-partitioned sort)."""
-    return sort_keys(df, major, minor).orderBy(F.coalesce("major_key", F.lit(0)), F.coalesce("minor_key", F.lit(0)), "ord")
+    """SRT-03: the release table with its ``position`` in (major, minor, row) order."""
+    keyed = sort_keys(df, major, minor)
+    return positioned(keyed, [F.coalesce("major_key", F.lit(0)), F.coalesce("minor_key", F.lit(0)), F.col("ord")])
 
 
 def typed_release(df: DataFrame, int_columns, columns, keep=()) -> DataFrame:
@@ -46,19 +48,27 @@ def public_projection(df: DataFrame, marker: str) -> DataFrame:
     return df.select(*cols[: cols.index(marker)]) if marker in cols else df
 
 
-def carry_forward(previous: dict, names) -> tuple[dict, DataFrame]:
-    """SNK-08 (Q1 decided: every present table is copied): tables to copy and a status
-    row per name (``copied`` with its row count, or ``missing``)."""
+def public_tables(tables: dict, release_table: str, marker: str, internal=()) -> dict:
+    """SNK-07: the public set of tables: the release trimmed at its marker, internal tables left out."""
+    return {n: public_projection(df, marker) if n == release_table else df for n, df in tables.items() if n not in set(internal)}
+
+
+def carry_forward(previous: dict, names, base: str) -> tuple[dict, DataFrame]:
+    """SNK-08 (Q1 decided: every present table is copied): the tables copied below ``base``, and a
+    status row per name: ``copied`` with number and digest of the copied rows, or ``missing``."""
+    from revisa.sources.tables import copied
+
     spark = next(iter(previous.values())).sparkSession
-    copied = {n: previous[n] for n in names if n in previous}
-    parts = [previous[n].groupBy().count().select(F.lit(n).alias("table_name"), F.lit("copied").alias("status"), F.col("count").alias("n_rows")) for n in copied]
-    missing = [n for n in names if n not in previous]
-    if missing:
-        parts.append(spark.createDataFrame([(n, "missing", None) for n in missing], "table_name string, status string, n_rows bigint"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return copied, out
+    rows, tables = [], {}
+    for n in names:
+        if n in previous:
+            path = f"{base.rstrip('/')}/{n}"
+            told = copied(previous[n], path, n, n).first()
+            tables[n] = spark.read.schema(previous[n].schema).parquet(path)
+            rows.append((n, "copied", told["n_rows"], told["digest"]))
+        else:
+            rows.append((n, "missing", None, None))
+    return tables, spark.createDataFrame(rows, "table_name string, status string, n_rows bigint, digest string")
 
 
 def changelog_append(log: DataFrame, when: str, who: str, what: str) -> DataFrame:
@@ -117,6 +127,7 @@ WARNING_LINE = "-- WARNING: errors were reported; review the issue table before
 
 
 def stage_order(names: DataFrame) -> DataFrame:
-    """SNK-06: stage files in natural order; only ``<prefix>_<n>...sql`` names count."""
+    """SNK-06: stage files in natural order with their ``position``; only ``<prefix>_<n>...sql`` names count."""
     n = F.regexp_extract("name", r"^stage_(\d+).*\.sql$", 1)
-    return names.where(F.col("name").rlike(r"^stage_\d+.*\.sql$")).select("name", n.cast("bigint").alias("stage_num")).orderBy("stage_num", "name")
+    found = names.where(F.col("name").rlike(r"^stage_\d+.*\.sql$")).select("name", n.cast("bigint").alias("stage_num"))
+    return positioned(found, [F.col("stage_num"), F.col("name")]).orderBy("position")

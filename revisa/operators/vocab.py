@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revisa.functions import text as T
+from revisa.operators.positions import positioned
 
 # Issue texts of the vocabulary check.
 MSG_BLANK = "Column '{col}' must not be blank; select a value from 'Column Values'."
@@ -148,9 +149,15 @@ def build(literal_lists: dict, table_columns: list[tuple[str, DataFrame, str, st
 
 
 def sort_vocab(vocab: DataFrame, case_sensitive: bool = False) -> DataFrame:
-    """SRT-01 / SRT-02: order by trimmed value (case-insensitive by default), then row."""
+    """SRT-01 / SRT-02: ``position`` by column, trimmed value (case-insensitive by default) and row."""
     key = T.norm("value") if case_sensitive else F.lower(T.norm("value"))
-    return vocab.withColumn("sort_key", key).orderBy("col", "sort_key", "ord")
+    return positioned(vocab.withColumn("sort_key", key), [F.col("col"), F.col("sort_key"), F.col("ord")]).orderBy("position")
+
+
+def insert_order(values: DataFrame) -> DataFrame:
+    """SRT-04: new values with their ``position`` by column and value, without regard to case."""
+    keyed = values.withColumn("col_key", F.lower("col")).withColumn("value_key", F.lower("value"))
+    return positioned(keyed, [F.col("col_key"), F.col("value_key"), F.col("col"), F.col("value")]).orderBy("position")
 
 
 def route_inserts(new_values: DataFrame, routes: DataFrame) -> DataFrame:

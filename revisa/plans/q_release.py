@@ -15,6 +15,7 @@ from revisa.plans import q_changes as qc
 from revisa.plans import q_vocab as qv
 from revisa.plans.q_revision import SPEC, r_frames
 from revisa.plans.registry import register
+from revisa.sources import publish as pub
 from revisa.sources import tables as src
 
 INT_COLS = ("sort_major", "sort_minor")
@@ -31,14 +32,15 @@ def _key_sql(c):
     "sort_release",
     S.with_fixtures(
         ["rev_updated"],
-        f"SELECT ord, {_key_sql('sort_major')} AS major_key, {_key_sql('sort_minor')} AS minor_key, nullif(concat_ws('; ', "
+        f"SELECT ord, {_key_sql('sort_major')} AS major_key, {_key_sql('sort_minor')} AS minor_key, "
+        f"row_number() OVER (ORDER BY coalesce({_key_sql('sort_major')}, 0), coalesce({_key_sql('sort_minor')}, 0), ord) AS position, nullif(concat_ws('; ', "
         f"CASE WHEN {_key_sql('sort_major')} IS NULL THEN 'Non-integer sort value in ''sort_major'': ' || sort_major END, "
         f"CASE WHEN {_key_sql('sort_minor')} IS NULL THEN 'Non-integer sort value in ''sort_minor'': ' || sort_minor END), '') AS sort_error FROM rev_updated",
     ),
 )
 def sort_release(spark, sf_dir):
     u = fx.rev_updated(spark, sf_dir)
-    return rl.sort_release(u, "sort_major", "sort_minor").select("ord", "major_key", "minor_key", "sort_error")
+    return rl.sort_release(u, "sort_major", "sort_minor").select("ord", "major_key", "minor_key", "position", "sort_error")
 
 
 @register(
@@ -60,20 +62,31 @@ def public_projection(spark, sf_dir):
     return rl.public_projection(fx.rev_original(spark, sf_dir), PUBLIC_MARKER)
 
 
-CARRY = ["nation", "region", "changelog"]
+CARRY = ["nation", "region", "documents", "changelog"]
+
+
+def _digest_sql(columns, source: str, name: str, status: str | None = None) -> str:
+    """Number and digest of the rows of a table (see :mod:`revisa.sources.digest`)."""
+    row = " || ".join(f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in columns)
+    sums = " || '-' || ".join(f"coalesce(sum(('0x' || substr(h, {at}, 15))::BIGINT::HUGEINT), 0)::VARCHAR" for at in (1, 16))
+    told = f", '{status}' AS status" if status else ""
+    return f"SELECT '{name}' AS table_name{told}, count(*) AS n_rows, {sums} AS digest FROM (SELECT md5({row}) AS h FROM {source})"
+
+
+_TABLE_COLS = {
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "region": ["r_regionkey", "r_name"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+}
 
 
 @register(
     "carry_forward",
-    S.with_fixtures(
-        [],
-        "SELECT 'nation' AS table_name, 'copied' AS status, count(*) AS n_rows FROM nation UNION ALL SELECT 'region', 'copied', count(*) FROM region "
-        "UNION ALL SELECT 'changelog', 'missing', NULL",
-    ).replace("WITH \n", ""),
+    " UNION ALL ".join(_digest_sql(c, t, t, "copied") for t, c in _TABLE_COLS.items()) + " UNION ALL SELECT 'changelog', 'missing', NULL, NULL",
 )
 def carry_forward(spark, sf_dir):
-    prev = {t: fx.table(spark, sf_dir, t) for t in ("nation", "region", "supplier")}
-    return rl.carry_forward(prev, CARRY)[1]
+    prev = {t: fx.table(spark, sf_dir, t) for t in _TABLE_COLS}
+    return rl.carry_forward(prev, CARRY, _scratch(spark))[1]
 
 
 def _changelog(spark, sf_dir):
@@ -110,22 +123,23 @@ def _scratch(spark):
     return src.shared_path(spark, "revisa-out", uuid.uuid4().hex)
 
 
-@register(
-    "snapshot_counts",
-    S.with_fixtures(["rev_original"], f"SELECT 'entries' AS table_name, count(*) AS n_rows FROM rev_original UNION ALL SELECT 'entries_{STAMP}', count(*) FROM rev_original"),
-)
+def _both_digests(columns) -> str:
+    return S.with_fixtures(["rev_original"], " UNION ALL ".join(_digest_sql(columns, "rev_original", n) for n in ("entries", f"entries_{STAMP}")))
+
+
+@register("snapshot_counts", _both_digests(["ord", *SPEC.columns]))
 def snapshot_counts(spark, sf_dir):
     return src.snapshot(fx.rev_original(spark, sf_dir), _scratch(spark), "entries", STAMP)[1]
 
 
-@register(
-    "restore_counts",
-    S.with_fixtures(["rev_original"], f"SELECT 'entries_{STAMP}' AS table_name, count(*) AS n_rows FROM rev_original UNION ALL SELECT 'entries', count(*) FROM rev_original"),
-)
+RESTORED = ["ord", "id", "sort_major", "name"]
+
+
+@register("restore_counts", _both_digests(RESTORED))
 def restore_counts(spark, sf_dir):
     base = _scratch(spark)
     src.snapshot(fx.rev_original(spark, sf_dir), base, "entries", STAMP)
-    return src.restore(spark, base, f"entries_{STAMP}", ["ord", "id", "sort_major", "name"], "entries")
+    return src.restore(spark, base, f"entries_{STAMP}", RESTORED, "entries")
 
 
 @register("map_columns", S.with_fixtures(["rev_original"], "SELECT ord, " + ", ".join(f"{c} AS {t}" for c, t in SPEC.updatable) + " FROM rev_original"))
@@ -133,7 +147,7 @@ def map_columns(spark, sf_dir):
     return rl.map_columns(fx.rev_original(spark, sf_dir), SPEC.updatable, keep=("ord",))
 
 
-WIDTH_COLS = ("text", "lang", "source")
+WIDTH_COLS = ("doc_id", "text", "lang", "source", "n_chars")
 _BREAKS_SQL = "\\r\\n|[\\n\\x0b\\x0c\\r\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]"
 
 
@@ -181,29 +195,48 @@ def _stages_sql() -> str:
     return " UNION ALL ".join(sel)
 
 
+def _published(spark, sf_dir) -> str:
+    path = _scratch(spark)
+    pub.publish(rl.change_set_stages(_rendered(spark, sf_dir)), path)
+    return path
+
+
 @register("change_set_stages", _stages_sql())
 def change_set_stages(spark, sf_dir):
-    return rl.change_set_stages(_rendered(spark, sf_dir))
+    """The change set, published and read back."""
+    return pub.read_statements(spark, _published(spark, sf_dir))
 
 
 @register(
     "stage_order",
-    "SELECT DISTINCT 'stage_' || cast(stage AS varchar) || '_' || label || '.sql' AS name, cast(stage AS bigint) AS stage_num FROM (" + _stages_sql() + ")",
+    "SELECT name, stage_num, n_rows, row_number() OVER (ORDER BY stage_num) AS position FROM (SELECT 'stage_' || cast(k AS varchar) || '_' || l AS name, cast(k AS bigint) AS stage_num, "
+    "count(stage) AS n_rows FROM (VALUES (0, 'column_value_inserts.sql'), (1, 'deletes.sql'), (2, 'updates.sql'), (3, 'inserts.sql')) v(k, l) LEFT JOIN ("
+    + _stages_sql()
+    + ") s ON s.stage = v.k GROUP BY k, l)",
 )
 def stage_order(spark, sf_dir):
-    st = rl.change_set_stages(_rendered(spark, sf_dir))
-    names = st.select(F.concat(F.lit("stage_"), F.col("stage").cast("string"), F.lit("_"), F.col("label"), F.lit(".sql")).alias("name")).distinct()
-    return rl.stage_order(names)
+    """The stage files of a published set, in the order to apply them, from its manifest alone."""
+    manifest = pub.read_manifest(spark, _published(spark, sf_dir))
+    return rl.stage_order(manifest.select("name")).join(manifest.select("name", "n_rows"), "name")
 
 
 DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-@register("src_flatfile_roundtrip", "SELECT " + ", ".join(f"cast({c} AS varchar) AS {c}" for c in DOC_COLS) + " FROM documents")
+_TRICKY = "CASE WHEN doc_id % 7 = 3 THEN 'say \"' || source || '\", \\ and' || chr(13) || chr(10) || '\"' || lang || '\"' || chr(10) ELSE source END"
+
+
+@register("src_flatfile_roundtrip", "SELECT " + ", ".join(f"cast({_TRICKY if c == 'source' else c} AS varchar) AS {c}" for c in DOC_COLS) + " FROM documents")
 def src_flatfile_roundtrip(spark, sf_dir):
     path = _scratch(spark) + "/documents.txt"
-    src.write_dump(fx.table(spark, sf_dir, "documents"), path)
-    return src.read_written_dump(spark, path, DOC_COLS)
+    src.write_dump(_tricky(fx.table(spark, sf_dir, "documents")), path)
+    return src.read_dump(spark, path, DOC_COLS, escape='"')
+
+
+def _tricky(documents):
+    """Documents with quotes, backslashes and line breaks in some fields."""
+    quoted = F.concat(F.lit('say "'), F.col("source"), F.lit('", \\ and\r\n"'), F.col("lang"), F.lit('"\n'))
+    return documents.withColumn("source", F.when(F.col("doc_id") % 7 == 3, quoted).otherwise(F.col("source")))
 
 
 R_COLS = ["ord", *SPEC.columns]

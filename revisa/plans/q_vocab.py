@@ -130,16 +130,20 @@ def vocab_build(spark, sf_dir):
     return vc.build({"kind": ["E", "A"]}, [("segment", cust, "c_mktsegment", "c_custkey")], spark)
 
 
-@register("sort_vocab", v_sql(f"SELECT col, value, ord, lower({S.norm('value')}) AS sort_key FROM vocab_updated"))
+@register("sort_vocab", v_sql(f"SELECT col, value, ord, lower({S.norm('value')}) AS sort_key, row_number() OVER (ORDER BY col, lower({S.norm('value')}), ord) AS position FROM vocab_updated"))
 def sort_vocab(spark, sf_dir):
     return vc.sort_vocab(frames(spark, sf_dir)[1])
 
 
-@register("vocab_insert_order", v_sql(f"SELECT col, value, min(ord) AS first_ord, count(*) AS n_rows, lower(col) AS col_key, lower(value) AS value_key FROM ({_ADDED}) GROUP BY col, value"))
+@register(
+    "vocab_insert_order",
+    v_sql(
+        "SELECT col, value, min(ord) AS first_ord, count(*) AS n_rows, lower(col) AS col_key, lower(value) AS value_key, "
+        f"row_number() OVER (ORDER BY lower(col), lower(value), col, value) AS position FROM ({_ADDED}) GROUP BY col, value"
+    ),
+)
 def vocab_insert_order(spark, sf_dir):
-    o, u = frames(spark, sf_dir)
-    a = vc.per_value(vc.added(o, u))
-    return a.withColumn("col_key", F.lower("col")).withColumn("value_key", F.lower("value")).orderBy("col_key", "value_key")
+    return vc.insert_order(vc.per_value(vc.added(*frames(spark, sf_dir))))
 
 
 _ROUTES_SQL = " UNION ALL ".join(f"SELECT {S.q(a)} AS col, {S.q(b)} AS table_name, {S.q(c)} AS target_columns" for a, b, c in ROUTES)

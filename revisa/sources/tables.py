@@ -6,14 +6,18 @@ float never turns into an int, a date never into a timestamp).
 
 from __future__ import annotations
 
+import csv
+import io
 import re
-import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
-from revisa.session import checkpoint_dir
+from revisa.sources import digest as dg
+from revisa.sources import records as rec
+from revisa.sources.shared import shared_path, written_once  # noqa: F401
 
 
 # The text tokens a pandas reader treats as missing by default
@@ -33,25 +37,44 @@ def read_dump(
 ) -> DataFrame:
     """SRC-01: headed, delimited UTF-8 dump as all strings (quoted newlines allowed).
 
-    A missing path gives an empty frame (the caller records a WARNING issue).
-    ``python_escapes`` reads backslash escapes the way a Python ``csv`` reader with
-    ``escapechar='\\'`` does: a backslash before any character is dropped (Spark keeps it
-    outside quotes).  A blank field is absent (null) either way.
+    A missing path gives an empty frame (the caller records a WARNING issue).  Large files
+    are read by many tasks, also where quoted fields hold line breaks
+    (:mod:`revisa.sources.records`).  ``python_escapes`` reads fields the way a Python ``csv``
+    reader with ``escapechar='\\'`` does: a backslash before any character is dropped (Spark
+    keeps it outside quotes).  A blank field is absent (null) either way.
     """
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
         return spark.createDataFrame([], string_schema(columns))
-    reader = spark.read.schema(string_schema(columns)).option("header", True).option("sep", sep).option("multiLine", True).option("escape", escape)
-    df = reader.csv(path)
-    if python_escapes:
-        df = df.select(*[F.regexp_replace(F.col(c), r"(?s)\\(.)", "$1").alias(c) for c in df.columns])
+    found = rec.records(spark, path, sep, escape).where("not _header")
+    df = _python_fields(found, columns, sep, escape) if python_escapes else _spark_fields(found, columns, sep, escape)
     if null_tokens is not None:
         tokens = [null_tokens] if isinstance(null_tokens, str) else list(null_tokens)
         df = df.select(*[F.when(~F.col(c).isin(tokens), F.col(c)).alias(c) for c in df.columns])
     return df
 
 
+def _spark_fields(found: DataFrame, columns, sep: str, escape: str) -> DataFrame:
+    ddl = ", ".join(f"`{c}` string" for c in columns)
+    options = {"sep": sep, "escape": escape, "multiLine": "true"}
+    return found.select(F.from_csv("text", ddl, options).alias("r")).select(*[F.col("r")[c].alias(c) for c in columns])
+
+
+def _python_fields(found: DataFrame, columns, sep: str, escape: str) -> DataFrame:
+    n = len(columns)
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for text in batch.column(0).to_pylist():
+                fields = next(csv.reader(io.StringIO(text, newline=""), delimiter=sep, escapechar=escape), [])
+                rows.append([*(f or None for f in fields[:n]), *[None] * (n - len(fields))])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)] if rows else [pa.array([], pa.string())] * n, names=list(columns))
+
+    return found.select("text").mapInArrow(run, string_schema(columns))
+
+
 def read_by_suffix(spark: SparkSession, path: str, columns) -> DataFrame:
     """SRC-04: ``.csv`` is comma-separated, ``.txt`` tab-separated; any other suffix fails."""
     low = path.lower().rstrip("/")
@@ -66,12 +89,13 @@ def read_by_suffix(spark: SparkSession, path: str, columns) -> DataFrame:
 
 def write_dump(df: DataFrame, path: str, sep: str = "\t") -> None:
     """Write a headed delimited dump (quotes doubled, quoted fields may span lines)."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"').option("quoteAll", True).csv(path)
+    whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}  # the writer trims by default
+    df.write.mode("overwrite").options(header=True, sep=sep, escape='"', quoteAll=True, **whole).csv(path)
 
 
 def read_written_dump(spark: SparkSession, path: str, columns, sep: str = "\t") -> DataFrame:
-    """Read back what :func:`write_dump` wrote."""
-    return spark.read.schema(string_schema(columns)).option("header", True).option("sep", sep).option("multiLine", True).option("escape", '"').csv(path)
+    """Read back what :func:`write_dump` wrote (quotes doubled)."""
+    return read_dump(spark, path, columns, sep=sep, escape='"')
 
 
 def open_table(spark: SparkSession, locator: str, name: str, columns=None, jdbc_properties: dict | None = None) -> DataFrame:
@@ -104,32 +128,30 @@ def safe_identifier(name: str) -> str:
     return name
 
 
-def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the session's shared checkpoint folder (never a machine-local one)."""
-    return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])
-
-
-def written_once(df: DataFrame, name: str) -> DataFrame:
-    """The rows written as Parquet in the shared folder and read back: cuts lineage, keeps column pruning."""
-    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def snapshot(df: DataFrame, base: str, table: str, stamp: str) -> tuple[str, DataFrame]:
-    """SNK-10: write ``<table>_<yyyyMMdd>`` and return its path and both row counts."""
+    """SNK-10: write ``<table>_<yyyyMMdd>``; returns its path, and for the table and the copy the
+    number and digest of the rows, observed in the job that writes them."""
     name = f"{safe_identifier(table)}_{stamp}"
     if not re.fullmatch(r"\d{8}", stamp):
         raise ValueError("snapshot stamp must be yyyyMMdd")
     path = f"{base.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    return path, _row_count(df, table).unionByName(_row_count(back, name))
+    return path, copied(df, path, table, name)
 
 
-def _row_count(df: DataFrame, name: str) -> DataFrame:
-    """One row (table_name, n_rows), also for an empty table."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+def copied(df: DataFrame, path: str, table: str, name: str) -> DataFrame:
+    """Replace the table at ``path`` by the rows of ``df``; AGG-12: (table_name, n_rows, digest) of source and copy.
+
+    Both are observed in the write; the copy's own row count is read from its file footers
+    (no column is read) and must agree.
+    """
+    spark = df.sparkSession
+    rows, seen = dg.observed(df)
+    rows.write.mode("overwrite").parquet(path)
+    got = seen.get
+    there = spark.read.schema(df.schema).parquet(path).count()
+    if there != got["rows"]:
+        raise RuntimeError(f"{path} has {there} rows of {got['rows']}")
+    return dg.digest_rows(spark, [(n, got["rows"], dg.digest_text(got)) for n in (table, name)])
 
 
 BACKUP_NAME = re.compile(r".+_\d{8}")
@@ -137,7 +159,7 @@ BACKUP_NAME = re.compile(r".+_\d{8}")
 
 def restore(spark: SparkSession, base: str, backup: str, columns, target: str) -> DataFrame:
     """SNK-11: the backup name must end in ``_yyyyMMdd``; the target table is replaced by
-    the backup's rows in a fixed projection; returns both row counts.
+    the backup's rows in a fixed projection; returns row counts and digest of both.
 
     The rows are first written whole to a staging folder beside the target, then swapped in
     by renames, so a failed write leaves the target as it was."""
@@ -146,23 +168,31 @@ def restore(spark: SparkSession, base: str, backup: str, columns, target: str) -
     src = spark.read.parquet(f"{base.rstrip('/')}/{backup}").select(*columns)
     target_path = f"{base.rstrip('/')}/{safe_identifier(target)}"
     staging = f"{target_path}.staging"
-    src.write.mode("overwrite").parquet(staging)
+    told = copied(src, staging, backup, target)
     _swap_in(spark, staging, target_path)
-    return _row_count(src, backup).unionByName(_row_count(spark.read.schema(src.schema).parquet(target_path), target))
+    return told
 
 
 def _swap_in(spark: SparkSession, staging: str, target: str) -> None:
-    """Replace folder ``target`` by ``staging``: the old one steps aside and goes last."""
+    """Replace folder ``target`` by ``staging``: the old one steps aside and goes last.
+
+    A swap that was broken off after the old folder had stepped aside left its only copy
+    there; it is put back first.
+    """
     jvm = spark.sparkContext._jvm
-    paths = [jvm.org.apache.hadoop.fs.Path(p) for p in (staging, target, f"{target}.old")]
-    fs = paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(paths[2], True)
-    if fs.exists(paths[1]) and not fs.rename(paths[1], paths[2]):
+    new, now, aside = [jvm.org.apache.hadoop.fs.Path(p) for p in (staging, target, f"{target}.old")]
+    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(aside):
+        if fs.exists(now):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, now):
+            raise RuntimeError(f"cannot put {target} back")
+    if fs.exists(now) and not fs.rename(now, aside):
         raise RuntimeError(f"cannot move {target} aside")
-    if not fs.rename(paths[0], paths[1]):
-        fs.rename(paths[2], paths[1])
+    if not fs.rename(new, now):
+        fs.rename(aside, now)
         raise RuntimeError(f"cannot move the restored rows to {target}")
-    fs.delete(paths[2], True)
+    fs.delete(aside, True)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -189,43 +219,15 @@ def with_ordinal(spark: SparkSession, path: str, name: str = "ord", base: int =
 
     Position = rows in earlier files (files ordered by path) + the row's index in its
     file (``_metadata.row_index``) + ``base`` (2 = the sheet row of the first data row).
-    The per-file counts are one small aggregate (one row per file); no window over rows
-    and no extra pass over the data beyond that count.
+    The rows of a file are counted from its metadata alone (no column is read), the counts
+    are summed up by a distributed scan, and the rows look their file's offset up in that
+    small table, which Spark broadcasts only below its size threshold.
     """
+    from revisa.operators.positions import running_sum
+
     df = spark.read.parquet(path)
+    per_file = df.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = written_once(running_sum(per_file, [F.col("_file")], "_n", "_off").select("_file", "_off"), "file-offsets")
     meta = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_idx"))
-    per_file = meta.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per file: the running offset needs a total order over files only
-    from pyspark.sql import Window
-
-    offsets = per_file.select("_file", (F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    out = meta.join(offsets, "_file").withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_idx") + base).cast("bigint"))
+    out = meta.join(offsets, "_file").withColumn(name, (F.col("_off") + F.col("_idx") + base).cast("bigint"))
     return out.drop("_file", "_idx", "_off")
-
-
-def write_statements(statements: DataFrame, path: str, header_lines=(), labels=None) -> None:
-    """SNK-05: write the staged change set as text, one directory per stage.
-
-    Each stage starts with the header lines; an empty stage gets a single "no changes"
-    comment.  Rows are written in (stage, ord) order by a range-partitioned sort, so a
-    stage is spread over several ordered part files (read them in name order) instead of
-    passing through one task.
-    """
-    spark = statements.sparkSession
-    labels = labels or {0: "column_value_inserts", 1: "deletes", 2: "updates", 3: "inserts"}
-    stages = spark.createDataFrame([(int(k), v) for k, v in labels.items()], "stage int, label string")
-    counts = statements.groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
-    info = stages.join(counts, "stage", "left")
-    header = "\n".join(header_lines)
-    heads = info.select(
-        "stage",
-        F.lit(-2).cast("bigint").alias("ord"),
-        F.lit(header).alias("statement"),
-    ).where(F.lit(bool(header)))
-    empty_note = info.where(F.col("n").isNull()).select(
-        "stage", F.lit(-1).cast("bigint").alias("ord"), F.concat(F.lit("-- No "), F.regexp_replace("label", "_", " "), F.lit(" required.")).alias("statement")
-    )
-    body = statements.select(F.col("stage").cast("int").alias("stage"), F.col("ord").cast("bigint").alias("ord"), F.concat(F.col("statement"), F.lit("\n")).alias("statement"))
-    allrows = heads.unionByName(empty_note).unionByName(body)
-    # the projection keeps the sort order, and it already satisfies the writer's ordering by stage
-    allrows.orderBy("stage", "ord").select("stage", "statement").write.mode("overwrite").partitionBy("stage").text(path)
