@@ -74,20 +74,19 @@ def revise(
     x = None
     if export is not None:
         x = export.select(F.col(spec.ordinal).alias("ord"), *spec.columns, T.norm_key(T.hyperlink_label(spec.key)).alias(rv.KEY))
-    stages = iss.check_stages(
+    check = iss.RevisionCheck(
         o, e, spec, vocab_updated, constrained, strict_list, vocab_original=vocab_original, reference=reference, export=x, export_kinds=export_kinds
     )
     issues = spark.createDataFrame(header_issues, iss.SCHEMA)
-    for name, df in stages:
+    for name, df in check.stages():
         if not keep_going and not df.where(F.col("severity") == "ERROR").isEmpty():
             raise iss.ProcessingHalted(f"stage {name} has errors")
         issues = issues.unionByName(df)
     issues = written_once(issues, "issues")
     errors = bool(iss.has_errors(issues).first()[0])
-    corrected = iss.corrected_edit(e, vocab_updated, constrained)[1]
-    entries = ch.update_entries(o, corrected, spec)
-    inserts = ch.change_inserts(corrected, spec)
-    deletes = ch.change_deletes(corrected, spec)
+    entries = check.entries()
+    inserts = ch.change_inserts(check.edited, spec)
+    deletes = ch.change_deletes(check.edited, spec)
     rendered = {
         "deletes": ch.render_deletes(deletes, spec),
         "updates": ch.render_updates(entries, spec),

@@ -30,6 +30,16 @@ def _conv_struct(spec: RevisionSpec, c: str, target: str) -> Column:
     )
 
 
+def changed_cells(spec: RevisionSpec, fallback: bool | None = None) -> Column:
+    """The changed updatable cells of a joined pair (``o_``, ``u_`` columns), in spec order, converted."""
+    fallback = spec.fallback(fallback)
+    items = [
+        F.when(~T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback, spec.type_codes), _conv_struct(spec, c, t))
+        for c, t in spec.updatable
+    ]
+    return F.filter(F.array(*items), lambda x: x.isNotNull())
+
+
 def update_candidates(original: DataFrame, edited: DataFrame, spec: RevisionSpec, fallback: bool | None = None) -> DataFrame:
     """One row per (original row, unambiguous live edited row) with at least one change.
 
@@ -37,14 +47,9 @@ def update_candidates(original: DataFrame, edited: DataFrame, spec: RevisionSpec
     array of changed updatable cells with converted new and old values and an error.
     """
     cols = [c for c, _ in spec.updatable]
-    fallback = spec.fallback(fallback)
     e = rv.live(edited).select("ord", KEY, rv.REMOVED, *cols)
     m = rv.matched(original, rv.unique_rows(e, spec), spec, cols)
-    items = [
-        F.when(~T.values_equal(F.col("o_" + c), F.col("u_" + c), spec.kind(c), fallback, spec.type_codes), _conv_struct(spec, c, t))
-        for c, t in spec.updatable
-    ]
-    ch = F.filter(F.array(*items), lambda x: x.isNotNull())
+    ch = changed_cells(spec, fallback)
     m = m.select(KEY, F.col("u_ord").alias("ord"), "o_ord", *[F.col(x) for x in m.columns if x.startswith(("o_", "u_")) and x not in ("o_ord", "u_ord")])
     c = rv.project_once(m, [KEY, "ord", "o_ord"], ch=ch).where(F.size("ch") > 0)
     return rv.project_once(
@@ -144,44 +149,48 @@ def stored_table(original: DataFrame, spec: RevisionSpec) -> DataFrame:
 
 
 def apply_updates(stored: DataFrame, entries: DataFrame, spec: RevisionSpec, guard: str = "any") -> DataFrame:
-    """CHG-06: apply update entries where the key matches and the guard holds.
+    """CHG-06: apply update entries, in entry order, where the key matches and the guard holds.
 
     ``guard='any'``: one old value that still matches (null-safe) lets the update through
-    (the reference's OR); ``guard='all'`` needs every old value to match.
-    Entries are folded per key into one row with a fixed number of columns (one struct per
-    target, first entry wins), so a key with many entries never becomes a collected list.
+    (the reference's OR); ``guard='all'`` needs every old value to match.  An entry sees what
+    the entries before it (by original row) have left of a stored row.  Keys with one entry are
+    joined; those with several go through :func:`revisa.operators.fold.fold_entries`.  The
+    entries are written once, since both ways read them.
     Adds ``update_status``: ``applied``, ``guard_miss`` or null (no entry).
     """
-    targets = [(t, spec.kind(c)) for c, t in spec.updatable]
-    ex = entries.select("key_num", "o_ord", F.explode("ch").alias("a"))
-    aggs = [
-        F.min(F.when(F.col("a.target") == t, F.struct(F.col("o_ord"), F.col("a.new_value").alias("nv"), F.col("a.old_value").alias("ov")))).alias("s_" + t)
-        for t, _ in targets
-    ]
-    per_key = ex.groupBy("key_num").agg(*aggs).withColumnRenamed("key_num", "record_id")
-    j = stored.join(per_key, "record_id", "left")
-
-    def typed(v, kind):
-        return v.cast("bigint") if kind in ("int", "taxnode") else v
-
-    checks = [
-        F.when(F.col("s_" + t).isNotNull(), F.col(t).eqNullSafe(typed(F.col(f"s_{t}.ov"), k)))
-        for t, k in targets
+    from revisa.operators.fold import fold_entries
+    from revisa.sources.tables import written_once
+
+    targets = {t: spec.kind(c) in ("int", "taxnode") for c, t in spec.updatable}
+    entries = written_once(entries.select("key_num", "ord", "o_ord", "ch"), "update-entries")
+    several = written_once(entries.groupBy("key_num").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key_num"), "several-entries")
+    if several.isEmpty():
+        return _apply_single(stored, entries, targets, guard)
+    names = several.withColumnRenamed("key_num", "record_id")
+    ordered = fold_entries(stored.join(names, "record_id", "left_semi"), entries.join(several, "key_num", "left_semi"), "record_id", targets, guard)
+    return _apply_single(stored.join(names, "record_id", "left_anti"), entries.join(several, "key_num", "left_anti"), targets, guard).unionByName(ordered)
+
+
+def _apply_single(stored: DataFrame, entries: DataFrame, targets: dict[str, bool], guard: str) -> DataFrame:
+    """Entries of keys that have one: a join, and the guard as an expression over the entry's array."""
+    j = stored.join(entries.select(F.col("key_num").alias("record_id"), "ch"), "record_id", "left")
+
+    def about(t):
+        return lambda c: c["target"] == t
+
+    def of(t, field):
+        value = F.get(F.filter("ch", about(t)), F.lit(0))[field]
+        return value.cast("bigint") if targets[t] else value
+
+    checks = F.array(*[F.when(F.exists("ch", about(t)), F.col(t).eqNullSafe(of(t, "old_value"))) for t in targets])
+    asked = F.filter(checks, lambda x: x.isNotNull())
+    ok = F.forall(asked, lambda x: x) if guard == "all" else F.exists(asked, lambda x: x)
+    j = rv.project_once(j, [*[F.col(c) for c in stored.columns], "ch"], ok=F.coalesce(F.col("ch").isNotNull() & ok, F.lit(False)))
+    out = [
+        F.when(F.col("ok") & F.exists("ch", about(c)), of(c, "new_value")).otherwise(F.col(c)).alias(c) if c in targets else F.col(c)
+        for c in stored.columns
     ]
-    has_entry = F.coalesce(*[F.col("s_" + t).isNotNull() for t, _ in targets]) if len(targets) == 1 else F.greatest(*[F.col("s_" + t).isNotNull() for t, _ in targets])
-    if guard == "all":
-        ok = F.forall(F.filter(F.array(*checks), lambda x: x.isNotNull()), lambda x: x)
-    else:
-        ok = F.exists(F.filter(F.array(*checks), lambda x: x.isNotNull()), lambda x: x)
-    j = j.withColumn("_has", has_entry).withColumn("_ok", F.col("_has") & ok)
-    out = []
-    for c in stored.columns:
-        tk = dict(targets)
-        if c in tk:
-            out.append(F.when(F.col("_ok") & F.col("s_" + c).isNotNull(), typed(F.col(f"s_{c}.nv"), tk[c])).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    status = F.when(F.col("_ok"), F.lit("applied")).when(F.col("_has"), F.lit("guard_miss"))
+    status = F.when(F.col("ok"), F.lit("applied")).when(F.col("ch").isNotNull(), F.lit("guard_miss"))
     return j.select(*out, status.alias("update_status"))
 
 
@@ -278,15 +287,27 @@ def render_deletes(deletes: DataFrame, spec: RevisionSpec, name_column: str = "e
     return deletes.select("ord", KEY, stmt.alias("statement"))
 
 
+def list_finding(spec: RevisionSpec, strict: bool) -> tuple[Column, Column]:
+    """Whether a joined pair's list cell changed in a way to report (any way under strict), and the message."""
+    o, u = F.col("o_" + spec.list_column), F.col("u_" + spec.list_column)
+    told = ~T.values_equal(o, u, "text")
+    if not strict:
+        told = F.when(told, L.classify_change(o, u) == "meaningful").otherwise(F.lit(False))
+    return told, _list_message(spec, o, u)
+
+
+def _list_message(spec: RevisionSpec, o: Column, u: Column) -> Column:
+    return F.concat(
+        F.lit(f"List column '{spec.list_column}' changed from '"), F.coalesce(T.norm(o), F.lit("")), F.lit("' to '"), F.coalesce(T.norm(u), F.lit("")),
+        F.lit("' for key "), F.col(KEY), F.lit("."),
+    )
+
+
 def list_change_issues(original, edited, spec, strict: bool = False):
     """CHG-02: warnings for list-cell changes (only ``meaningful`` ones unless strict)."""
     m = rv.matched(original, rv.unique_rows(rv.live(edited), spec), spec, [spec.list_column])
     o, u = F.col("o_" + spec.list_column), F.col("u_" + spec.list_column)
-    c = rv.project_once(m.where(~T.values_equal(o, u, "text")), [rv.KEY, F.col("u_ord").alias("ord"), o, u], change_class=L.classify_change(o, u))
+    c = rv.project_once(m.where(~T.values_equal(o, u, "text")), [KEY, F.col("u_ord").alias("ord"), o, u], change_class=L.classify_change(o, u))
     if not strict:
         c = c.where(F.col("change_class") == "meaningful")
-    msg = F.concat(
-        F.lit(f"List column '{spec.list_column}' changed from '"), F.coalesce(T.norm(o), F.lit("")), F.lit("' to '"), F.coalesce(T.norm(u), F.lit("")),
-        F.lit("' for key "), F.col(rv.KEY), F.lit("."),
-    )
-    return c.select(rv.KEY, "ord", "change_class", msg.alias("message"), F.lit("WARNING").alias("severity"))
+    return c.select(KEY, "ord", "change_class", _list_message(spec, o, u).alias("message"), F.lit("WARNING").alias("severity"))

@@ -78,12 +78,13 @@ def range_coverage(headers: DataFrame, defs: DataFrame) -> DataFrame:
         F.concat(F.lit("Grouped heading list is missing '"), F.col("header"), F.lit("'")),
         F.concat(F.lit("Range map: '"), F.col("header"), F.lit("' -> '"), F.col("matched"), F.lit("'"), note),
     ).select("pos", "header", "matched", "exact", "status", "message")
-    has_row = defs.where(T.strip_ws(F.coalesce("col", F.lit(""))).rlike(RANGE_ROW)).limit(1).count() > 0
-    if not has_row:
-        return defs.sparkSession.createDataFrame(
-            [(None, None, None, None, "missing", "Definitions are missing the grouped range row")], out.schema
-        )
-    return out
+    grouped = defs.where(T.strip_ws(F.coalesce("col", F.lit(""))).rlike(RANGE_ROW)).agg(F.count(F.lit(1)).alias("n"))
+    lacking = grouped.where("n = 0").select(
+        *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in ("pos", "header", "matched", "exact")],
+        F.lit("missing").alias("status"),
+        F.lit("Definitions are missing the grouped range row").alias("message"),
+    )
+    return out.where(grouped.scalar() > 0).unionByName(lacking)
 
 
 def value_coverage(values: DataFrame, defs: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revisa.functions import text as T
+from revisa.operators import skew
 from revisa.spec import RevisionSpec
 
 KEY = "rkey"
@@ -59,17 +60,23 @@ def blank_rows(df: DataFrame, spec: RevisionSpec) -> DataFrame:
     return df.where(F.coalesce(*[T.norm(c) for c in spec.blank_columns]).isNull())
 
 
+def repeated_keys(prepared: DataFrame) -> DataFrame:
+    """(rkey, n_rows, first_ord) of the keys that occur more than once: a hash aggregate over the key alone."""
+    keyed = prepared.where(F.col(KEY).isNotNull()).groupBy(KEY)
+    return keyed.agg(F.count(F.lit(1)).alias("n_rows"), F.min("ord").alias("first_ord")).where(F.col("n_rows") > 1)
+
+
 def first_rows(prepared: DataFrame, spec: RevisionSpec, columns=None) -> DataFrame:
     """WIN-01: the first row (smallest ordinal) of each key, with a row count.
 
-    ``min(struct(ord, ...))`` is an ordinary aggregate, so it combines map-side: a key
-    holding a third of the table still sends one row per task to the shuffle.
+    Only the repeated keys are aggregated and looked up; rows are never packed into an
+    aggregate, so nothing wide is sorted or shuffled before the join that follows.
     """
     columns = list(columns if columns is not None else spec.columns)
-    ordn = "ord"
-    first = F.min(F.struct(F.col(ordn), *[F.col(c) for c in columns])).alias("_first")
-    agg = prepared.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(first, F.count(F.lit(1)).alias("n_rows"))
-    return agg.select(KEY, "n_rows", *[F.col("_first")[c].alias(c) for c in [ordn, *columns]])
+    rows = prepared.where(F.col(KEY).isNotNull()).select(KEY, "ord", *columns)
+    j = rows.join(repeated_keys(prepared), KEY, "left")
+    j = j.where(F.col("first_ord").isNull() | (F.col("ord") == F.col("first_ord")))
+    return j.select(KEY, F.coalesce("n_rows", F.lit(1)).cast("bigint").alias("n_rows"), "ord", *columns)
 
 
 def key_stats(prepared: DataFrame) -> DataFrame:
@@ -82,20 +89,9 @@ def key_stats(prepared: DataFrame) -> DataFrame:
 
 
 def unique_rows(prepared: DataFrame, spec: RevisionSpec) -> DataFrame:
-    """Rows whose key occurs exactly once in ``prepared``.
-
-    One aggregate: per key, the row count and the row itself as ``min(struct(...))``.
-    It scans the table once and combines map-side (a key with millions of copies sends
-    one buffer per task to the shuffle); its output is hash-partitioned and sorted by the
-    key, which the join that follows reuses.
-    """
-    cols = [c for c in prepared.columns if c != KEY]
-    agg = (
-        prepared.where(F.col(KEY).isNotNull())
-        .groupBy(KEY)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*[F.col(c) for c in cols])).alias("_r"))
-    )
-    return agg.where(F.col("_n") == 1).select(KEY, *[F.col("_r")[c].alias(c) for c in cols])
+    """Rows whose key occurs exactly once in ``prepared``: raw rows without the repeated keys."""
+    rows = prepared.where(F.col(KEY).isNotNull())
+    return rows.join(repeated_keys(prepared).select(KEY), KEY, "left_anti").select(KEY, *[c for c in prepared.columns if c != KEY])
 
 
 def _side(df: DataFrame, prefix: str, spec: RevisionSpec, columns) -> DataFrame:
@@ -184,16 +180,15 @@ def duplicate_keys(prepared: DataFrame) -> DataFrame:
     """AGG-01: every row of a key that occurs more than once, with the count and first row.
 
     Long form (one row per duplicated row) instead of a collected row list, so a key
-    with millions of copies never becomes one array.
+    with millions of copies never becomes one array; such a key's rows stay where they are.
     """
-    dup = key_stats(prepared).where(F.col("n_rows") > 1).select(KEY, "n_rows", "first_ord")
-    return prepared.select(KEY, "ord").join(dup, KEY, "inner")
+    dup = repeated_keys(prepared)
+    return skew.join_unique(prepared.where(F.col(KEY).isNotNull()).select(KEY, "ord"), dup, KEY, skew.hot_keys(dup, KEY, "n_rows"))
 
 
 def duplicate_later_rows(prepared: DataFrame) -> DataFrame:
     """AGG-02: first row of a key wins; every later row is reported."""
-    first = prepared.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.min("ord").alias("first_ord"))
-    return prepared.select(KEY, "ord").join(first, KEY, "inner").where(F.col("ord") > F.col("first_ord"))
+    return duplicate_keys(prepared).where(F.col("ord") > F.col("first_ord")).select(KEY, "ord", "first_ord")
 
 
 def key_format(prepared: DataFrame, spec: RevisionSpec) -> DataFrame:
@@ -243,11 +238,9 @@ def changed_flags(original: DataFrame, edited: DataFrame, spec: RevisionSpec) ->
     Original duplicates: the first copy is the lookup target.
     """
     cols = list(spec.compared_columns)
-    o = first_rows(original, spec, cols)
-    e = edited.where(F.col(KEY).isNotNull())
-    j = e.select(KEY, "ord", *[F.col(c).alias("u_" + c) for c in cols]).join(
-        o.select(KEY, *[F.col(c).alias("o_" + c) for c in cols]), KEY, "inner"
-    )
+    o = first_rows(original, spec, cols).select(KEY, *[F.col(c).alias("o_" + c) for c in cols])
+    e = edited.where(F.col(KEY).isNotNull()).select(KEY, "ord", *[F.col(c).alias("u_" + c) for c in cols])
+    j = skew.join_unique(e, o, KEY, skew.hot_keys(skew.row_counts(edited, KEY), KEY, "_n"))
     return j.select(
         "ord",
         KEY,
@@ -258,19 +251,20 @@ def changed_flags(original: DataFrame, edited: DataFrame, spec: RevisionSpec) ->
 def delta_columns(original: DataFrame, edited: DataFrame, spec: RevisionSpec) -> DataFrame:
     """JN-13: change count and text carried from the original row to each edited row.
 
-    New rows (no key, name present) get ``1`` / ``new isolate``.
+    New rows (no key, name present) get ``1`` and the spec's label; rows without a key look
+    nothing up and stay out of the join.  Every copy of a repeated edited key carries what
+    its first row has.
     """
-    summary = row_change_summary(original, edited, spec)
-    first = summary.groupBy(KEY).agg(F.min(F.struct("ord", "n_changes", "changes")).alias("s"))
-    e = edited.select("ord", KEY, F.col(spec.name_column).alias("_name") if spec.name_column else F.lit(None).alias("_name"))
-    j = e.join(first, KEY, "left")
-    is_new = F.col(KEY).isNull() & T.norm("_name").isNotNull()
-    return j.select(
-        "ord",
-        KEY,
-        F.when(is_new, F.lit(1)).otherwise(F.col("s.n_changes")).cast("bigint").alias("n_changes"),
-        F.when(is_new, F.lit("new isolate")).otherwise(F.col("s.changes")).alias("changes"),
+    cols = list(spec.compared_columns)
+    summary = row_change_summary(first_rows(original, spec, cols), edited, spec).select(KEY, "n_changes", "changes")
+    e = edited.select("ord", KEY, F.col(spec.name_column).alias("_name") if spec.name_column else F.lit(None).cast("string").alias("_name"))
+    is_new = T.norm("_name").isNotNull()
+    new = e.where(F.col(KEY).isNull()).select(
+        "ord", KEY, F.when(is_new, F.lit(1)).cast("bigint").alias("n_changes"), F.when(is_new, F.lit(spec.new_label)).alias("changes")
     )
+    keyed = e.where(F.col(KEY).isNotNull()).select("ord", KEY)
+    known = skew.join_unique(keyed, summary, KEY, skew.hot_keys(skew.row_counts(edited, KEY), KEY, "_n"), "left")
+    return known.select("ord", KEY, "n_changes", "changes").unionByName(new)
 
 
 def values_equal_flags(original: DataFrame, edited: DataFrame, spec: RevisionSpec, columns=None, fallback: bool | None = None) -> DataFrame:

@@ -4,19 +4,28 @@ JN-11: a new row reusing a token of an existing live row is reported (first hold
 WIN-02: among the remaining new rows, in row order, a row is accepted iff none of its
 tokens belongs to an *accepted* earlier new row (rejected rows register nothing).  That is
 the lexicographically first maximal independent set of the token-sharing graph, which no
-single window computes; it is solved by rounds over the (row, token) bipartite table.
+single window computes.  Rows that share tokens, directly or over others, form components
+(:mod:`revisa.operators.components`).  A component of at most ``WALKED_PAIRS`` (row, token)
+pairs is walked through once in row order by one task, many components side by side; a larger
+one is decided by rounds over its pairs.  Both ways are exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from revisa.functions.lists import tokens as cell_tokens
+from revisa.operators import components as cp
 from revisa.operators import revision as rv
-from revisa.session import cut_lineage
+from revisa.operators import skew
+from revisa.sources.tables import written_once
 from revisa.spec import RevisionSpec
 
+#: Pairs of one component that a task walks through; it holds that many tokens at most.
+WALKED_PAIRS = 200_000
+
 
 def _refs(pairs_with_holder: DataFrame, holder_col: str) -> DataFrame:
     """Per row: sorted ``TOKEN (row N)`` references (bounded by the tokens of one cell)."""
@@ -41,74 +50,115 @@ def existing_holders(prepared: DataFrame, spec: RevisionSpec) -> DataFrame:
 def reuse_existing(prepared: DataFrame, spec: RevisionSpec) -> DataFrame:
     """JN-11: new rows reusing tokens of existing rows → (ord, reused, n_reused)."""
     new = row_tokens(rv.new_rows(prepared), spec)
-    return _refs(new.join(existing_holders(prepared, spec), "token", "inner"), "holder")
-
-
-def greedy_claims(candidates: DataFrame, pairs: DataFrame) -> DataFrame:
+    hot = skew.hot_keys(skew.row_counts(new, "token"), "token", "_n")
+    return _refs(skew.join_unique(new, existing_holders(prepared, spec), "token", hot), "holder")
+
+
+def shared_pairs(pairs: DataFrame) -> DataFrame:
+    """(ord, token, least): the pairs whose token several rows hold, with the smallest of these rows."""
+    held = pairs.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("least")).where("n > 1")
+    return skew.join_unique(pairs, held, "token", skew.hot_keys(held, "token", "n")).select("ord", "token", "least")
+
+
+def walk(labelled: DataFrame) -> DataFrame:
+    """(ord, accepted, reused): the rows of (root, ord, token), each root's in order against the tokens accepted before."""
+
+    def run(batches):
+        out: list[tuple] = []
+        place, row, tokens = None, None, []
+        holder: dict[str, int] = {}
+
+        def settle():
+            taken = sorted(t for t in tokens if t in holder)
+            if not taken:
+                holder.update((t, row) for t in tokens)
+            out.append((row, not taken, ", ".join(f"{t} (row {holder[t]})" for t in taken) if taken else None))
+
+        for batch in batches:
+            for root, ordn, token in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if (root, ordn) != (place, row):
+                    if row is not None:
+                        settle()
+                    if root != place:
+                        holder.clear()
+                    place, row, tokens = root, ordn, []
+                tokens.append(token)
+            if out:
+                yield told(out)
+                out = []
+        if row is not None:
+            settle()
+            yield told(out)
+
+    def told(rows):
+        columns = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.string())], names=["ord", "accepted", "reused"])
+
+    ordered = labelled.select("root", "ord", "token").repartition("root").sortWithinPartitions("root", "ord")
+    return ordered.mapInArrow(run, "ord long, accepted boolean, reused string")
+
+
+def rounds(pairs: DataFrame) -> DataFrame:
+    """(ord, accepted) by rounds over (ord, token): for components too large to be walked.
+
+    Each round, over the pairs of undecided rows only: a row that is the smallest holder of
+    each of its tokens is accepted, and every other row with a token of an accepted row is
+    rejected.  The smallest undecided row is always decided, so the loop ends.  A round's
+    remaining pairs are a written table; the decided rows are counted in the job that
+    writes them.
+    """
+    decided = None
+    while True:
+        least = pairs.groupBy("token").agg(F.min("ord").alias("least"), F.count(F.lit(1)).alias("n"))
+        hot = skew.hot_keys(least, "token", "n")
+        per_row = skew.join_unique(pairs, least, "token", hot).groupBy("ord").agg(F.min((F.col("ord") == F.col("least")).cast("int")).alias("first"))
+        accepted = written_once(per_row.where("first = 1").select("ord"), "claims-accepted")
+        taken = pairs.join(accepted, "ord", "left_semi").select("token").distinct()
+        lost = skew.join_unique(pairs, taken.withColumn("taken", F.lit(True)), "token", hot).join(accepted, "ord", "left_anti").select("ord").distinct()
+        lost = written_once(lost, "claims-rejected")
+        now = accepted.withColumn("accepted", F.lit(True)).unionByName(lost.withColumn("accepted", F.lit(False)))
+        decided = now if decided is None else written_once(decided.unionByName(now), "claims-decided")
+        seen = Observation()
+        left = pairs.join(now, "ord", "left_anti").observe(seen, F.count(F.lit(1)).alias("n"))
+        pairs = written_once(left, "claims-pairs")
+        if not seen.get["n"]:
+            return decided
+
+
+def greedy_claims(candidates: DataFrame, pairs: DataFrame, walked_pairs: int = WALKED_PAIRS) -> DataFrame:
     """WIN-02 core: decide every candidate row (``ord``) given its (ord, token) pairs.
 
-    Each round, over the undecided rows only:
-    * a row holding a token of an accepted row is rejected;
-    * of the rest, a row that is the smallest holder of every token it has is accepted
-      (rows rejected in the same round no longer block, so a chain advances two rows
-      per round).
-    The smallest undecided row is always decided, so the loop ends; it runs until no row
-    is undecided (exact).  State is checkpointed every round so lineage stays one round
-    deep and survives executor loss.  Only the rows accepted in the round before can
-    still reject: holders of tokens accepted earlier were rejected right after.
-    Returns (ord, accepted boolean).
+    Returns (ord, accepted, reused): of a rejected row, the tokens it shares with accepted
+    earlier rows and these rows.  A row that shares no token is accepted.
     """
-    pairs = cut_lineage(pairs.select("ord", "token"))
-    state = cut_lineage(candidates.select("ord").distinct().withColumn("accepted", F.lit(None).cast("boolean")))
-    accepted_tok = None  # tokens of the rows accepted in the round before
-    decided = []
-    while True:
-        undecided = state.where(F.col("accepted").isNull()).select("ord")
-        pu = pairs.join(undecided, "ord", "left_semi")
-        # phase 1: rows holding a token of an accepted row are rejected
-        if accepted_tok is not None:
-            rej = pu.join(accepted_tok, "token", "left_semi").select("ord").distinct().withColumn("rej", F.lit(True))
-        else:
-            rej = undecided.limit(0).withColumn("rej", F.lit(True))
-        # phase 2: among the rest, a row that is the smallest holder of each of its tokens is accepted
-        viable = pu.join(rej, "ord", "left_anti")
-        tokmin = viable.groupBy("token").agg(F.min("ord").alias("min_u"))
-        per_row = viable.join(tokmin, "token").groupBy("ord").agg(F.min(F.col("ord") == F.col("min_u")).alias("is_min"))
-        # rows without tokens have no pairs: they are accepted at once
-        state = cut_lineage(
-            undecided.join(rej, "ord", "left").join(per_row, "ord", "left").select(
-                "ord",
-                F.when(F.coalesce(F.col("rej"), F.lit(False)), F.lit(False))
-                .when(F.coalesce(F.col("is_min"), F.lit(True)), F.lit(True))
-                .alias("accepted"),
-            )
-        )
-        now = state.where(F.col("accepted").isNotNull())
-        decided.append(now)
-        accepted_tok = pairs.join(now.where(F.col("accepted")).select("ord"), "ord", "left_semi").select("token").distinct()
-        if state.where(F.col("accepted").isNull()).isEmpty():
-            break
-    out = decided[0]
-    for d in decided[1:]:
-        out = out.unionByName(d)
-    return out
-
-
-def reuse_new(prepared: DataFrame, spec: RevisionSpec) -> DataFrame:
+    shared = written_once(shared_pairs(pairs.select(F.col("ord").cast("long").alias("ord"), "token").distinct()), "claims-shared")
+    found = cp.components(shared.select("ord", "least"))
+    sizes = shared.join(found, F.col("ord") == F.col("node"), "left")
+    labelled = written_once(sizes.select(F.coalesce("root", "ord").alias("root"), "ord", "token"), "claims-labelled")
+    large = written_once(labelled.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > walked_pairs).select("root"), "claims-large")
+    if large.isEmpty():
+        decided = walk(labelled)
+    else:
+        decided = walk(labelled.join(large, "root", "left_anti"))
+        rest = written_once(labelled.join(large, "root", "left_semi").select("ord", "token"), "claims-rest")
+        won = rounds(rest)
+        holders = rest.join(won.where("accepted"), "ord", "left_semi").select("token", F.col("ord").alias("holder"))
+        beaten = rest.join(won.where("not accepted"), "ord", "left_semi")
+        hot = skew.hot_keys(skew.row_counts(beaten, "token"), "token", "_n")
+        refs = _refs(skew.join_unique(beaten, holders, "token", hot).where("holder < ord"), "holder").select("ord", "reused")
+        decided = decided.unionByName(won.join(refs, "ord", "left"))
+    alone = candidates.select(F.col("ord").cast("long").alias("ord")).distinct().join(decided, "ord", "left")
+    return alone.select("ord", F.coalesce("accepted", F.lit(True)).alias("accepted"), "reused")
+
+
+def reuse_new(prepared: DataFrame, spec: RevisionSpec, walked_pairs: int = WALKED_PAIRS) -> DataFrame:
     """WIN-02 report: every candidate new row with ``status`` and, if rejected, the
     accepted earlier rows whose tokens it reuses.
 
-    Candidates (new rows not already failing JN-11) are checkpointed once with their
-    token arrays; the pairs and the round state are derived from that checkpoint.
+    Candidates (new rows not already failing JN-11) are written once with their tokens.
     """
     new = rv.new_rows(prepared).select("ord", F.array_distinct(cell_tokens(spec.list_column)).alias("toks"))
     conflicts = reuse_existing(prepared, spec).select("ord")
-    cand_rows = cut_lineage(new.join(conflicts, "ord", "left_anti"))
-    pairs = cand_rows.select("ord", F.explode("toks").alias("token"))
-    dec = greedy_claims(cand_rows.select("ord"), pairs)
-    acc = pairs.join(dec.where(F.col("accepted")).select("ord"), "ord", "left_semi").select("token", F.col("ord").alias("holder"))
-    rej_pairs = pairs.join(dec.where(~F.col("accepted")).select("ord"), "ord", "left_semi").join(acc, "token").where(F.col("holder") < F.col("ord"))
-    refs = _refs(rej_pairs, "holder")
-    return dec.join(refs, "ord", "left").select(
-        "ord", F.when(F.col("accepted"), F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"), "reused"
-    )
+    rows = written_once(new.join(conflicts, "ord", "left_anti"), "claims-candidates")
+    decided = greedy_claims(rows, rows.select("ord", F.explode("toks").alias("token")), walked_pairs)
+    return decided.select("ord", F.when(F.col("accepted"), F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"), "reused")

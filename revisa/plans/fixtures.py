@@ -2,7 +2,7 @@
 
 Each builder reads the base tables of ``sf_dir`` and derives a baseline / edited pair
 (or a vocabulary, rule, list-cell, grid or documentation table) whose size grows with
-the data.  The same shapes are written as SQL CTEs in :mod:`revisa.plans.oracle`.
+the data.  The same shapes are written as SQL CTEs in :mod:`revisa.plans.oracle_sql`.
 """
 
 from __future__ import annotations
@@ -174,6 +174,15 @@ def rev_updated(spark: SparkSession, sf_dir: str, original: DataFrame | None = N
     return _union(edited, copies, new_rows, blank)
 
 
+def rev_doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline with second and third originals of some keys, which differ from the first."""
+    o = rev_original(spark, sf_dir)
+    k = F.col("ord") - 2
+    second = o.where(k % 7 == 1).withColumn("ord", F.col("ord") + 8000000).withColumn("name", F.concat("name", F.lit(" b"))).withColumn("sort_minor", F.lit("77"))
+    third = o.where(k % 21 == 1).withColumn("ord", F.col("ord") + 9000000).withColumn("notes", F.lit("third")).withColumn("segment", F.lit(None).cast("string"))
+    return _union(o, second, third)
+
+
 def rev_export(spark: SparkSession, sf_dir: str, original: DataFrame | None = None) -> DataFrame:
     o = original if original is not None else rev_original(spark, sf_dir)
     k = F.col("ord") - 2
@@ -261,10 +270,11 @@ def list_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- fixture N
 
 def node_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of three releases; in the last one some ids are gone, some have two rows."""
     p = table(spark, sf_dir, "part")
     rel = F.col("rel")
     key = F.col("p_partkey")
-    return (
+    names = (
         p.select("p_partkey", "p_name", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("rel"))
         .where(~((rel == 3) & (key % 10 == 0)))
         .select(
@@ -274,6 +284,21 @@ def node_names(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.col("p_name"), F.lit(" "), _s(F.when(rel < 3, key).otherwise(key % 150))).alias("name"),
         )
     )
+    second = p.where(key % 7 == 3).select(
+        (key + 900000000).alias("taxnode_id"), F.lit(3).alias("release_num"), key.alias("stable_id"), F.concat(F.col("p_name"), F.lit(" alt "), _s(key)).alias("name")
+    )
+    return names.unionByName(second)
+
+
+def rev_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edit, its new rows named after parts: known, gone and doubled ids, no name, and the removal name."""
+    u = rev_updated(spark, sf_dir)
+    k = F.col("ord") - 6000002
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_k"), F.concat(F.col("p_name"), F.lit(" "), _s("p_partkey")).alias("_part"))
+    is_new = F.col("id").isNull() & F.col("name").startswith("New ")
+    j = u.withColumn("_i", F.when(is_new, k % 200)).join(p, F.col("_i") == F.col("_k"), "left")
+    name = _case((~is_new, F.col("name")), (k % 31 == 3, F.lit(None).cast("string")), (k % 31 == 4, F.lit("abolished")), otherwise=F.col("_part"))
+    return j.withColumn("name", name).drop("_i", "_k", "_part")
 
 
 def toc(spark: SparkSession) -> DataFrame:
@@ -320,7 +345,8 @@ def grid_new(spark: SparkSession, sf_dir: str, old: DataFrame | None = None) ->
 
 # ---------------------------------------------------------------- fixture G
 
-def defs(spark: SparkSession) -> DataFrame:
+def defs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions of the fixed headers, and one per part."""
     rows = [
         (2, "A", "sort_major", "first sort"),
         (3, "D - R", "Realm, fam-ily", "ranks"),
@@ -329,7 +355,35 @@ def defs(spark: SparkSession) -> DataFrame:
         (6, "U", "Segment", "one of BUILDING, FURNITURE, machinery"),
         (7, "W", "id", "key"),
     ]
-    return spark.createDataFrame(rows, "ord bigint, col string, heading string, definition string")
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    name = F.concat(F.col("p_name"), F.lit(" "), _s(k))
+    bullets = F.concat(F.lit("Kind:\n - "), F.col("p_type"), F.lit("\n-"), F.col("p_brand"), F.lit(" "))
+    each = p.select(
+        (k + 100).cast("bigint").alias("ord"),
+        F.when(k % 50 == 7, F.lit("D - R")).otherwise(F.lit("P")).alias("col"),
+        _case((k % 3 == 0, F.concat(F.upper(name), F.lit(", "), name)), (k % 3 == 1, F.replace(name, F.lit(" "), F.lit("-"))), otherwise=name).alias("heading"),
+        F.when(k % 4 == 0, F.concat(F.lit("any "), F.col("p_type"))).otherwise(bullets).alias("definition"),
+    )
+    return spark.createDataFrame(rows, "ord bigint, col string, heading string, definition string").unionByName(each)
+
+
+def doc_headers(spark: SparkSession, sf_dir: str, fixed, first: int, picked: str = "true") -> DataFrame:
+    """(pos, header): the fixed headers, then the parts' names in several spellings, some unknown."""
+    p = table(spark, sf_dir, "part").where(picked)
+    k = F.col("p_partkey")
+    name = F.concat(F.col("p_name"), F.lit(" "), _s(k))
+    each = p.select((k + 1000).cast("int").alias("pos"), _case((k % 4 == 1, F.upper(name)), (k % 4 == 2, F.concat(name, F.lit(" x"))), (k % 4 == 3, F.replace(name, F.lit(" "), F.lit("_"))), otherwise=name).alias("header"))
+    return spark.createDataFrame(list(enumerate(fixed, start=first)), "pos int, header string").unionByName(each)
+
+
+def doc_values(spark: SparkSession, sf_dir: str, headers) -> DataFrame:
+    """(header, value, ord): the vocabulary's values of some headers, then a value for each part."""
+    v = vocab_updated(spark, sf_dir).where(F.col("col").isin(list(headers))).select(F.col("col").alias("header"), "value", "ord")
+    k = F.col("p_partkey")
+    value = _case((k % 5 == 0, F.lower("p_type")), (k % 5 == 1, F.col("p_brand")), (k % 5 == 2, F.lit("zzz")), otherwise=F.col("p_type"))
+    header = F.concat(F.col("p_name"), F.lit(" "), _s(k), F.when(k % 11 == 10, F.lit(" gone")).otherwise(F.lit("")))
+    return v.unionByName(table(spark, sf_dir, "part").select(header.alias("header"), value.alias("value"), (k + 100).cast("bigint").alias("ord")))
 
 
 # ---------------------------------------------------------------- fixture B

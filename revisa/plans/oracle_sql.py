@@ -61,7 +61,21 @@ FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey
     "node_names": """
 SELECT rel * 100000 + p_partkey AS taxnode_id, rel AS release_num, p_partkey AS stable_id,
   concat(p_name, ' ', cast(CASE WHEN rel < 3 THEN p_partkey ELSE p_partkey % 150 END AS string)) AS name
-FROM part CROSS JOIN (SELECT 1 AS rel UNION ALL SELECT 2 UNION ALL SELECT 3) r WHERE NOT (rel = 3 AND p_partkey % 10 = 0)""",
+FROM part CROSS JOIN (SELECT 1 AS rel UNION ALL SELECT 2 UNION ALL SELECT 3) r WHERE NOT (rel = 3 AND p_partkey % 10 = 0)
+UNION ALL SELECT 900000000 + p_partkey, 3, p_partkey, concat(p_name, ' alt ', cast(p_partkey AS string)) FROM part WHERE p_partkey % 7 = 3""",
+    "rev_named": """
+SELECT u.ord, u.id, sort_major, sort_minor, realm, family,
+  CASE WHEN NOT is_new THEN u.name WHEN k % 31 = 3 THEN NULL WHEN k % 31 = 4 THEN 'abolished' ELSE concat(p_name, ' ', cast(p_partkey AS string)) END AS name,
+  kind, tokens, segment, balance, notes
+FROM (SELECT *, ord - 6000002 AS k, id IS NULL AND coalesce(name LIKE 'New %', false) AS is_new FROM rev_updated) u LEFT JOIN part ON u.is_new AND p_partkey = u.k % 200""",
+    "rev_doubled": """
+SELECT * FROM rev_original
+UNION ALL SELECT ord + 8000000, id, sort_major, '77', realm, family, concat(name, ' b'), kind, tokens, segment, balance, notes FROM rev_original WHERE (ord - 2) % 7 = 1
+UNION ALL SELECT ord + 9000000, id, sort_major, sort_minor, realm, family, name, kind, tokens, NULL, balance, 'third' FROM rev_original WHERE (ord - 2) % 21 = 1""",
+    "doc_values": """
+SELECT col AS header, value, ord FROM vocab_updated WHERE col IN ('kind', 'segment')
+UNION ALL SELECT concat(p_name, ' ', cast(p_partkey AS string), CASE WHEN p_partkey % 11 = 10 THEN ' gone' ELSE '' END),
+  CASE p_partkey % 5 WHEN 0 THEN lower(p_type) WHEN 1 THEN p_brand WHEN 2 THEN 'zzz' ELSE p_type END, p_partkey + 100 FROM part""",
     "toc": """
 SELECT 1 AS release_num, 'v1' AS version_tag UNION ALL SELECT 2, 'v1' UNION ALL SELECT 3, 'v2'""",
     "grid_old": """
@@ -72,7 +86,11 @@ SELECT sheet, row, col, CASE WHEN row % 17 = 0 AND col = 1 THEN replace(value, '
 UNION ALL SELECT 'nation', n_nationkey + 2, 1, n_name FROM nation""",
     "defs": """
 SELECT 2 AS ord, 'A' AS col, 'sort_major' AS heading, 'first sort' AS definition UNION ALL SELECT 3, 'D - R', 'Realm, fam-ily', 'ranks' UNION ALL SELECT 4, 'S', 'name', 'text'
-UNION ALL SELECT 5, 'T', 'kind', concat('Type:', chr(10), ' - E', chr(10), '- a ', chr(10), '-', chr(10), 'x') UNION ALL SELECT 6, 'U', 'Segment', 'one of BUILDING, FURNITURE, machinery' UNION ALL SELECT 7, 'W', 'id', 'key'""",
+UNION ALL SELECT 5, 'T', 'kind', concat('Type:', chr(10), ' - E', chr(10), '- a ', chr(10), '-', chr(10), 'x') UNION ALL SELECT 6, 'U', 'Segment', 'one of BUILDING, FURNITURE, machinery' UNION ALL SELECT 7, 'W', 'id', 'key'
+UNION ALL SELECT p_partkey + 100, CASE WHEN p_partkey % 50 = 7 THEN 'D - R' ELSE 'P' END,
+  CASE p_partkey % 3 WHEN 0 THEN concat(upper(n), ', ', n) WHEN 1 THEN replace(n, ' ', '-') ELSE n END,
+  CASE WHEN p_partkey % 4 = 0 THEN concat('any ', p_type) ELSE concat('Kind:', chr(10), ' - ', p_type, chr(10), '-', p_brand, ' ') END
+FROM (SELECT *, concat(p_name, ' ', cast(p_partkey AS string)) AS n FROM part) p""",
     "big_original": """
 SELECT o_orderkey + 2 AS ord, concat('CU', cast(o_orderkey AS string)) AS id, cast(o_custkey AS string) AS owner, o_orderstatus AS status,
   o_orderpriority AS priority, cast(cast(o_totalprice AS decimal(18,2)) AS string) AS price, cast(cast(o_orderdate AS date) AS string) AS day FROM orders""",
@@ -85,6 +103,9 @@ FROM big_original WHERE ord % 23 <> 0""",
 FIXTURE_DEPS = {
     "rev_updated": ["rev_original"],
     "rev_export": ["rev_original"],
+    "rev_named": ["rev_updated"],
+    "rev_doubled": ["rev_original"],
+    "doc_values": ["vocab_updated"],
     "vocab_updated": ["vocab_original"],
     "grid_new": ["grid_old"],
     "big_updated": ["big_original"],
@@ -140,9 +161,19 @@ def int_like(x: str) -> str:
     return f"(CASE WHEN regexp_matches({t}, {q(NUMBER_TEXT)}) AND {d} % 1 = 0 THEN try_cast({d} AS bigint) END)"
 
 
-def type_code(x: str) -> str:
+TYPE_CODES = (("E", "EXEM"), ("A", "ADD"))
+
+
+def type_code(x: str, codes=TYPE_CODES) -> str:
+    u = f"upper({norm(x)})"
+    exact = " ".join(f"WHEN {u} = {q(c)} THEN {q(c)}" for c, _ in codes)
+    begun = " ".join(f"WHEN starts_with({u}, {q(p)}) THEN {q(c)}" for c, p in codes)
+    return f"(CASE {exact} {begun} END)"
+
+
+def taxnode(x: str) -> str:
     u = f"upper({norm(x)})"
-    return f"(CASE WHEN {u} = 'E' THEN 'E' WHEN {u} = 'A' THEN 'A' WHEN starts_with({u}, 'EXEM') THEN 'E' WHEN starts_with({u}, 'ADD') THEN 'A' END)"
+    return f"(CASE WHEN regexp_full_match({u}, 'TX(\\d+)') THEN cast(try_cast(regexp_extract({u}, '^TX(\\d+)$', 1) AS bigint) AS varchar) END)"
 
 
 HYPERLINK = r'^=HYPERLINK\(".*?","(.*)"\)$'
@@ -187,26 +218,32 @@ def sql_condition(target: str, x: str, kind: str = "text") -> str:
     return f"(CASE WHEN {x} IS NULL THEN {q(target + ' IS NULL')} ELSE {q(target + ' = ')} || {sql_literal(x, kind)} END)"
 
 
-def convert_checked(x: str, kind: str, column: str) -> tuple[str, str]:
+def convert_checked(x: str, kind: str, column: str, codes=TYPE_CODES) -> tuple[str, str]:
     """(value, error) SQL for a new value."""
     t = norm(x)
     if kind == "int":
         v = f"cast({int_like(x)} AS varchar)"
         e = f"(CASE WHEN {t} IS NOT NULL AND {v} IS NULL THEN {q(f'Column {q(column)} must contain an integer value.')} END)"
     elif kind == "type":
-        v = type_code(x)
-        e = f"(CASE WHEN {t} IS NOT NULL AND {v} IS NULL THEN {q(f'Column {q(column)} must contain {q(chr(69))} or {q(chr(65))}.')} END)"
+        v = type_code(x, codes)
+        allowed = " or ".join(q(c) for c, _ in codes)
+        e = f"(CASE WHEN {t} IS NOT NULL AND {v} IS NULL THEN {q(f'Column {q(column)} must contain {allowed}.')} END)"
+    elif kind == "taxnode":
+        v = taxnode(x)
+        e = f"(CASE WHEN {t} IS NOT NULL AND {v} IS NULL THEN {q(f'Column {q(column)} must resemble TX######## to derive taxnode_id.')} END)"
     else:
         v = t
         e = "cast(NULL AS varchar)"
     return v, e
 
 
-def convert_lenient(x: str, kind: str) -> str:
+def convert_lenient(x: str, kind: str, codes=TYPE_CODES) -> str:
     if kind == "int":
         return f"cast({int_like(x)} AS varchar)"
     if kind == "type":
-        return type_code(x)
+        return type_code(x, codes)
+    if kind == "taxnode":
+        return taxnode(x)
     return norm(x)
 
 

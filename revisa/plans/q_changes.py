@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from revisa.operators import changes as ch
 from revisa.operators import resolve as rs
+from revisa.operators import revision as rv
 from revisa.plans import fixtures as fx
 from revisa.plans import oracle_sql as S
 from revisa.plans.q_revision import SPEC, _unique_sql, r_frames, r_keyed
@@ -97,24 +98,36 @@ def _typed(x, t):
 
 
 def _apply_updates_sql() -> str:
+    """Entries of a key one after another: a recursive walk with the row's values as state."""
     targets = [t for _, t in SPEC.updatable]
-    aggs = ", ".join(
-        f"min({{'o': o_ord, 'nv': new_value, 'ov': old_value}}) FILTER (WHERE target = {S.q(t)}) AS s_{t}" for t in targets
+    entry = ", ".join(
+        f"count(*) FILTER (WHERE target = {S.q(t)}) > 0 AS h_{t}, max(new_value) FILTER (WHERE target = {S.q(t)}) AS n_{t}, max(old_value) FILTER (WHERE target = {S.q(t)}) AS v_{t}"
+        for t in targets
     )
-    checks = [f"(CASE WHEN k.s_{t} IS NOT NULL THEN (s.{t} IS NOT DISTINCT FROM {_typed(f'k.s_{t}.ov', t)}) END)" for t in targets]
-    has = "(" + " OR ".join(f"k.s_{t} IS NOT NULL" for t in targets) + ")"
-    ok = f"(coalesce({has}, false) AND coalesce(" + " OR ".join(f"coalesce({x}, false)" for x in checks) + ", false))"
-    out = []
-    for c in _STORED_COLS:
-        if c in targets:
-            out.append(f"CASE WHEN {ok} AND k.s_{c} IS NOT NULL THEN {_typed(f'k.s_{c}.nv', c)} ELSE s.{c} END AS {c}")
-        else:
-            out.append(f"s.{c}")
-    status = f"CASE WHEN {ok} THEN 'applied' WHEN coalesce({has}, false) THEN 'guard_miss' END AS update_status"
-    return c_sql(
-        f"SELECT {', '.join(out)}, {status} FROM stored s LEFT JOIN (SELECT key_num, {aggs} FROM validc GROUP BY key_num) k ON s.record_id = k.key_num",
-        extra=[("stored", _stored_sql())],
+    ent = f"SELECT key_num, row_number() OVER (PARTITION BY key_num ORDER BY o_ord, ord) AS rn, {entry} FROM validc GROUP BY key_num, ord, o_ord"
+    guard = "(" + " OR ".join(f"(e.h_{t} AND f.{t} IS NOT DISTINCT FROM {_typed(f'e.v_{t}', t)})" for t in targets) + ")"
+    state = ", ".join(f"CASE WHEN {guard} AND e.h_{t} THEN {_typed(f'e.n_{t}', t)} ELSE f.{t} END" for t in targets)
+    names = ", ".join(targets)
+    walk = (
+        f"SELECT rid, record_id, cast(0 AS bigint) AS step, false AS applied, {names} FROM st "
+        f"UNION ALL SELECT f.rid, f.record_id, e.rn, f.applied OR {guard}, {state} FROM fold f JOIN ent e ON e.key_num = f.record_id AND e.rn = f.step + 1"
     )
+    out = ", ".join(f"l.{c}" if c in targets else f"s.{c}" for c in _STORED_COLS)
+    body = (
+        f"SELECT {out}, CASE WHEN l.applied THEN 'applied' WHEN l.step > 0 THEN 'guard_miss' END AS update_status "
+        "FROM st s JOIN (SELECT * FROM fold QUALIFY row_number() OVER (PARTITION BY rid ORDER BY step DESC) = 1) l ON s.rid = l.rid"
+    )
+    ctes = [
+        ("po", S.prepared("rev_doubled", SPEC)),
+        ("pu", S.prepared("rev_updated", SPEC)),
+        ("longc", _long_sql()),
+        ("validc", _valid_sql()),
+        ("stored", _stored_sql()),
+        ("st", "SELECT *, row_number() OVER () AS rid FROM stored"),
+        ("ent", ent),
+        ("fold", walk),
+    ]
+    return S.with_fixtures(["rev_doubled", "rev_updated"], body, ctes).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 def _apply_frames(spark, sf_dir):
@@ -124,7 +137,9 @@ def _apply_frames(spark, sf_dir):
 
 @register("apply_updates", _apply_updates_sql())
 def apply_updates(spark, sf_dir):
-    o, u = r_keyed(spark, sf_dir)
+    """A baseline in which some keys have several originals, each with its own entry."""
+    o = rv.prepare(fx.rev_doubled(spark, sf_dir), SPEC, keyed_only=True)
+    u = r_keyed(spark, sf_dir)[1]
     return ch.apply_updates(ch.stored_table(o, SPEC), ch.update_entries(o, u, SPEC), SPEC)
 
 
@@ -173,14 +188,16 @@ def _apply_inserts_sql() -> str:
         + ", ".join(f"a.{t}" for t, _ in SPEC.insertable)
         + " FROM allrows a LEFT JOIN resolved r ON a.entry_name = r.name"
     )
-    ctes = [("po", S.prepared("rev_original", SPEC)), ("pu", S.prepared("rev_updated", SPEC)), ("stored", _stored_sql()), ("allrows", allrows)]
+    ctes = [("po", S.prepared("rev_original", SPEC)), ("pu", S.prepared("rev_named", SPEC)), ("stored", _stored_sql()), ("allrows", allrows)]
     ctes += _resolve_sql(names)
-    return S.with_fixtures(["rev_original", "rev_updated", "node_names", "toc"], body, ctes)
+    return S.with_fixtures(["rev_original", "rev_named", "node_names", "toc"], body, ctes)
 
 
 @register("apply_inserts", _apply_inserts_sql())
 def apply_inserts(spark, sf_dir):
-    o, u, stored = _apply_frames(spark, sf_dir)
+    """Inserts whose names have no id, one or two in the latest release, no name, or the removal name."""
+    stored = _apply_frames(spark, sf_dir)[2]
+    u = rv.prepare(fx.rev_named(spark, sf_dir), SPEC)
     nn, toc = fx.node_names(spark, sf_dir), fx.toc(spark)
     return ch.apply_inserts(stored, ch.change_inserts(u, SPEC), lambda names: rs.resolve_current_id(names, nn, toc), "entry_name")
 
@@ -190,13 +207,12 @@ def apply_inserts(spark, sf_dir):
     S.with_fixtures(
         ["node_names", "toc"],
         "SELECT name, taxnode_id, n_matches FROM resolved",
-        _resolve_sql("SELECT DISTINCT name FROM node_names WHERE release_num = 1"),
+        _resolve_sql("SELECT DISTINCT name FROM node_names"),
     ),
 )
 def resolve_current_id(spark, sf_dir):
     nn = fx.node_names(spark, sf_dir)
-    names = nn.where(F.col("release_num") == 1).select("name")
-    return rs.resolve_current_id(names, nn, fx.toc(spark))
+    return rs.resolve_current_id(nn.select("name"), nn, fx.toc(spark))
 
 
 @register(

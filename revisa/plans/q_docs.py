@@ -19,18 +19,16 @@ VALUE_HEADERS = ("kind", "segment")
 
 
 def _headers(spark, sf_dir):
-    cols = fx.rev_original(spark, sf_dir).drop("ord").columns
-    hs = cols[: cols.index(DOC_MARKER)]
-    return spark.createDataFrame(list(enumerate(hs, start=1)), "pos int, header string")
+    cols = list(SPEC.columns)
+    return fx.doc_headers(spark, sf_dir, cols[: cols.index(DOC_MARKER)], 1)
 
 
-def _range_headers(spark):
-    return spark.createDataFrame(list(enumerate(RANGE, start=4)), "pos int, header string")
+def _range_headers(spark, sf_dir):
+    return fx.doc_headers(spark, sf_dir, RANGE, 4, "p_partkey % 50 = 7")
 
 
 def _values(spark, sf_dir):
-    v = fx.vocab_updated(spark, sf_dir)
-    return v.where(F.col("col").isin(list(VALUE_HEADERS))).select(F.col("col").alias("header"), "value", "ord")
+    return fx.doc_values(spark, sf_dir, VALUE_HEADERS)
 
 
 def _strip(x):
@@ -68,20 +66,35 @@ def list_tokens(spark, sf_dir):
     return d.select("doc_id", F.posexplode(L.list_tokens("text")).alias("pos", "token")).select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token")
 
 
+_BULLETED = "replace(replace(text, chr(10), chr(10) || ' - '), ', ', chr(10) || '- ' || chr(10))"
+
+
 @register(
     "bullets",
-    f"SELECT doc_id, cast(unnest(range(len(b))) AS bigint) AS pos, unnest(b) AS bullet FROM (SELECT doc_id, {_bullets('text')} AS b FROM documents)",
+    f"SELECT doc_id, cast(unnest(range(len(b))) AS bigint) AS pos, unnest(b) AS bullet FROM (SELECT doc_id, {_bullets(_BULLETED)} AS b FROM documents)",
 )
 def bullets(spark, sf_dir):
-    d = fx.table(spark, sf_dir, "documents")
+    """Documents whose later lines are items, some of them empty."""
+    d = fx.table(spark, sf_dir, "documents").withColumn("text", F.replace(F.replace("text", F.lit("\n"), F.lit("\n - ")), F.lit(", "), F.lit("\n- \n")))
     return d.select("doc_id", F.posexplode(L.bullets("text")).alias("pos", "bullet")).select("doc_id", F.col("pos").cast("bigint").alias("pos"), "bullet")
 
 
-@register("match_text")
+#: Compatibility characters that the fixture writes, and what they are read as.  Fixed values.
+COMPATIBLE = (("\ufb01", "fi"), ("\u00b2", "2"), ("\uff21", "A"), ("\u2460", "1"), ("\u212b", "\u00c5"), ("e\u0301", "\u00e9"))
+
+
+def _compatible_sql() -> str:
+    """Match text of documents without compatibility characters, which the fixture then only spells otherwise."""
+    return f"SELECT doc_id, {_mt('text')} AS mt FROM documents"
+
+
+@register("match_text", _compatible_sql())
 def match_text(spark, sf_dir):
-    """SCL-08 over whole documents (NFKC has no SQL spelling in the oracle engine)."""
-    d = fx.table(spark, sf_dir, "documents")
-    return d.select("doc_id", M.match_text("text").alias("mt"))
+    """SCL-08 over whole documents that spell what they can in compatibility characters."""
+    text = F.col("text")
+    for odd, plain in COMPATIBLE:
+        text = F.replace(text, F.lit(plain), F.lit(odd))
+    return fx.table(spark, sf_dir, "documents").select("doc_id", M.match_text(text).alias("mt"))
 
 
 _TOK_SQL = (
@@ -91,7 +104,7 @@ _TOK_SQL = (
     f"WHERE {_strip('coalesce(col, ' + S.q('') + ')')} <> '' OR {_strip('coalesce(heading, ' + S.q('') + ')')} <> '' OR {_strip('coalesce(definition, ' + S.q('') + ')')} <> '')"
 )
 _TOKS = f"SELECT *, {_mt('token')} AS mt FROM ({_TOK_SQL}) WHERE {_mt('token')} <> ''"
-_SPELL = "SELECT mt, token, cast(min(ord) AS bigint) AS first_ord, cast(arg_min(pos, ord * 1000 + pos) AS bigint) AS first_pos FROM toks GROUP BY mt, token"
+_SPELL = "SELECT mt, token, cast(min(ord) AS bigint) AS first_ord, cast(arg_min(pos, ord::HUGEINT * 1000000 + pos) AS bigint) AS first_pos FROM toks GROUP BY mt, token"
 
 
 def g_sql(body: str, extra=()) -> str:
@@ -100,17 +113,23 @@ def g_sql(body: str, extra=()) -> str:
 
 @register("spellings_by_match", g_sql("SELECT * FROM spell"))
 def spellings_by_match(spark, sf_dir):
-    return dc.spellings(dc.heading_tokens(fx.defs(spark)))
+    return dc.spellings(dc.heading_tokens(fx.defs(spark, sf_dir)))
+
+
+_PART_HEADERS = (
+    " UNION ALL SELECT cast(p_partkey + 1000 AS integer), CASE p_partkey % 4 WHEN 1 THEN upper(n) WHEN 2 THEN n || ' x' WHEN 3 THEN replace(n, ' ', '_') ELSE n END "
+    "FROM (SELECT *, concat(p_name, ' ', cast(p_partkey AS string)) AS n FROM part) p"
+)
 
 
 def _headers_sql():
     cols = list(SPEC.columns)
     hs = cols[: cols.index(DOC_MARKER)]
-    return " UNION ALL ".join(f"SELECT {i} AS pos, {S.q(h)} AS header" for i, h in enumerate(hs, start=1))
+    return " UNION ALL ".join(f"SELECT {i} AS pos, {S.q(h)} AS header" for i, h in enumerate(hs, start=1)) + _PART_HEADERS
 
 
 _CHOOSE = (
-    "SELECT h.pos, h.header, arg_min(s.token, CASE WHEN s.token = h.header THEN 0 ELSE 1 END * 1000000 + s.first_ord * 1000 + s.first_pos) AS matched "
+    "SELECT h.pos, h.header, arg_min(s.token, CASE WHEN s.token = h.header THEN 0 ELSE 1 END * 1000000000000000000000::HUGEINT + s.first_ord::HUGEINT * 1000000 + s.first_pos) AS matched "
     "FROM hdr h LEFT JOIN {spell} s ON s.mt = {mt} GROUP BY h.pos, h.header"
 )
 
@@ -130,17 +149,17 @@ _HEADER_COV = _cover_sql("Definitions are missing documentation for header ", "H
 @register("choose_match", g_sql("SELECT pos, header, matched, matched = header AS exact FROM (" + _CHOOSE.format(spell="spell", mt=_mt("h.header")) + ")", [("hdr", _headers_sql())]))
 def choose_match(spark, sf_dir):
     h = _headers(spark, sf_dir).withColumn("mt", M.match_text("header"))
-    return dc.choose(h, dc.spellings(dc.heading_tokens(fx.defs(spark)))).select("pos", "header", "matched", "exact")
+    return dc.choose(h, dc.spellings(dc.heading_tokens(fx.defs(spark, sf_dir)))).select("pos", "header", "matched", "exact")
 
 
 @register("doc_header_coverage", g_sql(_HEADER_COV, [("hdr", _headers_sql())]))
 def doc_header_coverage(spark, sf_dir):
-    return dc.header_coverage(_headers(spark, sf_dir), fx.defs(spark))
+    return dc.header_coverage(_headers(spark, sf_dir), fx.defs(spark, sf_dir))
 
 
-_RANGE_HDR = " UNION ALL ".join(f"SELECT {i} AS pos, {S.q(h)} AS header" for i, h in enumerate(RANGE, start=4))
+_RANGE_HDR = " UNION ALL ".join(f"SELECT {i} AS pos, {S.q(h)} AS header" for i, h in enumerate(RANGE, start=4)) + _PART_HEADERS + " WHERE p_partkey % 50 = 7"
 _RANGE_SPELL = (
-    "SELECT mt, token, cast(min(ord) AS bigint) AS first_ord, cast(arg_min(pos, ord * 1000 + pos) AS bigint) AS first_pos FROM toks "
+    "SELECT mt, token, cast(min(ord) AS bigint) AS first_ord, cast(arg_min(pos, ord::HUGEINT * 1000000 + pos) AS bigint) AS first_pos FROM toks "
     f"WHERE regexp_matches(col, {S.q(dc.RANGE_ROW)}) AND ord = (SELECT max(ord) FROM toks WHERE regexp_matches(col, {S.q(dc.RANGE_ROW)})) GROUP BY mt, token"
 )
 _RANGE_COV = _cover_sql("Grouped heading list is missing ", "Range map: ", spell="rspell")
@@ -148,7 +167,7 @@ _RANGE_COV = _cover_sql("Grouped heading list is missing ", "Range map: ", spell
 
 @register("doc_range_coverage", g_sql(_RANGE_COV, [("hdr", _RANGE_HDR), ("rspell", _RANGE_SPELL)]))
 def doc_range_coverage(spark, sf_dir):
-    return dc.range_coverage(_range_headers(spark), fx.defs(spark))
+    return dc.range_coverage(_range_headers(spark, sf_dir), fx.defs(spark, sf_dir))
 
 
 def _value_cov_sql():
@@ -159,8 +178,8 @@ def _value_cov_sql():
     )
     nb = "SELECT t.mt, t.defs_text, coalesce((SELECT count(*) FROM bl WHERE bl.mt = t.mt), 0) AS n_bullets FROM texts t"
     vals = (
-        f"SELECT col AS header, {_strip('coalesce(value, ' + S.q('') + ')')} AS value, ord, {_mt('col')} AS mt FROM vocab_updated "
-        f"WHERE col IN ({', '.join(S.q(h) for h in VALUE_HEADERS)}) AND {_strip('coalesce(value, ' + S.q('') + ')')} <> ''"
+        f"SELECT header, {_strip('coalesce(value, ' + S.q('') + ')')} AS value, ord, {_mt('header')} AS mt FROM doc_values "
+        f"WHERE {_strip('coalesce(value, ' + S.q('') + ')')} <> ''"
     )
     g = (
         f"SELECT v.header, v.value, v.ord, n.defs_text, coalesce(n.n_bullets, 0) AS n_bullets, {_mt('v.value')} AS vmt, "
@@ -185,12 +204,12 @@ def _value_cov_sql():
 def v_g_sql(body: str, extra=()) -> str:
     vb, vctes = _value_cov_sql()
     ctes = [("toks", _TOKS), ("spell", _SPELL), *vctes, ("vcov", vb), *extra]
-    return S.with_fixtures(["defs", "vocab_original", "vocab_updated"], body, ctes)
+    return S.with_fixtures(["defs", "vocab_original", "vocab_updated", "doc_values"], body, ctes)
 
 
 @register("doc_value_coverage", v_g_sql("SELECT * FROM vcov"))
 def doc_value_coverage(spark, sf_dir):
-    return dc.value_coverage(_values(spark, sf_dir), fx.defs(spark))
+    return dc.value_coverage(_values(spark, sf_dir), fx.defs(spark, sf_dir))
 
 
 _DOC_CHECK = (
@@ -203,10 +222,10 @@ _DOC_CTES = [("hdr", _headers_sql()), ("hcov", _HEADER_COV), ("rhdr", _RANGE_HDR
 
 
 def _doc_check(spark, sf_dir):
-    defs = fx.defs(spark)
+    defs = fx.defs(spark, sf_dir)
     return dc.doc_issues(
         dc.header_coverage(_headers(spark, sf_dir), defs),
-        dc.range_coverage(_range_headers(spark), defs),
+        dc.range_coverage(_range_headers(spark, sf_dir), defs),
         dc.value_coverage(_values(spark, sf_dir), defs),
     )
 

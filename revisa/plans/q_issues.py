@@ -143,28 +143,28 @@ def check_sql(correct: bool, body: str | None = None) -> str:
     return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-def _check(spark, sf_dir, correct: bool):
+def _check(spark, sf_dir) -> iss.RevisionCheck:
+    """The complete check: vocabularies, reference lists and export included."""
     o, u = r_frames(spark, sf_dir)
-    if correct:
-        vo, vu = qv.frames(spark, sf_dir)
-        lists = {"vocab_original": vo, "reference": reference(spark, sf_dir), "export": qr._export_prepared(spark, sf_dir), "export_kinds": qr.RECONCILE_KINDS}
-        return iss.check_revision(o, u, SPEC, vu, qv.CONSTRAINED, **lists)
-    return iss.check_revision(o, u, SPEC)
+    vo, vu = qv.frames(spark, sf_dir)
+    lists = {"vocab_original": vo, "reference": reference(spark, sf_dir), "export": qr._export_prepared(spark, sf_dir), "export_kinds": qr.RECONCILE_KINDS}
+    return iss.RevisionCheck(o, u, SPEC, vu, qv.CONSTRAINED, **lists)
 
 
 @register("issue_log", check_sql(False))
 def issue_log(spark, sf_dir):
-    return _check(spark, sf_dir, False)
+    """The check without vocabularies, lists and export: the edit is not corrected first."""
+    return iss.check_revision(*r_frames(spark, sf_dir), SPEC)
 
 
 @register("check_revision", check_sql(True))
 def check_revision(spark, sf_dir):
-    return _check(spark, sf_dir, True)
+    return iss.all_issues(_check(spark, sf_dir))
 
 
-@register("has_errors", check_sql(False, "SELECT coalesce(max(severity = 'ERROR'), false) AS has_errors FROM issues"))
+@register("has_errors", check_sql(True, "SELECT coalesce(max(severity = 'ERROR'), false) AS has_errors FROM issues"))
 def has_errors(spark, sf_dir):
-    return iss.has_errors(_check(spark, sf_dir, False))
+    return spark.createDataFrame([(_check(spark, sf_dir).has_errors(),)], "has_errors boolean")
 
 
 def _report_body() -> str:
@@ -184,7 +184,7 @@ def _report_body() -> str:
     )
 
 
-@register("issue_report", check_sql(False, _report_body()))
+@register("issue_report", check_sql(True, _report_body()))
 def issue_report(spark, sf_dir):
-    o, u = r_frames(spark, sf_dir)
-    return iss.report(iss.check_revision(o, u, SPEC), o, u, SPEC)
+    check = _check(spark, sf_dir)
+    return iss.report(iss.all_issues(check), check.original, check.edited, SPEC)

@@ -39,18 +39,27 @@ def like_match(spark, sf_dir):
     return p.select("p_partkey", mk.like("p_type", "ECO%").alias("m_type"), mk.like("p_brand", "Brand#_3").alias("m_brand"))
 
 
+#: Cells that the fixture blanks: a column and the rows by key.
+HOLES = {"part": ("p_brand", "p_partkey % 9 = 4"), "orders": ("o_orderstatus", "o_orderkey % 11 = 5")}
+
+
+def _holed(df, table):
+    column, where = HOLES[table]
+    return df.withColumn(column, F.when(~F.expr(where), F.col(column)))
+
+
 def _masked(spark, sf_dir, null_as_empty):
     rules = _rules(spark)
     out = None
     for t, key in MASKED.items():
-        df = mk.mask_table(fx.table(spark, sf_dir, t), t, rules, null_as_empty).select(F.lit(t).alias("table_name"), F.col(key).alias("row_key"))
+        df = mk.mask_table(_holed(fx.table(spark, sf_dir, t), t), t, rules, null_as_empty).select(F.lit(t).alias("table_name"), F.col(key).alias("row_key"))
         out = df if out is None else out.unionByName(df)
     return out
 
 
 def _masked_sql(null_as_empty):
     return m_sql(
-        " UNION ALL ".join(f"SELECT '{t}' AS table_name, {k} AS row_key FROM {t} WHERE NOT ({_sql_pred(t, null_as_empty)})" for t, k in MASKED.items())
+        " UNION ALL ".join(f"SELECT '{t}' AS table_name, {k} AS row_key FROM (SELECT * REPLACE (CASE WHEN NOT ({HOLES[t][1]}) THEN {HOLES[t][0]} END AS {HOLES[t][0]}) FROM {t}) WHERE NOT ({_sql_pred(t, null_as_empty)})" for t, k in MASKED.items())
     )
 
 

@@ -107,10 +107,11 @@ def duplicate_keys(spark, sf_dir):
     return rv.duplicate_keys(r_frames(spark, sf_dir)[1])
 
 
-@register("blank_keys", r_sql("SELECT ord FROM po WHERE rkey IS NULL"))
+@register("blank_keys", r_sql("SELECT 'original' AS side, ord FROM po WHERE rkey IS NULL UNION ALL SELECT 'edited', ord FROM pu WHERE rkey IS NULL"))
 def blank_keys(spark, sf_dir):
-    o = r_frames(spark, sf_dir)[0]
-    return o.where(F.col(rv.KEY).isNull()).select("ord")
+    """Rows without a key on both sides; the edit is the next revision's baseline."""
+    o, u = (df.where(F.col(rv.KEY).isNull()) for df in r_frames(spark, sf_dir))
+    return o.select(F.lit("original").alias("side"), "ord").unionByName(u.select(F.lit("edited").alias("side"), "ord"))
 
 
 @register(
@@ -178,9 +179,16 @@ def int_like(spark, sf_dir):
     return fx.rev_updated(spark, sf_dir).select("ord", T.int_like("sort_minor").alias("minor_int"), T.int_like("sort_major").alias("major_int"))
 
 
-@register("type_code", S.with_fixtures(["rev_updated"], f"SELECT ord, {S.type_code('kind')} AS kind_code FROM rev_updated"))
+#: Other codes than the spec's, met by the segments of fixture R.
+OTHER_CODES = (("B", "BUILD"), ("M", "MACH"), ("S", "SPACE"))
+
+
+@register(
+    "type_code",
+    S.with_fixtures(["rev_updated"], f"SELECT ord, {S.type_code('kind')} AS kind_code, {S.type_code('segment', OTHER_CODES)} AS segment_code FROM rev_updated"),
+)
 def type_code(spark, sf_dir):
-    return fx.rev_updated(spark, sf_dir).select("ord", T.type_code("kind").alias("kind_code"))
+    return fx.rev_updated(spark, sf_dir).select("ord", T.type_code("kind").alias("kind_code"), T.type_code("segment", OTHER_CODES).alias("segment_code"))
 
 
 _DATA = list(SPEC.data_columns)
@@ -254,36 +262,45 @@ def delta_columns(spark, sf_dir):
     return rv.delta_columns(o, u, SPEC)
 
 
-_KIND_COLS = [("sort_minor", "minor"), ("kind", "type"), ("name", "name")]
+_KIND_COLS = [("sort_minor", "int", "minor"), ("kind", "type", "type"), ("name", "text", "name"), ("node", "taxnode", "node"), ("segment", "type", "segment")]
+#: A node reference for every row: written in several ways, blank, or unreadable.
+_NODE_SQL = "CASE ord % 5 WHEN 0 THEN 'TX' || cast(ord AS varchar) WHEN 1 THEN ' tx' || cast(ord AS varchar) || ' ' WHEN 2 THEN 'T' || cast(ord AS varchar) WHEN 3 THEN 'TX99999999999999999999' END"
+
+
+def _with_node(df):
+    n, text = F.col("ord") % 5, F.col("ord").cast("string")
+    node = F.when(n == 0, F.concat(F.lit("TX"), text)).when(n == 1, F.concat(F.lit(" tx"), text, F.lit(" "))).when(n == 2, F.concat(F.lit("T"), text)).when(n == 3, F.lit("TX99999999999999999999"))
+    return df.withColumn("node", node)
+
+
+def _codes(column):
+    return {"codes": OTHER_CODES} if column == "segment" else {}
 
 
 @register(
     "convert_checked",
     r_sql(
         "SELECT ord, "
-        + ", ".join(
-            f"{S.convert_checked(c, SPEC.kind(c), c)[0]} AS {a}_value, {S.convert_checked(c, SPEC.kind(c), c)[1]} AS {a}_error"
-            for c, a in _KIND_COLS
-        )
-        + " FROM pu"
+        + ", ".join(f"{S.convert_checked(c, k, c, **_codes(c))[0]} AS {a}_value, {S.convert_checked(c, k, c, **_codes(c))[1]} AS {a}_error" for c, k, a in _KIND_COLS)
+        + f" FROM (SELECT *, {_NODE_SQL} AS node FROM pu)"
     ),
 )
 def convert_checked(spark, sf_dir):
-    u = r_frames(spark, sf_dir)[1]
+    u = _with_node(r_frames(spark, sf_dir)[1])
     cols = []
-    for c, a in _KIND_COLS:
-        conv = T.convert_checked(c, SPEC.kind(c), c)
+    for c, k, a in _KIND_COLS:
+        conv = T.convert_checked(c, k, c, **_codes(c))
         cols += [conv["value"].alias(f"{a}_value"), conv["error"].alias(f"{a}_error")]
     return u.select("ord", *cols)
 
 
 @register(
     "convert_lenient",
-    r_sql("SELECT ord, " + ", ".join(f"{S.convert_lenient(c, SPEC.kind(c))} AS {a}_value" for c, a in _KIND_COLS) + " FROM po"),
+    r_sql("SELECT ord, " + ", ".join(f"{S.convert_lenient(c, k, **_codes(c))} AS {a}_value" for c, k, a in _KIND_COLS) + f" FROM (SELECT *, {_NODE_SQL} AS node FROM po)"),
 )
 def convert_lenient(spark, sf_dir):
-    o = r_frames(spark, sf_dir)[0]
-    return o.select("ord", *[T.convert_lenient(c, SPEC.kind(c)).alias(f"{a}_value") for c, a in _KIND_COLS])
+    o = _with_node(r_frames(spark, sf_dir)[0])
+    return o.select("ord", *[T.convert_lenient(c, k, **_codes(c)).alias(f"{a}_value") for c, k, a in _KIND_COLS])
 
 
 @register(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,8 @@ class RevisionSpec:
     # codes or two non-integers compare equal; False (default) falls back to the text.
     strict_reference: bool = False
     target_table: str = "records"
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
+    # what the change text of a row without a key says
+    new_label: str = "new isolate"
 
     def fallback(self, override: bool | None = None) -> bool:
         """Whether comparisons fall back to text for unreadable typed values."""

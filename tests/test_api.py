@@ -62,7 +62,7 @@ def test_build_release(spark):
         vocab_columns={"segment": ("customer", "c_mktsegment", "c_custkey")},
         public_marker="balance",
         key_link_base="http://example.org/id/",
-        defs=fx.defs(spark),
+        defs=fx.defs(spark, SF),
         doc_marker="notes",
     )
     assert r.editor.where(F.col("segment") == "MACHINERY").isEmpty()

@@ -198,21 +198,6 @@ def test_map_columns_and_not_in_list(spark):
     assert trimmed == [(3, "segment", "x"), (4, "kind", "Z")]
 
 
-def test_write_statements(spark):
-    import glob
-
-    d = tempfile.mkdtemp(prefix="revisa-test-")
-    st = spark.createDataFrame([(2, 5, "UPDATE a;"), (2, 3, "UPDATE b;"), (1, 9, "DELETE c;")], "stage int, ord bigint, statement string")
-    src.write_statements(st, os.path.join(d, "out"), header_lines=["-- Generated by test"])
-
-    def stage_text(n):
-        files = sorted(glob.glob(os.path.join(d, "out", f"stage={n}", "part-*")))
-        return "".join(open(f).read() for f in files)
-
-    assert stage_text(2).splitlines() == ["-- Generated by test", "UPDATE b;", "", "UPDATE a;", ""]
-    assert stage_text(3).splitlines() == ["-- Generated by test", "-- No inserts required."]
-
-
 def test_dump_python_escapes_match_csv_module(spark):
     import csv
 
