@@ -10,8 +10,8 @@ documents.  The stages, and what each decides on all that its predecessor kept:
 4. benchmark decontamination: documents holding a test window go;
 5. mixing: words each document gives to the mix.
 
-Rows with a null doc_id pass the third stage; in the fourth, rows that share an id share
-its fate.  An empty table stays empty.
+Rows with a null doc_id pass the third stage; in the fourth, the text alone decides on each
+row.  An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -38,9 +38,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, slop=None)
+    """A document is known here by the digest of its text, which alone decides, and not by its id, which may be null or repeated."""
+    text = F.sha2(F.col("text").cast("string").cast("binary"), 256)
+    found = decontam.decontaminate(docs.select(text.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), window=10, slop=None)
     gone = found.where("contaminated").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, text == F.col("_gone"), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
