@@ -159,6 +159,7 @@ class Release:
     vocabularies: DataFrame
     issues: DataFrame
     changelog: DataFrame | None
+    public_tables: dict
 
 
 def build_release(
@@ -178,6 +179,7 @@ def build_release(
     changelog: DataFrame | None = None,
     provenance: tuple[str, str, str] | None = None,
     keep_going: bool = True,
+    internal=(),
 ) -> Release:
     """The export side in one call.
 
@@ -185,9 +187,12 @@ def build_release(
     columns (SRT-03, non-integers reported), checks its columns against the spec (SCH-02),
     builds the vocabularies from literal lists and table columns (SET-05, sorted SRT-01),
     checks the documentation when definitions are given (CHK-05; WARNING when keep-going;
-    ``doc_range`` names the columns the grouped heading list must cover, JN-17),
-    types the release (SNK-01), links the key (SCL-06), trims the public copy (SNK-07) and
-    appends the provenance row to the changelog (SNK-09).
+    ``doc_range`` names the columns the grouped heading list must cover, JN-17; a missing
+    marker or definition column is an issue, every mapping found an INFO line),
+    types the release (SNK-01), links the key (SCL-06), trims the public copy and leaves the
+    ``internal`` tables out of the public set (SNK-07), and appends the provenance row to the
+    changelog (SNK-09).  ``mask_rules`` may be a table of rules: those that cannot be applied
+    become issues.
     """
     from functools import reduce
 
@@ -197,6 +202,10 @@ def build_release(
     from revisa.operators import schema as sc
 
     spark = next(iter(tables.values())).sparkSession
+    rule_issues = None
+    if isinstance(mask_rules, DataFrame):
+        rule_issues = mk.rule_issues(mask_rules, {name: df.columns for name, df in tables.items()})
+        mask_rules = mk.read_rules(mask_rules, strict=False) if mask_rules.columns == mk.RULE_HEADER else []
     masked = {name: mk.mask_table(df, name, list(mask_rules)) for name, df in tables.items()}
     major, minor = sort_columns
     keyed = rl.sort_keys(masked[release_table], major, minor)
@@ -210,18 +219,12 @@ def build_release(
     msgs = [f"Release table is missing column '{c}'" for c in diff["missing"]] + [f"Release table has unexpected column '{c}'" for c in diff["unexpected"]]
     if msgs:
         issue_parts.append(spark.createDataFrame([("schema", m, "ERROR") for m in msgs], "check string, message string, severity string"))
+    if rule_issues is not None:
+        issue_parts.append(rule_issues)
     vocab_tables = [(col, masked[t], c, o) for col, (t, c, o) in dict(vocab_columns).items()] if vocab_columns else []
     vocabularies = vc.sort_vocab(vc.build(literal_vocab or {}, vocab_tables, spark)) if (literal_vocab or vocab_tables) else None
     if defs is not None and doc_marker is not None:
-        cols = [c for c in release.columns if c != spec.ordinal]
-        headers = spark.createDataFrame(list(enumerate(cols[: cols.index(doc_marker)], start=1)), "pos int, header string")
-        hc = dc.header_coverage(headers, defs)
-        vcov = dc.value_coverage(doc_values, defs) if doc_values is not None else hc.limit(0).select(
-            F.lit(None).cast("string").alias("header"), F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("ord"),
-            F.lit(None).cast("string").alias("matched"), F.lit(None).cast("string").alias("status"), F.lit(None).cast("string").alias("message"),
-        )
-        grouped = spark.createDataFrame(list(enumerate(doc_range, start=1)), "pos int, header string")
-        doc = dc.doc_issues(hc, dc.range_coverage(grouped, defs) if doc_range else hc.limit(0), vcov)
+        doc = dc.check_documentation([c for c in release.columns if c != spec.ordinal], doc_marker, defs, doc_values, doc_range)
         issue_parts.append(iss.severity_policy(doc, keep_going).select("check", "message", "severity"))
     editor = rl.typed_release(release, [c for c in sort_columns], [c for c in release.columns if c != spec.ordinal], keep=(spec.ordinal,))
     if key_link_base:
@@ -239,5 +242,6 @@ def build_release(
             ))
     issues = reduce(lambda a, b: a.unionByName(b), issue_parts)
     public = rl.public_projection(editor, public_marker) if public_marker else editor
+    public_tables = rl.public_tables({**masked, release_table: public}, release_table, public_marker or "", internal)
     log = rl.changelog_append(changelog, *provenance) if changelog is not None and provenance else changelog
-    return Release(editor=editor, original=release, public=public, vocabularies=vocabularies, issues=issues, changelog=log)
+    return Release(editor=editor, original=release, public=public, vocabularies=vocabularies, issues=issues, changelog=log, public_tables=public_tables)

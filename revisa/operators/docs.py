@@ -130,3 +130,35 @@ def doc_issues(header_cov: DataFrame, range_cov: DataFrame, value_cov: DataFrame
     ]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
     return out.select(F.lit("documentation").alias("check"), "message", F.lit("ERROR").alias("severity"))
+
+
+DEFINITION_COLUMNS = ("col", "heading", "definition")
+
+
+def check_documentation(columns: list[str], marker: str, defs: DataFrame, values: DataFrame | None = None, grouped=()) -> DataFrame:
+    """CHK-05: every documentation finding (check, message, severity), and a line (INFO) for each mapping found.
+
+    A release without the marker column, or definitions without their columns, cannot be
+    checked: that is the one issue then.
+    """
+    spark = defs.sparkSession
+    lacking = [c for c in DEFINITION_COLUMNS if c not in defs.columns]
+    told = None
+    if marker not in columns:
+        told = f"Release is missing the '{marker}' header needed for the documentation check"
+    elif lacking:
+        told = f"Definitions are missing required column(s): {', '.join(lacking)}"
+    if told is not None:
+        return spark.createDataFrame([("documentation", told, "ERROR")], "check string, message string, severity string")
+    headers = spark.createDataFrame(list(enumerate(columns[: columns.index(marker)], start=1)), "pos int, header string")
+    headers = header_coverage(headers, defs)
+    found = [headers]
+    if grouped:
+        found.append(range_coverage(spark.createDataFrame(list(enumerate(grouped, start=1)), "pos int, header string"), defs))
+    none = headers.limit(0)
+    vc = value_coverage(values, defs) if values is not None else none
+    out = doc_issues(headers, found[1] if grouped else none, vc)
+    for part in [*found, vc] if values is not None else found:
+        mapped = part.where(F.col("status").isin("mapped", "substring")).select(F.lit("documentation").alias("check"), "message", F.lit("INFO").alias("severity"))
+        out = out.unionByName(mapped)
+    return out

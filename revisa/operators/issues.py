@@ -271,10 +271,10 @@ def has_errors(issues: DataFrame) -> DataFrame:
 
 
 def severity_policy(issues: DataFrame, keep_going: bool, checks=("documentation",)) -> DataFrame:
-    """CHK-03: with keep-going, issues of the listed checks become WARNINGs."""
+    """CHK-03: with keep-going, errors of the listed checks become WARNINGs."""
     if not keep_going:
         return issues
-    return issues.withColumn("severity", F.when(F.col("check").isin(list(checks)), F.lit("WARNING")).otherwise(F.col("severity")))
+    return issues.withColumn("severity", F.when(F.col("check").isin(list(checks)) & (F.col("severity") == "ERROR"), F.lit("WARNING")).otherwise(F.col("severity")))
 
 
 def report(issues: DataFrame, original: DataFrame, edited: DataFrame, spec: RevisionSpec, run: dict | None = None) -> DataFrame:

@@ -26,22 +26,36 @@ def like(c, pattern: str) -> Column:
     return T._c(c).like(like_pattern(pattern))
 
 
-def read_rules(rules: DataFrame) -> list[tuple[str, str, str]]:
+def read_rules(rules: DataFrame, strict: bool = True) -> list[tuple[str, str, str]]:
     """SRC-06: header must be exactly the three names; rows with a blank field are an error.
 
-    Returns the rules as a driver-side list (rule files are kB-sized configuration).
+    Returns the rules as a driver-side list (rule files are kB-sized configuration).  Not
+    ``strict``, rows with a blank field are left out; :func:`rule_issues` reports them.
     """
     if rules.columns != RULE_HEADER:
         raise ValueError(f"Mask rules must have header columns: {', '.join(RULE_HEADER)}")
     out = []
     for i, r in enumerate(rules.collect(), start=2):
         t, c, p = (str(x).strip() if x is not None else "" for x in r)
-        if not t or not c or not p:
+        if t and c and p:
+            out.append((t, c, p))
+        elif strict:
             raise ValueError(f"Mask rule row {i} must provide table_name, col and pattern")
-        out.append((t, c, p))
     return out
 
 
+def rule_issues(rules: DataFrame, schemas: dict[str, list[str]]) -> DataFrame:
+    """SRC-06 as issues (check, message, severity): rules that cannot be applied, each an ERROR; a wrong header is one."""
+    if rules.columns != RULE_HEADER:
+        message = f"Mask rules must have header columns: {', '.join(RULE_HEADER)}"
+        return rules.sparkSession.createDataFrame([("mask", message, "ERROR")], "check string, message string, severity string")
+    bad = rule_status(rules, schemas).where("status <> 'ok'")
+    shown = [F.coalesce(T.norm(c), F.lit("")) for c in RULE_HEADER]
+    why = F.when(F.col("status") == "blank_field", F.lit("must provide table_name, col and pattern")).otherwise(F.lit("names a column that the table lacks"))
+    rule = F.concat(F.lit("Mask rule "), shown[0], F.lit("."), shown[1], F.lit(" LIKE '"), shown[2], F.lit("' "), why)
+    return bad.select(F.lit("mask").alias("check"), rule.alias("message"), F.lit("ERROR").alias("severity"))
+
+
 def rule_status(rules: DataFrame, schemas: dict[str, list[str]]) -> DataFrame:
     """Per rule: ``ok``, ``blank_field`` or ``unknown_column`` (Q23: a rule on a column the
     table lacks is reported and skipped instead of masking every row)."""

@@ -62,6 +62,24 @@ def public_projection(spark, sf_dir):
     return rl.public_projection(fx.rev_original(spark, sf_dir), PUBLIC_MARKER)
 
 
+@register(
+    "public_tables",
+    S.with_fixtures(
+        ["rev_original", "node_names"],
+        f"SELECT 'entries' AS table_name, {len(_PUB)} AS n_columns, count(*) AS n_rows FROM rev_original UNION ALL SELECT 'names', 4, count(*) FROM node_names",
+    ),
+)
+def public_tables(spark, sf_dir):
+    """The tables of a public release: the baseline kept for editors and their log stay inside."""
+    o = fx.rev_original(spark, sf_dir)
+    tables = {"entries": o, "original": o, "names": fx.node_names(spark, sf_dir), "changelog": _changelog(spark, sf_dir)}
+    out = None
+    for name, df in rl.public_tables(tables, "entries", PUBLIC_MARKER, internal=("original", "changelog")).items():
+        row = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), F.lit(len(df.columns)).alias("n_columns"), "n_rows")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 CARRY = ["nation", "region", "documents", "changelog"]
 
 

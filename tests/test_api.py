@@ -72,7 +72,7 @@ def test_build_release(spark):
     assert "balance" not in r.public.columns and "segment" in r.public.columns
     assert r.vocabularies.where(F.col("col") == "kind").count() == 2
     docs = {row["severity"] for row in r.issues.where(F.col("check") == "documentation").collect()}
-    assert docs == {"WARNING"}
+    assert docs == {"WARNING", "INFO"}
     majors = [row["sort_major"] for row in r.editor.select("sort_major").collect()]
     assert majors == sorted(majors)
 
@@ -94,3 +94,22 @@ def test_build_release_info_counts(spark):
     n_mach = o.where(F.col("segment").startswith("MACH")).count()
     assert info["mask"].endswith(f"matched {n_mach} row(s)")
     assert info["links"] == f"Added {o.count() - n_mach} key links"
+
+
+def test_build_release_reports_what_it_cannot_check(spark):
+    o = fx.rev_original(spark, SF).limit(50)
+    rules = spark.createDataFrame([("entries", "segment", "MACH%"), ("entries", " ", "x"), ("entries", "gone", "y")], "table_name string, col string, pattern string")
+    base = {"tables": {"entries": o, "log": o}, "release_table": "entries", "spec": fx.R_SPEC, "sort_columns": ("sort_major", "sort_minor")}
+    r = api.build_release(**base, mask_rules=rules, defs=fx.defs(spark, SF), doc_marker="no such column", internal=("log",), public_marker="balance")
+    errors = sorted((row["check"], row["message"]) for row in r.issues.where("severity <> 'INFO'").collect())
+    assert errors == [
+        ("documentation", "Release is missing the 'no such column' header needed for the documentation check"),
+        ("mask", "Mask rule entries. LIKE 'x' must provide table_name, col and pattern"),
+        ("mask", "Mask rule entries.gone LIKE 'y' names a column that the table lacks"),
+    ]
+    assert r.editor.where("segment = 'MACHINERY'").isEmpty() and list(r.public_tables) == ["entries"] and "balance" not in r.public_tables["entries"].columns
+    r = api.build_release(**base, defs=fx.defs(spark, SF).drop("definition"), doc_marker="notes")
+    assert [row["message"] for row in r.issues.where("check = 'documentation'").collect()] == ["Definitions are missing required column(s): definition"]
+    r = api.build_release(**base, mask_rules=rules.withColumnRenamed("col", "column"), defs=fx.defs(spark, SF), doc_marker="notes")
+    told = {(row["check"], row["severity"]): row["message"] for row in r.issues.collect()}
+    assert "must have header columns" in told["mask", "ERROR"] and "->" in told["documentation", "INFO"]
