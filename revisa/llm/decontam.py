@@ -27,7 +27,9 @@ from revisa.llm.words import byte_table, find_words
 TABLE = byte_table("alnum", lower=True)
 WINDOW, SLOP = 10, 2
 #: Text bytes of a segment, of a block of test items, and segments per index file.
-SEGMENT_BYTES, BLOCK_BYTES, FILE_SEGMENTS = 4 << 20, 16 << 20, 8
+SEGMENT_BYTES, BLOCK_BYTES, FILE_SEGMENTS = 4 << 20, 4 << 20, 8
+#: Starts of windows that a task looks at together.
+PORTION = 1 << 18
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -53,36 +55,31 @@ def build_index(docs: DataFrame) -> DataFrame:
 
 
 class Windows:
-    """Distinct windows of a block of test items: terms by place (0 beyond a short item's end), lengths, item ids."""
+    """Distinct windows of a block of test items: terms by place (0 beyond a short item's end), lengths, and which items hold them."""
 
-    def __init__(self, ids: list[str], texts: list[bytes], size: int):
+    def __init__(self, texts: list[bytes], size: int):
         off = np.cumsum([0, *[len(t) for t in texts]])
         words = find_words(np.frombuffer(b"".join(texts), np.uint8), off, TABLE)
-        seen: dict[bytes, int] = {}
-        rows: list[np.ndarray] = []
-        items: list[set[str]] = []
-        for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
-            for s in range(a, max(b - size, a) + 1) if b > a else ():
-                w = words.hash[s : min(s + size, b)]
-                k = seen.setdefault(w.tobytes(), len(rows))
-                if k == len(rows):
-                    rows.append(w)
-                    items.append(set())
-                items[k].add(ids[i])
-        self.length = np.array([len(r) for r in rows], np.int64)
-        self.terms = np.zeros((len(rows), size), np.uint64)
-        for k, r in enumerate(rows):
-            self.terms[k, : len(r)] = r
-        self.items = [sorted(x) for x in items]
-        self.vocabulary = np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.uint64)
-        self.order = np.tile(np.arange(size), (len(rows), 1))
-
-    def by_rarity(self, term_counts: dict[int, int]) -> None:
-        """Order every window's places from the rarest term of the corpus to the commonest."""
-        counts = np.array([term_counts.get(int(t), 0) for t in self.vocabulary])
-        of = counts[np.searchsorted(self.vocabulary, np.where(self.terms > 0, self.terms, self.vocabulary[:1]))]
-        beyond = np.arange(self.terms.shape[1])[None, :] >= self.length[:, None]
-        self.order = np.argsort(np.where(beyond, np.iinfo(np.int64).max, of), axis=1, kind="stable")
+        n = words.per_text
+        item = np.repeat(np.arange(len(texts)), np.where(n > 0, np.maximum(n - size, 0) + 1, 0))
+        place = np.arange(len(item)) - np.searchsorted(item, item)
+        length = np.minimum(n[item], size)
+        at = words.first[item][:, None] + place[:, None] + np.arange(size)
+        inside = np.arange(size) < length[:, None]
+        terms = np.where(inside, words.hash[np.where(inside, at, 0)], np.uint64(0)) if len(item) else np.zeros((0, size), np.uint64)
+        rows = np.ascontiguousarray(np.column_stack([terms, length.astype(np.uint64)])).view(np.dtype((np.void, 8 * (size + 1)))).ravel()
+        _, first, number = np.unique(rows, return_index=True, return_inverse=True)
+        self.terms, self.length = terms[first], length[first].astype(np.int64)
+        self.held = np.unique(np.column_stack([number.ravel(), item]), axis=0)  # (window, item)
+        within = inside[first]
+        self.vocabulary = np.unique(self.terms[within]) if len(first) else np.zeros(0, np.uint64)
+        self.number = np.where(within, np.searchsorted(self.vocabulary, self.terms), -1) if len(first) else np.zeros((0, size), np.int64)
+        self.order = np.tile(np.arange(size), (len(first), 1))
+
+    def by_rarity(self, counts: np.ndarray) -> None:
+        """Order every window's places from the rarest term of the corpus to the commonest; ``counts`` by term of the vocabulary."""
+        of = np.where(self.number >= 0, counts[self.number], np.iinfo(np.int64).max)
+        self.order = np.argsort(of, axis=1, kind="stable")
 
 
 class Segment:
@@ -98,48 +95,69 @@ class Segment:
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         return np.where(self.terms[at] == terms, at, -1)
 
-    def postings(self, term: int) -> np.ndarray:
-        return self.positions[self.ends[term - 1] if term else 0 : self.ends[term]]
-
-    def one_text(self, start: np.ndarray, length: int) -> np.ndarray:
-        """Those starts from which ``length`` words lie in one document."""
-        return start[self.text(start) == self.text(start + length - 1)] if len(start) else start
+    def matches(self, asked: Windows, slop: int | None):
+        """(window, start, exact) of the starts where a window stands, in bounded portions.
+
+        A window's starts come from the offset-adjusted posting list of its rarest term (for
+        proximity also of the second rarest); the lists of the other terms are intersected
+        from the rarest on, a posting being looked up by its position.  A near start has all
+        terms but one within ``slop`` words of their places.
+        """
+        size = asked.terms.shape[1]
+        seen = self.find(asked.vocabulary)
+        found = np.where(asked.number >= 0, seen[asked.number], -1) if len(seen) else np.full(asked.terms.shape, -1)
+        absent = ((found < 0) & (asked.number >= 0)).sum(axis=1)
+        allowed = (asked.length >= 3).astype(np.int64) if slop is not None else np.zeros(len(absent), np.int64)
+        some = np.flatnonzero(absent <= allowed)
+        margin = size + (slop or 0)
+        term_at = np.full(len(self.positions) + 2 * margin, -1, np.int64)
+        begins = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
+        term_at[self.positions + margin] = np.repeat(np.arange(len(self.terms)), self.ends - begins)
+        leads = asked.order[some][:, : 1 if slop is None else 2]
+        term = np.take_along_axis(found[some], leads, axis=1)
+        lead_size = np.where(term >= 0, self.ends[term] - begins[term], 0)
+        lead_size[:, 1:][asked.length[some] < 3] = 0
+        for portion in _portions(lead_size.sum(axis=1), PORTION):
+            n = lead_size[portion].ravel()
+            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            start = self.positions[np.repeat(begins[term[portion]].ravel(), n) + offset].astype(np.int64) - np.repeat(leads[portion].ravel(), n)
+            k = np.repeat(np.repeat(some[portion], leads.shape[1]), n)
+            keep = (start >= 0) & (start + asked.length[k] <= len(self.positions))
+            key = np.unique(k[keep] * (len(self.positions) + 1) + start[keep])
+            k, start = np.divmod(key, len(self.positions) + 1)
+            missed, exact = absent[k].copy(), absent[k] == 0
+            for rank in range(size):
+                place = asked.order[k, rank]
+                wanted = found[k, place]
+                at = start + place + margin
+                open_ = rank < asked.length[k]
+                here = term_at[at] == wanted
+                exact &= here | ~open_
+                if slop is None:
+                    live = exact
+                else:
+                    close = here.copy()
+                    for d in range(1, slop + 1):
+                        close |= (term_at[at - d] == wanted) | (term_at[at + d] == wanted)
+                    missed += open_ & (wanted >= 0) & ~close
+                    live = missed <= allowed[k]
+                k, start, missed, exact = k[live], start[live], missed[live], exact[live]
+            one = self.text(start) == self.text(start + asked.length[k] - 1)
+            if one.any():
+                yield k[one], start[one], exact[one]
 
     def text(self, position: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, position, side="right") - 1
 
-    def phrase(self, found: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-        """Starts of the exact phrase: offset-adjusted lists intersected from the rarest term on."""
-        start = None
-        for place in order[:length]:
-            listed = self.postings(found[place])
-            if start is None:
-                start = listed.astype(np.int64) - place
-                continue
-            at = np.minimum(np.searchsorted(listed, start + place), len(listed) - 1)
-            start = start[listed[at] == start + place]
-            if not len(start):
-                return start
-        return self.one_text(start[start >= 0], length)
-
-    def near(self, found: np.ndarray, order: np.ndarray, length: int, slop: int) -> np.ndarray:
-        """Starts at which all terms but one stand within ``slop`` words of their places; one of the two rarest must."""
-        have = [p for p in order[:length] if found[p] >= 0]
-        if length < 3 or len(have) < length - 1:
-            return np.zeros(0, np.int64)
-        lead = [p for p in order[:2] if found[p] >= 0]
-        start = np.unique(np.concatenate([self.postings(found[p]).astype(np.int64) - p for p in lead]))
-        missed = np.full(len(start), length - len(have))
-        for place in have:
-            listed = self.postings(found[place])
-            at = np.searchsorted(listed, start + (place - slop))
-            ok = (at < len(listed)) & (listed[np.minimum(at, len(listed) - 1)] <= start + (place + slop))
-            missed += ~ok
-            start, missed = start[missed <= 1], missed[missed <= 1]
-            if not len(start):
-                break
-        start = start[(start >= 0) & (start + length <= self.first[-1])]
-        return self.one_text(start, length)
+
+def _portions(sizes: np.ndarray, most: int):
+    """Slices whose sizes sum to about ``most``, or one element."""
+    run, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        end = int(np.searchsorted(run, (run[at - 1] if at else 0) + most, side="right"))
+        end = max(end, at + 1)
+        yield slice(at, end)
+        at = end
 
 
 def _segments(batches, names):
@@ -149,23 +167,28 @@ def _segments(batches, names):
             yield tuple(row[n][i].as_py() if n == "segment" else row[n][i].values.to_numpy(zero_copy_only=False) for n in names)
 
 
-def term_counts(index: DataFrame, vocabulary: np.ndarray) -> dict[int, int]:
+def term_counts(index: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     """Occurrences of the test terms in the whole corpus; at most one row per test term reaches the driver."""
     sent = index.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
+        total = np.zeros(len(sent.value), np.int64)
         for terms, ends in _segments(batches, ["terms", "ends"]):
             found = Segment(None, terms, ends, None).find(sent.value)
             some = found[found >= 0]
-            n = ends[some] - np.where(some > 0, ends[np.maximum(some - 1, 0)], 0)
-            yield pa.RecordBatch.from_arrays([pa.array(sent.value[found >= 0].view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
+            total[found >= 0] += ends[some] - np.where(some > 0, ends[np.maximum(some - 1, 0)], 0)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["term", "n"])
 
     got = index.select("terms", "ends").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    return dict(zip(got.column("term").to_numpy().view(np.uint64).tolist(), got.column("n").to_pylist()))
+    out = np.zeros(len(vocabulary), np.int64)
+    out[got.column("term").to_numpy()] = got.column("n").to_numpy()
+    sent.unpersist()
+    return out
 
 
-def search(index: DataFrame, windows: Windows, slop: int | None = SLOP) -> DataFrame:
-    """One row per match: segment, ord (document in it), at (word in the document), length, item_ids, kind (phrase or near).
+def search(index: DataFrame, windows: Windows, slop: int | None = SLOP, base: int = 0) -> DataFrame:
+    """One row per match: segment, ord (document in it), at (word in the document), length, win (window number from ``base``), kind (phrase or near).
 
     ``slop`` None: exact phrases only.
     """
@@ -174,51 +197,48 @@ def search(index: DataFrame, windows: Windows, slop: int | None = SLOP) -> DataF
     def run(batches):
         asked = sent.value
         for name, first, terms, ends, positions in _segments(batches, ["segment", "first", "terms", "ends", "positions"]):
-            seg = Segment(first, terms, ends, positions)
-            found = seg.find(asked.terms)
-            places = np.arange(found.shape[1])[None, :] < asked.length[:, None]
-            absent = ((found < 0) & places).sum(axis=1)
-            rows = []
-            for k in np.flatnonzero(absent <= (1 if slop is not None else 0)):
-                n = int(asked.length[k])
-                exact = seg.phrase(found[k], asked.order[k], n) if not absent[k] else np.zeros(0, np.int64)
-                rows += [(k, s, n, "phrase") for s in exact.tolist()]
-                if slop is not None:
-                    rows += [(k, s, n, "near") for s in np.setdiff1d(seg.near(found[k], asked.order[k], n, slop), exact).tolist()]
-            if rows:
-                start = np.array([r[1] for r in rows])
-                text = seg.text(start)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * len(rows)),
-                        pa.array(text.astype(np.int32)),
-                        pa.array((start - first[text]).astype(np.int32)),
-                        pa.array(np.array([r[2] for r in rows], np.int32)),
-                        pa.array([asked.items[r[0]] for r in rows], pa.list_(pa.string())),
-                        pa.array([r[3] for r in rows]),
-                    ],
-                    names=["segment", "ord", "at", "length", "item_ids", "kind"],
-                )
-
-    return index.select("segment", "first", "terms", "ends", "positions").mapInArrow(run, "segment string, ord int, at int, length int, item_ids array<string>, kind string")
-
-
-def matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int | None = SLOP) -> DataFrame:
-    """Matches of all test items, which are read in blocks of about ``BLOCK_BYTES`` of text."""
+            for k, start, exact in Segment(first, terms, ends, positions).matches(asked, slop):
+                text = np.searchsorted(first, start, side="right") - 1
+                columns = [
+                    pa.array([name] * len(k)),
+                    pa.array(text.astype(np.int32)),
+                    pa.array((start - first[text]).astype(np.int32)),
+                    pa.array(asked.length[k].astype(np.int32)),
+                    pa.array(k + base),
+                    pa.array(np.where(exact, "phrase", "near")),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["segment", "ord", "at", "length", "win", "kind"])
+
+    return index.select("segment", "first", "terms", "ends", "positions").mapInArrow(run, "segment string, ord int, at int, length int, win long, kind string")
+
+
+def matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int | None = SLOP) -> tuple[DataFrame, DataFrame]:
+    """Matches of all test items, and (win, item_id) of their windows.
+
+    The items are read in blocks of about ``BLOCK_BYTES`` of text; a block's windows are arrays
+    of some ten times that, and its matches are written before the next block is read, so
+    neither driver nor executors hold more than one block.
+    """
+    spark = index.sparkSession
     asked = benchmark.select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null and text is not null").distinct()
     total = asked.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = int(total // BLOCK_BYTES) + 1
-    out = None
+    found, items = [], []
     for b in range(blocks):
-        got = asked.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).toArrow().sort_by("id")
-        windows = Windows(got.column("id").to_pylist(), [t.encode() for t in got.column("text").to_pylist()], window)
-        if not len(windows.length) and blocks > 1:
-            continue
+        got = asked.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).toArrow().combine_chunks().sort_by("id")
+        data, off = flat(got.column("text").combine_chunks()) if got.num_rows else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
+        windows = Windows([data[x:y].tobytes() for x, y in zip(off[:-1], off[1:])], window)
         if len(windows.length):
             windows.by_rarity(term_counts(index, windows.vocabulary))
-        part = search(index, windows, slop)
-        out = part if out is None else out.unionByName(part)
-    return out
+        base = b << 40
+        found.append(written(search(index, windows, slop, base), "benchmark-matches"))
+        ids = got.column("id").combine_chunks() if got.num_rows else pa.array([], pa.string())
+        held = pa.table({"win": pa.array(windows.held[:, 0] + base, pa.int64()), "item_id": ids.take(pa.array(windows.held[:, 1])).cast(pa.string())})
+        items.append(written(spark.createDataFrame(held), "benchmark-items"))
+    for more in (found, items):
+        while len(more) > 1:
+            more.append(more.pop(0).unionByName(more.pop(0)))
+    return found[0], items[0]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int | None = SLOP) -> DataFrame:
@@ -230,11 +250,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     counted as hits.
     """
     index = build_index(docs)
-    found = written(matches(index, benchmark, window, slop), "benchmark-matches")
-    ids = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("kind") == k, F.col("item_ids")))))) for k in ("phrase", "near")]
+    found, items = matches(index, benchmark, window, slop)
+    ids = [F.array_sort(F.collect_set(F.when(F.col("kind") == k, F.col("item_id")))) for k in ("phrase", "near")]
     words = found.where("kind = 'phrase'").select("segment", "ord", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("length") - 1)).alias("w")).distinct()
     words = words.groupBy("segment", "ord").agg(F.count(F.lit(1)).alias("n_hit"))
-    named = found.groupBy("segment", "ord").agg(ids[0].alias("items"), ids[1].alias("near_items"))
+    named = found.select("segment", "ord", "win", "kind").distinct().join(items, "win").groupBy("segment", "ord").agg(ids[0].alias("items"), ids[1].alias("near_items"))
     rows = index.select("segment", F.posexplode(F.arrays_zip("doc_id", "n_words")).alias("ord", "r")).select("segment", "ord", "r.doc_id", "r.n_words")
     out = rows.join(words, ["segment", "ord"], "left").join(named, ["segment", "ord"], "left")
     empty = F.array().cast("array<string>")
