@@ -163,9 +163,10 @@ def apply_updates(stored: DataFrame, entries: DataFrame, spec: RevisionSpec, gua
 
     targets = {t: spec.kind(c) in ("int", "taxnode") for c, t in spec.updatable}
     entries = written_once(entries.select("key_num", "ord", "o_ord", "ch"), "update-entries")
-    several = written_once(entries.groupBy("key_num").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key_num"), "several-entries")
+    several = entries.groupBy("key_num").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key_num")
     if several.isEmpty():
         return _apply_single(stored, entries, targets, guard)
+    several = written_once(several, "several-entries")
     names = several.withColumnRenamed("key_num", "record_id")
     ordered = fold_entries(stored.join(names, "record_id", "left_semi"), entries.join(several, "key_num", "left_semi"), "record_id", targets, guard)
     return _apply_single(stored.join(names, "record_id", "left_anti"), entries.join(several, "key_num", "left_anti"), targets, guard).unionByName(ordered)

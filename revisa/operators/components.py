@@ -65,12 +65,14 @@ def components(links: DataFrame) -> DataFrame:
     a, b = links.columns
     now = links.select(F.greatest(a, b).cast("long").alias("node"), F.least(a, b).cast("long").alias("root")).where("node <> root")
     while True:
-        local = written_once(contracted(now), "components-local")
+        held = Observation()
+        local = written_once(contracted(now).observe(held, F.count(F.lit(1)).alias("n")), "components-local")
         up = local.groupBy("node").agg(F.min("root").alias("root"))
         # partitions that found different roots for a node: these belong together
         hooks = local.join(up.withColumnRenamed("root", "least"), "node").where("root <> least").select(F.col("root").alias("node"), F.col("least").alias("root"), F.lit(1).alias("open"))
         ahead = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        jumped = skew.join_unique(up, ahead, "root", skew.hot_keys(skew.row_counts(up, "root"), "root", "_n"), "left")
+        hot = skew.hot_keys(skew.row_counts(up, "root"), "root", "_n") if held.get["n"] > skew.HOT_ROWS else []
+        jumped = skew.join_unique(up, ahead, "root", hot, "left")
         jumped = jumped.select("node", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().cast("int").alias("open"))
         seen = Observation()
         step = written_once(jumped.unionByName(hooks).observe(seen, F.coalesce(F.sum("open"), F.lit(0)).alias("open")), "components-step")

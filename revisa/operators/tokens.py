@@ -135,10 +135,11 @@ def greedy_claims(candidates: DataFrame, pairs: DataFrame, walked_pairs: int = W
     found = cp.components(shared.select("ord", "least"))
     sizes = shared.join(found, F.col("ord") == F.col("node"), "left")
     labelled = written_once(sizes.select(F.coalesce("root", "ord").alias("root"), "ord", "token"), "claims-labelled")
-    large = written_once(labelled.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > walked_pairs).select("root"), "claims-large")
+    large = labelled.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > walked_pairs).select("root")
     if large.isEmpty():
         decided = walk(labelled)
     else:
+        large = written_once(large, "claims-large")
         decided = walk(labelled.join(large, "root", "left_anti"))
         rest = written_once(labelled.join(large, "root", "left_semi").select("ord", "token"), "claims-rest")
         won = rounds(rest)
