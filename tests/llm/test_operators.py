@@ -269,18 +269,104 @@ def test_langid_forward_sums_all_segmentations():
     vocabulary = langid.Vocabulary(pieces)
     p = np.random.default_rng(0).random((len(pieces), 2)) + 0.01
     text = "ABC cab é abcabc zz".encode()
-    lattice = langid.Lattice(np.frombuffer(text + b"ab", np.uint8), np.array([0, len(text), len(text), len(text) + 2]), vocabulary)
-    got = np.log(lattice.forward(p)[lattice.final])
+    lattice = langid.Lattice.of_texts(np.frombuffer(text + b"ab", np.uint8), np.array([0, len(text), len(text), len(text) + 2]), vocabulary)
+    got = lattice.word_logs(p)
     ids = {x: i for i, x in enumerate(pieces)}
     for t, words in enumerate([[b" abc", b" cab", " é".encode(), b" abcabc", b" zz"], [], [b" ab"]]):
         mine = lattice.word[lattice.text == t]
         for k in range(2):
             assert got[mine, k].tolist() == pytest.approx([np.log(brute_word(w, ids, p[:, k])) for w in words])
-    posterior, total = lattice.expected(p[:, 0])
+    posterior = lattice.expected(p[:, 0])
     per_word = np.bincount(lattice.edge_word, weights=posterior * np.array([len(pieces[i]) for i in lattice.piece]))
     assert per_word.tolist() == pytest.approx((lattice.stop - lattice.start).tolist())  # expected pieces cover each word once
 
 
+def brute_expected(word, vocab, p):
+    """Expected pieces of a word from all its segmentations, written out."""
+
+    def cuts(rest):
+        if not rest:
+            yield (), 1.0
+        for n in range(1, len(rest) + 1):
+            if rest[:n] in vocab:
+                for tail, q in cuts(rest[n:]):
+                    yield (vocab[rest[:n]], *tail), q * p[vocab[rest[:n]]]
+
+    every = list(cuts(word))
+    out, total = Counter(), sum(q for _, q in every)
+    for found, q in every:
+        for k in found:
+            out[k] += q / total
+    return out
+
+
+def test_langid_long_words_are_not_cut(monkeypatch):
+    rng = np.random.default_rng(2)
+    pieces = sorted({bytes([b]) for b in range(256)} | {b" a", b"ab", b"abc", b"bc", " é".encode(), "é".encode(), "éa".encode(), b"a" * 40})
+    vocabulary, ids = langid.Vocabulary(pieces), {}
+    ids.update({x: i for i, x in enumerate(pieces)})
+    p = rng.random((len(pieces), 2)) * 1e-3 + 1e-9
+    words = ["".join(rng.choice(list("abcé"), n)) for n in (3, 31, 32, 33, 40, 200)] + ["a" * 90]
+    data = " ".join(words).encode()
+    lattice = langid.Lattice.of_texts(np.frombuffer(data, np.uint8), np.array([0, len(data)]), vocabulary)
+    got = lattice.word_logs(p)[lattice.word]
+
+    def brute_log(word, q):  # in exact-enough arithmetic: scaled by a power of ten a byte
+        alpha = [1.0] + [0.0] * len(word)
+        for e in range(1, len(word) + 1):
+            alpha[e] = sum(alpha[s] * q[ids[word[s:e]]] * 3e3 ** (e - s) for s in range(max(0, e - 41), e) if word[s:e] in ids)
+            if alpha[e] > 1e200:
+                return None
+        return np.log(alpha[-1]) - len(word) * np.log(3e3)
+
+    for w, row in zip(words, got):
+        for k in range(2):
+            want = brute_log(b" " + w.encode(), p[:, k])
+            assert want is None or row[k] == pytest.approx(want, rel=1e-9)
+    # with every word taken for a long one, nothing changes
+    posterior = lattice.expected(p[:, 0])
+    monkeypatch.setattr(langid, "SHORT", 0)
+    logs = langid.Lattice.of_texts(np.frombuffer(data, np.uint8), np.array([0, len(data)]), vocabulary)
+    assert np.allclose(logs.word_logs(p)[logs.word], got)
+    for one in (lattice, logs):
+        edge = one.expected(p[:, 0]) if one is logs else posterior
+        size = np.bincount(one.edge_word, weights=edge * np.array([len(pieces[i]) for i in one.piece]))
+        assert size.tolist() == pytest.approx((one.stop - one.start).tolist())
+
+
+def test_langid_counts_and_predictions_by_hand(spark, monkeypatch):
+    pieces = sorted({bytes([b]) for b in range(256)} | {b" a", b"ab", b" ab", b"ba", b"b a", "é".encode()})
+    vocabulary, ids = langid.Vocabulary([x for x in pieces if b" " not in x[1:]]), {}
+    ids.update({x: i for i, x in enumerate(x for x in pieces if b" " not in x[1:])})
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("ab aab", "x"), ("ba ba éb", "y"), ("ab", "x"), ("b a b", "y"), (None, "x"), ("ab ba", None), ("abab ab", "y"), ("aé", "x")] * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    even = np.full(vocabulary.size, 1.0 / vocabulary.size)
+    want = {"x": Counter(), "y": Counter()}
+    for i, t, lang in rows:
+        if t is not None and lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            for w in t.split():
+                for k, v in brute_expected(b" " + w.encode(), ids, even).items():
+                    want[lang][k] += v
+    learnt = {}
+    for kept in (400_000, 1):  # also when findings are forgotten after every piece
+        monkeypatch.setattr(langid, "KEPT_WORDS", kept)
+        names, p = langid.learn(docs, vocabulary)
+        assert names == ["x", "y"]
+        for k, name in enumerate(names):
+            total = sum(want[name].values())
+            by_hand = np.array([(1 - langid.FLOOR) * want[name][i] / total + langid.FLOOR / vocabulary.size for i in range(vocabulary.size)])
+            assert np.allclose(p[:, k], by_hand, atol=1e-4)
+        got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, names, p, vocabulary).collect()}
+        assert learnt.setdefault("got", got) == got
+    for i, t, _ in rows:
+        if t is None:
+            assert got[i] == ("und", 0.0)
+            continue
+        logs = [sum(np.log(brute_word(b" " + w.encode(), ids, p[:, k])) for w in t.split()) for k in range(2)]
+        share = np.exp(np.array(logs) - max(logs))
+        assert got[i] == (names[int(np.argmax(logs))], pytest.approx(1 / share.sum(), abs=2e-6))
+
+
 def test_langid(spark):
     rows = [(i, ("the house and the garden of that man" if i % 2 else "der garten und das haus von dem mann"), "en" if i % 2 else "de", 1) for i in range(40)]
     rows += [(100, None, "en", 1), (101, "123 !!", "en", 1), (None, "the man", None, 1), (103, "z" * 3000, "en", 1), (104, "", None, 1)]
