@@ -222,11 +222,22 @@ def vocab_original(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("segment").alias("col"), "value", (F.row_number().over(Window.orderBy("value")) + 1).cast("bigint").alias("ord")
     )
     lit_rows = spark.createDataFrame([("kind", "E", 2), ("kind", "A", 3)], "col string, value string, ord bigint")
-    return seg.unionByName(lit_rows)
+    return seg.unionByName(lit_rows).unionByName(_items(spark, sf_dir, "p_partkey % 13 <> 0", F.col("name"), 100))
+
+
+def _items(spark: SparkSession, sf_dir: str, where: str, value: Column, first: int) -> DataFrame:
+    """A vocabulary column that grows with the data: one value for each part."""
+    p = table(spark, sf_dir, "part").where(where).withColumn("name", F.concat(F.col("p_name"), F.lit(" "), _s("p_partkey")))
+    return p.select(F.lit("item").alias("col"), value.alias("value"), (F.col("p_partkey") + first).cast("bigint").alias("ord"))
 
 
 def vocab_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = vocab_original(spark, sf_dir).where(F.col("value") != "MACHINERY")
+    item, key = F.col("col") == "item", F.col("ord") - 100
+    base = vocab_original(spark, sf_dir).where((F.col("value") != "MACHINERY") & ~(item & (key % 17 == 0)))
+    base = base.withColumn("value", F.when(item & (key % 11 == 5), F.upper("value")).otherwise(F.col("value")))
+    new = F.concat(F.lit(" "), F.replace(F.col("name"), F.lit(" "), F.lit("-")), F.lit(" "))
+    for where, first in (("p_partkey % 13 = 0", 500000), ("p_partkey % 26 = 0", 900000)):
+        base = base.unionByName(_items(spark, sf_dir, where, new, first))
     extra = spark.createDataFrame(
         [("segment", "Space-Tools", 20), ("segment", "auto mobile", 21), ("segment", " GARDEN ", 22), ("segment", "GARDEN", 23), ("size", "S", 2)],
         "col string, value string, ord bigint",

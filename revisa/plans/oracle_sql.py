@@ -48,9 +48,13 @@ UNION ALL
 SELECT ord + 6000000, concat('CU', cast(ord + 60000000 AS string)), sort_major, sort_minor, realm, family, name, kind, tokens, segment, balance, notes FROM rev_original WHERE (ord - 2) % 109 = 8""",
     "vocab_original": """
 SELECT 'segment' AS col, v AS value, cast(row_number() OVER (ORDER BY v) + 1 AS bigint) AS ord FROM (SELECT DISTINCT c_mktsegment AS v FROM customer) s
-UNION ALL SELECT 'kind', 'E', 2 UNION ALL SELECT 'kind', 'A', 3""",
+UNION ALL SELECT 'kind', 'E', 2 UNION ALL SELECT 'kind', 'A', 3
+UNION ALL SELECT 'item', concat(p_name, ' ', cast(p_partkey AS string)), p_partkey + 100 FROM part WHERE p_partkey % 13 <> 0""",
     "vocab_updated": """
-SELECT col, value, ord FROM vocab_original WHERE value <> 'MACHINERY'
+SELECT col, CASE WHEN col = 'item' AND (ord - 100) % 11 = 5 THEN upper(value) ELSE value END AS value, ord FROM vocab_original
+WHERE value <> 'MACHINERY' AND NOT (col = 'item' AND (ord - 100) % 17 = 0)
+UNION ALL SELECT 'item', concat(' ', replace(concat(p_name, ' ', cast(p_partkey AS string)), ' ', '-'), ' '), p_partkey + first
+FROM part, (SELECT 500000 AS first, 13 AS step UNION ALL SELECT 900000, 26) f WHERE p_partkey % f.step = 0
 UNION ALL SELECT 'segment', 'Space-Tools', 20 UNION ALL SELECT 'segment', 'auto mobile', 21 UNION ALL SELECT 'segment', ' GARDEN ', 22 UNION ALL SELECT 'segment', 'GARDEN', 23 UNION ALL SELECT 'size', 'S', 2""",
     "mask_rules": """
 SELECT 'part' AS table_name, 'p_type' AS col, 'ECO%' AS pattern UNION ALL SELECT 'part', 'p_brand', 'Brand#_3' UNION ALL SELECT 'orders', 'o_orderstatus', 'F'""",

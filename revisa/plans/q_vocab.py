@@ -12,7 +12,7 @@ from revisa.plans.q_revision import SPEC, r_frames
 from revisa.plans.registry import register
 
 # Where new vocabulary values of each column are inserted.
-ROUTES = [("segment", "segment_values", "segment_name"), ("kind", "kind_codes", "code,name")]
+ROUTES = [("segment", "segment_values", "segment_name"), ("kind", "kind_codes", "code,name"), ("Item", "items", "item_name")]
 CONSTRAINED = ["segment", "kind"]
 
 
@@ -76,11 +76,20 @@ def vocab_removed(spark, sf_dir):
     "vocab_not_in_reference",
     v_sql(
         "SELECT col, value, ord FROM nv_u WHERE col IN (SELECT col FROM ref) AND NOT EXISTS (SELECT 1 FROM ref r WHERE r.col = nv_u.col AND r.value = nv_u.value)",
-        extra=[("ref", f"SELECT DISTINCT 'segment' AS col, {S.norm('c_mktsegment')} AS value FROM customer WHERE {S.norm('c_mktsegment')} IS NOT NULL")],
+        extra=[
+            (
+                "ref",
+                f"SELECT DISTINCT 'segment' AS col, {S.norm('c_mktsegment')} AS value FROM customer WHERE {S.norm('c_mktsegment')} IS NOT NULL "
+                "UNION ALL SELECT 'item', concat(p_name, ' ', cast(p_partkey AS string)) FROM part WHERE p_partkey % 5 <> 0",
+            )
+        ],
     ),
 )
 def vocab_not_in_reference(spark, sf_dir):
+    """Reference lists: the segments of customer, and the names of most parts."""
     ref = fx.table(spark, sf_dir, "customer").select(F.lit("segment").alias("col"), F.col("c_mktsegment").alias("value"))
+    name = F.concat(F.col("p_name"), F.lit(" "), F.col("p_partkey").cast("string"))
+    ref = ref.unionByName(fx.table(spark, sf_dir, "part").where("p_partkey % 5 <> 0").select(F.lit("item").alias("col"), name.alias("value")))
     return vc.not_in_reference(frames(spark, sf_dir)[1], ref)
 
 
