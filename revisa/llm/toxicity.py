@@ -112,9 +112,16 @@ class Model:
     def __init__(self, levels: list[Level | None], shared: int = SHARED, cold: DataFrame | None = None, seen: np.ndarray | None = None):
         self.levels, self.shared, self.cold, self.seen = levels, shared, cold, seen
         self.slope, self.cut = 0.0, 0.0
+        self._sent = None
 
     def __getstate__(self):
-        return self.__dict__ | {"cold": None}  # executors get the levels alone
+        return self.__dict__ | {"cold": None, "_sent": None}  # executors get the levels alone
+
+    def sent(self, spark):
+        """The levels on the executors, sent once; slope and cut, which are found later, go with each use."""
+        if self._sent is None:
+            self._sent = spark.sparkContext.broadcast(self)
+        return self._sent
 
     def log_ratio(self, g: np.ndarray, cold: dict[int, tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
         """log p(byte | history, toxic) - log p(byte | history, ordinary) for packed n-grams.
@@ -162,10 +169,12 @@ class Model:
         total = np.bincount(text, weights=self.log_ratio(keys)[which], minlength=len(length))
         return total / np.sqrt(np.maximum(length, 1))
 
-    def score(self, evidence: np.ndarray) -> np.ndarray:
-        if self.slope == 0:
-            return np.zeros(len(evidence))
-        return np.round(1 / (1 + np.exp(-np.clip(self.slope * (evidence - self.cut), -30, 30))), 9)
+
+
+def scores(evidence: np.ndarray, slope: float, cut: float) -> np.ndarray:
+    if slope == 0:
+        return np.zeros(len(evidence))
+    return np.round(1 / (1 + np.exp(-np.clip(slope * (evidence - cut), -30, 30))), 9)
 
 
 def places(n: int, history: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -271,7 +280,7 @@ def joined(pairs: DataFrame, model: Model) -> DataFrame:
     names = [f"{c}_{n}" for n in orders for c in value]
     found = found.select("g", "n", *[v.alias(c) for c, v in value.items()])
     wide = found.groupBy("g").agg(*[F.max(F.when(F.col("n") == n, F.col(c))).alias(f"{c}_{n}") for n in orders for c in value])
-    sent = pairs.sparkSession.sparkContext.broadcast(model)
+    sent = model.sent(pairs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -286,7 +295,7 @@ def joined(pairs: DataFrame, model: Model) -> DataFrame:
 
 def measure(docs: DataFrame, model: Model, extra: list[str], text: str = "text") -> DataFrame:
     """doc_id, the extra columns, the evidence and the score of every row; ``text`` may be one of the extra columns."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent, slope, cut = model.sent(docs.sparkSession), model.slope, model.cut
     whole = model.seen is None
 
     def run(batches):
@@ -296,7 +305,7 @@ def measure(docs: DataFrame, model: Model, extra: list[str], text: str = "text")
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in names]
             if whole:
                 evidence = sent.value.evidence(column)
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(evidence), pa.array(sent.value.score(evidence))], names=[*names, "evidence", "score"])
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(evidence), pa.array(scores(evidence, slope, cut))], names=[*names, "evidence", "score"])
             else:
                 total, length, lists = sent.value.partial(column)
                 own = pa.array(np.arange(rid, rid + len(length)))
@@ -309,7 +318,7 @@ def measure(docs: DataFrame, model: Model, extra: list[str], text: str = "text")
     if whole:
         return rows.mapInArrow(run, f"{kinds}, evidence double, score double")
     # written once, so that a row keeps its number
-    first = written(rows.mapInArrow(run, f"{kinds}, _rid long, _total double, _length long, _g array<long>, _n array<long>"), "toxicity-first")
+    first = written(rows.mapInArrow(run, f"{kinds}, _rid long, _total double, _length long, _g array<long>, _n array<long>"), "toxicity-first", "zstd")
     pairs = first.select(F.col("_rid").alias("rid"), F.explode(F.arrays_zip("_g", "_n")).alias("x")).select("rid", F.col("x._g").alias("g"), F.col("x._n").alias("n"))
     out = first.drop("_g", "_n").join(joined(pairs, model).withColumnRenamed("rid", "_rid"), "_rid", "left")
     evidence = (F.col("_total") + F.coalesce("more", F.lit(0)) * F.lit(UNIT)) / F.sqrt(F.greatest("_length", F.lit(1)))
@@ -354,7 +363,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, discou
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
-    """Per document: doc_id, held_out, evidence, score (0 to 1) and predicted (score of 0.5 or more).
+    """Per document: doc_id, held_out, score (0 to 1), predicted (score of 0.5 or more) and evidence.
 
     Labels come from at most about ``max_labels`` rows (a hash sample beyond it), never
     from the held-out fold; several labels of one id count as the largest, null ones not
@@ -363,7 +372,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -
     """
     model = fit(docs, labels, max_labels)
     held = F.coalesce(crc32_mod(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
-    return measure(docs, model, []).select("doc_id", held.alias("held_out"), "evidence", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return measure(docs, model, []).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
