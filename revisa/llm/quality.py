@@ -145,7 +145,7 @@ def quantile(scores: DataFrame, share: float) -> float | None:
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> DataFrame:
-    """Per document: doc_id, n_words, the base counts, base_failed, llr, threshold and kept.
+    """Per document: doc_id, n_words, the base counts, base_failed, kept, llr and threshold.
 
     ``labels`` has doc_id and quality (1: trusted).  Every labelled row counts, for the
     target and for the threshold; corpus counts cover every row.  A null text has no words and fails the
@@ -166,4 +166,5 @@ def quality_rules(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> DataF
 
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = measure(docs, ratios).withColumn("base_failed", failed).withColumn("threshold", F.lit(threshold))
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.col("threshold")))
+    rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.col("threshold")))
+    return rows.select(*[c for c in rows.columns if c not in ("llr", "threshold")], "llr", "threshold")
