@@ -69,6 +69,8 @@ BENCH = {
     "segment_change_class": _registered("segment_change_class"),
     "cell_diff": _registered("cell_diff"),
     "token_reuse_new": _registered("token_reuse_new"),
+    "check_revision": _registered("check_revision"),
+    "change_set_stages": _registered("change_set_stages"),
 }
 
 

@@ -52,6 +52,16 @@ def summary(plan: str) -> str:
     return "\n".join(parts)
 
 
+def check_pairs(spark, sf_dir):
+    """The compared pairs of the whole check: what its stages on the pair and the change set read."""
+    from revisa.plans import q_issues
+
+    check = q_issues._check(spark, sf_dir)
+    check.original, check.edited, check.keys  # written before, as in a run
+    check.materialize = False
+    return check.pairs
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(shuffle_partitions=16)
@@ -65,7 +75,7 @@ def main():
         "at cluster scale the same logical plans become sort-merge joins on the key.",
         "",
     ]
-    items = list(bench.BENCH.items()) + [(k, registry.QUERIES[k]) for k in EXTRA]
+    items = list(bench.BENCH.items()) + [(k, registry.QUERIES[k]) for k in EXTRA] + [("check_pairs", check_pairs)]
     for name, fn in items:
         plan = plan_text(fn(spark, sf_dir))
         out += [f"## {name}", "", summary(plan), "", "```", compact(plan), "```", ""]
