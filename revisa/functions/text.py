@@ -137,8 +137,9 @@ def norm_value(c, kind: str, fallback: bool = True, codes=TYPE_CODES) -> Column:
 
 
 def values_equal(a, b, kind: str, fallback: bool = True, codes=TYPE_CODES) -> Column:
-    """FLT-08: null-safe equality after the kind's normaliser."""
-    return norm_value(a, kind, fallback, codes).eqNullSafe(norm_value(b, kind, fallback, codes))
+    """FLT-08: null-safe equality after the kind's normaliser, which equal texts need not pass."""
+    same = _c(a).cast("string").eqNullSafe(_c(b).cast("string"))
+    return same | norm_value(a, kind, fallback, codes).eqNullSafe(norm_value(b, kind, fallback, codes))
 
 
 TAXNODE_PATTERN = r"^TX(\d+)$"

@@ -77,12 +77,15 @@ def reconciliation(original: DataFrame, export: DataFrame, spec: RevisionSpec, k
     )
 
 
-def corrected_edit(edited: DataFrame, vocab: DataFrame | None, constrained) -> tuple[DataFrame | None, DataFrame]:
-    """JN-10: the correction's issues (None without a vocabulary) and the corrected frame every later check reads (Q5)."""
+def corrected_edit(edited: DataFrame, vocab: DataFrame | None, constrained, kept=lambda df: df) -> tuple[DataFrame | None, DataFrame]:
+    """JN-10: the correction's issues (None without a vocabulary) and the corrected frame every later check reads (Q5).
+
+    ``kept`` writes the frame that both come from, so that the edit is corrected once.
+    """
     constrained = [c for c in constrained if c in edited.columns]
     if vocab is None or not constrained:
-        return None, edited
-    wide = vc.correct_wide(edited, vocab, constrained)
+        return None, kept(edited)
+    wide = kept(vc.correct_wide(edited, vocab, constrained))
     cells = F.explode(F.array(*[F.col("_fix_" + c) for c in constrained]))
     found = wide.select("ord", cells.alias("f")).where(F.col("f.message").isNotNull())
     return _issues(found, "vocabulary", EDITED, F.col("ord"), F.col("f.message"), F.col("f.severity")), vc.apply_corrections(wide, edited.columns, constrained)
@@ -94,9 +97,10 @@ class RevisionCheck:
     Tables are prepared frames (:func:`revisa.operators.revision.prepare`).  ``vocab_original``
     adds the vocabulary revision, ``reference`` (col, value) the reference lists, ``export``
     (with a prepared key) the reconciliation.  With ``materialize`` what several stages read
-    is written once as Parquet in the shared folder: the prepared tables, one row per key
-    with its counts on both sides, and the compared pairs.  The pair is joined once; each
-    check on it is an expression that gives an array of findings.
+    is written once as Parquet in the shared folder: the prepared tables (the edit with its
+    corrections, the export with its key), the vocabularies, one row per key with its counts
+    on both sides, and the compared pairs.  The pair is joined once; each check on it is an
+    expression that gives an array of findings.
     """
 
     def __init__(
@@ -114,17 +118,29 @@ class RevisionCheck:
         export_kinds: dict | None = None,
     ):
         self._original, self._edited, self.spec = original, edited, spec
-        self.vocab, self.constrained, self.strict_list, self.materialize = vocab, constrained, strict_list, materialize
-        self.vocab_original, self.reference, self.export, self.export_kinds = vocab_original, reference, export, export_kinds or {}
+        self._vocab, self.constrained, self.strict_list, self.materialize = vocab, constrained, strict_list, materialize
+        self._vocab_original, self.reference, self._export, self.export_kinds = vocab_original, reference, export, export_kinds or {}
 
-    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+    def _kept(self, df: DataFrame | None, name: str) -> DataFrame | None:
         from revisa.sources.tables import written_once
 
-        return written_once(df, name) if self.materialize else df
+        return written_once(df, name) if self.materialize and df is not None else df
+
+    @cached_property
+    def vocab(self) -> DataFrame | None:
+        return self._kept(self._vocab, "check-vocabulary")
+
+    @cached_property
+    def vocab_original(self) -> DataFrame | None:
+        return self._kept(self._vocab_original, "check-vocabulary-original")
+
+    @cached_property
+    def export(self) -> DataFrame | None:
+        return self._kept(self._export, "check-export")
 
     @cached_property
     def corrected(self) -> tuple[DataFrame | None, DataFrame]:
-        return corrected_edit(self._edited, self.vocab, self.constrained)
+        return corrected_edit(self._edited, self.vocab, self.constrained, lambda df: self._kept(df, "check-edited"))
 
     @cached_property
     def original(self) -> DataFrame:
@@ -133,7 +149,7 @@ class RevisionCheck:
     @cached_property
     def edited(self) -> DataFrame:
         """The edit with its vocabulary columns corrected, which every later check reads."""
-        return self._kept(self.corrected[1], "check-edited")
+        return self.corrected[1]
 
     @cached_property
     def keys(self) -> DataFrame:
@@ -208,15 +224,15 @@ class RevisionCheck:
         nothing of the later ones (the token rounds, say).
         """
         spec, k = self.spec, rv.KEY
-        if self.vocab is not None and self.vocab_original is not None:
+        if self._vocab is not None and self._vocab_original is not None:
             yield "vocabulary_revision", vocabulary_revision(self.vocab_original, self.vocab)
-        if self.vocab_original is not None and self.reference is not None:
+        if self._vocab_original is not None and self.reference is not None:
             yield "reference_lists", reference_lists(self.vocab_original, self.reference)
         if self.corrected[0] is not None:
             yield "vocabulary", self.corrected[0]
         yield "blank_keys", _issues(self.original.where(F.col(k).isNull()), "blank_keys", ORIGINAL, F.col("ord"), F.lit("Original table contains a blank key."))
         yield "keys", self._key_issues()
-        if self.export is not None:
+        if self._export is not None:
             yield "reconcile", reconciliation(self.original, self.export, spec, self.export_kinds)
         yield "read_only", self._pair_issues("read_only")
         if spec.list_column:

@@ -31,7 +31,7 @@ def reconcile_cells(original: DataFrame, export: DataFrame, spec: RevisionSpec,
     for c in cols:
         k = kinds.get(c, "text")
         a, b = T.norm_value(F.col("o_" + c), k), T.norm_value(F.col("x_" + c), k)
-        items.append(F.when(~a.eqNullSafe(b), F.struct(F.lit(c).alias("column"), a.alias("original_value"), b.alias("export_value"))))
+        items.append(F.when(~T.values_equal(F.col("o_" + c), F.col("x_" + c), k), F.struct(F.lit(c).alias("column"), a.alias("original_value"), b.alias("export_value"))))
     diffs = F.filter(F.array(*items), lambda d: d.isNotNull())
     return j.select(KEY, F.col("o_ord").alias("ord"), F.explode(diffs).alias("d")).select(
         KEY, "ord", "d.column", "d.original_value", "d.export_value"

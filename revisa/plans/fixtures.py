@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over all cores where the files give fewer tasks than that; a compact file of many rows is one task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -72,7 +78,7 @@ R_SPEC = RevisionSpec(
 
 
 def rev_original(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
+    c = spread(table(spark, sf_dir, "customer"))
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     k = F.col("c_custkey")
