@@ -295,32 +295,50 @@ def joined(pairs: DataFrame, model: Model) -> DataFrame:
 
 def measure(docs: DataFrame, model: Model, extra: list[str], text: str = "text") -> DataFrame:
     """doc_id, the extra columns, the evidence and the score of every row; ``text`` may be one of the extra columns."""
-    sent, slope, cut = model.sent(docs.sparkSession), model.slope, model.cut
-    whole = model.seen is None
+    names = ["doc_id", *extra]
+    rows = docs.select(*names, *([] if text in extra else [text]))
+    return _measured(rows, model, names, text) if model.seen is None else _settled(_partly(rows, model, names, text), model, names)
+
+
+def _types(rows: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
+
+
+def _measured(rows: DataFrame, model: Model, names: list[str], text: str) -> DataFrame:
+    """The named columns, evidence and score by a model that is broadcast whole."""
+    sent, slope, cut = model.sent(rows.sparkSession), model.slope, model.cut
 
     def run(batches):
-        rid = (TaskContext.get().partitionId() << 40) if not whole else 0
         for batch in pieces(batches, text, TASK_BYTES):
-            column = batch.column(batch.schema.get_field_index(text))
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            if whole:
-                evidence = sent.value.evidence(column)
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(evidence), pa.array(scores(evidence, slope, cut))], names=[*names, "evidence", "score"])
-            else:
-                total, length, lists = sent.value.partial(column)
-                own = pa.array(np.arange(rid, rid + len(length)))
-                rid += len(length)
-                yield pa.RecordBatch.from_arrays([*arrays, own, pa.array(total), pa.array(length), *lists], names=[*names, "_rid", "_total", "_length", "_g", "_n"])
+            evidence = sent.value.evidence(batch.column(batch.schema.get_field_index(text)))
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(evidence), pa.array(scores(evidence, slope, cut))], names=[*names, "evidence", "score"])
 
-    names = ["doc_id", *extra]
-    rows = docs.select(*names, *([] if text in extra else [text]))
-    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
-    if whole:
-        return rows.mapInArrow(run, f"{kinds}, evidence double, score double")
-    # written once, so that a row keeps its number
-    first = written(rows.mapInArrow(run, f"{kinds}, _rid long, _total double, _length long, _g array<long>, _n array<long>"), "toxicity-first", "zstd")
+    return rows.mapInArrow(run, f"{_types(rows, names)}, evidence double, score double")
+
+
+def _partly(rows: DataFrame, model: Model, names: list[str], text: str) -> DataFrame:
+    """The named columns, a row number, what the broadcast levels give, and the n-grams left to the table; written once, so that a row keeps its number."""
+    sent = model.sent(rows.sparkSession)
+
+    def run(batches):
+        rid = TaskContext.get().partitionId() << 40
+        for batch in pieces(batches, text, TASK_BYTES):
+            arrays = [batch.column(batch.schema.get_field_index(c)) for c in names]
+            total, length, lists = sent.value.partial(batch.column(batch.schema.get_field_index(text)))
+            own = pa.array(np.arange(rid, rid + len(length)))
+            rid += len(length)
+            yield pa.RecordBatch.from_arrays([*arrays, own, pa.array(total), pa.array(length), *lists], names=[*names, "_rid", "_total", "_length", "_g", "_n"])
+
+    kinds = f"{_types(rows, names)}, _rid long, _total double, _length long, _g array<long>, _n array<long>"
+    return written(rows.mapInArrow(run, kinds), "toxicity-first", "zstd")
+
+
+def _settled(first: DataFrame, model: Model, names: list[str]) -> DataFrame:
+    """The named columns of ``_partly``, evidence and score, with the share of the table's n-grams."""
     pairs = first.select(F.col("_rid").alias("rid"), F.explode(F.arrays_zip("_g", "_n")).alias("x")).select("rid", F.col("x._g").alias("g"), F.col("x._n").alias("n"))
-    out = first.drop("_g", "_n").join(joined(pairs, model).withColumnRenamed("rid", "_rid"), "_rid", "left")
+    kept = first.select(*dict.fromkeys([*names, "_rid", "_total", "_length"]))
+    out = kept.join(joined(pairs, model).withColumnRenamed("rid", "_rid"), "_rid", "left")
     evidence = (F.col("_total") + F.coalesce("more", F.lit(0)) * F.lit(UNIT)) / F.sqrt(F.greatest("_length", F.lit(1)))
     out = out.select(*names, evidence.alias("evidence"))
     x = F.greatest(F.least(F.lit(model.slope) * (F.col("evidence") - F.lit(model.cut)), F.lit(30.0)), F.lit(-30.0))
@@ -375,10 +393,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -
     return measure(docs, model, []).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose text the model does not reject, with all their columns."""
-    model = fit(docs, labels)
+def drop_toxic(docs: DataFrame, labels: DataFrame, hot_grams: int = HOT_GRAMS) -> DataFrame:
+    """The documents whose text the model does not reject, with all their columns.
+
+    Where a part of the model is joined, only row numbers meet the scores: the rejected ones
+    become bits, 64 rows to a word, and the documents look their bit up.  Spark broadcasts the
+    words under its threshold, which they reach at some tens of millions of documents; beyond it
+    the documents are shuffled.
+    """
+    model = fit(docs, labels, hot_grams=hot_grams)
     names = docs.columns
-    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col("doc_id"))
-    scored = measure(inner, model, [f"c{i}" for i in range(len(names))], text=f"c{names.index('text')}")
-    return scored.where("score < 0.5").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    own, text = inner.columns, f"c{names.index('text')}"
+    passed = F.coalesce(F.col("score") < 0.5, F.lit(False))
+    if model.seen is None:
+        kept = _measured(inner, model, own, text).where(passed)
+    else:
+        first = _partly(inner, model, own, text)
+        word, bit = F.shiftright("_rid", 6), F.col("_rid").bitwiseAND(F.lit(63)).cast("int")
+        gone = _settled(first, model, ["_rid"]).where(~passed).select(word.alias("_word"), F.expr("shiftleft(1L, cast(_rid & 63 as int))").alias("_bit"))
+        gone = written(gone.groupBy("_word").agg(F.bit_or("_bit").alias("_bits")), "toxicity-rejected")
+        kept = first.drop("_g", "_n").join(gone, word == F.col("_word"), "left").where(F.coalesce(F.getbit("_bits", bit), F.lit(0)) == 0)
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

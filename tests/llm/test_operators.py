@@ -238,6 +238,24 @@ def test_toxicity_learns_forms_it_never_saw(spark):
     assert {r.score for r in none} == {0.0} and toxicity.toxicity(docs.where("doc_id = -1"), labs).count() == 0
 
 
+def test_toxic_rows_are_dropped_without_a_shuffle_of_texts(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i % 290, " ".join("".join(rng.choice(list("abcdefgh" if i % 3 else "ijklmnop"), 4)) for _ in range(20)), i) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (None, None, -1)], "doc_id long, text string, n int").repartition(7)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(290)], "doc_id long, toxic int")
+    want = sorted(r.n for r in toxicity.drop_toxic(docs, labels).collect())
+    assert 150 < len(want) < 250
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")  # less than the texts and their scores
+        kept = toxicity.drop_toxic(docs, labels, hot_grams=0)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        assert kept.columns == docs.columns and sorted(r.n for r in kept.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_toxicity_keeps_every_counted_ngram(spark):
     rng = np.random.default_rng(4)
     texts = [(" ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(20)), int(i % 5 == 0)) for i in range(100)] + [("once zyxwv once", 1), ("a lone qjkvp", 0)]
