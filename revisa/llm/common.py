@@ -77,6 +77,11 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values, offsets - offsets[0]
 
 
+def release() -> None:
+    """What Arrow keeps of tables that are no longer used goes back to the system."""
+    pa.default_memory_pool().release_unused()
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a piece's texts hold about ``max_bytes`` at most, or one text."""
     for batch in batches:

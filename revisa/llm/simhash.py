@@ -8,8 +8,8 @@ pairs.  A bucket with more than ``max_bucket`` fingerprints is not compared pair
 its fingerprints go through the midpoint route, where each emits every value within
 half the distance; two are linked if and only if they share such a value (distance up
 to 2 * radius), and equal values are chained, which is linear in the fingerprints.
-Links are then closed into components by alternating star steps, each written to the
-shared folder.
+Links are then closed into components: contracted in each partition, then by alternating
+star steps, each written to the shared folder.
 """
 
 from __future__ import annotations
@@ -23,8 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revisa.llm.common import flat, pieces, written
+from revisa.operators.components import contracted_where_they_are
 
 SEED = 42
+#: Nodes of links a task holds before it hands on what it has contracted: some 50 MB.
+HELD_NODES = 1 << 18
 #: Bits whose counts are added up at once when a text has very many shingles.
 COUNT_ROWS = 1 << 16
 
@@ -139,17 +142,19 @@ def midpoint_links(fps: DataFrame, max_bits: int) -> DataFrame:
     return points.join(first, "value").where("fp <> a").select("a", F.col("fp").alias("b"))
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, name: str = "components", held_nodes: int = HELD_NODES) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b): root is the component's smallest node.
 
-    Alternating star steps: every node's larger neighbours, then its smaller ones, are
-    linked to its smallest neighbour, until nothing changes.  A step's links are at most
+    Every partition first contracts its own edges to stars, with at most about ``held_nodes``
+    nodes in memory at once; edges that fit there are done.  What is left is closed by
+    alternating star steps: every node's larger neighbours, then its smaller ones, are linked
+    to its smallest neighbour, until all links are stars.  A step's links are at most
     those before it plus the nodes, hubs are grouped with map-side minima, and each round
     is written to the shared folder.
     """
-    now = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), name)
-    mark = None
-    while True:
+    stars = contracted_where_they_are(edges.where("a <> b").select("a", "b"), held_nodes)
+    now = written(stars.select(F.col("root").alias("a"), F.col("node").alias("b")), name)
+    while not settled(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         low = written(low, name)  # a plain join input: a hub's rows can be split
@@ -158,15 +163,17 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         up = written(large.groupBy("b").agg(F.min("a").alias("m")), name)  # likewise
         small = large.join(up, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a <> b").distinct()
         now = written(small.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), name)
-        # the sum of roots falls with every change: equal sums and counts mean a fixed point
-        seen = tuple(now.agg(F.count(F.lit(1)), F.sum(F.col("a").cast("decimal(38,0)")), F.sum(F.col("b").cast("decimal(38,0)"))).first())
-        if seen == mark:
-            break
-        mark = seen
     roots = now.groupBy("b").agg(F.min("a").alias("root")).select(F.col("b").alias("node"), "root")
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
+def settled(links: DataFrame) -> bool:
+    """Whether links (a < b) are stars: no b has two different a, and none is an a itself."""
+    ends = F.array(F.struct(F.col("b").alias("node"), F.col("a").alias("root")), F.struct(F.col("a").alias("node"), F.col("a").alias("root")))
+    nodes = links.select(F.explode(ends).alias("x")).groupBy("x.node").agg(F.min("x.root").alias("low"), F.max("x.root").alias("high"))
+    return nodes.where("low <> high").isEmpty()
+
+
 def near_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int = 7, max_bucket: int = 4096) -> DataFrame:
     """Per document: doc_id, ``fp`` (long) and component_id (the smallest doc_id reachable by links).
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisa.llm.common import MAX_LABELS, crc32_mod, flat, label_sample, pieces, written
+from revisa.llm.common import MAX_LABELS, crc32_mod, flat, label_sample, pieces, release, written
 from revisa.llm.words import mix
 
 ORDER, SHARED = 6, 1
@@ -82,8 +82,8 @@ class Level:
     """One order's discounted probabilities and backoff weights, by packed n-gram and history."""
 
     def __init__(self, gram, history, probability, weight):
-        self.order = np.argsort(gram)
-        self.gram, self.probability = gram[self.order], probability[self.order]
+        order = np.argsort(gram)
+        self.gram, self.probability = gram[order], probability[order]
         self.history, first = np.unique(history, return_index=True)
         self.weight = weight[first]
 
@@ -266,7 +266,9 @@ def fit_counts(counts: DataFrame, discount: float = DISCOUNT, shared: int = SHAR
         return Model(_levels(table), shared)
     is_hot = (F.col("n") <= shared) | (power >= least)
     cold = table.where(~is_hot)
-    return Model(_levels(table.where(is_hot)), shared, cold, _seen(cold))
+    hot = _levels(table.where(is_hot))
+    release()
+    return Model(hot, shared, cold, _seen(cold))
 
 
 def joined(pairs: DataFrame, model: Model) -> DataFrame:
@@ -377,6 +379,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, discou
         return Model([])
     got = measure(rows.where(fold == CALIBRATE), model, ["label"]).select("evidence", "label").toArrow()
     model.slope, model.cut = calibrate(got.column("evidence").to_numpy(), got.column("label").to_numpy())
+    del got
+    release()
     return model
 
 

@@ -40,7 +40,12 @@ class Forest(dict):
 
 
 def contracted(links: DataFrame, held_nodes: int = HELD_NODES) -> DataFrame:
-    """(node, root): in each partition, the nodes of its links and the smallest node they reach inside it."""
+    """(node, root): in each partition, the nodes of its links and the smallest node they reach inside it; links of one node meet."""
+    return contracted_where_they_are(links.repartition("node"), held_nodes)
+
+
+def contracted_where_they_are(links: DataFrame, held_nodes: int = HELD_NODES) -> DataFrame:
+    """(node, root) of whole numbers, as ``contracted``, in the partitions that ``links`` has; a node may get a row in several."""
 
     def run(batches):
         forest = Forest()
@@ -57,7 +62,7 @@ def contracted(links: DataFrame, held_nodes: int = HELD_NODES) -> DataFrame:
         found = [(n, r) for n in forest if (r := forest.root(n)) != n]
         return pa.RecordBatch.from_arrays([pa.array([n for n, _ in found], pa.int64()), pa.array([r for _, r in found], pa.int64())], names=["node", "root"])
 
-    return links.repartition("node").mapInArrow(run, "node long, root long")
+    return links.mapInArrow(run, "node long, root long")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -107,6 +107,43 @@ def test_simhash_links_connect_all_close_pairs(spark, max_bucket):
     assert {f: got.get(f, f) for f in fps} == root
 
 
+def counted(monkeypatch):
+    """The names of the tables that simhash writes from now on."""
+    names, real = [], simhash.written
+    monkeypatch.setattr(simhash, "written", lambda df, name, *rest: names.append(name) or real(df, name, *rest))
+    return names
+
+
+def test_simhash_components_of_links_that_fit_a_task_need_no_rounds(spark, monkeypatch):
+    order = np.random.default_rng(5).permutation(300).tolist()
+    path = list(zip(order, order[1:]))
+    edges = spark.createDataFrame([*path, *path, (7, 7), (900, 1000), (1000, 950)], "a long, b long").coalesce(1)
+    names = counted(monkeypatch)
+    got = simhash.components(edges).collect()
+    assert sorted((r.node, r.root) for r in got) == [*((n, 0) for n in range(300)), (900, 900), (950, 900), (1000, 900)]
+    assert len(names) == 1
+
+
+@pytest.mark.parametrize("held_nodes", [1, 1000])
+def test_simhash_components_across_tasks(spark, held_nodes):
+    order = np.random.default_rng(6).permutation(100).tolist()
+    path = [(a, b) for a, b in zip(order, order[1:]) if a != 50 and b != 50]
+    hub = [(200, n) for n in range(201, 260)]
+    edges = spark.createDataFrame([*path, *path[::3], *hub, (-5, 300), (300, 301), (301, -5)], "a long, b long").repartition(7)
+    root = {n: n for e in [*path, *hub, (-5, 300), (300, 301)] for n in e}
+    for _ in root:
+        for a, b in [*path, *hub, (-5, 300), (300, 301)]:
+            root[a] = root[b] = min(root[a], root[b])
+    got = simhash.components(edges, held_nodes=held_nodes).collect()
+    assert sorted((r.node, r.root) for r in got) == sorted(root.items())
+    assert simhash.components(edges.limit(0)).count() == 0
+
+
+def test_toxicity_model_sends_only_what_it_reads():
+    level = toxicity.Level(np.array([9 << 8, 3 << 8], np.uint64), np.array([9, 3], np.uint64), np.ones((2, 2)), np.zeros((2, 2)))
+    assert set(vars(level)) == {"gram", "probability", "history", "weight"} and level.gram.tolist() == [3 << 8, 9 << 8]
+
+
 def test_decontamination(spark, docs):
     items = [(1, "this line IS shared by some, own text of two here a b"), (2, "cc by"), (10, "!!"), (None, "foo"), (4, None), (5, "lorem ipsum dolor " * 5), (6, "alpha beta gamma delta epsilon zeta this line wrong shared")]
     bench = spark.createDataFrame([(*i, 1) for i in items], "item_id long, text string, first int")
